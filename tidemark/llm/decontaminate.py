@@ -81,13 +81,15 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13, share
     known = stored(known.distinct(), "windows")
     in_map = _bit_map(known)
 
+    kind = "array<struct<length:int,at:int,win:string>>"
+
+    def of_length(words: Column, n: int) -> Column:
+        starts = let(fingerprints(words, n, k), lambda prints: F.filter(F.sequence(F.lit(0), F.size(words) - n), lambda i: _in_map(in_map, F.get(prints, i))))
+        found = F.transform(starts, lambda i: F.struct(F.lit(n).alias("length"), i.alias("at"), window_text(words, i, n).alias("win")))
+        return F.coalesce(F.when(F.size(words) >= n, found), F.array().cast(kind))
+
     def candidates(words: Column) -> Column:
-        found = []
-        for n in lengths:
-            starts = let(fingerprints(words, n, k), lambda prints, n=n: F.filter(F.sequence(F.lit(0), F.size(words) - n), lambda i: _in_map(in_map, F.get(prints, i))))
-            found.append(F.when(F.size(words) >= n, F.transform(starts, lambda i, n=n: F.struct(F.lit(n).alias("length"), i.alias("at"), window_text(words, i, n).alias("win")))))
-        empty = F.array().cast("array<struct<length:int,at:int,win:string>>")
-        return F.concat(*[F.coalesce(x, empty) for x in found]) if found else empty
+        return F.concat(F.array().cast(kind), *[of_length(words, n) for n in lengths])
 
     passed = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), let(item_words(F.col("text")), lambda w: F.struct(F.size(w).cast("bigint").alias("n_words"), candidates(w).alias("found"))).alias("x"))
     passed = stored(passed.select("doc_id", "text_hash", "x.n_words", "x.found"), "candidates")
