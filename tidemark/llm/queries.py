@@ -1,6 +1,6 @@
 """The registered queries of the training-data operators."""
 
-from . import decontaminate
+from . import decontaminate, near_dup
 
-QUERIES = {f.__name__: f for f in (decontaminate.op10_decontaminate,)}
-ORACLES = {"op10_decontaminate": decontaminate.OP10_SQL}
+QUERIES = {f.__name__: f for f in (near_dup.op8_near_duplicates, decontaminate.op10_decontaminate)}
+ORACLES = {"op8_near_duplicates": near_dup.OP8_SQL, "op10_decontaminate": decontaminate.OP10_SQL}
