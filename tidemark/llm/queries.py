@@ -1,6 +1,6 @@
 """The registered queries of the training-data operators."""
 
-from . import decontaminate, lang_id, near_dup
+from . import decontaminate, lang_id, near_dup, token_files
 
-QUERIES = {f.__name__: f for f in (lang_id.op5_language_id, near_dup.op8_near_duplicates, decontaminate.op10_decontaminate)}
+QUERIES = {f.__name__: f for f in (token_files.op3_token_files, lang_id.op5_language_id, near_dup.op8_near_duplicates, decontaminate.op10_decontaminate)}
 ORACLES = {"op8_near_duplicates": near_dup.OP8_SQL, "op10_decontaminate": decontaminate.OP10_SQL}
