@@ -1,6 +1,6 @@
 """The registered queries of the training-data operators."""
 
-from . import decontaminate, lang_id, line_dedup, near_dup, pieces, quality, token_files
+from . import decontaminate, lang_id, line_dedup, lm_score, near_dup, pieces, quality, token_files
 
-QUERIES = {f.__name__: f for f in (token_files.op3_token_files, pieces.op4_sentencepiece, lang_id.op5_language_id, quality.op6_quality, near_dup.op8_near_duplicates, line_dedup.op9_line_dedup, decontaminate.op10_decontaminate)}
+QUERIES = {f.__name__: f for f in (token_files.op3_token_files, pieces.op4_sentencepiece, lang_id.op5_language_id, quality.op6_quality, lm_score.op7_lm_score, near_dup.op8_near_duplicates, line_dedup.op9_line_dedup, decontaminate.op10_decontaminate)}
 ORACLES = {"op8_near_duplicates": near_dup.OP8_SQL, "op9_line_dedup": line_dedup.OP9_SQL, "op10_decontaminate": decontaminate.OP10_SQL}
