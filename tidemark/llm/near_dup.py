@@ -95,14 +95,20 @@ def _likely(pairs: DataFrame, reps: DataFrame, threshold: float) -> DataFrame:
     return both.select("a", "b", "na", "nb", "ba", "bb").mapInArrow(of, "a bigint, b bigint")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs whose full shingle sets have 100 * |intersection| >= percent * |union|."""
+def _sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
+    """(doc_id, shingles) of the documents in ids(doc_id): ascending 64-bit hashes."""
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, hashes, ends in shingle_sets(batch.column(1), size):
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(ends) - 1), pa.array([hashes[i:j].tobytes() for i, j in zip(ends, ends[1:])], pa.binary())], ["doc_id", "shingles"])
 
+    return docs.select("doc_id", "text").join(ids, "doc_id").mapInArrow(of, "doc_id bigint, shingles binary")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose full shingle sets have 100 * |intersection| >= percent * |union|."""
+
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
             keep = []
@@ -114,9 +120,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Dat
                 keep.append(100 * same >= percent * (len(p) + len(q) - same))
             yield x.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    own = stored(docs.select("doc_id", "text").join(needed, "doc_id").mapInArrow(sets, "doc_id bigint, shingles binary"), "shingles")
-    both = pairs.join(own.selectExpr("doc_id a", "shingles sa"), "a").join(own.selectExpr("doc_id b", "shingles sb"), "b")
+    both = pairs.join(sets.selectExpr("doc_id a", "shingles sa"), "a").join(sets.selectExpr("doc_id b", "shingles sb"), "b")
     return both.select("a", "b", "sa", "sb").mapInArrow(check, "a bigint, b bigint")
 
 
@@ -144,9 +148,10 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     shared = rows.groupBy("band", "key").agg(F.min("doc_id").alias("least"), F.count("*").alias("many")).where("many > 1").drop("many")
     near = stored(rows.join(shared, ["band", "key"]), "bands")
 
+    sets = stored(_sets(docs, near.select("doc_id").distinct(), size), "shingles")
+
     def links(pairs: DataFrame) -> DataFrame:
-        likely = stored(_likely(pairs, reps, threshold), "likely")
-        return stored(_verified(likely, docs, size, percent), "links")
+        return stored(_verified(stored(_likely(pairs, reps, threshold), "likely"), sets, percent), "links")
 
     stars = near.where("doc_id <> least").select(F.col("least").alias("a"), F.col("doc_id").alias("b")).distinct()
     lowest = member.groupBy("doc_id").agg(F.min("rep").alias("low"))
