@@ -1,4 +1,10 @@
 """The registered queries of the point-in-time operators and their DuckDB SQL."""
 
-QUERIES = {}
-ORACLES = {}
+from __future__ import annotations
+
+from . import bindings_facts, bindings_market, bindings_time
+
+QUERIES, ORACLES = {}, {}
+for _part in (bindings_time, bindings_market, bindings_facts):
+    QUERIES |= _part.QUERIES
+    ORACLES |= _part.ORACLES
