@@ -27,7 +27,7 @@ def _halves(w: Column) -> Column:
     def ends(p: Column) -> Column:
         return F.array(F.xxhash64(F.lit(0), F.slice(w, 1, p)), F.xxhash64(F.lit(1), F.slice(w, n - p + 1, p)))
 
-    half, less = F.shiftright(n, 1), F.shiftright(n - 1, 1)
+    half, less = F.shiftright(n, 1), F.shiftright(F.greatest(n - 1, F.lit(0)), 1)
     return F.when(half == less, ends(half)).otherwise(F.concat(ends(half), ends(less)))
 
 
