@@ -99,12 +99,30 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.kept: dict[str, bytes] = {"": b""}
+        self.older: dict[str, bytes] = {}
         self.points = {p: self._ids([p])[0] for p in ".,"}
 
     def _ids(self, words: list[str]) -> list[bytes]:
         return [np.array(x.ids, np.uint32).tobytes() for x in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
+    def _letters(self, words: list[str]) -> list[bytes]:
+        """Words of letters alone, many in one text: each is one run, so its ids go up to the next that ends a word."""
+        out = []
+        for i in range(0, len(words), 4096):
+            own = words[i : i + 4096]
+            ids = np.array(self.tokenizer.encode(" ".join(own), add_special_tokens=False).ids, np.uint32)
+            cuts = np.flatnonzero(self.ends[np.minimum(ids, len(self.ends) - 1)]) + 1
+            if len(cuts) == len(own):
+                data, at = ids.tobytes(), (cuts * 4).tolist()
+                out += [data[x:y] for x, y in zip([0, *at], at)]
+            else:
+                out += self._ids(own)
+        return out
+
     @staticmethod
     def words(text: str) -> list[str]:
         # in Latin-1 lower case is a matter of single characters, as in the normaliser; markers keep their case
@@ -118,21 +136,39 @@ class WordEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian u32."""
-        if len(self.kept) > KEPT:
-            self.kept = {"": b""}
-        kept, split = self.kept, [self.words(t) for t in texts]
-        new = set()
-        for words in split:
-            new.update(words)
-        new.difference_update(kept)
+        if len(self.kept) > KEPT:  # words that the last KEPT don't have are forgotten
+            self.kept, self.older = {"": b""}, self.kept
+        kept, older, split = self.kept, self.older, [self.words(t) for t in texts]
+        parts = [list(map(kept.get, words)) for words in split]
+        gaps = [[i for i, x in enumerate(own) if x is None] if None in own else [] for own in parts]
+        new = {words[i] for words, own in zip(split, gaps) for i in own}
+        back = new.intersection(older)
+        kept.update(zip(back, map(older.__getitem__, back)))
+        new.difference_update(back)
         # a letter's run ends before a full stop or comma, so these ids can be joined
         ends = [w for w in new if w[-1] in ".," and w[:-1].isalpha() and w[-2] < "ɐ"]
         stems = {w[:-1] for w in ends}
-        whole = list((new.difference(ends) | stems).difference(kept))
-        kept.update(zip(whole, self._ids(whole)))
+        whole = (new.difference(ends) | stems).difference(kept)
+        plain = [w for w in whole if w.isalpha() and max(w) < "ɐ"]
+        kept.update(zip(plain, self._letters(plain)))
+        odd = list(whole.difference(plain))
+        kept.update(zip(odd, self._ids(odd)))
         for w in ends:
             kept[w] = kept[w[:-1]] + self.points[w[-1]]
-        return [b"".join(map(kept.__getitem__, words)) for words in split]
+        for words, own, missing in zip(split, parts, gaps):
+            for i in missing:
+                own[i] = kept[words[i]]
+        return [b"".join(own) for own in parts]
+
+
+_encoders: dict[str, WordEncoder] = {}
+
+
+def encoder_of(path: str) -> WordEncoder:
+    """One encoder for all tasks that a Python worker runs."""
+    if path not in _encoders:
+        _encoders[path] = WordEncoder(path)
+    return _encoders[path]
 
 
 def write_tokens(docs: DataFrame, tokenizer: str, end: int, path: str) -> None:
@@ -143,7 +179,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, end: int, path: str) -> None:
     """
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part = WordEncoder(tokenizer), TaskContext.get().partitionId()
+        encoder, part = encoder_of(tokenizer), TaskContext.get().partitionId()
         close = np.array([end], np.uint32).tobytes()
         ids, parts, size, before = [], [], 0, 0
 
