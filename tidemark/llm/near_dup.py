@@ -17,11 +17,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, mix64, stored
+from .common import components, mix64, small_batches, stored
 from .textblocks import shingle_sets
 
 BANDS, ROWS, MANTISSA = 32, 4, 10
 REGISTERS = BANDS * ROWS
+#: Documents in a block.
+BLOCK = 512
 _XOR = mix64(np.arange(1, REGISTERS + 1, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03))
 _MUL = mix64(np.arange(1, REGISTERS + 1, dtype=np.uint64) * np.uint64(0xABC98388FB8FAC03)) | np.uint64(1)
 
@@ -106,22 +108,77 @@ def _sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
     return docs.select("doc_id", "text").join(ids, "doc_id").mapInArrow(of, "doc_id bigint, shingles binary")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose full shingle sets have 100 * |intersection| >= percent * |union|."""
+def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b, na, nb, linked, apart): whether 100 * |intersection| >= percent * |union| on full sets, and what only one has."""
 
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
-            keep = []
+            sizes, linked, apart = ([], []), [], []
             for p, q in zip(x.column("sa"), x.column("sb")):
                 p, q = np.frombuffer(p.as_buffer(), np.uint64), np.frombuffer(q.as_buffer(), np.uint64)
-                both = np.concatenate((p, q))
-                both.sort()
-                same = int((both[1:] == both[:-1]).sum())
-                keep.append(100 * same >= percent * (len(p) + len(q) - same))
-            yield x.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+                odd = np.setxor1d(p, q, assume_unique=True)
+                union = (len(p) + len(q) + len(odd)) // 2
+                linked.append(100 * (union - len(odd)) >= percent * union)
+                apart.append(odd.tobytes())
+                sizes[0].append(len(p))
+                sizes[1].append(len(q))
+            yield pa.RecordBatch.from_arrays([x.column("a"), x.column("b"), pa.array(sizes[0], pa.int64()), pa.array(sizes[1], pa.int64()), pa.array(linked, pa.bool_()), pa.array(apart, pa.binary())], ["a", "b", "na", "nb", "linked", "apart"])
 
     both = pairs.join(sets.selectExpr("doc_id a", "shingles sa"), "a").join(sets.selectExpr("doc_id b", "shingles sb"), "b")
-    return both.select("a", "b", "sa", "sb").mapInArrow(check, "a bigint, b bigint")
+    return both.select("a", "b", "sa", "sb").mapInArrow(of, "a bigint, b bigint, na bigint, nb bigint, linked boolean, apart binary")
+
+
+def block_links(left: list[dict], right: list[dict], percent: int) -> list[tuple[int, int]]:
+    """A link from each left row to every other root that a right row of it is linked with.
+
+    Rows: doc, root, n, apart (what the row and the hub don't share). Rows x and y have
+    |apart_x| + |apart_y| - 2 |apart_x & apart_y| shingles not in common, so similarity is exact.
+    """
+    x, y = ([np.frombuffer(r["apart"], np.int64) for r in rows] for rows in (left, right))
+    words, back = np.unique(np.concatenate([*x, *y, np.zeros(0, np.int64)]), return_inverse=True)
+    sx, sy = (np.array([len(v) for v in rows], np.int64) for rows in (x, y))
+    row = np.concatenate((np.repeat(np.arange(len(x)), sx), np.repeat(np.arange(len(y)), sy)))
+    is_x = np.arange(len(row)) < sx.sum()
+    common = np.zeros((len(x), len(y)), np.float32)
+    for first in range(0, len(words), 4096):
+        width = min(4096, len(words) - first)
+        own = (back >= first) & (back < first + width)
+        parts = []
+        for side, n in ((is_x, len(x)), (~is_x, len(y))):
+            m = np.zeros((n, width), np.float32)
+            m[row[own & side], back[own & side] - first] = 1
+            parts.append(m)
+        common += parts[0] @ parts[1].T
+    nx, ny = (np.array([r["n"] for r in rows], np.int64) for rows in (left, right))
+    odd = sx[:, None] + sy[None, :] - 2 * common.astype(np.int64)
+    union = (nx[:, None] + ny[None, :] + odd) // 2
+    rx, ry = (np.array([r["root"] for r in rows], np.int64) for rows in (left, right))
+    found = (100 * (union - odd) >= percent * union) & (rx[:, None] != ry[None, :])
+    links = {(left[i]["doc"], ry[j]): right[j]["doc"] for i, j in zip(*np.nonzero(found))}
+    return [(a, b) for (a, _), b in links.items()]
+
+
+def _across(members: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between members(hub, doc, root, n, apart) of one hub and different roots.
+
+    Members of the hub's main root link with each other already. All others are compared with all members,
+    block by block: a task gets two blocks of about BLOCK documents, however large the hub's group is.
+    """
+    counts = members.groupBy("hub", "root").agg(F.count("*").alias("many"))
+    mixed = counts.groupBy("hub").agg(F.max_by("root", F.struct("many", "root")).alias("main"), F.sum("many").alias("size"), F.count("*").alias("roots")).where("roots > 1").drop("roots")
+    own = members.join(mixed, "hub").withColumn("block", F.pmod(F.xxhash64("doc"), F.ceil(F.col("size") / BLOCK)))
+    row = F.collect_list(F.struct("doc", "root", "n", "apart"))
+    left = own.where("root <> main").groupBy("hub", "block").agg(row.alias("x")).drop("block")
+    right = own.groupBy("hub", "block").agg(row.alias("y")).drop("block")
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for x, y in zip(batch.column(0), batch.column(1)):
+                links = block_links(x.as_py(), y.as_py(), percent)
+                if links:
+                    yield pa.RecordBatch.from_arrays([pa.array([v[i] for v in links], pa.int64()) for i in (0, 1)], ["a", "b"])
+
+    return left.join(right, "hub").select("x", "y").mapInArrow(of, "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
@@ -135,8 +192,10 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     are ignored; an empty table gives none.
 
     Equal sets are one class before any pair is made. A band's members are compared with their least one
-    (a star, never all pairs); what a star leaves in several components is then compared across them.
+    (a star, never all pairs). Members that no star links with their hub's main component are then compared with
+    the hub's other members in blocks, by what each has and the hub has not, or the other way round.
     """
+    small_batches(docs.sparkSession)
     threshold = percent / 100
     sig = stored(signatures(docs, size), "signatures")
     ids = sig.where("n > 0 and doc_id is not null")
@@ -150,23 +209,28 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
 
     sets = stored(_sets(docs, near.select("doc_id").distinct(), size), "shingles")
 
-    def links(pairs: DataFrame) -> DataFrame:
-        return stored(_verified(stored(_likely(pairs, reps, threshold), "likely"), sets, percent), "links")
+    def compared(pairs: DataFrame) -> DataFrame:
+        return stored(_compared(stored(_likely(pairs, reps, threshold), "likely"), sets, percent), "compared")
 
     stars = near.where("doc_id <> least").select(F.col("least").alias("a"), F.col("doc_id").alias("b")).distinct()
+    first = compared(stars)
+    linked = first.where("linked").select("a", "b")
+    roots = stored(components(linked), "roots")
+
+    def rooted(rows: DataFrame, doc: str, name: str) -> DataFrame:
+        return rows.join(roots.select(F.col("node").alias("_n"), F.col("root").alias(name)), F.col(doc) == F.col("_n"), "left").drop("_n").withColumn(name, F.coalesce(name, doc))
+
+    hubs = first.groupBy("a").agg(F.max("na").alias("n")).select(F.col("a").alias("hub"), F.col("a").alias("doc"), "n", F.lit(b"").alias("apart"))
+    members = first.select(F.col("a").alias("hub"), F.col("b").alias("doc"), F.col("nb").alias("n"), "apart").union(hubs)
+    across = stored(_across(rooted(members, "doc", "root"), percent), "across")
+    # members far from their hub are compared with the others of the band
+    far = near.where("doc_id <> least").join(first.select(F.col("a").alias("least"), F.col("b").alias("doc_id")), ["least", "doc_id"], "left_anti").select("band", "key", F.col("doc_id").alias("x"))
+    rest = rooted(rooted(far, "x", "rx").join(near.select("band", "key", F.col("doc_id").alias("y")), ["band", "key"]), "y", "ry").where("rx <> ry")
+    rest = rest.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct().join(stars, ["a", "b"], "left_anti")
+    linked = linked.union(across).union(compared(rest).where("linked").select("a", "b"))
     lowest = member.groupBy("doc_id").agg(F.min("rep").alias("low"))
     same_id = member.join(lowest, "doc_id").where("rep <> low").select(F.col("low").alias("a"), F.col("rep").alias("b"))
-    linked = links(stars)
-    roots = components(linked)
-    at = near.join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("band", "key", "doc_id", F.coalesce("root", "doc_id").alias("root"))
-    at = stored(at, "rooted")
-    counts = at.groupBy("band", "key", "root").agg(F.count("*").alias("many"))
-    mixed = counts.groupBy("band", "key").agg(F.max_by("root", F.struct("many", "root")).alias("main"), F.count("*").alias("roots")).where("roots > 1").drop("roots")
-    split = at.join(mixed, ["band", "key"])
-    minor = split.where("root <> main").select("band", "key", F.col("doc_id").alias("x"), F.col("root").alias("rx"))
-    rest = minor.join(split.select("band", "key", F.col("doc_id").alias("y"), F.col("root").alias("ry")), ["band", "key"]).where("rx <> ry")
-    rest = rest.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct().join(stars, ["a", "b"], "left_anti")
-    edges = linked.union(links(rest)).union(same_id)
+    edges = linked.union(same_id)
     roots = components(edges)
     rooted = lowest.join(roots, F.col("low") == F.col("node"), "left").select("doc_id", F.coalesce("root", "low").alias("root"))
     out = sig.where("doc_id is not null").select("doc_id", "n").distinct().join(rooted, "doc_id", "left")
