@@ -34,6 +34,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession, rows: int = 2000) -> None:
+    """Hand Python workers at most so many rows at a time, so that long texts of a batch fit beside the executor's heap."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, str(rows))
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z lower-cased and nothing else."""
     return F.translate(text, UPPER, LOWER)

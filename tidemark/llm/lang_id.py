@@ -15,13 +15,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix64
+from .common import mix64, small_batches
 
 DIMS, GRAM = 1024, 3
 #: Characters that are worked on at a time; a longer text is a block of its own.
 BLOCK = 1 << 18
 #: n-gram vectors that a worker keeps, and columns multiplied at a time.
-KEPT, COLUMNS = 1 << 15, 1 << 13
+KEPT, COLUMNS = 1 << 14, 1 << 12
 
 
 class Encoder:
@@ -110,6 +110,7 @@ def learn(labelled: DataFrame, train_rows: int = 40_000) -> tuple[list[str], np.
 
     A hash of doc_id picks about `train_rows` of the rows with a text and a language; all, if fewer.
     """
+    small_batches(labelled.sparkSession)
     labelled = labelled.where("lang is not null and text is not null")
     share = train_rows / max(1, labelled.select("doc_id").count())
     picked = labelled.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(1_000_000 * share)) if share < 1 else labelled
@@ -138,6 +139,7 @@ def identify(docs: DataFrame, langs: list[str], prototypes: np.ndarray) -> DataF
     A text that is null or has no letter, and any text if no language was learnt, gets `und` and 0.
     Equal cosines: the first language in alphabetical order.
     """
+    small_batches(docs.sparkSession)
     kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
     at = kept.index("text")
     schema = docs.select(kept).schema.add("lang_pred", "string").add("score", "double")

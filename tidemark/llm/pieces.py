@@ -28,10 +28,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import stored
+from .common import small_batches, stored
 
 #: Characters in a chunk, matrices combined at a time, words kept by a worker, characters encoded at a time.
-CHUNK, FAN, KEPT, BLOCK = 1 << 15, 64, 500_000, 1 << 20
+CHUNK, FAN, KEPT, BLOCK = 1 << 15, 64, 250_000, 1 << 20
 BLANK = "▁"
 NONE = float("-inf")
 #: The state before a text's first piece.
@@ -383,6 +383,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     Null and empty texts have no ids. Rows are kept as they are, repeated ones too. A giant text that
     several rows have is encoded once.
     """
+    small_batches(docs.sparkSession)
     docs = docs.drop("ids")
     names, at = docs.columns, docs.columns.index("text")
 
