@@ -150,3 +150,35 @@ def judged(docs: DataFrame) -> DataFrame:
 def op6_quality(spark, sf_dir):
     """The base's counts and the verdict for every document."""
     return judged(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+def _oracle() -> str:
+    lower = "translate({}, '" + UPPER + "', '" + LOWER + "')"
+    known = ", ".join(f"'{w}'" for w in sorted({w for t in COMMON for w in t}))
+    tiers = ", ".join("len(list_filter(s, lambda x: x IN (" + ", ".join(f"'{w}'" for w in sorted(set(t))) + ")))" for t in COMMON)
+
+    def count(letters: str) -> str:
+        text = letters.replace("'", "''").replace("\t", "' || chr(9) || '").replace("\n", "' || chr(10) || '").replace("\x0b", "' || chr(11) || '").replace("\x0c", "' || chr(12) || '").replace("\r", "' || chr(13) || '")
+        return f"length(t) - length(translate(t, '{text}', ''))"
+
+    classes = ", ".join(count(x) for x in (BLANKS, LOWER, UPPER, DIGITS, POINTS, SYMBOLS))
+    return rf"""
+WITH d AS (SELECT doc_id, lang, coalesce(text, '') AS t, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+  list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM documents),
+win AS (SELECT doc_id, i, w[i:i + 4] AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d WHERE len(w) >= 5)),
+rep AS (SELECT doc_id, i FROM win QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1),
+pos AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + 5)) AS p FROM rep) GROUP BY 1),
+c AS (SELECT doc_id, lang, len(w) AS n, length(t) AS len, [{classes}] AS a, len(l) - len(list_distinct(l)) AS dup, list_filter(list_transform(w, lambda x: {lower.format("x")}), lambda x: x IN ({known})) AS s FROM d),
+h AS (SELECT doc_id, lang, n, len, a, dup, list_append(a, len - list_sum(a)) AS ha, list_append([{tiers}], n - len(s)) AS hb FROM c),
+x AS (SELECT doc_id, lang, kind, i, CAST(v AS DOUBLE) AS v FROM (SELECT doc_id, lang, 'a' AS kind, unnest(ha) AS v, unnest(range(len(ha))) AS i FROM h UNION ALL SELECT doc_id, lang, 'b', unnest(hb), unnest(range(len(hb))) FROM h)),
+r AS (SELECT lang, kind, i, sum(v) / sum(sum(v)) OVER (PARTITION BY lang, kind) AS q FROM x WHERE lang IS NOT NULL GROUP BY lang, kind, i),
+p AS (SELECT *, v / nullif(sum(v) OVER (PARTITION BY doc_id, kind), 0) AS p FROM x),
+j AS (SELECT doc_id, kind, r.lang, sqrt(greatest(0, sum(CASE WHEN p > 0 THEN p * log2(p / ((p + q) / 2)) ELSE 0 END / 2 + CASE WHEN q > 0 THEN q * log2(q / ((p + q) / 2)) ELSE 0 END / 2))) AS jsd FROM p JOIN r USING (kind, i) WHERE p IS NOT NULL GROUP BY ALL),
+m AS (SELECT doc_id, min(jsd) FILTER (kind = 'a') AS ja, min(jsd) FILTER (kind = 'b') AS jb FROM j GROUP BY 1),
+f AS (SELECT h.*, ja, jb, coalesce(pos.n, 0) AS nr, h.n < {MIN_BASE} OR 100 * coalesce(pos.n, 0) > 20 * h.n AS bad FROM h LEFT JOIN m USING (doc_id) LEFT JOIN pos USING (doc_id))
+SELECT doc_id, CAST(n AS BIGINT) AS n_words, CAST(len - a[1] AS BIGINT) AS word_chars, CAST(a[6] AS BIGINT) AS n_symbols, CAST(dup AS BIGINT) AS n_dup_lines, CAST(nr AS BIGINT) AS n_repeat_words, bad AS base_failed,
+  NOT bad AND NOT (n >= {MIN_CHARS} AND coalesce(ja > {MAX_CHARS}, false)) AND NOT (n >= {MIN_WORDS} AND coalesce(jb > {MAX_COMMON}, false)) AS kept, round(ja, 4) AS jsd_chars, round(jb, 4) AS jsd_common FROM f
+"""
+
+
+OP6_SQL = _oracle()
