@@ -22,8 +22,8 @@ from .textblocks import shingle_sets
 
 BANDS, ROWS, MANTISSA = 32, 4, 10
 REGISTERS = BANDS * ROWS
-#: Documents in a block.
-BLOCK = 512
+#: Documents in a block; members of the bands whose members far from the hub make pairs.
+BLOCK, PAIRED = 512, 32
 _XOR = mix64(np.arange(1, REGISTERS + 1, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03))
 _MUL = mix64(np.arange(1, REGISTERS + 1, dtype=np.uint64) * np.uint64(0xABC98388FB8FAC03)) | np.uint64(1)
 
@@ -204,7 +204,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     firsts = ids.join(classes.select("n", "f1", "f2", F.col("rep").alias("doc_id")), ["n", "f1", "f2", "doc_id"]).select("doc_id", "n", "bands")
     reps = firsts.groupBy("doc_id", "n").agg(F.first("bands").alias("bands"))
     rows = reps.select("doc_id", F.posexplode("bands").alias("band", "key"))
-    shared = rows.groupBy("band", "key").agg(F.min("doc_id").alias("least"), F.count("*").alias("many")).where("many > 1").drop("many")
+    shared = rows.groupBy("band", "key").agg(F.min("doc_id").alias("least"), F.count("*").alias("many")).where("many > 1")
     near = stored(rows.join(shared, ["band", "key"]), "bands")
 
     sets = stored(_sets(docs, near.select("doc_id").distinct(), size), "shingles")
@@ -214,6 +214,10 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
 
     stars = near.where("doc_id <> least").select(F.col("least").alias("a"), F.col("doc_id").alias("b")).distinct()
     first = compared(stars)
+    # members far from their hub: in large bands they join the blocks, in others they make pairs
+    far = near.where("doc_id <> least").join(first.select(F.col("a").alias("least"), F.col("b").alias("doc_id")), ["least", "doc_id"], "left_anti")
+    far = stored(far, "far")
+    first = first.union(stored(_compared(far.where(F.col("many") > PAIRED).select(F.col("least").alias("a"), F.col("doc_id").alias("b")).distinct(), sets, percent), "compared"))
     linked = first.where("linked").select("a", "b")
     roots = stored(components(linked), "roots")
 
@@ -223,8 +227,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     hubs = first.groupBy("a").agg(F.max("na").alias("n")).select(F.col("a").alias("hub"), F.col("a").alias("doc"), "n", F.lit(b"").alias("apart"))
     members = first.select(F.col("a").alias("hub"), F.col("b").alias("doc"), F.col("nb").alias("n"), "apart").union(hubs)
     across = stored(_across(rooted(members, "doc", "root"), percent), "across")
-    # members far from their hub are compared with the others of the band
-    far = near.where("doc_id <> least").join(first.select(F.col("a").alias("least"), F.col("b").alias("doc_id")), ["least", "doc_id"], "left_anti").select("band", "key", F.col("doc_id").alias("x"))
+    far = far.where(F.col("many") <= PAIRED).select("band", "key", F.col("doc_id").alias("x"))
     rest = rooted(rooted(far, "x", "rx").join(near.select("band", "key", F.col("doc_id").alias("y")), ["band", "key"]), "y", "ry").where("rx <> ry")
     rest = rest.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct().join(stars, ["a", "b"], "left_anti")
     linked = linked.union(across).union(compared(rest).where("linked").select("a", "b"))
