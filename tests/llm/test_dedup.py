@@ -167,3 +167,30 @@ def test_every_shared_window_shares_a_fingerprint(spark):
     df = spark.createDataFrame([(" ".join(str(i % 7) for i in range(40)),)], "t string").select(F.split("t", " ").alias("w"))
     n = df.select(F.size(decontaminate.fingerprints(F.col("w"), 13)), F.size(decontaminate.fingerprints(F.slice("w", 1, 13), 13))).first()
     assert tuple(n) == (28, 1)
+
+
+def test_large_bands_and_outsiders(spark, monkeypatch):
+    """Groups whose members lie about the threshold, so hubs, blocks and pairs all matter."""
+    import random
+
+    monkeypatch.setattr(near_dup, "PAIRED", 3)
+    monkeypatch.setattr(near_dup, "BLOCK", 8)
+    r = random.Random(3)
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for i in range(90):
+        lost = set(r.sample(range(120), r.randint(0, 16)))
+        rows.append((i, " ".join(w for j, w in enumerate(base) if j not in lost)))
+    got = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), 2, 80).collect()
+    assert {x["doc_id"]: (x["n_shingles"], x["component_id"]) for x in got} == brute_groups(rows, 2, 80)
+
+
+def test_block_links():
+    import numpy as np
+
+    def row(doc, root, n, apart):
+        return {"doc": doc, "root": root, "n": n, "apart": np.array(sorted(apart), np.int64).tobytes()}
+
+    left = [row(1, 1, 10, {5}), row(2, 2, 10, {5, 6, 7, 8, 9})]
+    right = [row(1, 1, 10, {5}), row(3, 3, 9, set()), row(4, 4, 9, {5, 6})]
+    assert sorted(near_dup.block_links(left, right, 80)) == [(1, 3), (1, 4)]
