@@ -141,6 +141,34 @@ def test_ranks(spark):
     assert set(got) == set("sabc") and all(abs(got[h] - rank[h]) < 1e-6 for h in got)
 
 
+def brute_ranks(edges, weights):
+    total = sum(weights.values())
+    rank = {h: w / total for h, w in weights.items()}
+    for _ in range(url_filter.ROUNDS):
+        new = {}
+        for u, v in edges:
+            new[v] = new.get(v, 0) + 0.85 * rank.get(u, 0) / sum(1 for e in edges if e[0] == u)
+        left = 1 - sum(new.values())
+        for h, w in weights.items():
+            new[h] = new.get(h, 0) + left * w / total
+        rank = new
+    return rank
+
+
+def test_url_hosts_with_mixed_pages_are_seeds(spark):
+    pages = [("bad.com", "/en/1", ""), ("bad.com", "/x", ""), ("near.info", "/", '<a href="http://bad.com/">'), ("good.net", "/de/", '<a href="//friend.info/">'), ("good.net", "/q", ""), ("friend.info", "/", '<a href="http://worse.org/">'), ("worse.org", "/es/1", ""), ("worse.org", "/es/2", ""), ("worse.org", "/", "")]
+    pages += [("example.net", "/de/8", ""), ("example.net", "/de/1", '<a href="http://near.info/">'), ("example.net", "/z", ""), ("alone.info", "/", "")]
+    df = spark.createDataFrame([(i, f"http://{h}{p}", html) for i, (h, p, html) in enumerate(pages)], "page_id bigint, url string, html string")
+    got = {r["page_id"]: r for r in url_filter.judged(df).collect()}
+    edges = [("near.info", "bad.com"), ("good.net", "friend.info"), ("friend.info", "worse.org"), ("example.net", "near.info")]
+    trust = brute_ranks(edges, {"good.net": 1 / 2, "example.net": 1 / 3})
+    distrust = brute_ranks([(v, u) for u, v in edges], {"bad.com": 1 / 2, "worse.org": 2 / 3, "example.net": 1 / 3})
+    for i, (host, _, _) in enumerate(pages):
+        if got[i]["rule"] is None:
+            assert got[i]["verdict"] == ("block" if distrust.get(host, 0) > trust.get(host, 0) else "allow"), host
+    assert [got[i]["verdict"] for i in (1, 4, 8, 12)] == ["block", "allow", "block", "allow"]
+
+
 def test_pipeline(spark, tmp_path):
     """Each stage's result follows from its input by the operators that other tests hold against brute force."""
     docs, columns = spark.read.parquet(f"{SF}/documents.parquet"), None

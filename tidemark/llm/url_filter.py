@@ -1,8 +1,8 @@
 """URL filters: host and path rules, and trust passed along links for what no rule covers.
 
-Trust starts at hosts all of whose pages are allowed by rules and follows links; distrust starts at hosts all of
-whose pages are blocked and follows links backwards, from a page to those that point to it. Both are
-personalised PageRanks over distinct host edges. A page without a rule is blocked if its host's distrust
+Trust starts at hosts with pages that rules allow, each by its share of such pages, and follows links; distrust
+starts at hosts with blocked pages, by their share, and follows links backwards, from a page to those that point
+to it. Both are personalised PageRanks over distinct host edges. A page without a rule is blocked if its host's distrust
 exceeds its trust.
 """
 
@@ -45,12 +45,15 @@ def host_edges(pages: DataFrame) -> DataFrame:
 
 
 def spread(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """(host, rank): PageRank with restarts at seeds(host), along edges(src, dst); what dead ends hold restarts.
+    """(host, rank): PageRank with restarts at seeds(host, weight), along edges(src, dst); what dead ends hold restarts.
+
+    Restarts are in proportion to the weights, which are positive; seeds without that column count alike.
 
     Ends when no rank moves by more than CLOSE in all, or after `rounds`. Ranks of no mass are left out.
     """
-    total = seeds.count()
-    start = seeds.select("host", F.lit(1.0 / max(1, total)).alias("share"))
+    weight = F.col("weight") if "weight" in seeds.columns else F.lit(1.0)
+    total = seeds.agg(F.sum(weight)).first()[0] or 0.0
+    start = seeds.select("host", (weight / F.lit(total or 1.0)).alias("share"))
     out = stored(edges.join(edges.groupBy("src").agg(F.count("*").alias("degree")), "src"), "edges")
     rank = stored(start.select("host", F.col("share").alias("rank")), "rank")
     for _ in range(rounds if total else 0):
@@ -79,8 +82,8 @@ def judged(pages: DataFrame, rules=RULES) -> DataFrame:
     rows = rows.select("page_id", "host", "path", rule.alias("rule"), verdict.alias("said"))
     hosts = rows.where("host <> ''").groupBy("host").agg(F.count("*").alias("n"), F.count_if(F.col("said") == "allow").alias("allowed"), F.count_if(F.col("said") == "block").alias("blocked"))
     hosts = stored(hosts, "hosts")
-    trust = spread(edges, hosts.where("allowed = n").select("host"))
-    distrust = spread(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")), hosts.where("blocked = n").select("host"))
+    trust = spread(edges, hosts.where("allowed > 0").select("host", (F.col("allowed") / F.col("n")).alias("weight")))
+    distrust = spread(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")), hosts.where("blocked > 0").select("host", (F.col("blocked") / F.col("n")).alias("weight")))
     scores = trust.withColumnRenamed("rank", "trust").join(distrust.withColumnRenamed("rank", "distrust"), "host", "full").select("host", F.coalesce("trust", F.lit(0.0)).alias("trust"), F.coalesce("distrust", F.lit(0.0)).alias("distrust"))
     worse = scores.where("distrust > trust").select(F.col("host").alias("bad"))
     out = rows.join(worse, rows.host == worse.bad, "left")
