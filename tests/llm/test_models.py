@@ -107,3 +107,20 @@ def test_model_prefers_its_language(spark):
     rows = lm_score.scored(docs.union(odd)).selectExpr("doc_id", "held_out", "score / n_tokens as s").collect()
     held = [r["s"] for r in rows if r["held_out"] and r["doc_id"] < 10**6]
     assert sum(held) / len(held) > -6 and all(r["s"] < 0 for r in rows)
+
+
+def test_model_tells_prose_from_its_shuffle(spark):
+    """Same words, other order: a model of single words scores both alike."""
+    r = np.random.default_rng(3)
+    after, rows = {i: r.permutation(40)[:2] for i in range(40)}, []
+    held = [i for i in range(10**4, 10**5) if zlib.crc32(str(i).encode()) % 5 == 1]
+    learnt = [i for i in range(1000) if zlib.crc32(str(i).encode()) % 5 != 1]
+    for i in learnt[:50] + held[:10]:
+        at, out = int(r.integers(40)), []
+        for _ in range(120):
+            out.append(f"w{at}")
+            at = int(r.choice(after[at]))
+        rows.append((i, " ".join(out)))
+    rows += [(j, " ".join(r.permutation(t.split()))) for j, (_, t) in zip(held[10:], rows[50:])]
+    got = {x["doc_id"]: x["score"] / x["n_tokens"] for x in lm_score.scored(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert np.mean([got[i] for i in held[:10]]) > np.mean([got[i] for i in held[10:20]]) + 0.3
