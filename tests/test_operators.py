@@ -312,3 +312,16 @@ def test_coverage(spark):
     assert coverage.duplicate_candidates(spark.createDataFrame([(1,), (1,), (2,)], "a int"), ["a"]).first()[0] == 1
     ents = spark.createDataFrame([("e", ["Ä"], ["1"])], "entity_id string, names array<string>, codes array<string>")
     assert company(ents, entity="e").count() == 1
+
+
+def test_text_tie_counts_large_groups(spark):
+    """20,000 copies: one row each, not 400 million pairs."""
+    copies = spark.range(20_000).selectExpr("id", "'k' as k", "'a b' as text")
+    other = spark.createDataFrame([(20_000, "k", "x"), (20_001, "k", " x\n"), (20_002, "k", "lone"), (20_003, "k", " "), (20_004, "m", "ab")], "id bigint, k string, text string")
+    rows = copies.union(other)
+    elements = rows.where("id <> 20002 and id <> 0").union(other.limit(1)).withColumnRenamed("id", "origin_id")
+    tied = reconcile.text_tie(rows.withColumnRenamed("id", "row_id"), elements, ["k"])
+    got = {r["row_id"]: (r["n"], r["first"]) for r in tied.collect()}
+    assert tied.count() == len(got) == 20_004
+    assert all(got[i] == (19_999, 1) for i in range(20_000))
+    assert [got.get(i) for i in range(20_000, 20_005)] == [(2, 20_000), (2, 20_000), (0, None), None, (1, 20_004)]

@@ -170,13 +170,22 @@ def coalesce_components(wanted: DataFrame, rows: DataFrame, rules: DataFrame) ->
     return met.join(best, ["want_id", "priority"]).select("want_id", "row_id", "tag", "value", "priority")
 
 
-def text_tie(rows: DataFrame, elements: DataFrame, keys: list[str]) -> DataFrame:
-    """(row_id, origins): the elements of the same keys whose text is equal without white space; empty texts tie with nothing."""
+def text_tie(rows: DataFrame, elements: DataFrame, keys: list[str], many: int = 1000, salts: int = 64) -> DataFrame:
+    """(row_id, n, first): number and least id of the elements of the same keys whose text is equal without white space.
+
+    Empty texts tie with nothing and are left out; without a tie n is 0. Each row meets one row per text; those
+    of texts that `many` elements or more have are dealt over `salts` parts.
+    """
     def hashed(df: DataFrame, name: str) -> DataFrame:
         return df.withColumn("squeezed", squeezed(F.col("text"))).where("squeezed <> ''").withColumn("h", F.sha2("squeezed", 256)).select(*keys, "h", name)
 
-    met = hashed(rows, "row_id").join(hashed(elements, "origin_id"), [*keys, "h"], "left")
-    return met.groupBy("row_id").agg(F.array_sort(F.collect_set("origin_id")).alias("origins"))
+    ties = hashed(elements, "origin_id").distinct().groupBy(*keys, "h").agg(F.count("*").alias("n"), F.min("origin_id").alias("first"))
+    dealt = hashed(rows, "row_id").withColumn("salt", F.pmod(F.xxhash64("row_id"), F.lit(salts)).cast("int"))
+    large = ties.where(F.col("n") >= many).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    met = dealt.join(large, [*keys, "h", "salt"], "left")
+    met = met.withColumn("h", F.when(F.col("n").isNull(), F.col("h")).otherwise(F.xxhash64("row_id").cast("string")))  # those that have met one are dealt by row
+    small = ties.where(F.col("n") < many).withColumnsRenamed({"n": "few", "first": "least"})
+    return met.join(small, [*keys, "h"], "left").select("row_id", F.coalesce("n", "few", F.lit(0)).alias("n"), F.coalesce("first", "least").alias("first"))
 
 
 def reverse_lookup(stored: DataFrame, reread: DataFrame, at: list[str], value: str) -> DataFrame:

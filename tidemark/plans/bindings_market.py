@@ -130,7 +130,7 @@ def text_tie(spark, sf_dir):
     """Documents whose text, without white space, other documents of their language have too."""
     docs = table(spark, sf_dir, "documents")
     tied = reconcile.text_tie(docs.select(F.col("doc_id").alias("row_id"), "lang", "text"), docs.select(F.col("doc_id").alias("origin_id"), "lang", "text"), ["lang"])
-    return tied.select("row_id", F.size("origins").cast("bigint").alias("n"), F.array_min("origins").alias("first"))
+    return tied.select("row_id", "n", "first")
 
 
 _TIE_SQL = r"""WITH d AS (SELECT doc_id, lang, regexp_replace(text, '[\s\x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+', '', 'g') AS s FROM documents)
