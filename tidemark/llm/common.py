@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import functools
+import gc
 import tempfile
 import uuid
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,10 +22,12 @@ SPACES = r"[\x20\x09-\x0D]+"
 def shared_dir(spark: SparkSession) -> str:
     """The folder in spark.checkpoint.dir, which driver and executors share.
 
-    Only where the session names none (as in tests on one machine) a temporary folder is set.
+    Only where the session names none and runs on one machine, as in tests, a temporary folder is set.
     """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         found = tempfile.mkdtemp(prefix="tidemark-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -35,12 +42,31 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession, rows: int = 2000) -> None:
-    """Hand Python workers at most so many rows at a time, so that long texts of a batch fit beside the executor's heap."""
+    """Hand Python workers at most so many rows at a time, so that the texts of a batch fit beside the executor's heap.
+
+    Spark bounds a batch's bytes by itself (spark.sql.execution.arrow.maxBytesPerBatch).
+    """
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(name)) <= rows:
         spark.conf.set(name, str(rows))
 
 
+def relieved(job):
+    """An Arrow job whose worker gives the memory that it no longer uses back to the system when a task ends."""
+
+    @functools.wraps(job)
+    def of(batches):
+        try:
+            yield from job(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # only the GNU library has it
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return of
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z lower-cased and nothing else."""
     return F.translate(text, UPPER, LOWER)

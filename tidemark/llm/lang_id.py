@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix64, small_batches
+from .common import mix64, relieved, small_batches
 
 DIMS, GRAM = 1024, 3
 #: Characters that are worked on at a time; a longer text is a block of its own.
@@ -115,6 +115,7 @@ def learn(labelled: DataFrame, train_rows: int = 40_000) -> tuple[list[str], np.
     share = train_rows / max(1, labelled.select("doc_id").count())
     picked = labelled.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(1_000_000 * share)) if share < 1 else labelled
 
+    @relieved
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, encoder = {}, Encoder()
         for batch in batches:
@@ -144,6 +145,7 @@ def identify(docs: DataFrame, langs: list[str], prototypes: np.ndarray) -> DataF
     at = kept.index("text")
     schema = docs.select(kept).schema.add("lang_pred", "string").add("score", "double")
 
+    @relieved
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder()
         for batch in batches:

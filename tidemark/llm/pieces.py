@@ -28,10 +28,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import small_batches, stored
+from .common import relieved, small_batches, stored
 
 #: Characters in a chunk, matrices combined at a time, words kept by a worker, characters encoded at a time.
-CHUNK, FAN, KEPT, BLOCK = 1 << 15, 64, 250_000, 1 << 20
+CHUNK, FAN, KEPT, BLOCK = 1 << 15, 64, 150_000, 1 << 20
 BLANK = "▁"
 NONE = float("-inf")
 #: The state before a text's first piece.
@@ -75,6 +75,10 @@ class Model:
     def _simple(self, text: str) -> bool:
         return bool(text) and self.lines and self.words and text[0] != " " and "  " not in text and BLANK not in text
 
+    def forget(self) -> None:
+        """Let go of the words met, as when a task ends."""
+        self.kept, self._pairs, self._own = {}, {}, {}
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The library's ids of each text as little-endian u32."""
         if len(self.kept) > KEPT:
@@ -162,6 +166,16 @@ class Model:
         return (self.words and s[at] == BLANK and s[at - 1] != BLANK) or (self.lines and (s[at] == "\n" or s[at - 1] == "\n"))
 
 
+_models: dict[str, Model] = {}
+
+
+def model_of(path: str) -> Model:
+    """One model for all tasks that a Python worker runs."""
+    if path not in _models:
+        _models[path] = Model(path)
+    return _models[path]
+
+
 class Chunk:
     """A chunk of a normalised text with the characters around that pieces over its cuts need."""
 
@@ -316,19 +330,27 @@ _MATRIX = "array<struct<i:int,p:string,j:int,q:string,s:double>>"
 def _giant_ids(giants: DataFrame, path: str) -> DataFrame:
     """(key, ids) of giants(key, text), each key once."""
     overlap = 64
-    s = F.concat(F.lit(BLANK), F.replace("text", F.lit(" "), F.lit(BLANK)))
-    cut = giants.select("key", s.alias("s")).withColumn("n", F.ceil(F.length("s") / CHUNK).cast("int"))
-    cut = cut.select("key", "n", "s", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("k"))
-    begin = F.col("k") * CHUNK
-    left = F.least(begin, F.lit(overlap))
-    cut = cut.select("key", "k", "n", F.substring("s", begin - left + 1, left).alias("before"), F.substring("s", begin + 1, F.lit(CHUNK)).alias("body"), F.substring("s", begin + CHUNK + 1, F.lit(overlap)).alias("after"))
-    chunks = stored(cut, "chunks")
+
+    @relieved
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in range(batch.num_rows):
+                s = BLANK + batch.column(1)[r].as_py().replace(" ", BLANK)
+                n = -(-len(s) // CHUNK)
+                for k in range(n):
+                    i = k * CHUNK
+                    row = [[batch.column(0)[r].as_py()], [k], [n], [s[max(0, i - overlap) : i]], [s[i : i + CHUNK]], [s[i + CHUNK : i + CHUNK + overlap]]]
+                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(row, (text, number, number, text, text, text))], ["key", "k", "n", "before", "body", "after"])
+
+    text, number = pa.string(), pa.int32()
+    chunks = stored(giants.select("key", "text").mapInArrow(cut, "key string, k int, n int, before string, body string, after string"), "chunks")
 
     def chunk(model, r) -> Chunk:
         return Chunk(model, r["before"], r["body"], r["after"], r["k"] == 0, r["k"] == r["n"] - 1)
 
+    @relieved
     def matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Model(path)
+        model = model_of(path)
         for batch in batches:
             for r in batch.to_pylist():
                 rows = [dict(zip("ipjqs", x)) for x in _rows(chunk(model, r).matrix())]
@@ -345,14 +367,14 @@ def _giant_ids(giants: DataFrame, path: str) -> DataFrame:
         states = between([_matrix(m) for m in own["m"]], (up["i"], up["p"]), (up["j"], up["q"]))
         return pd.DataFrame([(key, k, *e, *x) for key, k, e, x in zip(own["key"], own["k"], states, states[1:])], columns=["key", "k", "i", "p", "j", "q"])
 
+    @relieved
     def traced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Model(path)
+        model = model_of(path)
         for batch in batches:
             for r in batch.to_pylist():
                 ids = chunk(model, r).trace((r["i"], r["p"]), (r["j"], r["q"]))
                 yield pa.RecordBatch.from_pylist([{"key": r["key"], "k": r["k"], "ids": ids}], schema=part)
 
-    text, number = pa.string(), pa.int32()
     kind = pa.schema([("key", text), ("k", number), ("m", pa.list_(pa.struct([("i", number), ("p", text), ("j", number), ("q", text), ("s", pa.float64())])))])
     part = pa.schema([("key", text), ("k", number), ("ids", pa.list_(number))])
     levels = [stored(chunks.mapInArrow(matrices, f"key string, k int, m {_MATRIX}"), "matrices")]
@@ -377,36 +399,59 @@ def _key(text: Column) -> Column:
     return F.sha2(text, 256)
 
 
+def _is_long() -> Column:
+    return F.length(F.coalesce("text", F.lit(""))) >= CHUNK
+
+
+def _encoded_giants(docs: DataFrame, path: str) -> DataFrame:
+    """The rows of docs with giant texts, with `ids`; a text that several rows have is encoded once."""
+    giants = docs.where(_is_long()).select(F.struct(*docs.columns).alias("row"), _key(F.col("text")).alias("key"))
+    ids = _giant_ids(giants.select("key", F.col("row.text").alias("text")).dropDuplicates(["key"]), path)
+    return giants.join(ids, "key").select("row.*", "ids")
+
+
+def _blocks(model: Model, texts: pa.Array) -> Iterator[tuple[int, list[str], np.ndarray, np.ndarray]]:
+    """(first row, texts, ids, offsets of the rows in the ids) of blocks of a text column."""
+    first = 0
+    while first < len(texts):
+        own, chars = [], 0
+        while first + len(own) < len(texts) and chars < BLOCK:
+            own.append(texts[first + len(own)].as_py() or "")
+            chars += len(own[-1])
+        found = model.encode(own)
+        yield first, own, np.frombuffer(b"".join(found), np.int32), np.append(0, np.cumsum([len(x) // 4 for x in found]))
+        first += len(own)
+
+
 def encode(docs: DataFrame, path: str) -> DataFrame:
     """docs with `ids`, the model's ids of `text`, after its columns (a column of that name is replaced).
 
-    Null and empty texts have no ids. Rows are kept as they are, repeated ones too. A giant text that
-    several rows have is encoded once.
+    Null and empty texts have no ids. Rows are kept as they are, repeated ones too; texts are taken whole. A giant
+    text that several rows have is encoded once.
     """
     small_batches(docs.sparkSession)
     docs = docs.drop("ids")
     names, at = docs.columns, docs.columns.index("text")
 
+    @relieved
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Model(path)
+        model = model_of(path)
         for batch in batches:
-            texts, first = batch.column(at), 0
-            while first < batch.num_rows:
-                own, chars = [], 0
-                while first + len(own) < batch.num_rows and chars < BLOCK:
-                    own.append(texts[first + len(own)].as_py() or "")
-                    chars += len(own[-1])
-                found = model.encode(own)
-                offsets = np.append(0, np.cumsum([len(x) // 4 for x in found])).astype(np.int32)
-                ids = pa.ListArray.from_arrays(offsets, np.frombuffer(b"".join(found), np.int32))
+            for first, own, flat, offsets in _blocks(model, batch.column(at)):
+                ids = pa.ListArray.from_arrays(offsets.astype(np.int32), flat)
                 yield pa.RecordBatch.from_arrays([*batch.slice(first, len(own)).columns, ids], [*names, "ids"])
-                first += len(own)
+        model.forget()
 
-    long = F.length(F.coalesce("text", F.lit(""))) >= CHUNK
-    giants = docs.where(long).withColumn("__key", _key(F.col("text")))
-    ids = _giant_ids(giants.select(F.col("__key").alias("key"), "text").dropDuplicates(["key"]), path)
-    giants = giants.join(ids.withColumnRenamed("key", "__key"), "__key").select(*docs.columns, "ids")
-    return docs.where(~long).mapInArrow(of, _with(docs, "ids", T.ArrayType(T.IntegerType()))).unionByName(giants)
+    return docs.where(~_is_long()).mapInArrow(of, _with(docs, "ids", T.ArrayType(T.IntegerType()))).unionByName(_encoded_giants(docs, path))
+
+
+def _id_blocks(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first row, ids, offsets of the rows in the ids) of blocks of a column of ids."""
+    first, sizes = 0, np.array(column.value_lengths().fill_null(0))
+    while first < len(column):
+        last = max(first + 1, int(np.searchsorted(np.cumsum(sizes[first:]), BLOCK, "right")) + first)
+        yield first, column.slice(first, last - first).flatten().to_numpy(), np.append(0, np.cumsum(sizes[first:last]))
+        first = last
 
 
 def decode(docs: DataFrame, path: str) -> DataFrame:
@@ -414,37 +459,51 @@ def decode(docs: DataFrame, path: str) -> DataFrame:
     docs = docs.drop("decoded")
     names, at = docs.columns, docs.columns.index("ids")
 
+    @relieved
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Model(path)
+        model = model_of(path)
         for batch in batches:
-            first, column = 0, batch.column(at)
-            sizes = np.array(column.value_lengths().fill_null(0))
-            while first < batch.num_rows:
-                last = max(first + 1, int(np.searchsorted(np.cumsum(sizes[first:]), BLOCK, "right")) + first)
-                own = column.slice(first, last - first)
-                offsets = np.append(0, np.cumsum(sizes[first:last]))
-                texts = model.decode(own.flatten().to_numpy(), offsets)
-                yield pa.RecordBatch.from_arrays([*batch.slice(first, last - first).columns, pa.array(texts, pa.string())], [*names, "decoded"])
-                first = last
+            for first, flat, offsets in _id_blocks(batch.column(at)):
+                texts = pa.array(model.decode(flat, offsets), pa.string())
+                yield pa.RecordBatch.from_arrays([*batch.slice(first, len(texts)).columns, texts], [*names, "decoded"])
 
     return docs.mapInArrow(of, _with(docs, "decoded", T.StringType()))
 
 
-def _crc(docs: DataFrame) -> DataFrame:
-    at = docs.columns.index("ids")
+def round_trip(docs: DataFrame, path: str) -> DataFrame:
+    """doc_id, decoded text, n_pieces, ids_crc32 (of the ids as little-endian u32) and same: decoded is the text.
 
-    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    A task encodes and decodes in one job; giant texts are decoded from the ids that their chunks gave.
+    """
+    small_batches(docs.sparkSession)
+    docs = docs.select("doc_id", "text")
+    names = ["doc_id", "text", "n_pieces", "ids_crc32", "same"]
+
+    def told(model: Model, doc_ids: pa.Array, texts: list[str], flat: np.ndarray, offsets: np.ndarray) -> pa.RecordBatch:
+        decoded = model.decode(flat, offsets)
+        crcs = [zlib.crc32(flat[x:y].astype("<u4").tobytes()) for x, y in zip(offsets, offsets[1:])]
+        same = [a == b for a, b in zip(decoded, texts)]
+        return pa.RecordBatch.from_arrays([doc_ids, pa.array(decoded, pa.string()), pa.array(np.diff(offsets), pa.int64()), pa.array(crcs, pa.int64()), pa.array(same, pa.bool_())], names)
+
+    @relieved
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = model_of(path)
         for batch in batches:
-            crcs = [zlib.crc32(x.values.to_numpy().astype("<u4").tobytes()) if x.is_valid else 0 for x in batch.column(at)]
-            yield batch.append_column("ids_crc32", pa.array(crcs, pa.int64()))
-
-    return docs.mapInArrow(of, _with(docs, "ids_crc32", T.LongType()))
+            for first, own, flat, offsets in _blocks(model, batch.column(1)):
+                yield told(model, batch.column(0).slice(first, len(own)), own, flat, offsets)
+        model.forget()
 
+    @relieved
+    def given(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = model_of(path)
+        for batch in batches:
+            for first, flat, offsets in _id_blocks(batch.column(2)):
+                n = len(offsets) - 1
+                yield told(model, batch.column(0).slice(first, n), batch.column(1).slice(first, n).to_pylist(), flat, offsets)
 
-def round_trip(docs: DataFrame, path: str) -> DataFrame:
-    """doc_id, decoded text, n_pieces, ids_crc32 (of the ids as little-endian u32) and same: decoded is the text."""
-    full = decode(_crc(encode(docs.select("doc_id", "text"), path)), path)
-    return full.select("doc_id", F.col("decoded").alias("text"), F.size("ids").cast("bigint").alias("n_pieces"), "ids_crc32", (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("same"))
+    kind = "doc_id bigint, text string, n_pieces bigint, ids_crc32 bigint, same boolean"
+    giants = _encoded_giants(docs, path).select("doc_id", "text", "ids").mapInArrow(given, kind)
+    return docs.where(~_is_long()).mapInArrow(whole, kind).union(giants)
 
 
 def model_path() -> str:

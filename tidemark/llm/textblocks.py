@@ -43,11 +43,10 @@ def blocks(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]
 
 def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """A 64-bit hash of each word (A-Z lower-cased, between ASCII white space) and each row's first word."""
-    global _pow, _inv
     if len(data) == 0:
         return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
-    if len(data) > len(_pow):
-        _pow, _inv = _powers(_P, 2 * len(data)), _powers(_PINV, 2 * len(data))
+    # a text longer than a block has its own powers, which go with it
+    power, inverse = (_pow, _inv) if len(data) <= BLOCK else (_powers(_P, len(data)), _powers(_PINV, len(data)))
     inside = ~_SPACE[data]
     before = np.empty_like(inside)
     before[0], before[1:] = False, inside[:-1]
@@ -59,9 +58,9 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     after[-1], after[:-1] = False, inside[1:]
     after[cut - 1] = False
     ends = np.flatnonzero(inside & ~after) + 1
-    total = np.cumsum((_LOWER[data].astype(np.uint64) + np.uint64(1)) * _pow[: len(data)], dtype=np.uint64)
+    total = np.cumsum((_LOWER[data].astype(np.uint64) + np.uint64(1)) * power[: len(data)], dtype=np.uint64)
     upto = np.concatenate((np.zeros(1, np.uint64), total))
-    hashes = mix64((upto[ends] - upto[starts]) * _inv[starts] + (ends - starts).astype(np.uint64))
+    hashes = mix64((upto[ends] - upto[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
     return hashes, np.searchsorted(starts, offsets)
 
 
