@@ -87,7 +87,7 @@ def edit(a, b):
 
 
 def line_words(line):
-    return [re.sub("[A-Z]", lambda m: m[0].lower(), w) for w in re.findall(r"[^\x20\x09-\x0D]+", line)]
+    return re.findall(r"[^\x20\x09-\x0D]+", line.lower())
 
 
 def brute_lines(rows, least=8):
@@ -95,9 +95,9 @@ def brute_lines(rows, least=8):
     for i, t in sorted(rows, key=lambda r: r[0]):
         for p, line in enumerate((t if t is not None else "\0").split("\n")):
             w = line_words(line)
-            if t is None or len(w) < least:
+            if t is None or not w:
                 continue
-            if any(abs(len(w) - len(v)) < 2 and edit(w, v) <= 1 for v in seen):
+            if any(v == w or (min(len(w), len(v)) >= least and abs(len(w) - len(v)) < 2 and edit(w, v) <= 1) for v in seen):
                 out[i].add(p)
             seen.append(w)
     return out
@@ -110,12 +110,16 @@ def test_duplicate_lines(spark):
     got = {r["doc_id"]: set(r["drops"]) for r in line_dedup.duplicate_lines(df).collect()}
     assert got == dict(brute_lines(rows))
     kept = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(df).collect()}
-    assert kept[1] == rows[0][1] and kept[2] == "short line" and kept[3] == "" and kept[8] is None and kept[9] == ""
+    assert kept[1] == rows[0][1] and kept[2] == "" and kept[3] == "" and kept[8] is None and kept[9] == ""
 
 
 def test_duplicate_lines_of_documents(docs, texts, empty):
     got = {r["doc_id"]: set(r["drops"]) for r in line_dedup.duplicate_lines(docs.where("doc_id is not null")).collect()}
     assert got == dict(brute_lines(texts))
+    clash = docs.withColumns({c: F.lit(c) for c in ("row", "drops", "drop_id", "drop_hash", "text_hash", "d", "t")})
+    out = line_dedup.dedup_lines(clash)
+    assert out.columns == clash.columns and {(r["row"], r["drops"], r["t"]) for r in out.collect()} == {("row", "drops", "t")}
+    assert {r["doc_id"]: r["text"] for r in out.collect() if r["doc_id"] in (301, 302)} == {301: "", 302: " \n\t "}
     out = line_dedup.dedup_lines(docs)
     assert out.columns == docs.columns and out.count() == docs.count()
     assert line_dedup.dedup_lines(empty).collect() == []
