@@ -17,13 +17,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, mix64, small_batches, stored
+from .common import components, mix64, relieved, small_batches, stored
 from .textblocks import shingle_sets
 
 BANDS, ROWS, MANTISSA = 32, 4, 10
 REGISTERS = BANDS * ROWS
-#: Documents in a block; members of the bands whose members far from the hub make pairs.
-BLOCK, PAIRED = 512, 32
+#: Documents and bytes in a block; members of the bands whose members far from the hub make pairs.
+BLOCK, BLOCK_BYTES, PAIRED = 512, 1 << 23, 32
 _XOR = mix64(np.arange(1, REGISTERS + 1, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03))
 _MUL = mix64(np.arange(1, REGISTERS + 1, dtype=np.uint64) * np.uint64(0xABC98388FB8FAC03)) | np.uint64(1)
 
@@ -64,6 +64,7 @@ def _fixed(flat: np.ndarray) -> pa.Array:
 def signatures(docs: DataFrame, size: int) -> DataFrame:
     """doc_id, n (set size), the set's fingerprint f1 and f2, and its bands; null for an empty set."""
 
+    @relieved
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, hashes, ends in shingle_sets(batch.column(1), size):
@@ -84,6 +85,7 @@ def _likely(pairs: DataFrame, reps: DataFrame, threshold: float) -> DataFrame:
     floor = threshold - 5 * (threshold * (1 - threshold) / REGISTERS) ** 0.5
     both = pairs.join(reps.selectExpr("doc_id a", "n na", "bands ba"), "a").join(reps.selectExpr("doc_id b", "n nb", "bands bb"), "b")
 
+    @relieved
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
             if not x.num_rows:
@@ -100,6 +102,7 @@ def _likely(pairs: DataFrame, reps: DataFrame, threshold: float) -> DataFrame:
 def _sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
     """(doc_id, shingles) of the documents in ids(doc_id): ascending 64-bit hashes."""
 
+    @relieved
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, hashes, ends in shingle_sets(batch.column(1), size):
@@ -111,6 +114,7 @@ def _sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
 def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(a, b, na, nb, linked, apart): whether 100 * |intersection| >= percent * |union| on full sets, and what only one has."""
 
+    @relieved
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
             sizes, linked, apart = ([], []), [], []
@@ -161,16 +165,26 @@ def block_links(left: list[dict], right: list[dict], percent: int) -> list[tuple
 def _across(members: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) between members(hub, doc, root, n, apart) of one hub and different roots.
 
-    Members of the hub's main root link with each other already. All others are compared with all members,
-    block by block: a task gets two blocks of about BLOCK documents, however large the hub's group is.
+    Members of the hub's main root link with each other already. All others are compared with all members, block
+    by block. Blocks have about BLOCK documents and BLOCK_BYTES; blocks of others are dealt out to the hub's blocks
+    by (hub, block), so a large hub's work is spread over as many keys as it has blocks.
     """
-    counts = members.groupBy("hub", "root").agg(F.count("*").alias("many"))
-    mixed = counts.groupBy("hub").agg(F.max_by("root", F.struct("many", "root")).alias("main"), F.sum("many").alias("size"), F.count("*").alias("roots")).where("roots > 1").drop("roots")
-    own = members.join(mixed, "hub").withColumn("block", F.pmod(F.xxhash64("doc"), F.ceil(F.col("size") / BLOCK)))
+    size = F.octet_length("apart").cast("bigint")
+    counts = members.groupBy("hub", "root").agg(F.count("*").alias("many"), F.sum(size).alias("bytes"))
+    main = F.max_by(F.struct("root", "many", "bytes"), F.struct("many", "root"))
+    mixed = counts.groupBy("hub").agg(main.alias("main"), F.sum("many").alias("many"), F.sum("bytes").alias("bytes"), F.count("*").alias("roots")).where("roots > 1")
+
+    def blocks(many, amount):
+        return F.greatest(F.ceil(many / BLOCK), F.ceil(amount / BLOCK_BYTES)).cast("int")
+
+    mixed = mixed.select("hub", F.col("main.root").alias("main"), blocks(F.col("many"), F.col("bytes")).alias("blocks"), blocks(F.col("many") - F.col("main.many"), F.col("bytes") - F.col("main.bytes")).alias("others"))
+    own = stored(members.join(mixed, "hub"), "members")
     row = F.collect_list(F.struct("doc", "root", "n", "apart"))
-    left = own.where("root <> main").groupBy("hub", "block").agg(row.alias("x")).drop("block")
-    right = own.groupBy("hub", "block").agg(row.alias("y")).drop("block")
+    right = own.select("hub", "doc", "root", "n", "apart", F.pmod(F.xxhash64("doc"), "blocks").alias("block")).groupBy("hub", "block").agg(row.alias("y"))
+    left = own.where("root <> main").withColumn("other", F.pmod(F.xxhash64("doc"), "others")).groupBy("hub", "other", "blocks").agg(row.alias("x"))
+    left = left.select("hub", "x", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks").cast("bigint") - 1)).alias("block"))
 
+    @relieved
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for x, y in zip(batch.column(0), batch.column(1)):
@@ -178,7 +192,7 @@ def _across(members: DataFrame, percent: int) -> DataFrame:
                 if links:
                     yield pa.RecordBatch.from_arrays([pa.array([v[i] for v in links], pa.int64()) for i in (0, 1)], ["a", "b"])
 
-    return left.join(right, "hub").select("x", "y").mapInArrow(of, "a bigint, b bigint")
+    return left.join(right, ["hub", "block"]).select("x", "y").mapInArrow(of, "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
@@ -189,9 +203,9 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     component_id is the least doc_id reachable, kept is doc_id = component_id. Empty and null texts link
     with nothing. Rows with a null doc_id are returned with a null component and kept. Rows of one doc_id
     count as one document: equal texts give one row, and different texts lie in one component. Extra columns
-    are ignored; an empty table gives none.
+    are ignored; an empty table gives none. Texts of any length are taken whole.
 
-    Equal sets are one class before any pair is made. A band's members are compared with their least one
+    Equal sets, by their size and 128 bits over all their shingles, are one class before any pair is made. A band's members are compared with their least one
     (a star, never all pairs). Members that no star links with their hub's main component are then compared with
     the hub's other members in blocks, by what each has and the hub has not, or the other way round.
     """
