@@ -19,16 +19,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import shared_dir
+from .common import relieved, shared_dir, small_batches
 
 #: Tokens in a segment, unless one document has more.
 SEGMENT = 1 << 19
 #: Words whose ids a worker keeps, and characters that it encodes at a time.
-KEPT, BLOCK = 500_000, 1 << 20
+KEPT, BLOCK = 500_000, 1 << 22
 
 
 def pack(ids: np.ndarray) -> bytes:
@@ -124,41 +125,55 @@ class WordEncoder:
         return out
 
     @staticmethod
-    def words(text: str) -> list[str]:
-        # in Latin-1 lower case is a matter of single characters, as in the normaliser; markers keep their case
+    def plain(text: str) -> str:
+        """The text with blanks for line ends; in lower case where that is a matter of single characters, as in the normaliser."""
+        # in Latin-1 it is; markers keep their case
         if "<|" not in text:
             try:
                 text.encode("latin-1")
                 text = text.lower()
             except UnicodeEncodeError:
                 pass
-        return text.replace("\n", " ").split(" ")
+        return text.replace("\n", " ")
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian u32."""
-        if len(self.kept) > KEPT:  # words that the last KEPT don't have are forgotten
-            self.kept, self.older = {"": b""}, self.kept
-        kept, older, split = self.kept, self.older, [self.words(t) for t in texts]
-        parts = [list(map(kept.get, words)) for words in split]
-        gaps = [[i for i, x in enumerate(own) if x is None] if None in own else [] for own in parts]
-        new = {words[i] for words, own in zip(split, gaps) for i in own}
-        back = new.intersection(older)
-        kept.update(zip(back, map(older.__getitem__, back)))
-        new.difference_update(back)
+    def _learn(self, words: list[str]) -> None:
+        """Put the ids of words that aren't kept among the kept ones."""
+        kept = self.kept
         # a letter's run ends before a full stop or comma, so these ids can be joined
-        ends = [w for w in new if w[-1] in ".," and w[:-1].isalpha() and w[-2] < "ɐ"]
+        ends = [w for w in words if w[-1] in ".," and w[:-1].isalpha() and w[-2] < "ɐ"]
         stems = {w[:-1] for w in ends}
-        whole = (new.difference(ends) | stems).difference(kept)
+        whole = (set(words).difference(ends) | stems).difference(kept)
         plain = [w for w in whole if w.isalpha() and max(w) < "ɐ"]
         kept.update(zip(plain, self._letters(plain)))
         odd = list(whole.difference(plain))
         kept.update(zip(odd, self._ids(odd)))
         for w in ends:
             kept[w] = kept[w[:-1]] + self.points[w[-1]]
-        for words, own, missing in zip(split, parts, gaps):
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, and the end of each text's in them.
+
+        Each distinct word is looked up once; its ids are then gathered for all its occurrences.
+        """
+        if len(self.kept) > KEPT:  # words that the last KEPT don't have are forgotten
+            self.kept, self.older = {"": b""}, self.kept
+        split = pc.split_pattern(pa.array(map(self.plain, texts), pa.large_string()), " ")
+        coded = split.flatten().dictionary_encode()
+        words, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        parts = list(map(self.kept.get, words))
+        missing = [i for i, x in enumerate(parts) if x is None]
+        if missing:
+            found = [self.older.get(words[i]) for i in missing]
+            self.kept.update((words[i], x) for i, x in zip(missing, found) if x is not None)
+            self._learn([words[i] for i, x in zip(missing, found) if x is None])
             for i in missing:
-                own[i] = kept[words[i]]
-        return [b"".join(own) for own in parts]
+                parts[i] = self.kept[words[i]]
+        size = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
+        data, begin = np.frombuffer(b"".join(parts), np.uint32), np.cumsum(size) - size
+        each = size[codes]
+        upto = np.append(0, np.cumsum(each))
+        ids = data[np.repeat(begin[codes] - upto[:-1], each) + np.arange(upto[-1])]
+        return ids, upto[split.offsets.to_numpy()[1:]]
 
 
 _encoders: dict[str, WordEncoder] = {}
@@ -178,6 +193,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, end: int, path: str) -> None:
     has only the end. Other columns are not written.
     """
 
+    @relieved
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part = encoder_of(tokenizer), TaskContext.get().partitionId()
         close = np.array([end], np.uint32).tobytes()
@@ -199,17 +215,19 @@ def write_tokens(docs: DataFrame, tokenizer: str, end: int, path: str) -> None:
                 while first + len(own) < len(doc_ids) and chars < BLOCK:
                     own.append(texts[first + len(own)].as_py() or "")
                     chars += len(own[-1])
-                for doc_id, x in zip(doc_ids[first:], encoder.encode(own)):
-                    n = len(x) // 4 + 1
+                flat, ends = encoder.encode(own)
+                for doc_id, x, y in zip(doc_ids[first:], [0, *ends], ends):
+                    n = int(y - x) + 1
                     if size and size + n > SEGMENT:
                         yield segment()
                     ids.append(doc_id)
-                    parts.append(x + close)
+                    parts.append(flat[x:y].tobytes() + close)
                     size += n
                 first += len(own)
         if ids:
             yield segment()
 
+    small_batches(docs.sparkSession)
     ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     ordered.mapInArrow(of, "part int, before bigint, n_tokens bigint, doc_ids array<bigint>, lengths array<bigint>, payload binary").write.parquet(path)
 
@@ -225,6 +243,7 @@ def segments(spark, path: str) -> DataFrame:
 def read_documents(spark, path: str, with_ids: bool = False) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 (and ids) of each document, read back from the files."""
 
+    @relieved
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
@@ -245,19 +264,24 @@ def read_documents(spark, path: str, with_ids: bool = False) -> DataFrame:
 def tokens_at(spark, path: str, positions: DataFrame, stride: int = 1 << 20) -> DataFrame:
     """(position, token) for positions(position) in the whole token stream; places outside give no row.
 
-    Segments and positions meet by stretches of `stride` places; a segment's tokens are read by rank.
+    Segments and positions meet by stretches of `stride` places; a segment is opened once for all its positions,
+    and their tokens are read by rank.
     """
-    own = segments(spark, path).where("n_tokens > 0").select("start", "n_tokens", "payload", F.explode(F.sequence((F.col("start") / stride).cast("bigint"), ((F.col("start") + F.col("n_tokens") - 1) / stride).cast("bigint"))).alias("stretch"))
+    rows = segments(spark, path).where("n_tokens > 0")
+    own = rows.select("part", "before", "start", "n_tokens", F.explode(F.sequence((F.col("start") / stride).cast("bigint"), ((F.col("start") + F.col("n_tokens") - 1) / stride).cast("bigint"))).alias("stretch"))
     asked = positions.select("position", F.floor(F.col("position") / stride).alias("stretch"))
     met = asked.join(own, "stretch").where("position >= start and position < start + n_tokens")
+    met = met.groupBy("part", "before").agg(F.sort_array(F.collect_list("position")).alias("positions"))
 
+    @relieved
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = batch.column(0).to_numpy() - batch.column(1).to_numpy()
-            tokens = [int(Packed(batch.column(2)[r].as_buffer()).get(at[r : r + 1])[0]) for r in range(batch.num_rows)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(tokens, pa.int64())], ["position", "token"])
+            for r in range(batch.num_rows):
+                at = batch.column(0)[r].values
+                tokens = Packed(batch.column(2)[r].as_buffer()).get(at.to_numpy() - batch.column(1)[r].as_py())
+                yield pa.RecordBatch.from_arrays([at, pa.array(tokens.astype(np.int64))], ["position", "token"])
 
-    return met.select("position", "start", "payload").mapInArrow(of, "position bigint, token bigint")
+    return rows.join(met, ["part", "before"]).select("positions", "start", "payload").mapInArrow(of, "position bigint, token bigint")
 
 
 def op3_token_files(spark, sf_dir):
