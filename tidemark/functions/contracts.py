@@ -61,17 +61,59 @@ def is_lexical_number(text: Column) -> Column:
     return F.coalesce(F.trim(text).rlike(r"^[+-]?(\d+(\.\d*)?|\.\d+)$"), F.lit(False))
 
 
+#: A decimal with or without an exponent.
+_DECIMAL = r"^([+-]?)(?=\.?\d)(\d*)\.?(\d*)(?:[eE]([+-]?\d+))?$"
+
+
+def once(value: Column, body) -> Column:
+    """`body(value)` with `value` computed once a row, however often the body names it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def number_key(text: Column) -> Column:
+    """Sign, digits without outer zeros, and exponent of a finite decimal: equal numbers have equal keys; else null.
+
+    Works on text, so neither digits nor exponents of up to 18 places are lost.
+    """
+    def of(clean: Column) -> Column:
+        def part(i: int) -> Column:
+            return F.regexp_extract(clean, _DECIMAL, i)
+
+        def key(digits: Column) -> Column:
+            bare = F.regexp_replace(digits, "0+$", "")
+            power = F.coalesce(F.when(part(4) != "", part(4).try_cast("bigint")), F.lit(0).cast("bigint")) - F.length(part(3)) + F.length(digits)
+            return F.when(digits == "", "0").otherwise(once(bare, lambda x: F.concat(F.when(part(1) == "-", "-").otherwise(""), x, F.lit("e"), (power - F.length(x)).cast("string"))))
+
+        return F.when(clean.rlike(_DECIMAL), once(F.regexp_replace(F.concat(part(2), part(3)), "^0+", ""), key))
+
+    return once(F.trim(text), of)
+
+
+def _not_finite(text: Column) -> Column:
+    return F.coalesce(F.trim(text).rlike(r"^(?i)[+-]?(inf(inity)?|s?nan\d*)$"), F.lit(False))
+
+
 def market_number(text: Column, precision: str = "decimal(38,9)") -> tuple[Column, Column]:
-    """(value, reason): empty is null without reason; what is no finite number is invalid_market_number."""
-    empty = text.isNull() | (text == "")
-    value = F.when(~empty & text.rlike(r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\s*$"), F.trim(text).try_cast(precision))
-    return value, F.when(~empty & value.isNull(), F.lit("invalid_market_number"))
+    """(value, reason): empty is null without reason; what is no finite number is invalid_market_number.
+
+    A number that the decimal can't hold exactly is null too, with market_number_not_exact; it is never rounded.
+    """
+    def judged(clean: Column) -> Column:
+        value = clean.try_cast(precision)
+        exact = number_key(value.cast("string")) == number_key(clean)
+        reason = F.when(~clean.rlike(_DECIMAL), "invalid_market_number").when(~F.coalesce(exact, F.lit(False)), "market_number_not_exact")
+        return once(reason, lambda r: F.struct(F.when(r.isNull(), value).alias("value"), r.alias("reason")))
+
+    told = F.when(text != "", once(F.regexp_replace(text, r"^\s+|\s+$", ""), judged))
+    return told["value"], told["reason"]
 
 
 def scalar_equal(a: Column, b: Column) -> Column:
-    """Both null, the same number, or the same text."""
-    x, y = canonical_number(a), canonical_number(b)
-    return F.when(a.isNull() | b.isNull(), a.isNull() & b.isNull()).when(x.isNotNull() & y.isNotNull(), x == y).otherwise(a == b)
+    """Both null, the same finite number however it is written, or else the same text; what isn't finite equals nothing."""
+    def same(x: Column) -> Column:
+        return once(number_key(b), lambda y: F.when(x.isNotNull() & y.isNotNull(), x == y).otherwise(a == b))
+
+    return F.when(a.isNull() | b.isNull(), a.isNull() & b.isNull()).when(_not_finite(a) | _not_finite(b), F.lit(False)).otherwise(once(number_key(a), same))
 
 
 def exact_difference(a: Column, b: Column, scale: int = 9) -> Column:
@@ -101,8 +143,9 @@ def at_zone(local: Column, zone: str = JST) -> Column:
 def availability_bound(day: Column, time: Column, latency: Column) -> Column:
     """The earliest safe instant: without a time the next local midnight, else that time; plus the latency.
 
-    day: date; time: `HH:MM[:SS]` or null; latency: interval, not negative.
+    day: date; time: `HH:MM[:SS]` or null; latency: day-time interval; reading a negative one fails.
     """
+    latency = F.when(latency < F.expr("interval '0' second"), F.raise_error(F.lit("Negative latency")).cast("interval day to second")).otherwise(latency)
     local = F.when(time.isNull(), F.date_add(day, 1).cast("timestamp")).otherwise(F.concat_ws(" ", day.cast("string"), time).try_cast("timestamp"))
     return at_zone(local) + latency
 
@@ -172,6 +215,32 @@ def formula_guard(cell: Column) -> Column:
     return F.when(cell.rlike(r"^[=+@\-\t\r]") & ~cell.rlike(r"^[+-]?\d+(\.\d+)?$"), F.concat(F.lit("'"), cell)).otherwise(cell)
 
 
+def failure_class(reason: Column) -> Column:
+    """The class that a failure's text belongs to."""
+    def has(*parts: str) -> Column:
+        found = F.lit(False)
+        for p in parts:
+            found = found | F.contains(reason, F.lit(p))
+        return found
+
+    return F.when(has("integrity", "changed"), "byte_integrity_failed").when(has("ambiguous", "document_id"), "identifier_ambiguous").when(has("not_available"), "raw_missing").when(has("size_limit"), "raw_size_limit").when(reason.isNotNull(), "local_archive_contract_failed")
+
+
+def json_safe(rows: DataFrame) -> DataFrame:
+    """rows whose decimals are texts without exponent, and whose dates and instants are ISO texts; other columns stay."""
+    def safe(name: str, kind: str) -> Column:
+        c = F.col(name)
+        if kind.startswith("decimal"):
+            return c.cast("string").alias(name)
+        if kind == "date":
+            return F.date_format(c, "yyyy-MM-dd").alias(name)
+        if kind.startswith("timestamp"):
+            return F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss").alias(name)
+        return c
+
+    return rows.select(*[safe(n, k) for n, k in rows.dtypes])
+
+
 def semantic_key(columns: list[str]) -> Column:
     """One hash over the columns that say what a fact means; nulls count."""
     return content_id({c: F.col(c) for c in columns})

@@ -14,6 +14,8 @@ def cut(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         found = tempfile.mkdtemp(prefix="tidemark-")
         spark.conf.set("spark.checkpoint.dir", found)
     path = f"{found.rstrip('/')}/loop-{uuid.uuid4().hex}"
@@ -40,8 +42,13 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def levels(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """(node, depth): the longest way from a node without parents along edges(parent, child); null on or behind a cycle."""
+    """(node, depth): the longest way from a node without parents along edges(parent, child); null on or behind a cycle.
+
+    Where every node has one parent at most, ways are doubled, so a chain of n takes log n rounds; else levels are peeled.
+    """
     left = cut(edges.select("parent", "child").distinct())
+    if not left.groupBy("child").count().where("count > 1").limit(1).count():
+        return _doubled(nodes, left)
     done = cut(nodes.select("node").distinct().join(left.select(F.col("child").alias("node")), "node", "left_anti").select("node", F.lit(0).alias("depth")))
     fresh, depth = done, 0
     while True:
@@ -54,6 +61,18 @@ def levels(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         done, left = done.union(fresh), rest
 
 
+def _doubled(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """levels of a forest: each node's way up is lengthened by its upper end's way, until it ends."""
+    now = nodes.select("node").distinct().join(edges.withColumnsRenamed({"child": "node", "parent": "up"}), "node", "left")
+    now = cut(now.select("node", "up", F.col("up").isNotNull().cast("int").alias("depth")))
+    for _ in range(now.count().bit_length() + 1):  # longer ways close a cycle
+        if not now.where("up is not null").limit(1).count():
+            break
+        top = now.select(F.col("node").alias("at"), F.col("up").alias("further"), F.col("depth").alias("more"))
+        now = cut(now.join(top, now.up == top["at"], "left").select("node", F.col("further").alias("up"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth")))
+    return now.select("node", F.when(F.col("up").isNull(), F.col("depth")).alias("depth"))
+
+
 def reachable(starts: DataFrame, edges: DataFrame, limit: int | None = None) -> DataFrame:
     """(origin, node, hops): what starts(origin, node) reach along edges(src, dst), themselves included."""
     seen = cut(starts.select("origin", "node", F.lit(0).alias("hops")).distinct())

@@ -69,31 +69,40 @@ def across_sources(left: DataFrame, right: DataFrame, keys: list[str], fields: d
     return out.select(*keys, "fact_id", "other_id", F.when(F.size(classes) == 0, F.array(F.lit("unresolved"))).otherwise(classes).alias("classes"), "numeric")
 
 
-def compare_facts(rows: DataFrame, originals: DataFrame, stages: list[tuple[str, str, str]], text: Column | None = None) -> DataFrame:
-    """(row_id, verdict, reason, origins): provider rows against originals, stage by stage.
+def compare_facts(rows: DataFrame, originals: DataFrame, stages: list[tuple[str, str, str]], text: Column | None = None, keys: list[str] = ()) -> DataFrame:
+    """(row_id, verdict, reason, origins): provider rows against the originals of the same `keys` (their document), stage by stage.
 
     stages: (column, class, reason) in order; the first stage where no original is left gives its class. What is left must
     be one original (else unresolved), of the same unit, and equal in value: numbers as numbers, texts without white space.
-    rows: row_id, unit, value, the stages' columns; originals: origin_id, unit, value, is_nil, the stages' columns.
+    rows: row_id, unit, value, keys, the stages' columns, and is_nil if the provider states it; originals: origin_id, unit,
+    value, is_nil, keys, the stages' columns, and, if known, context_ambiguous and unit_ambiguous.
     """
     first = stages[0][0]
-    o = originals.select(F.col("origin_id"), F.col("unit").alias("o_unit"), F.col("value").alias("o_value"), "is_nil", *[F.col(c).alias(f"o_{c}") for c, _, _ in stages])
-    met = rows.join(o, F.col(first) == F.col(f"o_{first}"), "left")
+    unsure = [F.coalesce(F.col(c), F.lit(False)).alias(c) if c in originals.columns else F.lit(False).alias(c) for c in ("context_ambiguous", "unit_ambiguous")]
+    o = originals.select(F.col("origin_id"), F.col("unit").alias("o_unit"), F.col("value").alias("o_value"), "is_nil", *unsure, *[F.col(c).alias(f"o_{c}") for c, _, _ in stages], *[F.col(k).alias(f"o_{k}") for k in keys]).withColumnRenamed("is_nil", "o_nil")
+    on = F.col(first) == F.col(f"o_{first}")
+    for k in keys:
+        on = on & (F.col(k) == F.col(f"o_{k}"))
+    said_nil = F.col("is_nil") if "is_nil" in rows.columns else F.lit(None).cast("boolean")
+    met = rows.withColumn("said_nil", said_nil).join(o, on, "left")
     fit = F.col("origin_id").isNotNull()
     counts = []
     for i, (c, _, _) in enumerate(stages):
         fit = fit & F.coalesce(F.col(c) == F.col(f"o_{c}"), F.lit(False))
         counts.append(F.count_if(fit).alias(f"n{i}"))
-    last = F.when(fit, F.struct("origin_id", "o_unit", "o_value", "is_nil"))
+    last = F.when(fit, F.struct("origin_id", "o_unit", "o_value", F.col("o_nil").alias("is_nil"), "context_ambiguous", "unit_ambiguous"))
     ids = F.array_sort(F.collect_set(F.when(fit, F.col("origin_id"))))
-    grouped = met.groupBy("row_id").agg(*counts, F.min(last).alias("f"), ids.alias("origins"), F.first("unit").alias("unit"), F.first("value").alias("value"), *([F.first(text).alias("is_text")] if text is not None else []))
+    grouped = met.groupBy("row_id").agg(*counts, F.min(last).alias("f"), ids.alias("origins"), F.first("unit").alias("unit"), F.first("value").alias("value"), F.first("said_nil").alias("said_nil"), *([F.first(text).alias("is_text")] if text is not None else []))
     is_text = F.col("is_text") if text is not None else F.lit(False)
     same = F.when(is_text, (squeezed(F.coalesce("value", F.lit(""))) != "") & (squeezed(F.col("value")) == squeezed(F.col("f.o_value")))).otherwise(scalar_equal(F.col("value"), F.col("f.o_value")))
     empty = F.col("value").isNull() | (F.col("value") == "")
     ladder = [(F.col(f"n{i}") == 0, kind, why) for i, (_, kind, why) in enumerate(stages)]
     ladder += [
         (F.col(f"n{len(stages) - 1}") > 1, "unresolved", "original_element_ambiguous"),
+        (F.col("f.context_ambiguous"), "unresolved", "original_context_ambiguous"),
+        (F.col("said_nil") != F.col("f.is_nil"), "extraction_difference", "nil_state_differs"),
         (~F.col("unit").eqNullSafe(F.col("f.o_unit")), "unit_difference", "unit_ref_differs"),
+        (F.col("f.o_unit").isNotNull() & F.col("f.unit_ambiguous"), "unresolved", "original_unit_ambiguous"),
         (F.col("f.is_nil") & ~empty, "extraction_difference", "nil_value_differs"),
         (~F.col("f.is_nil") & ~F.coalesce(same, F.lit(False)) & is_text, "text_difference", "provider_value_differs"),
         (~F.col("f.is_nil") & ~F.coalesce(same, F.lit(False)), "extraction_difference", "provider_value_differs"),
@@ -136,19 +145,27 @@ def dimensions_difference(a: Column, b: Column, scope_axis: str) -> Column:
     return F.when(F.array_sort(a).eqNullSafe(F.array_sort(b)), None).when(named, "scope_difference").otherwise("context_difference")
 
 
-def compare_contexts(rows: DataFrame, contexts: DataFrame, fields: list[str]) -> DataFrame:
-    """(row_id, verdict): rows against the one context of their doc_id and context_id."""
-    once = contexts.groupBy("doc_id", "context_id").agg(F.count("*").alias("n"), *[F.min(c).alias(f"c_{c}") for c in fields])
+def compare_contexts(rows: DataFrame, contexts: DataFrame, fields: list[str], scope_axis: str | None = None) -> DataFrame:
+    """(row_id, verdict): rows against the one context of their doc_id and context_id.
+
+    With a scope axis, dimensions (arrays of axis, member) are compared after the fields, in any order.
+    """
+    dims = [F.first("dimensions").alias("c_dimensions")] if scope_axis else []
+    once = contexts.groupBy("doc_id", "context_id").agg(F.count("*").alias("n"), *[F.min(c).alias(f"c_{c}") for c in fields], *dims)
     met = rows.join(once, ["doc_id", "context_id"], "left")
+    apart = dimensions_difference(F.col("dimensions"), F.col("c_dimensions"), scope_axis) if scope_axis else F.lit(None).cast("string")
     differs = F.lit(False)
     for c in fields:
         differs = differs | ~F.col(c).eqNullSafe(F.col(f"c_{c}"))
-    return met.select("row_id", F.when(F.coalesce("n", F.lit(0)) != 1, "unresolved").when(differs, "context_difference").otherwise("exact_match").alias("verdict"))
+    return met.select("row_id", F.when(F.coalesce("n", F.lit(0)) != 1, "unresolved").when(differs, "context_difference").otherwise(F.coalesce(apart, F.lit("exact_match"))).alias("verdict"))
+
+
+SUMMATION = "http://www.xbrl.org/2003/arcrole/summation-item"
 
 
 def compare_arcs(rows: DataFrame, arcs: DataFrame) -> DataFrame:
-    """(row_id, verdict): calculation arcs on (doc_id, role, parent, child), then weight and order as numbers."""
-    once = arcs.groupBy("doc_id", "role", "parent", "child").agg(F.count("*").alias("n"), F.min("weight").alias("o_weight"), F.min("ord").alias("o_ord"))
+    """(row_id, verdict): summation arcs on (doc_id, role, parent, child), then weight and order as numbers."""
+    once = arcs.where(F.col("arcrole") == SUMMATION).groupBy("doc_id", "role", "parent", "child").agg(F.count("*").alias("n"), F.min("weight").alias("o_weight"), F.min("ord").alias("o_ord"))
     met = rows.join(once, ["doc_id", "role", "parent", "child"], "left")
     same = scalar_equal(F.col("weight"), F.col("o_weight")) & scalar_equal(F.col("ord"), F.col("o_ord"))
     return met.select("row_id", F.when(F.coalesce("n", F.lit(0)) != 1, "unresolved").when(same, "exact_match").otherwise("extraction_difference").alias("verdict"))

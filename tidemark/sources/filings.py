@@ -8,6 +8,7 @@ import xml.etree.ElementTree as ET
 import zipfile
 from collections.abc import Iterator
 from html.parser import HTMLParser
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -130,42 +131,72 @@ _L = "{http://www.xbrl.org/2003/linkbase}"
 _X = "{http://www.w3.org/1999/xlink}"
 _D = "{http://xbrl.org/2006/xbrldi}"
 _NIL = "{http://www.w3.org/2001/XMLSchema-instance}nil"
-RAW = "kind string, member string, element_index bigint, qname string, ref string, unit string, decimals string, nil string, text string, start string, `end` string, instant string, entity string, dimensions array<struct<axis:string,member:string>>, numerator array<string>, denominator array<string>, role string, parent string, child string, weight string, ord string"
+RAW = "kind string, member string, element_index bigint, qname string, ref string, unit string, decimals string, `precision` string, nil string, has_children boolean, has_transform boolean, text string, start string, `end` string, instant string, entity string, dimensions array<struct<axis:string,member:string>>, numerator array<string>, denominator array<string>, role string, parent string, child string, weight string, ord string"
+_ARCS = (f"{_L}calculationArc", f"{_L}definitionArc")
+
+
+def _parsed(data: bytes) -> tuple[ET.Element, dict[str, str]]:
+    """The root and the prefixes of a member; documents that declare types or entities are rejected."""
+    upper = data.replace(b"\0", b"").upper()
+    if b"<!DOCTYPE" in upper or b"<!ENTITY" in upper:
+        raise ValueError("xml_rejected")
+    prefixes, root = {}, None
+    for event, found in ET.iterparse(io.BytesIO(data), ("start-ns", "start")):
+        if event == "start-ns":
+            prefixes[found[0]] = found[1]
+        elif root is None:
+            root = found
+    return root, prefixes
+
+
+def _arc_rows(root: ET.Element) -> Iterator[dict]:
+    """Calculation and definition arcs both of whose labels stand for one locator."""
+    for link in root:
+        hrefs: dict[str, list] = {}
+        for e in link.findall(f"{_L}loc"):
+            hrefs.setdefault(e.get(f"{_X}label"), []).append(e.get(f"{_X}href"))
+        for i, arc in enumerate(link):
+            left, right = (hrefs.get(arc.get(f"{_X}{end}"), []) for end in ("from", "to"))
+            if arc.tag in _ARCS and len(left) == 1 and len(right) == 1:
+                yield {"kind": "arc", "element_index": i, "qname": arc.get(f"{_X}arcrole"), "role": link.get(f"{_X}role"), "parent": left[0], "child": right[0], "weight": arc.get("weight"), "ord": arc.get("order")}
+
+
+def _instance_rows(root: ET.Element, prefixes: dict[str, str]) -> Iterator[dict]:
+    """Contexts, units and facts at any depth; an element's index counts all elements before it."""
+
+    def name(text: str | None) -> str | None:
+        prefix, _, local = (text or "").strip().partition(":")
+        return f"{{{prefixes[prefix]}}}{local}" if local and prefix in prefixes else text
+
+    for i, e in enumerate(root.iter()):
+        if e.tag == f"{_I}context":
+            said = {x.tag: x.text for x in e.iter()}
+            dimensions = [{"axis": name(d.get("dimension")), "member": name(d.text)} for d in e.iter(f"{_D}explicitMember")]
+            yield {"kind": "context", "element_index": i, "ref": e.get("id"), "start": said.get(f"{_I}startDate"), "end": said.get(f"{_I}endDate"), "instant": said.get(f"{_I}instant"), "entity": said.get(f"{_I}identifier"), "dimensions": dimensions}
+        elif e.tag == f"{_I}unit":
+            ratio = e.find(f"{_I}divide")
+            top = e.findall(f"{_I}measure") if ratio is None else ratio.findall(f"{_I}unitNumerator/{_I}measure")
+            low = [] if ratio is None else ratio.findall(f"{_I}unitDenominator/{_I}measure")
+            yield {"kind": "unit", "element_index": i, "ref": e.get("id"), "numerator": [name(m.text) for m in top], "denominator": [name(m.text) for m in low]}
+        elif e.get("contextRef") is not None:
+            yield {"kind": "fact", "element_index": i, "qname": e.tag, "ref": e.get("contextRef"), "unit": e.get("unitRef"), "decimals": e.get("decimals"), "precision": e.get("precision"), "nil": e.get(_NIL), "has_children": len(e) > 0, "has_transform": any(k in e.attrib for k in ("scale", "sign", "format")), "text": e.text}
 
 
 def _elements(data: bytes) -> Iterator[dict]:
     """Raw rows of one archive: facts, contexts, units and arcs, as they stand; no rule is applied here."""
     with zipfile.ZipFile(io.BytesIO(data)) as z:
         for member in sorted(z.namelist()):
-            if not member.endswith((".xbrl", ".xml")):
-                continue
-            root = ET.fromstring(z.read(member))
-            if root.tag == f"{_L}linkbase":
-                for link in root:
-                    hrefs = {e.get(f"{_X}label"): e.get(f"{_X}href") for e in link if e.get(f"{_X}href")}
-                    for arc in link:
-                        if arc.get(f"{_X}from"):
-                            yield {"kind": "arc", "member": member, "qname": arc.get(f"{_X}arcrole"), "role": link.get(f"{_X}role"), "parent": hrefs.get(arc.get(f"{_X}from")), "child": hrefs.get(arc.get(f"{_X}to")), "weight": arc.get("weight"), "ord": arc.get("order")}
-                continue
-            for i, e in enumerate(root, 1):
-                if e.tag == f"{_I}context":
-                    def one(name, e=e):
-                        return next((x.text for x in e.iter(f"{_I}{name}")), None)
-
-                    yield {"kind": "context", "member": member, "element_index": i, "ref": e.get("id"), "start": one("startDate"), "end": one("endDate"), "instant": one("instant"), "entity": one("identifier"), "dimensions": [{"axis": d.get("dimension"), "member": d.text} for d in e.iter(f"{_D}explicitMember")]}
-                elif e.tag == f"{_I}unit":
-                    ratio = e.find(f"{_I}divide")
-                    top = e.findall(f"{_I}measure") if ratio is None else ratio.findall(f"{_I}unitNumerator/{_I}measure")
-                    low = [] if ratio is None else ratio.findall(f"{_I}unitDenominator/{_I}measure")
-                    yield {"kind": "unit", "member": member, "element_index": i, "ref": e.get("id"), "numerator": [m.text for m in top], "denominator": [m.text for m in low]}
-                elif e.get("contextRef"):
-                    yield {"kind": "fact", "member": member, "element_index": i, "qname": e.tag, "ref": e.get("contextRef"), "unit": e.get("unitRef"), "decimals": e.get("decimals"), "nil": e.get(_NIL), "text": e.text}
+            if member.endswith((".xbrl", ".xml")):
+                root, prefixes = _parsed(z.read(member))
+                for row in _arc_rows(root) if root.tag == f"{_L}linkbase" else _instance_rows(root, prefixes):
+                    yield {"member": member, **row}
 
 
 def filing_elements(archives: DataFrame) -> DataFrame:
     """Raw rows of archives(path, content, sha256): path, reason, then RAW; the byte hash is checked first.
 
-    An archive whose bytes don't have the hash (null: not checked) or that can't be read gives one row with a reason.
+    An archive whose bytes don't have the hash (null: not checked), that can't be read, or that declares entities gives
+    one row with a reason and no others. Rows leave in batches of some thousand.
     """
     fields = T._parse_datatype_string(RAW)
     arrow = pa.schema([("path", pa.string()), ("reason", pa.string())] + [(f.name, _arrow(f.dataType)) for f in fields])
@@ -175,13 +206,18 @@ def filing_elements(archives: DataFrame) -> DataFrame:
             for path, content, sha in zip(*(batch.column(i) for i in range(3))):
                 data = content.as_py()
                 if sha.is_valid and hashlib.sha256(data).hexdigest() != sha.as_py():
-                    rows = [{"path": path.as_py(), "reason": "artifact_hash_mismatch"}]
+                    reason = "artifact_hash_mismatch"
                 else:
+                    reason = None
                     try:
-                        rows = [{"path": path.as_py(), **r} for r in _elements(data)]
+                        for _ in _elements(data):  # an archive is whole or gives nothing
+                            pass
                     except (zipfile.BadZipFile, ET.ParseError):
-                        rows = [{"path": path.as_py(), "reason": "archive_unreadable"}]
-                if rows:
+                        reason = "archive_unreadable"
+                    except ValueError as why:
+                        reason = str(why)
+                found = iter([{"reason": reason}]) if reason else _elements(data)
+                while rows := [{"path": path.as_py(), **r} for r in islice(found, 5000)]:
                     yield pa.RecordBatch.from_pylist(rows, schema=arrow)
 
     return archives.select("path", "content", "sha256").mapInArrow(of, "path string, reason string, " + RAW)
@@ -192,11 +228,14 @@ def _arrow(kind: T.DataType) -> pa.DataType:
         return pa.list_(_arrow(kind.elementType))
     if isinstance(kind, T.StructType):
         return pa.struct([(f.name, _arrow(f.dataType)) for f in kind])
-    return pa.int64() if isinstance(kind, T.LongType) else pa.string()
+    return pa.int64() if isinstance(kind, T.LongType) else pa.bool_() if isinstance(kind, T.BooleanType) else pa.string()
 
 
 def structural_profile(elements: DataFrame) -> DataFrame:
-    """Per archive: numbers of contexts, units, facts, text blocks, dimensions, duplicates, and a hash of the QName set."""
+    """Per archive: numbers of contexts, units, facts, text blocks, dimensions, duplicates, a hash of the QName set.
+
+    dei: the distinct values of the document's own data; members: files with facts; shared_tags: tags of several contexts.
+    """
     fact, context = F.col("kind") == "fact", F.col("kind") == "context"
     per = elements.groupBy("path").agg(
         F.count_if(context).alias("contexts"),
@@ -207,9 +246,12 @@ def structural_profile(elements: DataFrame) -> DataFrame:
         F.count_if(context & (F.size("dimensions") > 0)).alias("dimensional"),
         F.sha2(F.to_json(F.array_sort(F.collect_set(F.when(fact, F.col("qname"))))), 256).alias("qnames_sha256"),
         F.array_sort(F.collect_set("reason")).alias("failures"),
+        F.array_sort(F.collect_set(F.when(fact & F.col("qname").contains("/jpdei/"), F.struct(F.regexp_extract("qname", r"\}(.*)$", 1).alias("name"), "text")))).alias("dei"),
+        F.count_distinct(F.when(fact, F.col("member"))).alias("members"),
     )
     twice = elements.where(fact).groupBy("path", "qname", "ref", "unit").agg((F.count("*") - 1).alias("more")).groupBy("path").agg(F.sum("more").alias("duplicates"))
-    return per.join(twice, "path", "left").withColumn("duplicates", F.coalesce("duplicates", F.lit(0)))
+    spread = elements.where(fact).groupBy("path", "qname").agg(F.count_distinct("ref").alias("refs")).groupBy("path").agg(F.count_if(F.col("refs") > 1).alias("shared_tags"))
+    return per.join(twice, "path", "left").join(spread, "path", "left").withColumns({c: F.coalesce(c, F.lit(0)) for c in ("duplicates", "shared_tags")})
 
 
 class _Text(HTMLParser):
