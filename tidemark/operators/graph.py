@@ -5,20 +5,25 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """df written to the folder in spark.checkpoint.dir and read again, so plans of loops stay short."""
-    spark = df.sparkSession
+def shared_dir(spark: SparkSession) -> str:
+    """The folder in spark.checkpoint.dir; one of this machine only where the session names none and runs here."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         found = tempfile.mkdtemp(prefix="tidemark-")
         spark.conf.set("spark.checkpoint.dir", found)
-    path = f"{found.rstrip('/')}/loop-{uuid.uuid4().hex}"
+    return found.rstrip("/")
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """df written to the shared folder and read again, so plans of loops stay short."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/loop-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from ..functions.contracts import JST, at_zone, market_number
 
 
+#: The data set whose files are read whatever the windows.
+CALENDAR = "markets_calendar"
+
+
 def project_prices(rows: DataFrame) -> DataFrame:
     """Daily rows (all strings: Date, Code, O, H, L, C, Vo, Va, AdjFactor, ExRT) as unadjusted closes with factor.
 
@@ -62,11 +66,14 @@ def retention_gate(day: Column, now: Column, years: int = 10, margin_days: int =
 def overlapping(manifest: DataFrame, windows: DataFrame) -> DataFrame:
     """The manifest's files whose [first, last] days overlap any of windows(first_day, last_day).
 
-    manifest: dataset, revision, file, first, last. Fails if a dataset has several revisions.
+    manifest: dataset, revision, file, first, last. Fails if a dataset has several revisions. The calendar's files are always taken.
+    Windows are merged into days first, so files and windows meet by the days that they share.
     """
     if manifest.groupBy("dataset").agg(F.count_distinct("revision").alias("n")).where("n > 1").limit(1).count():
         raise ValueError("several revisions of one dataset")
-    return manifest.join(windows, (F.col("first") <= F.col("last_day")) & (F.col("first_day") <= F.col("last")), "left_semi")
+    days = windows.select(F.explode(F.sequence("first_day", "last_day")).alias("day")).distinct()
+    open_ = manifest.where(F.col("first") <= F.col("last")).select("dataset", "file", F.explode(F.sequence("first", "last")).alias("day")).join(days, "day", "left_semi").select("dataset", "file").distinct()
+    return manifest.where(F.col("dataset") == CALENDAR).unionByName(manifest.where(F.col("dataset") != CALENDAR).join(open_, ["dataset", "file"], "left_semi"))
 
 
 def retained(rows: DataFrame, codes: DataFrame, windows: DataFrame) -> DataFrame:

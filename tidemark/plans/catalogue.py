@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import bindings_facts, bindings_market, bindings_scalars, bindings_time
+from . import bindings_checks, bindings_facts, bindings_market, bindings_scalars, bindings_time
 
 QUERIES, ORACLES = {}, {}
-for _part in (bindings_time, bindings_market, bindings_facts, bindings_scalars):
+for _part in (bindings_time, bindings_market, bindings_facts, bindings_scalars, bindings_checks):
     QUERIES |= _part.QUERIES
     ORACLES |= _part.ORACLES
