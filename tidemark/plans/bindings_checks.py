@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import coverage, evidence, identity, lineage, market, reconcile, revisions, sampling, validate
 from ..sources import filings, package
-from .bindings_scalars import KEY, K, pick
+from .bindings_scalars import KEY, pick
 from .tables import DOCS_SQL, documents, table
 
 
@@ -14,9 +14,9 @@ def document_links(spark, sf_dir):
     """Provider rows of orders against the orders: customer, status and time in the precision that both have."""
     o = table(spark, sf_dir, "orders")
     text = F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")
-    docs = o.select(K.alias("doc_id"), F.when(K % 31 != 0, text).alias("submitted"), F.col("o_custkey").cast("string").alias("entity"), F.col("o_orderstatus").alias("state")).where(K % 7 != 0)
-    said = F.when(K % 5 == 0, F.substring(text, 1, 10)).when(K % 5 == 1, F.replace(text, F.lit(" "), F.lit("T"))).when(K % 5 == 2, "1990-01-01").when(K % 5 == 3, text)
-    rows = o.select(K.alias("row_id"), K.alias("doc_id"), said.alias("submitted"), F.when(K % 11 == 0, "x").when(K % 3 != 0, F.col("o_custkey").cast("string")).alias("entity"), F.when(K % 13 == 0, "").when(K % 2 == 0, F.col("o_orderstatus")).alias("state"))
+    docs = o.select(F.col(KEY).alias("doc_id"), F.when(F.col(KEY) % 31 != 0, text).alias("submitted"), F.col("o_custkey").cast("string").alias("entity"), F.col("o_orderstatus").alias("state")).where(F.col(KEY) % 7 != 0)
+    said = F.when(F.col(KEY) % 5 == 0, F.substring(text, 1, 10)).when(F.col(KEY) % 5 == 1, F.replace(text, F.lit(" "), F.lit("T"))).when(F.col(KEY) % 5 == 2, "1990-01-01").when(F.col(KEY) % 5 == 3, text)
+    rows = o.select(F.col(KEY).alias("row_id"), F.col(KEY).alias("doc_id"), said.alias("submitted"), F.when(F.col(KEY) % 11 == 0, "x").when(F.col(KEY) % 3 != 0, F.col("o_custkey").cast("string")).alias("entity"), F.when(F.col(KEY) % 13 == 0, "").when(F.col(KEY) % 2 == 0, F.col("o_orderstatus")).alias("state"))
     return reconcile.document_link(rows, docs, {"entity": "entity_mismatch", "state": "status_mismatch"}).select("row_id", "missing_reason")
 
 
@@ -27,7 +27,7 @@ _LINK_SQL = """SELECT o_orderkey AS row_id, CASE WHEN o_orderkey % 7 = 0 THEN 'd
 def link_grid(spark, sf_dir):
     """Every tenth order and each ship mode as provider: linked by none, one or many lines."""
     li = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("doc_id"), F.concat(F.lit("p"), (F.col("l_suppkey") % 3).cast("string")).alias("provider"))
-    docs = table(spark, sf_dir, "orders").where(K % 10 == 0).select(K.alias("doc_id"))
+    docs = table(spark, sf_dir, "orders").where(F.col(KEY) % 10 == 0).select(F.col(KEY).alias("doc_id"))
     return reconcile.link_grid(docs, li.select("provider").distinct(), li)
 
 
@@ -42,10 +42,10 @@ def context_compare(spark, sf_dir):
     def dims(a, m):
         return F.array(F.struct(a.alias("axis"), m.alias("member")), F.struct(F.lit("z").alias("axis"), F.lit("1").alias("member")))
 
-    ids = [K.alias("doc_id"), F.col("o_custkey").alias("context_id")]
-    contexts = o.where(K % 9 != 0).select(*ids, F.to_date("o_orderdate").alias("end"), F.col("o_orderstatus").alias("entity"), dims(pick(["scope", "y"], K), F.lit("m")).alias("dimensions"))
+    ids = [F.col(KEY).alias("doc_id"), F.col("o_custkey").alias("context_id")]
+    contexts = o.where(F.col(KEY) % 9 != 0).select(*ids, F.to_date("o_orderdate").alias("end"), F.col("o_orderstatus").alias("entity"), dims(pick(["scope", "y"], F.col(KEY)), F.lit("m")).alias("dimensions"))
     contexts = contexts.union(contexts.where("doc_id % 8 = 0"))
-    rows = o.select(K.alias("row_id"), *ids, F.date_add(F.to_date("o_orderdate"), (K % 4 == 0).cast("int")).alias("end"), F.col("o_orderstatus").alias("entity"), F.reverse(dims(pick(["scope", "y"], K), pick(["m", "m", "n"], K))).alias("dimensions"))
+    rows = o.select(F.col(KEY).alias("row_id"), *ids, F.date_add(F.to_date("o_orderdate"), (F.col(KEY) % 4 == 0).cast("int")).alias("end"), F.col("o_orderstatus").alias("entity"), F.reverse(dims(pick(["scope", "y"], F.col(KEY)), pick(["m", "m", "n"], F.col(KEY)))).alias("dimensions"))
     return reconcile.compare_contexts(rows, contexts, ["end", "entity"], "scope")
 
 
@@ -55,10 +55,10 @@ _CONTEXT_SQL = "SELECT o_orderkey AS row_id, CASE WHEN o_orderkey % 9 = 0 OR o_o
 def arc_compare(spark, sf_dir):
     """Provider's calculation arcs, exact, and flattened ones, which stay unresolved beside their candidates."""
     o = table(spark, sf_dir, "orders")
-    arcs = o.select(K.alias("doc_id"), F.lit("r").alias("role"), F.when(K % 5 == 0, "other").otherwise(reconcile.SUMMATION).alias("arcrole"), F.concat(F.lit("f.xsd#P"), K.cast("string")).alias("parent"), F.concat(F.lit("f.xsd#C"), F.col("o_custkey").cast("string")).alias("child"), F.lit("1.0").alias("weight"), F.lit("10").alias("ord"), K.cast("string").alias("origin_id"))
+    arcs = o.select(F.col(KEY).alias("doc_id"), F.lit("r").alias("role"), F.when(F.col(KEY) % 5 == 0, "other").otherwise(reconcile.SUMMATION).alias("arcrole"), F.concat(F.lit("f.xsd#P"), F.col(KEY).cast("string")).alias("parent"), F.concat(F.lit("f.xsd#C"), F.col("o_custkey").cast("string")).alias("child"), F.lit("1.0").alias("weight"), F.lit("10").alias("ord"), F.col(KEY).cast("string").alias("origin_id"))
     arcs = arcs.union(arcs.where("doc_id % 7 = 0"))
-    rows = o.select(K.alias("row_id"), K.alias("doc_id"), F.lit("r").alias("role"), F.concat(F.lit("f.xsd#P"), K.cast("string")).alias("parent"), F.concat(F.lit("f.xsd#C"), F.col("o_custkey").cast("string")).alias("child"), F.when(K % 3 == 0, "-1").otherwise("1e0").alias("weight"), F.lit("10.00").alias("ord"))
-    flat = o.select(K.alias("row_id"), K.alias("doc_id"), F.concat(F.lit("C"), F.substring(F.col("o_custkey").cast("string"), 1, 1)).alias("child_concept"), F.when(K % 2 == 0, "P").otherwise("Q").alias("parent_concept"))
+    rows = o.select(F.col(KEY).alias("row_id"), F.col(KEY).alias("doc_id"), F.lit("r").alias("role"), F.concat(F.lit("f.xsd#P"), F.col(KEY).cast("string")).alias("parent"), F.concat(F.lit("f.xsd#C"), F.col("o_custkey").cast("string")).alias("child"), F.when(F.col(KEY) % 3 == 0, "-1").otherwise("1e0").alias("weight"), F.lit("10.00").alias("ord"))
+    flat = o.select(F.col(KEY).alias("row_id"), F.col(KEY).alias("doc_id"), F.concat(F.lit("C"), F.substring(F.col("o_custkey").cast("string"), 1, 1)).alias("child_concept"), F.when(F.col(KEY) % 2 == 0, "P").otherwise("Q").alias("parent_concept"))
     a = reconcile.compare_arcs(rows, arcs).select("row_id", "verdict", F.lit("").alias("candidates"))
     return a.union(reconcile.flattened_arcs(flat, arcs).select("row_id", F.concat(F.lit("flat_"), "verdict"), F.array_join("candidates", ",")))
 
@@ -71,7 +71,7 @@ def coalesced_components(spark, sf_dir):
     """The first tag of a priority list that an order has lines of; all ties stay."""
     li = table(spark, sf_dir, "lineitem")
     rows = li.select(F.col("l_orderkey").alias("doc_id"), F.col("l_returnflag").alias("tag"), F.concat_ws("-", *[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_suppkey")]).alias("row_id"), F.when(F.col("l_suppkey") % 4 != 0, F.lit("1")).alias("value"))
-    wanted = table(spark, sf_dir, "orders").select(K.alias("want_id"), K.alias("doc_id"), F.when(K % 2 == 0, "sales").otherwise("profit").alias("field"))
+    wanted = table(spark, sf_dir, "orders").select(F.col(KEY).alias("want_id"), F.col(KEY).alias("doc_id"), F.when(F.col(KEY) % 2 == 0, "sales").otherwise("profit").alias("field"))
     tags = spark.createDataFrame([("sales", "R", 1), ("sales", "A", 2), ("sales", "N", 3), ("profit", "N", 1)], "field string, tag string, priority int")
     return reconcile.coalesce_components(wanted, rows, tags).groupBy("want_id", "tag").agg(F.count("*").alias("rows"))
 
@@ -83,11 +83,11 @@ SELECT k AS want_id, t AS tag, count(*) AS rows FROM r JOIN orders ON o_orderkey
 def reverse_rows(spark, sf_dir):
     """Stored rows against a second reading by file and index, and stored facts against a second extraction."""
     o = table(spark, sf_dir, "orders")
-    again = validate.row_hashes(o.select(F.col("o_orderstatus").alias("file"), K.alias("index"), "o_custkey"))
+    again = validate.row_hashes(o.select(F.col("o_orderstatus").alias("file"), F.col(KEY).alias("index"), "o_custkey"))
     index = F.col("index")
     stored = again.select("file", F.when(index % 37 == 0, -index - 1).otherwise(index).alias("index"), F.when(index % 41 == 0, "x").otherwise(F.col("row_sha256")).alias("row_sha256"))
     rows = reconcile.reverse_lookup(stored, again, ["file", "index"], "row_sha256")
-    facts = o.select(K.alias("fact_id"), F.col("o_custkey").cast("string").alias("value"))
+    facts = o.select(F.col(KEY).alias("fact_id"), F.col("o_custkey").cast("string").alias("value"))
     kept = facts.withColumn("value", F.when(F.col("fact_id") % 43 == 0, "?").otherwise(F.col("value")))
     proof = evidence.reverse_facts(kept.union(kept.where("fact_id % 100 = 0")), facts)
     flat = rows.select(F.explode(F.array(F.struct(F.lit("rows_differ").alias("check"), F.col("mismatches").alias("violations")), F.struct(F.lit("rows_missing").alias("check"), F.col("missing").alias("violations")))).alias("x")).select("x.*")
@@ -103,9 +103,9 @@ def identity_evidence(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
     day = F.date_format("o_orderdate", "yyyy-MM-dd")
     sha = F.sha2(day, 256)
-    docs = o.select(K.alias("doc_id"), F.when(K % 23 != 0, F.col("o_custkey").cast("string")).alias("entity_id"), F.when(K % 19 == 0, "x").otherwise("13010").alias("code"), pick(["120", "130", "999", "120"], K).alias("doc_type"))
-    locators = o.where(K % 13 != 0).select(K.alias("doc_id"), day.alias("file"), F.when(K % 17 == 0, -K).otherwise(K).alias("seq"), day.alias("day"), F.when(K % 29 == 0, "0").otherwise(sha).alias("sha256"))
-    events = o.select(day.alias("file"), K.alias("seq"), day.alias("day"), sha.alias("sha256"), K.alias("doc_id"), F.when(K % 31 == 0, "z").otherwise(F.col("o_custkey").cast("string")).alias("entity_id"), F.lit("13010").alias("code"), pick(["120", "130", "999", "120"], K).alias("doc_type"), F.when(K % 37 == 0, "f").alias("fund_code"), F.lit("").alias("subject_id"), F.lit(None).cast("string").alias("issuer_id"))
+    docs = o.select(F.col(KEY).alias("doc_id"), F.when(F.col(KEY) % 23 != 0, F.col("o_custkey").cast("string")).alias("entity_id"), F.when(F.col(KEY) % 19 == 0, "x").otherwise("13010").alias("code"), pick(["120", "130", "999", "120"], F.col(KEY)).alias("doc_type"))
+    locators = o.where(F.col(KEY) % 13 != 0).select(F.col(KEY).alias("doc_id"), day.alias("file"), F.when(F.col(KEY) % 17 == 0, -F.col(KEY)).otherwise(F.col(KEY)).alias("seq"), day.alias("day"), F.when(F.col(KEY) % 29 == 0, "0").otherwise(sha).alias("sha256"))
+    events = o.select(day.alias("file"), F.col(KEY).alias("seq"), day.alias("day"), sha.alias("sha256"), F.col(KEY).alias("doc_id"), F.when(F.col(KEY) % 31 == 0, "z").otherwise(F.col("o_custkey").cast("string")).alias("entity_id"), F.lit("13010").alias("code"), pick(["120", "130", "999", "120"], F.col(KEY)).alias("doc_type"), F.when(F.col(KEY) % 37 == 0, "f").alias("fund_code"), F.lit("").alias("subject_id"), F.lit(None).cast("string").alias("issuer_id"))
     return evidence.identity_evidence(docs, locators, events, ["120", "130"])
 
 
@@ -117,8 +117,8 @@ def identity_candidates(spark, sf_dir):
     """How often a part's code stood on an order line's day: evidence, never an identity."""
     li = table(spark, sf_dir, "lineitem")
     rows = li.select(F.to_date("l_shipdate").alias("day"), F.col("l_partkey").alias("code"))
-    asked = table(spark, sf_dir, "orders").join(li, F.col("l_orderkey") == K).groupBy(KEY).agg(F.min(F.struct(F.to_date("l_shipdate").alias("day"), F.col("l_partkey").alias("code"))).alias("x"))
-    asked = asked.select(KEY, F.when(K % 3 == 0, F.date_sub("x.day", 3000)).otherwise(F.col("x.day")).alias("day"), "x.code")
+    asked = table(spark, sf_dir, "orders").join(li, F.col("l_orderkey") == F.col(KEY)).groupBy(KEY).agg(F.min(F.struct(F.to_date("l_shipdate").alias("day"), F.col("l_partkey").alias("code"))).alias("x"))
+    asked = asked.select(KEY, F.when(F.col(KEY) % 3 == 0, F.date_sub("x.day", 3000)).otherwise(F.col("x.day")).alias("day"), "x.code")
     return identity.identity_candidates(asked, rows, [KEY])
 
 
@@ -131,8 +131,8 @@ def gap_resolution(spark, sf_dir):
     o, li = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
     k = F.col("l_orderkey")
     events = li.where(k % 5 != 0).select(k.alias("doc_id"), F.when(k % 3 == 0, "1999-01-01").otherwise("2000-01-01").alias("day"), F.when((k % 7 == 0) & (F.col("l_linenumber") == 2), "b").otherwise("a").alias("entity_id"), F.lit("1").alias("code"), F.lit("2000-01-01 10:00").alias("submitted"), F.lit("120").alias("doc_type"), F.lit("").alias("period_start"), F.lit("").alias("period_end"), (k % 2 == 0).alias("warned"))
-    originals = o.where(K % 11 != 0).select(K.alias("doc_id"), F.when(K % 13 == 0, "FAILED").otherwise("PASS").alias("parse_status"), F.when(K % 17 == 0, F.array(F.lit("a"), F.lit("b"))).when(K % 19 == 0, F.array(F.lit("b"))).otherwise(F.array(F.lit("a"))).alias("codes"))
-    return evidence.gap_resolution(o.select(K.alias("doc_id")), events, originals)
+    originals = o.where(F.col(KEY) % 11 != 0).select(F.col(KEY).alias("doc_id"), F.when(F.col(KEY) % 13 == 0, "FAILED").otherwise("PASS").alias("parse_status"), F.when(F.col(KEY) % 17 == 0, F.array(F.lit("a"), F.lit("b"))).when(F.col(KEY) % 19 == 0, F.array(F.lit("b"))).otherwise(F.array(F.lit("a"))).alias("codes"))
+    return evidence.gap_resolution(o.select(F.col(KEY).alias("doc_id")), events, originals)
 
 
 _GAP_SQL = """WITH e AS (SELECT l_orderkey AS k, count(DISTINCT CASE WHEN l_orderkey % 7 = 0 AND l_linenumber = 2 THEN 'b' ELSE 'a' END) AS c, min(CASE WHEN l_orderkey % 7 = 0 AND l_linenumber = 2 THEN 'b' ELSE 'a' END) AS e FROM lineitem WHERE l_orderkey % 5 <> 0 GROUP BY 1),
@@ -143,7 +143,7 @@ SELECT doc_id, CASE WHEN c IS NOT NULL AND doc_id % 2 = 0 THEN 'daily_file_rejec
 def overlap_sample(spark, sf_dir):
     """The line that two sources' samples share: the first, else the least common document's first."""
     li = table(spark, sf_dir, "lineitem").select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("line"), F.col("l_orderkey").alias("doc_id"))
-    return evidence.overlap_sample(li, table(spark, sf_dir, "orders").where(K % 50 == 7).select(K.alias("doc_id")))
+    return evidence.overlap_sample(li, table(spark, sf_dir, "orders").where(F.col(KEY) % 50 == 7).select(F.col(KEY).alias("doc_id")))
 
 
 _OVERLAP_SQL = "SELECT l_orderkey AS doc_id, l_orderkey * 10 + l_linenumber AS line, 'sorted_intersection_doc_id_then_first_line' AS rule FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 50 = 7) ORDER BY 1, 2 LIMIT 1"
@@ -153,8 +153,8 @@ def list_tie(spark, sf_dir):
     """Orders on the list of their day; some lists lack them, some days have no list."""
     o = table(spark, sf_dir, "orders")
     day = F.to_date("o_orderdate")
-    events = o.where((K % 6 != 0) & (F.dayofmonth("o_orderdate") != 13)).select(K.alias("doc_id"), day.alias("day"), K.alias("seq"))
-    return evidence.list_tie(o.select(K.alias("doc_id"), day.alias("day")), events.union(events.where("doc_id % 5 = 0")))
+    events = o.where((F.col(KEY) % 6 != 0) & (F.dayofmonth("o_orderdate") != 13)).select(F.col(KEY).alias("doc_id"), day.alias("day"), F.col(KEY).alias("seq"))
+    return evidence.list_tie(o.select(F.col(KEY).alias("doc_id"), day.alias("day")), events.union(events.where("doc_id % 5 = 0")))
 
 
 _LIST_SQL = """WITH d AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders WHERE o_orderkey % 6 <> 0 AND day(o_orderdate) <> 13)
@@ -180,7 +180,7 @@ SELECT 'duplicate_id' AS "check", count(*) AS violations FROM o WHERE n > 1 UNIO
 def source_counts(spark, sf_dir):
     """Samples, sources, ranges, acceptance, statuses and views: one row a figure."""
     o = table(spark, sf_dir, "orders")
-    docs = o.select(K.alias("doc_id"), F.col("o_orderpriority").alias("sample_kind"), F.when(K % 3 != 0, F.col("o_custkey")).alias("entity"), (K % 2 == 0).alias("integrity"), (K % 5 == 0).alias("tie"), (K % 7 == 0).alias("parse"), F.when(K % 4 == 0, "PASS").otherwise("BLOCKED").alias("status"), F.col("o_orderstatus").alias("source"), (K % 1000 == 0).alias("data_fetched"), (K % 2 == 0).alias("schema_profiled"), (K < 0).alias("original_tied"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"), F.col("o_custkey").alias("key"))
+    docs = o.select(F.col(KEY).alias("doc_id"), F.col("o_orderpriority").alias("sample_kind"), F.when(F.col(KEY) % 3 != 0, F.col("o_custkey")).alias("entity"), (F.col(KEY) % 2 == 0).alias("integrity"), (F.col(KEY) % 5 == 0).alias("tie"), (F.col(KEY) % 7 == 0).alias("parse"), F.when(F.col(KEY) % 4 == 0, "PASS").otherwise("BLOCKED").alias("status"), F.col("o_orderstatus").alias("source"), (F.col(KEY) % 1000 == 0).alias("data_fetched"), (F.col(KEY) % 2 == 0).alias("schema_profiled"), (F.col(KEY) < 0).alias("original_tied"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"), F.col("o_custkey").alias("key"))
 
     def long(rows, name, by, *columns):
         pairs = F.array(*[F.struct(F.lit(c).alias("figure"), F.col(c).cast("string").alias("value")) for c in columns])
@@ -213,7 +213,7 @@ def source_matrix(spark, sf_dir):
     """Every fifth order and each source's table: lines there, or why none."""
     li = table(spark, sf_dir, "lineitem")
     rows = li.select(F.col("l_orderkey").alias("doc_id"), F.concat(F.lit("s"), (F.col("l_suppkey") % 2).cast("string")).alias("source"), F.col("l_linestatus").alias("table"), F.col("l_linenumber").cast("string").alias("row_id"))
-    docs = table(spark, sf_dir, "orders").where(K % 5 == 0).select(K.alias("doc_id"))
+    docs = table(spark, sf_dir, "orders").where(F.col(KEY) % 5 == 0).select(F.col(KEY).alias("doc_id"))
     out = coverage.source_matrix(docs, [("s0", "O"), ("s0", "F"), ("s1", "O"), ("s9", "X")], rows)
     return out.withColumn("ids", F.array_join("ids", ","))
 
@@ -234,8 +234,8 @@ _FIRST_SQL = "SELECT l_orderkey, l_linenumber, l_suppkey, CAST(l_quantity AS INT
 def screening_list(spark, sf_dir):
     """Fixed orders, then each status's first four by hash, then all by hash: the first forty."""
     o = table(spark, sf_dir, "orders")
-    ranked = o.select(KEY, "o_orderstatus", sampling.hash_of("7", K).alias("rank"))
-    fixed = ranked.where(K % 1000 == 1).select(KEY, F.lpad(K.cast("string"), 12, "0").alias("rank"))
+    ranked = o.select(KEY, "o_orderstatus", sampling.hash_of("7", F.col(KEY)).alias("rank"))
+    fixed = ranked.where(F.col(KEY) % 1000 == 1).select(KEY, F.lpad(F.col(KEY).cast("string"), 12, "0").alias("rank"))
     frames = [fixed] + [ranked.where(F.col("o_orderstatus") == s).orderBy("rank", KEY).limit(4).select(KEY, "rank") for s in ("O", "F", "P")] + [ranked.select(KEY, "rank")]
     return sampling.screening_list(frames, KEY, 40).select(KEY, F.col("place.part").alias("part"))
 
@@ -277,12 +277,12 @@ def package_edges(spark, sf_dir):
     """All relations of a package laid out from orders and lines, counted, and required edges that were taken away."""
     o, li = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
     line = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_suppkey")
-    docs = o.select(K.alias("doc_id"), F.col("o_custkey").alias("entity_id"), F.when(K % 3 == 0, K - 1).alias("parent_id"))
+    docs = o.select(F.col(KEY).alias("doc_id"), F.col("o_custkey").alias("entity_id"), F.when(F.col(KEY) % 3 == 0, F.col(KEY) - 1).alias("parent_id"))
     facts = li.select(line.alias("fact_id"), F.col("l_orderkey").alias("doc_id"), F.when(F.col("l_suppkey") % 5 == 0, "derived").otherwise("reported").alias("representation"), F.array(F.col("l_partkey"), F.col("l_suppkey")).alias("input_ids"), F.concat(F.lit("c"), line).alias("candidate_id"))
-    securities = o.select(K.alias("mapping_id"), F.col("o_custkey").alias("entity_id"), K.alias("evidence_id"), F.array(K, K + 1).alias("decision_ids"), F.array(K + 2).alias("entry_ids"))
-    joins = o.select(K.alias("row_id"), K.alias("fact_id"), F.when(K % 2 == 0, K).alias("mapping_id"), K.alias("observation_id"), K.alias("evidence_id"), F.array(K, K + 1).alias("calendar_ids"))
+    securities = o.select(F.col(KEY).alias("mapping_id"), F.col("o_custkey").alias("entity_id"), F.col(KEY).alias("evidence_id"), F.array(F.col(KEY), F.col(KEY) + 1).alias("decision_ids"), F.array(F.col(KEY) + 2).alias("entry_ids"))
+    joins = o.select(F.col(KEY).alias("row_id"), F.col(KEY).alias("fact_id"), F.when(F.col(KEY) % 2 == 0, F.col(KEY)).alias("mapping_id"), F.col(KEY).alias("observation_id"), F.col(KEY).alias("evidence_id"), F.array(F.col(KEY), F.col(KEY) + 1).alias("calendar_ids"))
     links = li.select(line.alias("comparison_id"), F.col("l_partkey").alias("source_row_id"), F.array("l_orderkey").alias("origin_ids"), F.array("l_suppkey").alias("fact_ids"), F.array().cast("array<string>").alias("component_ids"))
-    observations = o.select(K.alias("observation_id"))
+    observations = o.select(F.col(KEY).alias("observation_id"))
     edges = lineage.package_edges({"documents": docs, "canonical_facts": facts, "securities": securities, "pit_join_rows": joins, "derived_source_links": links, "market_observations": observations, "trading_calendar": observations})
     counted = edges.groupBy("relation").agg(F.count("*").alias("n"))
     lost = lineage.missing_edges(edges.where("relation in ('reported_in', 'financial')"), edges.where(~F.col("src").endswith("7")))
@@ -301,18 +301,18 @@ SELECT relation, CAST(n AS BIGINT) AS n FROM n WHERE n > 0"""
 def integrity_checks(spark, sf_dir):
     """PASS rows, facts, fingerprints, manifests, mirrors, comparisons and stages against what they name."""
     o = table(spark, sf_dir, "orders")
-    text, at = K.cast("string"), F.col("o_orderdate").cast("timestamp")
-    facts = o.where(K % 101 != 0).select(K.alias("fact_id"), K.alias("doc_id"), F.col("o_custkey").alias("entity_id"), F.col("o_orderstatus").alias("value"), F.when(K % 103 == 0, F.date_add(F.to_date(at), 9).cast("timestamp")).otherwise(at).alias("available_at"), text.alias("sha256"), F.when(K % 107 != 0, K).alias("element_index"))
-    mappings = o.select(K.alias("mapping_id"), F.col("o_custkey").alias("entity_id"), F.when(K % 109 == 0, "x").otherwise("s").alias("security_id"))
-    prices = o.select(K.alias("observation_id"), F.lit("c").alias("code"), F.when(K % 113 == 0, 0).otherwise(1).alias("close"), at.alias("available_at"))
-    joins = o.select(K.alias("row_id"), F.when(K % 2 == 0, "PASS").otherwise("BLOCKED").alias("status"), K.alias("fact_id"), K.alias("mapping_id"), K.alias("observation_id"), F.when(K % 127 == 0, -K).otherwise(K).alias("doc_id"), F.col("o_custkey").alias("entity_id"), F.lit("s").alias("security_id"), F.lit("c").alias("code"), F.col("o_orderstatus").alias("value"), F.lit(1).alias("price"), F.date_add(F.to_date(at), 5).cast("timestamp").alias("decision_at"), (K % 131 == 0).alias("execution_claim"), F.lit("NOT ESTABLISHED").alias("system_replay"), at.alias("available_at"))
-    docs = o.where(K % 137 != 0).select(K.alias("doc_id"), F.when(K % 139 == 0, 0).otherwise(F.col("o_custkey")).alias("entity_id"), F.when(K % 149 == 0, "?").otherwise(text).alias("sha256"))
-    files = o.select(text.alias("path"), F.when(K % 151 == 0, "?").otherwise(text).alias("sha256"))
+    text, at = F.col(KEY).cast("string"), F.col("o_orderdate").cast("timestamp")
+    facts = o.where(F.col(KEY) % 101 != 0).select(F.col(KEY).alias("fact_id"), F.col(KEY).alias("doc_id"), F.col("o_custkey").alias("entity_id"), F.col("o_orderstatus").alias("value"), F.when(F.col(KEY) % 103 == 0, F.date_add(F.to_date(at), 9).cast("timestamp")).otherwise(at).alias("available_at"), text.alias("sha256"), F.when(F.col(KEY) % 107 != 0, F.col(KEY)).alias("element_index"))
+    mappings = o.select(F.col(KEY).alias("mapping_id"), F.col("o_custkey").alias("entity_id"), F.when(F.col(KEY) % 109 == 0, "x").otherwise("s").alias("security_id"))
+    prices = o.select(F.col(KEY).alias("observation_id"), F.lit("c").alias("code"), F.when(F.col(KEY) % 113 == 0, 0).otherwise(1).alias("close"), at.alias("available_at"))
+    joins = o.select(F.col(KEY).alias("row_id"), F.when(F.col(KEY) % 2 == 0, "PASS").otherwise("BLOCKED").alias("status"), F.col(KEY).alias("fact_id"), F.col(KEY).alias("mapping_id"), F.col(KEY).alias("observation_id"), F.when(F.col(KEY) % 127 == 0, -F.col(KEY)).otherwise(F.col(KEY)).alias("doc_id"), F.col("o_custkey").alias("entity_id"), F.lit("s").alias("security_id"), F.lit("c").alias("code"), F.col("o_orderstatus").alias("value"), F.lit(1).alias("price"), F.date_add(F.to_date(at), 5).cast("timestamp").alias("decision_at"), (F.col(KEY) % 131 == 0).alias("execution_claim"), F.lit("NOT ESTABLISHED").alias("system_replay"), at.alias("available_at"))
+    docs = o.where(F.col(KEY) % 137 != 0).select(F.col(KEY).alias("doc_id"), F.when(F.col(KEY) % 139 == 0, 0).otherwise(F.col("o_custkey")).alias("entity_id"), F.when(F.col(KEY) % 149 == 0, "?").otherwise(text).alias("sha256"))
+    files = o.select(text.alias("path"), F.when(F.col(KEY) % 151 == 0, "?").otherwise(text).alias("sha256"))
     refs = o.select(text.alias("path"), text.alias("sha256"))
-    links = o.select(K.alias("comparison_id"), F.when(K % 3 == 0, "PASS").otherwise("BLOCKED").alias("status"), K.alias("row_id"), F.array(K, K + 1).alias("origin_ids"), F.array(K).alias("fact_ids"), (K % 157 == 0).alias("promoted"), (K % 163 == 0).cast("int").alias("independent_evidence"))
+    links = o.select(F.col(KEY).alias("comparison_id"), F.when(F.col(KEY) % 3 == 0, "PASS").otherwise("BLOCKED").alias("status"), F.col(KEY).alias("row_id"), F.array(F.col(KEY), F.col(KEY) + 1).alias("origin_ids"), F.array(F.col(KEY)).alias("fact_ids"), (F.col(KEY) % 157 == 0).alias("promoted"), (F.col(KEY) % 163 == 0).cast("int").alias("independent_evidence"))
     sizes = o.groupBy("o_orderstatus").agg(F.count("*").alias("rows")).select(F.col("o_orderstatus").alias("name"), "rows", F.lit("h").alias("schema_hash"))
     wrong = sizes.withColumn("rows", F.when(F.col("name") == "P", F.col("rows") + 1).otherwise(F.col("rows"))).where("name <> 'F'")
-    stages = o.where(K % 500 == 1).select(K.alias("stage"), (K % 1000 == 1).alias("synthetic"), F.when(K % 1500 == 1, "b").otherwise("a").alias("parent_snapshot_id"), F.lit("h").alias("inherited_sha256"))
+    stages = o.where(F.col(KEY) % 500 == 1).select(F.col(KEY).alias("stage"), (F.col(KEY) % 1000 == 1).alias("synthetic"), F.when(F.col(KEY) % 1500 == 1, "b").otherwise("a").alias("parent_snapshot_id"), F.lit("h").alias("inherited_sha256"))
     parts = [
         validate.join_integrity(joins, facts, mappings, prices),
         validate.no_future(joins.withColumn("value", F.when(F.col("row_id") % 167 != 0, F.col("value")))),
@@ -321,7 +321,7 @@ def integrity_checks(spark, sf_dir):
         validate.preserved(refs, files.where(F.col("path") != "1")),
         validate.manifest_matches(sizes, wrong),
         validate.mirrors(links),
-        validate.comparison_checks(links, o.where(K % 9 != 0).select(K.alias("row_id")), o.select(K.alias("origin_id")), o.where(K % 10 != 0).select(K.alias("fact_id"))),
+        validate.comparison_checks(links, o.where(F.col(KEY) % 9 != 0).select(F.col(KEY).alias("row_id")), o.select(F.col(KEY).alias("origin_id")), o.where(F.col(KEY) % 10 != 0).select(F.col(KEY).alias("fact_id"))),
         validate.stage_consistency(stages, spark.createDataFrame([("a", "h")], "snapshot_id string, sha256 string"), False),
     ]
     return validate.report(parts)
@@ -348,8 +348,8 @@ UNION ALL SELECT 'input_evidence_mismatch', count(*) FROM k WHERE k % 500 = 1 AN
 def bulk_tie(spark, sf_dir):
     """Files against a listing with one entry of their key and size."""
     o = table(spark, sf_dir, "orders")
-    files = o.select(K.cast("string").alias("file"), K.alias("key"), F.col("o_custkey").alias("size"))
-    listing = o.where(K % 7 != 0).select(K.alias("key"), (F.col("o_custkey") + (K % 5 == 0).cast("int")).alias("size"))
+    files = o.select(F.col(KEY).cast("string").alias("file"), F.col(KEY).alias("key"), F.col("o_custkey").alias("size"))
+    listing = o.where(F.col(KEY) % 7 != 0).select(F.col(KEY).alias("key"), (F.col("o_custkey") + (F.col(KEY) % 5 == 0).cast("int")).alias("size"))
     return market.bulk_tie(files, listing.union(listing.where("key % 11 = 0"))).select("file", "missing_reason")
 
 
@@ -359,7 +359,7 @@ _BULK_SQL = "SELECT CAST(o_orderkey AS VARCHAR) AS file, CASE WHEN o_orderkey %
 def file_selection(spark, sf_dir):
     """Files of months that a window overlaps, the calendar's always, and the lines that codes and windows keep."""
     o, li = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
-    windows = o.where(K % 997 == 0).select(F.to_date("o_orderdate").alias("first_day"), F.date_add(F.to_date("o_orderdate"), 20).alias("last_day"))
+    windows = o.where(F.col(KEY) % 997 == 0).select(F.to_date("o_orderdate").alias("first_day"), F.date_add(F.to_date("o_orderdate"), 20).alias("last_day"))
     month = F.trunc("l_shipdate", "month")
     manifest = li.select(month.alias("first"), F.last_day(month).alias("last")).distinct().select(F.lit("equities_bars_daily").alias("dataset"), F.lit("r1").alias("revision"), F.col("first").cast("string").alias("file"), "first", "last")
     manifest = manifest.union(manifest.select(F.lit("markets_calendar"), F.lit("r1"), F.concat(F.lit("c"), "file"), "first", "last"))
@@ -390,7 +390,7 @@ _BY_IDS_SQL = "SELECT o_orderkey, o_custkey, 'orders.parquet' AS file, true AS p
 def ledgers(spark, sf_dir):
     """Failure ledgers of three stages as one: columns that a stage lacks are null."""
     o = table(spark, sf_dir, "orders")
-    parts = {"p2": o.where(K % 7 == 0).select(K.alias("doc_id"), F.lit("raw_missing").alias("reason")), "p3": o.where(K % 11 == 0).select(K.alias("doc_id"), K.alias("fact_id"), F.lit("reported_nil").alias("reason")), "p4": o.where(K % 13 == 0).select(K.alias("fact_id"), F.lit("price_missing").alias("reason"))}
+    parts = {"p2": o.where(F.col(KEY) % 7 == 0).select(F.col(KEY).alias("doc_id"), F.lit("raw_missing").alias("reason")), "p3": o.where(F.col(KEY) % 11 == 0).select(F.col(KEY).alias("doc_id"), F.col(KEY).alias("fact_id"), F.lit("reported_nil").alias("reason")), "p4": o.where(F.col(KEY) % 13 == 0).select(F.col(KEY).alias("fact_id"), F.lit("price_missing").alias("reason"))}
     return package.failure_ledger(parts).groupBy("stage", "reason").agg(F.count("*").alias("n"), F.count("doc_id").alias("documents"), F.count("fact_id").alias("facts"))
 
 

@@ -27,7 +27,7 @@ def picked(values: list, k: str) -> str:
     return f"([{', '.join(map(literal, values))}])[{k} % {len(values)} + 1]"
 
 
-K, KEY = F.col("o_orderkey"), "o_orderkey"
+KEY = "o_orderkey"
 
 NUMBERS = ["12", "1e3", " 7 ", "", "abc", "NaN", "0.12345678912", "-5.50", None, "+.5", "1E-9", "Infinity"]
 NUMBER_VALUES = ["12", "1000", "7", None, None, None, None, "-5.5", None, "0.5", "0.000000001", None]
@@ -36,7 +36,7 @@ NUMBER_REASONS = [None, None, None, None, "invalid_market_number", "invalid_mark
 
 def strict_numbers(spark, sf_dir):
     """Provider numbers: exact, empty, or with a reason; never rounded."""
-    value, reason = contracts.market_number(pick(NUMBERS, K))
+    value, reason = contracts.market_number(pick(NUMBERS, F.col(KEY)))
     return table(spark, sf_dir, "orders").select(KEY, contracts.canonical_number(value.cast("decimal(38,9)").cast("string")).alias("number"), reason.alias("reason"))
 
 
@@ -47,7 +47,7 @@ PAIRS = [("1e3", "1000", True), ("NaN", "NaN", False), ("1.50", "1.5", True), ("
 
 def scalar_equality(spark, sf_dir):
     """Pairs of scalars: numbers by value, exponents and all; what isn't finite equals nothing."""
-    a, b = pick([p[0] for p in PAIRS], K), pick([p[1] for p in PAIRS], K)
+    a, b = pick([p[0] for p in PAIRS], F.col(KEY)), pick([p[1] for p in PAIRS], F.col(KEY))
     return table(spark, sf_dir, "orders").select(KEY, contracts.scalar_equal(a, b).alias("equal"))
 
 
@@ -58,7 +58,7 @@ OFFSETS = ["Z", "+09:00", "", "+0900", "-05:30"]
 
 def strict_instants(spark, sf_dir):
     """Order times with an offset as instants; without a full one they are unknown."""
-    text = F.concat(F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss"), pick(OFFSETS, K))
+    text = F.concat(F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss"), pick(OFFSETS, F.col(KEY)))
     return table(spark, sf_dir, "orders").select(KEY, F.unix_timestamp(contracts.strict_instant(text)).alias("seconds"))
 
 
@@ -67,8 +67,8 @@ _INSTANT_SQL = f"SELECT o_orderkey, CAST(epoch(CAST(o_orderdate AS TIMESTAMP)) -
 
 def content_ids(spark, sf_dir):
     """Content hashes over sorted keys that keep nulls and non-ASCII text."""
-    code = F.when(K % 3 == 0, F.lit(None).cast("string")).otherwise("é")
-    return table(spark, sf_dir, "orders").select(KEY, contracts.content_id({"b": K, "a": F.col("o_orderstatus"), "n": code}).alias("id"))
+    code = F.when(F.col(KEY) % 3 == 0, F.lit(None).cast("string")).otherwise("é")
+    return table(spark, sf_dir, "orders").select(KEY, contracts.content_id({"b": F.col(KEY), "a": F.col("o_orderstatus"), "n": code}).alias("id"))
 
 
 _IDS_SQL = """SELECT o_orderkey, sha256('{"a":"' || o_orderstatus || '","b":' || o_orderkey || ',"n":' || CASE WHEN o_orderkey % 3 = 0 THEN 'null' ELSE '"é"' END || '}') AS id FROM orders"""
@@ -90,12 +90,12 @@ INSTANTS = [False, True, False, False, False, False, False, False, True, False,
 def periods(spark, sf_dir):
     """Contexts' periods by dates and names: kind, class, reason, warning."""
     d = F.to_date("o_orderdate")
-    shape = K % 5
+    shape = F.col(KEY) % 5
     start = F.when(shape.isin(0, 1, 4), d)
     end = F.when(shape == 0, F.date_add(d, 90)).when(shape == 1, F.date_sub(d, 1))
     instant = F.when(shape.isin(2, 4), d)
     kind, reason = rules.period_kind(start, end, instant)
-    cls, warning = rules.period_class(pick(NAMES, K), kind)
+    cls, warning = rules.period_class(pick(NAMES, F.col(KEY)), kind)
     return table(spark, sf_dir, "orders").select(KEY, kind.alias("kind"), reason.alias("reason"), cls.alias("class"), warning.alias("warning"))
 
 
@@ -114,11 +114,11 @@ def scopes(spark, sf_dir):
     shapes = [dims(), dims((AXIS, SOLO)), dims((AXIS, GROUP)), dims((AXIS, SOLO), (AXIS, GROUP)), dims(("segment", "x")), dims((AXIS, "unknown"))]
     dimensions = shapes[5]
     for i, s in enumerate(shapes[:5]):
-        dimensions = F.when(K % 6 == i, s).otherwise(dimensions)
-    solo_name = (K % 6 == 1) != (K % 13 == 0)
+        dimensions = F.when(F.col(KEY) % 6 == i, s).otherwise(dimensions)
+    solo_name = (F.col(KEY) % 6 == 1) != (F.col(KEY) % 13 == 0)
     rows = table(spark, sf_dir, "orders").select(
         KEY, F.concat(F.lit("CurrentYearDuration"), F.when(solo_name, rules.SOLO_SUFFIX).otherwise("")).alias("context_id"), d.alias("start"), F.date_add(d, 364).alias("end"), F.lit(None).cast("date").alias("instant"), dimensions.alias("dimensions"),
-        F.when(K % 17 == 0, "E99999").when(K % 19 == 0, "E00001-000").otherwise("E00001").alias("entity"), F.lit("E00001").alias("dei_entity"), (K % 7 != 0).alias("dei_consolidated"), d.alias("dei_year_start"), F.date_add(d, F.when(K % 11 == 0, 365).otherwise(364)).alias("dei_year_end"),
+        F.when(F.col(KEY) % 17 == 0, "E99999").when(F.col(KEY) % 19 == 0, "E00001-000").otherwise("E00001").alias("entity"), F.lit("E00001").alias("dei_entity"), (F.col(KEY) % 7 != 0).alias("dei_consolidated"), d.alias("dei_year_start"), F.date_add(d, F.when(F.col(KEY) % 11 == 0, 365).otherwise(364)).alias("dei_year_end"),
     )
     out = rules.judge_contexts(rows, AXIS, {SOLO: "standalone", GROUP: "consolidated"})
     return out.select(KEY, "period_kind", "period_class", "scope", "context_reason", "context_warning", F.col("fiscal_year_start").cast("string").alias("fiscal_year_start"))
@@ -135,8 +135,8 @@ def units(spark, sf_dir):
     def some(*x):
         return F.array(*[F.lit(v) for v in x]).cast("array<string>")
 
-    top = F.when(K % 4 == 0, some("m")).when(K % 4 == 1, some("s")).when(K % 4 == 2, some("m", "s")).otherwise(some("s", "m"))
-    low = F.when(K % 3 == 0, some()).when(K % 3 == 1, some("s")).otherwise(some("m"))
+    top = F.when(F.col(KEY) % 4 == 0, some("m")).when(F.col(KEY) % 4 == 1, some("s")).when(F.col(KEY) % 4 == 2, some("m", "s")).otherwise(some("s", "m"))
+    low = F.when(F.col(KEY) % 3 == 0, some()).when(F.col(KEY) % 3 == 1, some("s")).otherwise(some("m"))
     return table(spark, sf_dir, "orders").select(KEY, rules.unit_of(top, low, "m", "s").alias("unit"))
 
 
@@ -166,8 +166,8 @@ PATHS = ["a/b.csv", "/a", "../a", "a/../b", "c:\\a", "", "a\\..\\b", "a..b/c"]
 
 def locators_valid(spark, sf_dir):
     """Locators by path, size, hashes and index."""
-    sha = F.sha2(K.cast("string"), 256)
-    ok = contracts.locator_valid(pick(PATHS, K), K % 9, F.when(K % 10 == 0, F.upper(sha)).otherwise(sha), F.when(K % 7 == 0, F.lit(None).cast("string")).otherwise(sha), K % 5)
+    sha = F.sha2(F.col(KEY).cast("string"), 256)
+    ok = contracts.locator_valid(pick(PATHS, F.col(KEY)), F.col(KEY) % 9, F.when(F.col(KEY) % 10 == 0, F.upper(sha)).otherwise(sha), F.when(F.col(KEY) % 7 == 0, F.lit(None).cast("string")).otherwise(sha), F.col(KEY) % 5)
     return table(spark, sf_dir, "orders").select(KEY, ok.alias("valid"))
 
 
@@ -177,9 +177,9 @@ _LOCATOR_SQL = f"SELECT o_orderkey, {picked([True, False, False, False, False, F
 def metadata_availability(spark, sf_dir):
     """When a filing's metadata was known: the latest of submit and edits, unknown with a conflict or an unknown edit."""
     li = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.collect_list(F.struct(F.when(F.col("l_suppkey") % 23 != 0, F.col("l_shipdate")).alias("t"))).alias("e"))
-    o = table(spark, sf_dir, "orders").join(li, F.col("l_orderkey") == K, "left")
+    o = table(spark, sf_dir, "orders").join(li, F.col("l_orderkey") == F.col(KEY), "left")
     edits = F.coalesce(F.transform("e", lambda x: x["t"].cast("timestamp")), F.array().cast("array<timestamp>"))
-    conflicts = F.when(K % 29 == 0, F.array(F.lit("revision_parent_ambiguous"))).otherwise(F.array().cast("array<string>"))
+    conflicts = F.when(F.col(KEY) % 29 == 0, F.array(F.lit("revision_parent_ambiguous"))).otherwise(F.array().cast("array<string>"))
     return o.select(KEY, F.date_format(rules.metadata_availability(F.col("o_orderdate").cast("timestamp"), edits, conflicts), "yyyy-MM-dd").alias("known"))
 
 
@@ -202,7 +202,7 @@ FAILURES = ["source_byte_integrity_failed", "file_changed", "ambiguous_versions"
 
 
 def failure_classes(spark, sf_dir):
-    return table(spark, sf_dir, "orders").select(contracts.failure_class(pick(FAILURES, K)).alias("class")).groupBy("class").agg(F.count("*").alias("n"))
+    return table(spark, sf_dir, "orders").select(contracts.failure_class(pick(FAILURES, F.col(KEY))).alias("class")).groupBy("class").agg(F.count("*").alias("n"))
 
 
 _FAILURE_SQL = f"SELECT {picked(['byte_integrity_failed', 'byte_integrity_failed', 'identifier_ambiguous', 'identifier_ambiguous', 'raw_missing', 'raw_size_limit', 'local_archive_contract_failed', None], KEY)} AS class, count(*) AS n FROM orders GROUP BY 1"
@@ -211,9 +211,9 @@ _FAILURE_SQL = f"SELECT {picked(['byte_integrity_failed', 'byte_integrity_failed
 def sample_categories(spark, sf_dir):
     """Orders' challenge categories from metadata, counted."""
     o = table(spark, sf_dir, "orders")
-    rows = o.select(K.alias("doc_id"), F.when(K % 9 != 0, F.col("o_custkey").cast("string")).alias("entity"), F.when(K % 4 == 0, "p").alias("parent_id"), pick(["1301", None, "130A", "7203"], K).alias("code"), (K % 8 == 0).alias("status_odd"), F.col("o_orderstatus").alias("name"), F.floor("o_totalprice").cast("bigint").alias("size"))
+    rows = o.select(F.col(KEY).alias("doc_id"), F.when(F.col(KEY) % 9 != 0, F.col("o_custkey").cast("string")).alias("entity"), F.when(F.col(KEY) % 4 == 0, "p").alias("parent_id"), pick(["1301", None, "130A", "7203"], F.col(KEY)).alias("code"), (F.col(KEY) % 8 == 0).alias("status_odd"), F.col("o_orderstatus").alias("name"), F.floor("o_totalprice").cast("bigint").alias("size"))
     meta = sampling.metadata_categories(rows, 200_000).select(F.explode("cats").alias("category"))
-    profile = o.select(K.alias("doc_id"), F.array(pick(["IFRS", "US GAAP", "JP GAAP"], K)).alias("standards"), (K % 2).alias("n_dimensions"), (K % 3).alias("losses"), (K % 4).alias("members"), F.when(K % 5 == 0, F.array(F.lit("x"))).otherwise(F.array().cast("array<string>")).alias("failures"))
+    profile = o.select(F.col(KEY).alias("doc_id"), F.array(pick(["IFRS", "US GAAP", "JP GAAP"], F.col(KEY))).alias("standards"), (F.col(KEY) % 2).alias("n_dimensions"), (F.col(KEY) % 3).alias("losses"), (F.col(KEY) % 4).alias("members"), F.when(F.col(KEY) % 5 == 0, F.array(F.lit("x"))).otherwise(F.array().cast("array<string>")).alias("failures"))
     structure = sampling.structure_categories(profile).select(F.explode("cats").alias("category"))
     return meta.union(structure).groupBy("category").agg(F.count("*").alias("n"))
 
@@ -230,8 +230,8 @@ def dimension_compare(spark, sf_dir):
     def dim(a, m):
         return F.struct(a.alias("axis"), m.alias("member"))
 
-    a = F.array(dim(F.lit("x"), F.lit("1")), dim(pick(["scope", "y"], K), F.lit("2")))
-    b = F.array(dim(pick(["scope", "y"], K), pick(["2", "3", "2"], K)), dim(F.lit("x"), F.lit("1")))
+    a = F.array(dim(F.lit("x"), F.lit("1")), dim(pick(["scope", "y"], F.col(KEY)), F.lit("2")))
+    b = F.array(dim(pick(["scope", "y"], F.col(KEY)), pick(["2", "3", "2"], F.col(KEY))), dim(F.lit("x"), F.lit("1")))
     return table(spark, sf_dir, "orders").select(KEY, reconcile.dimensions_difference(a, b, "scope").alias("difference"))
 
 
