@@ -57,6 +57,51 @@ def unpivot_financials(rows: DataFrame, keys: list[str], fields: dict[str, tuple
     return long.select(*keys, "field", parts[0].alias("metric"), parts[1].alias("kind"), parts[2].alias("unit"), "value")
 
 
+# Annual reports by document type, and their fields as (metric, period kind, unit), by standard and scope where they differ.
+STATEMENTS = {"FYFinancialStatements_Consolidated_JP": ("consolidated", "JP GAAP"), "FYFinancialStatements_NonConsolidated_JP": ("standalone", "JP GAAP"), "FYFinancialStatements_Consolidated_IFRS": ("consolidated", "IFRS"), "FYFinancialStatements_NonConsolidated_IFRS": ("standalone", "IFRS")}
+FINANCIALS = {
+    "Sales": ({"JP GAAP": "revenue_sales", "IFRS": "revenue_ifrs"}, "duration", "JPY"),
+    "OP": ("operating_profit", "duration", "JPY"),
+    "NP": ({"consolidated": "net_profit_owners", "standalone": "net_profit_total"}, "duration", "JPY"),
+    "TA": ("assets_total", "instant", "JPY"),
+    "CFO": ("cfo", "duration", "JPY"),
+    "CFI": ("cfi", "duration", "JPY"),
+    "EPS": ("eps_basic_reported", "duration", "JPY/share"),
+    "BPS": ({"JP GAAP": "bps_net_assets_reported", "IFRS": "bps_definition_unresolved"}, "instant", "JPY/share"),
+    "Eq": ({"JP GAAP": "net_assets_total", "IFRS": "equity_definition_unresolved"}, "instant", "JPY"),
+    "ShOutFY": ("shares_issued_gross", "instant", "shares"),
+}
+
+
+def financial_observations(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Annual report rows (texts: DocType, CurPerType, CurPerSt, CurPerEn, DiscDate, DiscTime, RetroRst and FINANCIALS' columns) as one row a field.
+
+    Returns keys, field, metric, period_kind, period_class, period_start, period_end, instant_date, unit, scope, standard, value, reason,
+    restated, public_at. Rows of other kinds, without a full time or with a reversed period give nothing; an empty field is a row of no value.
+    """
+    said = F.create_map(*[F.lit(x) for k, v in STATEMENTS.items() for x in (k, "|".join(v))])
+    own = rows.withColumn("_said", said[F.col("DocType")]).where(F.col("_said").isNotNull() & (F.col("CurPerType") == "FY") & F.col("DiscTime").rlike(r"^\d{2}:\d{2}:\d{2}$"))
+    start, end = F.col("CurPerSt").try_cast("date"), F.col("CurPerEn").try_cast("date")
+    at = at_zone(F.concat_ws(" ", "DiscDate", "DiscTime").try_cast("timestamp"), JST)
+    own = own.withColumns({"_start": start, "_end": end, "_at": at}).where("_start <= _end and _at is not null")
+    long = own.unpivot([*keys, "_said", "_start", "_end", "_at", "RetroRst"], list(FINANCIALS), "field", "text")
+    scope, standard = (F.split("_said", r"\|")[i] for i in (0, 1))
+    metric, kind, unit = (F.lit(None).cast("string") for _ in range(3))
+    for name, (m, k, u) in FINANCIALS.items():
+        here = F.col("field") == name
+        if isinstance(m, dict):
+            by = F.lit(None).cast("string")
+            for of, text in m.items():
+                by = F.when((scope == of) | (standard == of), text).otherwise(by)
+        else:
+            by = F.lit(m)
+        metric, kind, unit = F.when(here, by).otherwise(metric), F.when(here, k).otherwise(kind), F.when(here, u).otherwise(unit)
+    value, reason = market_number(F.col("text"))
+    lasting = kind == "duration"
+    restated = F.col("RetroRst").isNotNull() & ~F.col("RetroRst").isin("", "false", "False", "0")
+    return long.select(*keys, "field", metric.alias("metric"), kind.alias("period_kind"), F.when(lasting, "annual").otherwise("instant").alias("period_class"), F.when(lasting, F.col("_start")).alias("period_start"), F.when(lasting, F.col("_end")).alias("period_end"), F.when(~lasting, F.col("_end")).alias("instant_date"), unit.alias("unit"), scope.alias("scope"), standard.alias("standard"), value.alias("value"), reason.alias("reason"), restated.alias("restated"), F.col("_at").alias("public_at"))
+
+
 def retention_gate(day: Column, now: Column, years: int = 10, margin_days: int = 31) -> Column:
     """outside, boundary or ok: how a day stands to the end of a retention period of years."""
     edge = F.add_months(now, -12 * years)

@@ -114,7 +114,8 @@ def compare_facts(rows: DataFrame, originals: DataFrame, stages: list[tuple[str,
 def document_link(rows: DataFrame, documents: DataFrame, fields: dict[str, str]) -> DataFrame:
     """rows(row_id, doc_id, submitted, fields...) with a reason unless every field supplied agrees with the document.
 
-    fields: column -> reason. An empty text equals null. Submit times are compared in the precision that both have.
+    fields: column -> reason. An empty text equals null. Submit dates are compared as days, times in
+    the document's precision.
     """
     d = documents.select("doc_id", F.col("submitted").alias("d_submitted"), F.lit(True).alias("known"), *[F.col(c).alias(f"d_{c}") for c in fields])
     met = rows.join(d, "doc_id", "left")
@@ -122,7 +123,7 @@ def document_link(rows: DataFrame, documents: DataFrame, fields: dict[str, str])
     def blank(c: str) -> Column:
         return F.when(F.col(c) != "", F.col(c))
 
-    width = F.least(F.length("submitted"), F.length("d_submitted"))
+    width = F.when(F.length("submitted") == 10, 10).otherwise(F.length("d_submitted"))
     late = F.col("submitted").isNotNull() & (F.coalesce(F.col("d_submitted"), F.lit("")) == "")
     checks = [(F.col("known").isNull(), "document_id_mismatch")]
     checks += [(F.col(c).isNotNull() & ~blank(c).eqNullSafe(blank(f"d_{c}")), why) for c, why in fields.items()]
@@ -187,6 +188,21 @@ def coalesce_components(wanted: DataFrame, rows: DataFrame, rules: DataFrame) ->
     return met.join(best, ["want_id", "priority"]).select("want_id", "row_id", "tag", "value", "priority")
 
 
+def summary_components(wanted: DataFrame, rows: DataFrame, rules: DataFrame) -> DataFrame:
+    """coalesce_components over summary rows only: of the wanted year, and consolidated where the document has any such row.
+
+    wanted: want_id, doc_id, field, year_offset (0, -1, ...); rows: doc_id, tag, context_id, row_id, value; rules: field, tag, priority. Contexts
+    are CurrentYear or Prior1Year to Prior4Year, Duration or Instant, with or without the standalone suffix; others don't count.
+    """
+    parts = [F.regexp_extract("context_id", r"^(CurrentYear|Prior([1-4])Year)(Duration|Instant)(_NonConsolidatedMember)?$", i) for i in (1, 2, 4)]
+    own = rows.select("*", parts[0].alias("_year"), F.when(parts[1] == "", 0).otherwise(-parts[1].try_cast("int")).alias("year_offset"), (parts[2] == "").alias("_group")).where("_year <> ''")
+    best = own.groupBy("doc_id").agg(F.bool_or("_group").alias("_group"))
+    picked = own.join(best, ["doc_id", "_group"]).where("value is not null")
+    met = wanted.join(rules, "field").join(picked.select("doc_id", "tag", "year_offset", "row_id", "value"), ["doc_id", "tag", "year_offset"])
+    first = met.groupBy("want_id").agg(F.min("priority").alias("priority"))
+    return met.join(first, ["want_id", "priority"]).select("want_id", "row_id", "tag", "value", "priority")
+
+
 def text_tie(rows: DataFrame, elements: DataFrame, keys: list[str], many: int = 1000, salts: int = 64) -> DataFrame:
     """(row_id, n, first): number and least id of the elements of the same keys whose text is equal without white space.
 

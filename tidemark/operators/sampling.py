@@ -39,6 +39,14 @@ def screening_list(frames: list[DataFrame], key: str, limit: int) -> DataFrame:
     return rows.groupBy(key).agg(F.min(F.struct("part", "rank")).alias("place")).orderBy("place", key).limit(limit)
 
 
+def screening(docs: DataFrame, categories: list[str], seed: str, prefix: int, each: int, limit: int) -> DataFrame:
+    """(doc_id, place): the first `prefix` of docs(doc_id, cats) by hash, then the first `each` of every category, then all by hash."""
+    ranked = docs.select("doc_id", F.coalesce("cats", F.array().cast("array<string>")).alias("cats"), hash_of(seed, F.col("doc_id")).alias("rank"))
+    order = ranked.select("doc_id", "rank").orderBy("rank", "doc_id")
+    heads = [ranked.where(F.array_contains("cats", c)).select("doc_id", "rank").orderBy("rank", "doc_id").limit(each) for c in categories]
+    return screening_list([order.limit(prefix), *heads, order.limit(limit)], "doc_id", limit)
+
+
 def page(rows: DataFrame, order: list[str], offset: int = 0, limit: int = 100) -> tuple[DataFrame, DataFrame]:
     """(the page, its one-row summary total, offset, limit, truncated); limit is 1 to 1000."""
     if not 1 <= limit <= 1000 or offset < 0:

@@ -222,6 +222,70 @@ _MATRIX_SQL = """WITH g AS (SELECT o_orderkey AS doc_id, s AS source, t AS "tabl
 SELECT doc_id, source, "table", coalesce(n, 0) AS n, coalesce(ids, '') AS ids, CASE WHEN n IS NULL THEN 'no_provider_row' END AS reason FROM g LEFT JOIN c USING (doc_id, source, "table")"""
 
 
+def summary_components(spark, sf_dir):
+    """Orders' figures from the first tag of a list, of the wanted year and the widest scope that the order has."""
+    li = table(spark, sf_dir, "lineitem")
+    context = F.concat(F.when(F.col("l_linenumber") % 3 == 0, "Prior1Year").when(F.col("l_linenumber") % 7 == 0, "Prior5Year").otherwise("CurrentYear"), F.lit("Duration"), F.when(F.col("l_suppkey") % 2 == 0, "_NonConsolidatedMember").otherwise(""))
+    rows = li.select(F.col("l_orderkey").alias("doc_id"), F.col("l_returnflag").alias("tag"), context.alias("context_id"), F.concat_ws("-", "l_orderkey", "l_linenumber", "l_suppkey").alias("row_id"), F.when(F.col("l_suppkey") % 5 != 0, "1").alias("value"))
+    wanted = table(spark, sf_dir, "orders").select(F.col(KEY).alias("want_id"), F.col(KEY).alias("doc_id"), F.lit("sales").alias("field"), (-(F.col(KEY) % 2)).cast("int").alias("year_offset"))
+    tags = spark.createDataFrame([("sales", "R", 1), ("sales", "A", 2), ("sales", "N", 3)], "field string, tag string, priority int")
+    return reconcile.summary_components(wanted, rows, tags).groupBy("want_id", "tag").agg(F.count("*").alias("rows"))
+
+
+_SUMMARY_SQL = """WITH r AS (SELECT l_orderkey AS k, l_returnflag AS t, CASE WHEN l_linenumber % 3 = 0 THEN 1 ELSE 0 END AS y, l_suppkey % 2 <> 0 AS g, l_suppkey % 5 <> 0 AS v, CASE l_returnflag WHEN 'R' THEN 1 WHEN 'A' THEN 2 ELSE 3 END AS p FROM lineitem WHERE l_linenumber % 3 = 0 OR l_linenumber % 7 <> 0),
+s AS (SELECT *, bool_or(g) OVER (PARTITION BY k) AS w FROM r), x AS (SELECT * FROM s JOIN orders ON o_orderkey = k WHERE g = w AND v AND y = o_orderkey % 2)
+SELECT k AS want_id, t AS tag, count(*) AS rows FROM x GROUP BY k, t, p QUALIFY p = min(p) OVER (PARTITION BY k)"""
+
+
+def financial_observations(spark, sf_dir):
+    """Customers' annual report rows as facts by field, scope and standard, counted."""
+    c, k = table(spark, sf_dir, "customer"), F.col("c_custkey")
+    kind = pick(["FYFinancialStatements_Consolidated_JP", "FYFinancialStatements_NonConsolidated_IFRS", "1QFinancialStatements_Consolidated_JP", "FYFinancialStatements_Consolidated_IFRS"], k)
+    amount = F.when(k % 7 == 0, "").when(k % 11 == 0, "-").otherwise(F.floor("c_acctbal").cast("string"))
+    fields = ["Sales", "OP", "NP", "TA", "CFO", "CFI", "EPS", "BPS", "Eq", "ShOutFY"]
+    rows = c.select(k, kind.alias("DocType"), F.when(k % 13 == 0, "1Q").otherwise("FY").alias("CurPerType"), F.when(k % 17 == 0, "2025-01-01").otherwise("2023-04-01").alias("CurPerSt"), F.lit("2024-03-31").alias("CurPerEn"), F.lit("2024-05-10").alias("DiscDate"), F.when(k % 19 == 0, "15:00").otherwise("15:00:00").alias("DiscTime"), F.when(k % 3 == 0, "true").otherwise("").alias("RetroRst"), *[amount.alias(f) for f in fields])
+    out = market.financial_observations(rows, ["c_custkey"])
+    return out.groupBy("field", "metric", "period_kind", "period_class", F.col("period_start").cast("string").alias("period_start"), F.col("instant_date").cast("string").alias("instant_date"), "unit", "scope", "standard", "reason", "restated", F.unix_timestamp("public_at").alias("public_at")).agg(F.count("*").alias("n"), F.sum("value").cast("bigint").alias("total"))
+
+
+_FINANCIAL_SQL = """WITH c AS (SELECT c_custkey AS k, CAST(floor(c_acctbal) AS BIGINT) AS a, CASE WHEN c_custkey % 4 = 1 THEN 'standalone' ELSE 'consolidated' END AS scope, CASE WHEN c_custkey % 4 = 0 THEN 'JP GAAP' ELSE 'IFRS' END AS standard FROM customer WHERE c_custkey % 4 <> 2 AND c_custkey % 13 <> 0 AND c_custkey % 17 <> 0 AND c_custkey % 19 <> 0),
+f AS (SELECT * FROM (VALUES ('Sales', 'd', 'JPY'), ('OP', 'd', 'JPY'), ('NP', 'd', 'JPY'), ('TA', 'i', 'JPY'), ('CFO', 'd', 'JPY'), ('CFI', 'd', 'JPY'), ('EPS', 'd', 'JPY/share'), ('BPS', 'i', 'JPY/share'), ('Eq', 'i', 'JPY'), ('ShOutFY', 'i', 'shares')) v(field, p, unit)),
+x AS (SELECT field, CASE field WHEN 'Sales' THEN CASE WHEN standard = 'IFRS' THEN 'revenue_ifrs' ELSE 'revenue_sales' END WHEN 'OP' THEN 'operating_profit' WHEN 'NP' THEN CASE WHEN scope = 'standalone' THEN 'net_profit_total' ELSE 'net_profit_owners' END WHEN 'TA' THEN 'assets_total' WHEN 'EPS' THEN 'eps_basic_reported' WHEN 'ShOutFY' THEN 'shares_issued_gross'
+ WHEN 'BPS' THEN CASE WHEN standard = 'IFRS' THEN 'bps_definition_unresolved' ELSE 'bps_net_assets_reported' END WHEN 'Eq' THEN CASE WHEN standard = 'IFRS' THEN 'equity_definition_unresolved' ELSE 'net_assets_total' END ELSE lower(field) END AS metric, p, unit, scope, standard, CASE WHEN k % 7 <> 0 AND k % 11 = 0 THEN 'invalid_market_number' END AS reason, k % 3 = 0 AS restated, CASE WHEN k % 7 <> 0 AND k % 11 <> 0 THEN a END AS v FROM c, f)
+SELECT field, metric, CASE p WHEN 'd' THEN 'duration' ELSE 'instant' END AS period_kind, CASE p WHEN 'd' THEN 'annual' ELSE 'instant' END AS period_class, CASE p WHEN 'd' THEN '2023-04-01' END AS period_start, CASE p WHEN 'i' THEN '2024-03-31' END AS instant_date, unit, scope, standard, reason, restated, CAST(epoch(TIMESTAMP '2024-05-10 06:00:00') AS BIGINT) AS public_at, count(*) AS n, CAST(sum(v) AS BIGINT) AS total FROM x GROUP BY ALL"""
+
+
+def text_index(spark, sf_dir):
+    """The texts that a package leaves out: long ones, and those of the text columns whatever their length."""
+    o = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return package.text_index(o, "doc_id", ["text", "lang"], 2000, ["lang"])
+
+
+_TEXT_SQL = """SELECT doc_id, 'text' AS "column", sha256(text) AS sha256, CAST(strlen(text) AS BIGINT) AS byte_count FROM documents WHERE strlen(text) > 2000 UNION ALL SELECT doc_id, 'lang', sha256(lang), CAST(strlen(lang) AS BIGINT) FROM documents WHERE lang IS NOT NULL"""
+
+
+def archive_frame(spark, sf_dir):
+    """The tables' own files as archived documents, with the months in which events list them."""
+    e = table(spark, sf_dir, "events").select(pick(["orders", "lineitem", "missing"], F.col("event_id")).alias("doc_id"), F.date_format("ts", "yyyy-MM").alias("day"))
+    out = filings.archive_frame(spark, sf_dir, e, "parquet").where("doc_id in ('orders', 'lineitem', 'part')")
+    return out.select("doc_id", (F.col("size") > 0).alias("there"), F.array_join("days", ",").alias("days"), "listings")
+
+
+_ARCHIVE_SQL = """WITH e AS (SELECT (['orders', 'lineitem', 'missing'])[event_id % 3 + 1] AS d, strftime(CAST(ts AS TIMESTAMP), '%Y-%m') AS m FROM events), g AS (SELECT d, string_agg(DISTINCT m, ',' ORDER BY m) AS days, count(*) AS n FROM e GROUP BY 1)
+SELECT x AS doc_id, true AS there, days, n AS listings FROM (VALUES ('orders'), ('lineitem'), ('part')) v(x) LEFT JOIN g ON g.d = x"""
+
+
+def screening(spark, sf_dir):
+    """Five orders by hash, four of each status, then all by hash: the first thirty."""
+    o = table(spark, sf_dir, "orders").select(F.col(KEY).alias("doc_id"), F.array("o_orderstatus").alias("cats"))
+    return sampling.screening(o, ["O", "F", "P"], "9", 5, 4, 30).select("doc_id", F.col("place.part").alias("part"))
+
+
+_SCREENING_SQL = """WITH r AS (SELECT o_orderkey AS k, o_orderstatus AS s, sha256('9:' || o_orderkey) AS h FROM orders), x AS (SELECT k, 0 AS part, h FROM r QUALIFY row_number() OVER (ORDER BY h, k) <= 5
+ UNION ALL SELECT k, CASE s WHEN 'O' THEN 1 WHEN 'F' THEN 2 ELSE 3 END, h FROM r QUALIFY row_number() OVER (PARTITION BY s ORDER BY h, k) <= 4 UNION ALL SELECT k, 4, h FROM r)
+SELECT k AS doc_id, part FROM (SELECT k, min((part, h)) AS p, min(part) AS part FROM x GROUP BY 1) ORDER BY p, k LIMIT 30"""
+
+
 def first_rows(spark, sf_dir):
     """Each order's first line."""
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", F.col("l_quantity").cast("int").alias("quantity"))
@@ -399,7 +463,7 @@ _LEDGER_SQL = "SELECT 'p2' AS stage, 'raw_missing' AS reason, count(*) AS n, cou
 _PARTS = {
     document_links: _LINK_SQL, link_grid: _LINKS_SQL, context_compare: _CONTEXT_SQL, arc_compare: _ARC_SQL, coalesced_components: _COALESCE_SQL, reverse_rows: _REVERSE_SQL, identity_evidence: _EVIDENCE_SQL, identity_candidates: _CANDIDATE_SQL, gap_resolution: _GAP_SQL, overlap_sample: _OVERLAP_SQL,
     list_tie: _LIST_SQL, master_checks: _MASTER_SQL, source_counts: _COUNTS_SQL, source_matrix: _MATRIX_SQL, first_rows: _FIRST_SQL, screening_list: _SCREEN_SQL, page: _PAGE_SQL, parent_closure: _PARENT_SQL, decision_schedule: _SCHEDULE_SQL, package_edges: _EDGE_SQL, integrity_checks: _INTEGRITY_SQL,
-    bulk_tie: _BULK_SQL, file_selection: _SELECTION_SQL, parquet_by_ids: _BY_IDS_SQL, ledgers: _LEDGER_SQL,
+    summary_components: _SUMMARY_SQL, financial_observations: _FINANCIAL_SQL, text_index: _TEXT_SQL, archive_frame: _ARCHIVE_SQL, screening: _SCREENING_SQL, bulk_tie: _BULK_SQL, file_selection: _SELECTION_SQL, parquet_by_ids: _BY_IDS_SQL, ledgers: _LEDGER_SQL,
 }
 QUERIES = {f.__name__: f for f in _PARTS}
 ORACLES = {f.__name__: sql for f, sql in _PARTS.items()}

@@ -48,13 +48,14 @@ def snapshot_diff(spark, sf_dir):
     e = table(spark, sf_dir, "events").withColumn("week", F.when(F.to_date("ts") < F.lit("2024-01-08").cast("date"), 1).when(F.to_date("ts") < F.lit("2024-01-15").cast("date"), 2))
     per = e.where("week is not null").groupBy("week", "user_id", "event_type").agg(F.count("*").alias("n"), F.max("event_id").alias("last"))
     a, b = (per.where(F.col("week") == w).drop("week").withColumn("last", F.col("last") % 2) for w in (1, 2))
-    return filings.snapshot_diff(a, b, ["user_id", "event_type"], ["n", "last"]).withColumn("fields", F.array_join("fields", ","))
+    out = filings.snapshot_diff(a, b, ["user_id", "event_type"], ["n", "last"], 4)
+    return out.withColumns({"fields": F.array_join("fields", ","), "revision": F.col("revision").cast("bigint")})
 
 
 _DIFF_SQL = """WITH e AS (SELECT CASE WHEN CAST(ts AS DATE) < DATE '2024-01-08' THEN 1 WHEN CAST(ts AS DATE) < DATE '2024-01-15' THEN 2 END AS w, user_id, event_type, count(*) AS n, max(event_id) % 2 AS last FROM events GROUP BY ALL),
 j AS (SELECT coalesce(a.user_id, b.user_id) AS user_id, coalesce(a.event_type, b.event_type) AS event_type, CASE WHEN a.n IS NULL THEN 'added' WHEN b.n IS NULL THEN 'absent' WHEN a.n <> b.n OR a.last <> b.last THEN 'changed' END AS change,
-  concat_ws(',', CASE WHEN a.n <> b.n THEN 'n' END, CASE WHEN a.last <> b.last THEN 'last' END) AS fields FROM (SELECT * FROM e WHERE w = 1) a FULL JOIN (SELECT * FROM e WHERE w = 2) b ON a.user_id = b.user_id AND a.event_type = b.event_type)
-SELECT user_id, event_type, change, fields FROM j WHERE change IS NOT NULL"""
+  CASE WHEN a.n IS NULL THEN 'last,n' ELSE concat_ws(',', CASE WHEN a.last <> b.last THEN 'last' END, CASE WHEN a.n <> b.n THEN 'n' END) END AS fields FROM (SELECT * FROM e WHERE w = 1) a FULL JOIN (SELECT * FROM e WHERE w = 2) b ON a.user_id = b.user_id AND a.event_type = b.event_type)
+SELECT user_id, event_type, change, fields, CASE WHEN change = 'absent' THEN 'not_inferred_withdrawn' END AS reason, CAST(5 AS BIGINT) AS revision FROM j WHERE change IS NOT NULL"""
 
 
 def coverage_grid(spark, sf_dir):

@@ -93,11 +93,16 @@ def market_csv(spark: SparkSession, dataset: str, path: str, columns: list[str])
     return rows.withColumn("file", F.input_file_name()).withColumn("missing_reason", reason).drop("_corrupt")
 
 
-def parquet_by_ids(spark: SparkSession, path: str, column: str, ids: DataFrame) -> DataFrame:
-    """The rows whose id is in ids(id), with file and row place; Parquet skips row groups by the id's range."""
-    low, high = ids.agg(F.min("id"), F.max("id")).first()
+def parquet_by_ids(spark: SparkSession, path: str, column: str, ids: DataFrame, listed: int = 1000) -> DataFrame:
+    """The rows whose id is in ids(id), with file and row place.
+
+    Up to `listed` ids are handed to the reader, which skips row groups that can't hold any; more are met by a join.
+    """
+    few = [r["id"] for r in ids.where("id is not null").distinct().limit(listed + 1).collect()]  # listed + 1 rows at most
     rows = spark.read.parquet(path).select("*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row_index"))
-    return rows.where(F.col(column).between(low, high)).join(ids.select(F.col("id").alias(column)).distinct(), column, "left_semi")
+    if len(few) <= listed:
+        return rows.where(F.col(column).isin(few))
+    return rows.join(ids.select(F.col("id").alias(column)).distinct(), column, "left_semi")
 
 
 def fingerprints(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
@@ -106,22 +111,25 @@ def fingerprints(spark: SparkSession, path: str, pattern: str = "*") -> DataFram
     return files.select("path", F.sha2("content", 256).alias("sha256"), F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
 
 
-def archive_frame(spark: SparkSession, path: str, events: DataFrame) -> DataFrame:
-    """Archived documents (file name without suffix) with their listing days; contents aren't read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.zip").load(path).select("path", F.col("length").alias("size"))
-    own = files.withColumn("doc_id", F.regexp_extract("path", r"([^/]+)\.zip$", 1))
+def archive_frame(spark: SparkSession, path: str, events: DataFrame, suffix: str = "zip") -> DataFrame:
+    """Archived documents (file name without suffix) with their listing days and number of files; contents aren't read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", f"*.{suffix}").load(path).select("path", F.col("length").alias("size"))
+    own = files.withColumn("doc_id", F.regexp_extract("path", rf"([^/]+)\.{suffix}$", 1))
     days = events.groupBy("doc_id").agg(F.array_sort(F.collect_set("day")).alias("days"), F.count("*").alias("listings"))
     return own.join(days, "doc_id", "left")
 
 
-def snapshot_diff(before: DataFrame, after: DataFrame, key: list[str], columns: list[str]) -> DataFrame:
-    """(key, change, fields): added, changed (and which fields) or absent; absent is not taken for withdrawn."""
+def snapshot_diff(before: DataFrame, after: DataFrame, key: list[str], columns: list[str], revision: int | None = None) -> DataFrame:
+    """(key, change, fields, reason, revision): added, changed (which fields, sorted; those with a value if added) or absent.
+
+    An absent row is not taken for withdrawn, and its reason says so. revision: that of the snapshot before, null for none.
+    """
     a = before.select(*key, *[F.col(c).alias(f"_a_{c}") for c in columns], F.lit(True).alias("_a"))
     b = after.select(*key, *[F.col(c).alias(f"_b_{c}") for c in columns], F.lit(True).alias("_b"))
     met = a.join(b, key, "full")
-    fields = F.array_compact(F.array(*[F.when(~F.col(f"_a_{c}").eqNullSafe(F.col(f"_b_{c}")), F.lit(c)) for c in columns]))
+    fields = F.array_compact(F.array(*[F.when(~F.col(f"_a_{c}").eqNullSafe(F.col(f"_b_{c}")), F.lit(c)) for c in sorted(columns)]))
     change = F.when(F.col("_a").isNull(), "added").when(F.col("_b").isNull(), "absent").when(F.size(fields) > 0, "changed")
-    return met.select(*key, change.alias("change"), F.when(change == "changed", fields).otherwise(F.array().cast("array<string>")).alias("fields")).where("change is not null")
+    return met.select(*key, change.alias("change"), F.when(change == "absent", F.array().cast("array<string>")).otherwise(fields).alias("fields"), F.when(change == "absent", "not_inferred_withdrawn").alias("reason"), F.lit(0 if revision is None else revision + 1).alias("revision")).where("change is not null")
 
 
 # -- filings ---------------------------------------------------------------------------------------
