@@ -144,6 +144,13 @@ def page_text(spark, sf_dir):
     return pages.select("page_id", F.length("text").cast("bigint").alias("chars"), F.sha2("text", 256).alias("text_sha256"))
 
 
+_PAGE_TEXT_SQL = r"""WITH t AS (SELECT page_id, regexp_extract_all(html, '(?is)<!--.*?-->|<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>|<[!?/a-z](?:[^>"'']|"[^"]*"|''[^'']*'')*>|[^<]+|<') AS x FROM pages WHERE html IS NOT NULL),
+d AS (SELECT page_id, array_to_string(list_transform(x, lambda y: CASE WHEN regexp_matches(y, '(?i)^<(script|style)\b[^>]*>') THEN regexp_extract(y, '(?is)^<(?:script|style)\b[^>]*>(.*?)</(?:script|style)\s*>$', 1) WHEN regexp_matches(y, '(?i)^<[!?/a-z]') THEN ''
+  ELSE replace(replace(replace(replace(replace(replace(replace(y, '&copy;', '©'), '&middot;', '·'), '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&nbsp;', chr(160)), '&amp;', '&') END), '') AS s FROM t),
+e AS (SELECT page_id, regexp_replace(s, '[\s\x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+', '', 'g') AS s FROM d)
+SELECT page_id, CAST(length(s) AS BIGINT) AS chars, sha256(s) AS text_sha256 FROM pages LEFT JOIN e USING (page_id)"""
+
+
 def pk_violations(spark, sf_dir):
     """Order lines are no key; orders are one."""
     checks = [validate.primary_key(table(spark, sf_dir, t), k).withColumn("check", F.lit(t)) for t, k in (("lineitem", ["l_orderkey", "l_linenumber"]), ("orders", ["o_orderkey"]), ("customer", ["c_custkey"]))]
@@ -168,6 +175,10 @@ def column_profile(spark, sf_dir):
     return package.column_profile(table(spark, sf_dir, "events"), "props").select("key", F.array_join("types", ",").alias("types"), "n")
 
 
+_COLUMN_SQL = """SELECT key, string_agg(DISTINCT CASE WHEN t IN ('UBIGINT', 'BIGINT') THEN 'BIGINT' WHEN t = 'VARCHAR' THEN 'STRING' ELSE t END, ',' ORDER BY CASE WHEN t IN ('UBIGINT', 'BIGINT') THEN 'BIGINT' WHEN t = 'VARCHAR' THEN 'STRING' ELSE t END) AS types, count(*) AS n
+FROM (SELECT key, json_type(props, '$.' || key) AS t FROM (SELECT props, unnest(json_keys(props)) AS key FROM events)) GROUP BY 1"""
+
+
 def duplicate_candidates(spark, sf_dir):
     return coverage.duplicate_candidates(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
 
@@ -178,12 +189,13 @@ _DUPLICATE_SQL = "SELECT CAST(sum(n - 1) AS BIGINT) AS duplicates FROM (SELECT c
 def pack_roundtrip(spark, sf_dir):
     """Suppliers packed and unpacked: rows whose columns and payload disagree."""
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
-    packed = package.pack(s, ["s_suppkey", "s_name"])
+    packed = package.pack(s, ["s_suppkey", "s_name"]).withColumn("s_name", F.when(F.col("s_suppkey").cast("bigint") % 7 == 0, "?").otherwise(F.col("s_name")))
+    s = s.withColumn("s_nationkey", F.when(F.col("s_suppkey") % 11 == 0, -1).otherwise(F.col("s_nationkey")).cast("int"))
     back = package.unpack(packed, "s_suppkey bigint, s_name string, s_nationkey int")
     return validate.report([validate.projected(packed, ["s_suppkey", "s_name"]), validate.same_rows(s, back)])
 
 
-_PACK_SQL = """SELECT 'projected_columns' AS "check", CAST(0 AS BIGINT) AS violations UNION ALL SELECT 'frame_equality', count(*) - count(*) FROM supplier"""
+_PACK_SQL = """SELECT 'projected_columns' AS "check", count(*) AS violations FROM supplier WHERE s_suppkey % 7 = 0 UNION ALL SELECT 'frame_equality', 2 * count(*) FROM supplier WHERE s_suppkey % 11 = 0 AND s_nationkey <> -1"""
 
 
 def formula_guard(spark, sf_dir):
@@ -272,6 +284,8 @@ ORACLES = {
     "reason_counts": f"WITH {_COMPARED} SELECT reason, count(*) AS n FROM v WHERE reason IS NOT NULL GROUP BY 1",
     "shared_views": _SHARED_SQL,
     "text_tie": _TIE_SQL,
+    "page_text": _PAGE_TEXT_SQL,
+    "column_profile": _COLUMN_SQL,
     "pk_violations": _PK_SQL,
     "required_edges": _REQUIRED_SQL,
     "duplicate_candidates": _DUPLICATE_SQL,
