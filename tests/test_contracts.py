@@ -82,3 +82,20 @@ def test_availability_bound(spark):
     df = spark.createDataFrame([(dt.date(2024, 1, 1), None), (dt.date(2024, 1, 1), "10:30")], "d date, t string")
     got = [r[0] for r in df.select(F.date_format(c.availability_bound(F.col("d"), F.col("t"), F.expr("interval 5 minutes")), "yyyy-MM-dd HH:mm")).collect()]
     assert got == ["2024-01-01 15:05", "2024-01-01 01:35"]
+
+
+def test_numbers_keep_every_digit(spark):
+    rows = [("1e3", "1000", True), ("NaN", "NaN", False), ("-0", "0", True), ("0.12345678912", "0.123456789", False), ("1E400", "10e399", True), ("Infinity", "Infinity", False), ("x", "x", True)]
+    df = spark.createDataFrame(rows, "a string, b string, want boolean")
+    assert [r[0] for r in df.select(c.scalar_equal(F.col("a"), F.col("b")) == F.col("want")).collect()] == [True] * len(rows)
+    value, reason = c.market_number(F.col("a"))
+    got = df.select(value.cast("string"), reason).collect()
+    assert got[3] == (None, "market_number_not_exact") and got[1][1] == "invalid_market_number" and float(got[0][0]) == 1000
+
+
+def test_negative_latency_fails(spark):
+    import pytest
+
+    df = spark.sql("select date'2024-01-01' as d, '10:00' as t")
+    with pytest.raises(Exception, match="Negative latency"):
+        df.select(c.availability_bound(F.col("d"), F.col("t"), F.expr("interval -5 minutes"))).collect()

@@ -325,3 +325,54 @@ def test_text_tie_counts_large_groups(spark):
     assert tied.count() == len(got) == 20_004
     assert all(got[i] == (19_999, 1) for i in range(20_000))
     assert [got.get(i) for i in range(20_000, 20_005)] == [(2, 20_000), (2, 20_000), (0, None), None, (1, 20_004)]
+
+
+def test_page_text_is_the_parsers(spark):
+    from html.parser import HTMLParser
+
+    class Data(HTMLParser):
+        def __init__(self):
+            super().__init__(convert_charrefs=True)
+            self.parts = []
+
+        def handle_data(self, data):
+            self.parts.append(data)
+
+    rows = ["a &#65;&#x42; &eacute; & b <b title='x>y'>c</b> 1 < 2 <!-- <p> -->d　e", "<!DOCTYPE html><style>p>a{}</style><SCRIPT>var t='</p>';if(a<b)&amp;</SCRIPT >t&amp;lt;", "", "<p>x<br/>y</p>\n z"]
+    got = filings.html_text(spark.createDataFrame([(i, x) for i, x in enumerate([*rows, None])], "i int, html string"), "html").orderBy("i").collect()
+    for text, r in zip(rows, got):
+        p = Data()
+        p.feed(text)
+        p.close()
+        assert r["text"] == "".join("".join(p.parts).split()), text
+    assert got[-1]["text"] is None
+
+
+def test_extraction_of_nested_facts_and_odd_members(spark):
+    def packed(**members):
+        out = io.BytesIO()
+        with zipfile.ZipFile(out, "w") as z:
+            for name, body in members.items():
+                z.writestr(name.replace("__", "."), body)
+        return out.getvalue()
+
+    body = """<xbrl xmlns="http://www.xbrl.org/2003/instance" xmlns:p="urn:p"><context id="c"><entity><identifier>E1</identifier></entity><period><instant>2024-03-31</instant></period></context><p:T><p:A contextRef="c" unitRef="u" precision="3" scale="6">1<p:B contextRef="c"/></p:A></p:T></xbrl>"""
+    arcs = """<linkbase xmlns="http://www.xbrl.org/2003/linkbase" xmlns:x="http://www.w3.org/1999/xlink"><calculationLink x:role="r"><loc x:label="a" x:href="#A"/><loc x:label="b" x:href="#B"/><loc x:label="b" x:href="#C"/><loc x:label="d" x:href="#D"/><calculationArc x:from="a" x:to="b"/><calculationArc x:from="a" x:to="d" weight="1"/><calculationArc x:from="a" x:to="none"/></calculationLink></linkbase>"""
+    df = spark.createDataFrame([("n", packed(a__xbrl=body, a_cal__xml=arcs), None), ("d", packed(a__xbrl='<!DOCTYPE x [<!ENTITY e "v">]>' + body), None)], "path string, content binary, sha256 string")
+    rows = filings.filing_elements(df).collect()
+    facts = [(r["qname"], r["element_index"], r["precision"], r["has_children"], r["has_transform"]) for r in rows if r["kind"] == "fact"]
+    assert facts == [("{urn:p}A", 7, "3", True, True), ("{urn:p}B", 8, None, False, False)]
+    assert [(r["parent"], r["child"]) for r in rows if r["kind"] == "arc"] == [("#A", "#D")]
+    assert [(r["path"], r["reason"]) for r in rows if r["reason"]] == [("d", "xml_rejected")]
+
+
+def test_as_reported_and_budget(spark):
+    from tidemark.operators import revisions
+
+    docs = spark.sql("select * from values ('a', null, 'e', timestamp'2020-01-01', '120'), ('b', 'a', 'e', timestamp'2020-02-01', '130') t(doc_id, parent_id, entity_id, available_at, doc_type)")
+    docs = docs.withColumns({"recorded_at": F.col("available_at"), "retrieved_at": F.col("available_at"), "events": F.array().cast("array<struct<available_at:timestamp,blocked_reason:string>>"), "failure": F.lit(None).cast("string")})
+    facts = spark.sql("select * from values ('1', 'a', 'k', '5'), ('2', 'b', 'k', '6') t(fact_id, doc_id, key, value)").withColumns({"value_reason": F.lit("x"), "verification": F.lit("source_tied"), "representation": F.lit("reported"), "synthetic": F.lit(False), "available_at": F.lit("2020-01-01").cast("timestamp")})
+    got = revisions.as_reported(facts, docs, "a", "2021-01-01").collect()
+    assert [(r["fact_id"], r["value"], r["missing_reason"]) for r in got] == [("1", "5", None)]
+    with pytest.raises(ValueError, match="budget"):
+        revisions.revision_closure(docs.where("doc_id = 'b'").select("doc_id"), docs, ["130"], budget=1)
