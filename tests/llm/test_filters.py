@@ -23,6 +23,8 @@ FILES = [
     (9, "g/notice", "Licensed under CC BY-NC 4.0.\nReleased under the MIT License."),
     (10, "g/h.py", "x"),
     (10, "g/h.py", "x"),
+    (11, "w/x.py", "# code\n\nPermission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\ncopyright notice and this permission notice appear in all copies.\n\nmore"),
+    (12, "u/UNLICENSE", licenses.TEMPLATES[-1][1].replace(". ", ".\n\n")),
 ]
 
 
@@ -36,6 +38,7 @@ def brute_licenses(files):
     units, n = {}, 0
     for key, path, text in files:
         own = [x for x in (text or "").split("\n") if x.strip(" ")]
+        own += [x for x in re.split(licenses.BLANK_LINES, text or "") if "\n" in x.strip("\n")]
         if path and path.rsplit("/", 1)[-1].split(".")[0].lower() in licenses.LICENCE_FILES:
             own.append(text or "")
         units[key, path] = [words(x) for x in own]
@@ -101,6 +104,42 @@ def test_every_licence_line_of_documents_is_found(spark):
     assert marked.count() > 20 and sorted(r[0] for r in marked.collect()) == sorted(r[0] for r in own.collect())
 
 
+def test_verdicts_on_linked_pages(spark):
+    """Trust and distrust by power iteration over a random web, for pages that no rule covers."""
+    import random
+
+    import numpy as np
+
+    r = random.Random(4)
+    hosts = [f"h{i}.info" for i in range(14)] + ["a.com", "b.com", "c.net", "d.net", "e.org", "f.org"]
+    paths = {"com": ["/en/", "/x"], "net": ["/de/", "/x"], "org": ["/es/", "/x"], "info": ["/x"]}
+    rows = [(i, f"https://{h}{r.choice(paths[h[-4:].split('.')[-1]])}", "".join(f'<a href="//{r.choice(hosts)}/">' for _ in range(r.randint(0, 3)))) for i, h in enumerate(hosts * 3)]
+    got = {x["page_id"]: x for x in url_filter.judged(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    links = {(got[i]["host"], d) for i, _, html in rows for d in re.findall(r'//([^/]*)/"', html) if d != got[i]["host"]}
+    at = {h: i for i, h in enumerate(hosts)}
+
+    def ranks(edges, verdict):
+        n = len(hosts)
+        share = np.array([np.mean([x["verdict"] == verdict and x["rule"] is not None for x in got.values() if x["host"] == h]) for h in hosts])
+        share /= share.sum()
+        move = np.zeros((n, n))
+        for a, b in edges:
+            move[at[b], at[a]] = 1
+        degree = move.sum(axis=0)
+        rank = share.copy()
+        for _ in range(400):
+            moved = 0.85 * move @ np.divide(rank, degree, out=np.zeros(n), where=degree > 0)
+            rank = moved + share * (1 - moved.sum())
+        return rank
+
+    worse = ranks({(b, a) for a, b in links}, "block") - ranks(links, "allow")
+    free = [x for x in got.values() if x["rule"] is None]
+    assert {x["verdict"] for x in free} == {"allow", "block"}
+    for x in free:
+        if abs(worse[at[x["host"]]]) > 1e-4:
+            assert x["verdict"] == ("block" if worse[at[x["host"]]] > 0 else "allow"), x
+
+
 URLS = [
     (1, "http://A.Example.COM/en/7x?q", "", "a.example.com", "/en/7x", "example.com/en/7", "allow"),
     (2, "https://b.com/en/", "", "b.com", "/en/", "com/en/", "block"),

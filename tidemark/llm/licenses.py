@@ -1,6 +1,7 @@
 """License scan: TF-IDF cosine to templates, then inheritance from the nearest licensed directory.
 
-Every line of a file is a unit, and so is the whole text of a file with a licence file's name. A unit's words are
+Every line of a file is a unit, and so are every block of lines between blank ones (a wrapped header) and the whole text of a file
+with a licence file's name. A unit's words are
 compared with each template's by the cosine of their TF-IDF weights; a file's licence is its best unit's, if
 that reaches the threshold. A file without one takes that of the nearest directory above it, its own first, in
 which a licence file has one.
@@ -28,7 +29,14 @@ TEMPLATES = (
     ("MIT", "Released under the MIT License."),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."),
+    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."),
+    ("Unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."),
 )
+#: What parts blocks of lines.
+BLANK_LINES = "(?:\n *){2,}"
 # Words that say nothing of a licence.
 STOP = ("a", "and", "any", "as", "be", "by", "can", "either", "found", "in", "is", "it", "may", "not", "of", "or", "person", "that", "the", "this", "to", "under", "use", "with", "without", "work", "you", "you're")
 LICENCE_FILES = ("license", "licence", "copying", "notice", "unlicense")
@@ -67,7 +75,7 @@ def scan(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     as df = 0. Words are runs of letters and digits, A-Z lower-cased, without stop words. score is the best cosine,
     rounded to six places; of equal ones the first template wins. source is the licence file inherited from: in a
     directory the best, of equal ones the first path. Null or empty texts have no units; a null path inherits
-    nothing. Repeated rows are judged alike; other columns are ignored.
+    nothing. Repeated rows are judged alike; texts of any length are read whole; other columns are ignored.
     """
     spark = files.sparkSession
     templates = _template_words()
@@ -75,7 +83,8 @@ def scan(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     base = F.lower(F.regexp_extract("path", r"([^/.]*)[^/]*$", 1))
     rows = files.select("key", "path", F.xxhash64("key", "path", "text").alias("id"), F.coalesce("text", F.lit("")).alias("text"), F.coalesce(base.isin(*LICENCE_FILES), F.lit(False)).alias("is_file"))
     lines = F.filter(F.split("text", "\n", -1), lambda x: F.length(F.trim(x)) > 0)
-    units = F.when(F.col("is_file"), F.array_append(lines, F.col("text"))).otherwise(lines)
+    blocks = F.filter(F.split("text", BLANK_LINES, -1), lambda x: F.contains(F.btrim(x, F.lit("\n")), F.lit("\n")))
+    units = F.concat(lines, blocks, F.when(F.col("is_file"), F.array("text")).otherwise(F.array().cast("array<string>")))
     held = let(units, lambda u: F.struct(F.size(u).alias("n"), F.filter(F.transform(u, lambda x, i: F.struct(i.alias("i"), _unit(x, known).alias("u"))), lambda s: F.size(s["u"]["terms"]) > 0).alias("units")))
     rows = stored(rows.select("key", "path", "id", "is_file", held.alias("h")).select("key", "path", "id", "is_file", "h.n", "h.units"), "units")
     n_units = rows.agg(F.sum("n")).first()[0] or 0
@@ -102,12 +111,12 @@ def scan(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
     folder = F.regexp_extract("path", r"^(.*/)?[^/]*$", 1)
     given = own.where("is_file and license is not null").select(folder.alias("dir"), "license", "score", "path").groupBy("dir").agg(F.min_by(F.struct("license", "score", "path"), F.struct(-F.col("score"), "path")).alias("g"))
-    lacking = own.where("license is null and path is not null").select("path").distinct()
-    parts = F.split(folder, "/")
+    lacking = own.where("license is null and path is not null").select(folder.alias("of")).distinct()
+    parts = F.split("of", "/")
     above = F.transform(F.sequence(F.lit(0), F.size(parts) - 1), lambda i: F.struct(i.alias("depth"), F.concat(F.array_join(F.slice(parts, 1, i), "/"), F.when(i > 0, "/").otherwise("")).alias("dir")))
-    reached = lacking.select("path", F.explode(above).alias("a")).select(F.col("path").alias("at"), "a.depth", "a.dir").join(given, "dir")
+    reached = lacking.select("of", F.explode(above).alias("a")).select(F.col("of").alias("at"), "a.depth", "a.dir").join(given, "dir")
     reached = reached.groupBy("at").agg(F.max_by("g", "depth").alias("g"))
-    out = own.join(reached, (own.path == reached["at"]) & own.license.isNull(), "left")
+    out = own.withColumn("of", F.when(F.col("license").isNull(), folder)).join(reached, F.col("of") == F.col("at"), "left")
     how = F.when(F.col("license").isNotNull(), "own").when(F.col("g").isNotNull(), "inherited").otherwise("none")
     return out.select("key", "path", F.coalesce("license", "g.license").alias("license"), F.coalesce("score", "g.score").alias("score"), how.alias("how"), F.when(F.col("license").isNull(), F.col("g.path")).alias("source"))
 
