@@ -169,7 +169,7 @@ def test_url_rules_and_links(spark):
 
 def test_ranks(spark):
     edges = [("s", "a"), ("a", "b"), ("b", "a"), ("a", "c"), ("d", "s")]
-    got = {r["host"]: r["rank"] for r in url_filter.spread(spark.createDataFrame(edges, "src string, dst string"), spark.createDataFrame([("s",)], "host string"), 60).collect()}
+    got = {r["host"]: r["rank"] for r in url_filter.spread(spark.createDataFrame(edges, "src string, dst string"), spark.createDataFrame([("s",)], "host string")).collect()}
     rank = {"s": 1.0}
     for _ in range(60):
         new = dict.fromkeys("sabc", 0.0)
@@ -183,7 +183,7 @@ def test_ranks(spark):
 def brute_ranks(edges, weights):
     total = sum(weights.values())
     rank = {h: w / total for h, w in weights.items()}
-    for _ in range(url_filter.ROUNDS):
+    for _ in range(200):
         new = {}
         for u, v in edges:
             new[v] = new.get(v, 0) + 0.85 * rank.get(u, 0) / sum(1 for e in edges if e[0] == u)
