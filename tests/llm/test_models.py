@@ -88,17 +88,102 @@ def test_lm_base(docs, texts, empty):
     assert lm_score.scored(empty).count() == 0
 
 
-def test_spelling_is_a_distribution():
-    r = np.random.default_rng(0)
-    cells = np.unique(r.integers(0, 1 << 24, 500))
-    table = 10 ** lm_score.Spelling(cells, r.integers(1, 50, len(cells)).astype(float), 1).table().astype(float)
-    assert np.allclose(table.reshape(-1, 256).sum(axis=1), 1, atol=1e-3)
-
-
 def test_seats():
-    r = np.random.default_rng(0)
-    t, _ = lm_score.seat(np.array([1.0, 10, 5000]), np.full(3, 100.0), np.full(3, 0.1), 0.5, r)
+    keys = np.arange(3, dtype=np.uint64)
+    t, _ = lm_score.seat(np.array([1.0, 10, 5000]), np.full(3, 100.0), np.full(3, 0.1), 0.5, keys, 1)
     assert t[0] == 1 and 1 <= t[1] <= 10 and 10 < t[2] < 5000
+    many = np.arange(4000, dtype=np.uint64)
+    t, _ = lm_score.seat(np.full(4000, 2.0), np.zeros(4000), np.full(4000, 0.3), 0.5, many, 1)
+    assert abs((t - 1).mean() - 1.5 * 0.3 / (1.5 * 0.3 + 0.5)) < 0.03  # the second customer's chance of a table of its own
+
+
+def _corpus():
+    r = np.random.default_rng(5)
+    after = {i: r.permutation(12)[:3] for i in range(12)}
+    rows = []
+    for i in range(60):
+        at, out = int(r.integers(12)), []
+        for _ in range(30):
+            out.append(f"w{at}")
+            at = int(r.choice(after[at]))
+        rows.append((i, " ".join(out)))
+    return rows
+
+
+def _all_pairs(spark, rows):
+    """Vocabulary, and every pair of known words and an unknown one with its training count."""
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("train", F.lit(True))
+    vocab = lm_score.vocabulary(docs)
+    seen = lm_score._tokens(docs.withColumn("of", F.col("doc_id")).withColumn("train", F.lit(1).cast("bigint"))).groupBy("u", "w").agg(F.sum("train").alias("c"))
+    words = [r["word"] for r in vocab.collect()] + ["?"]
+    grid = spark.createDataFrame([(u, w) for u in words[:-1] for w in words], "u0 string, w0 string").select(F.xxhash64("u0").alias("u"), F.xxhash64("w0").alias("w"), "u0", "w0")
+    pairs = grid.join(seen, ["u", "w"], "left").select("u", "w", F.coalesce("c", F.lit(0).cast("bigint")).alias("c"), F.lit(1).cast("bigint").alias("n"))
+    vocab = vocab.union(spark.createDataFrame([("?", 0, 1)], "word string, c bigint, n bigint"))
+    return vocab, pairs, grid
+
+
+def test_scores_are_a_distribution_near_exact_gibbs(spark):
+    """Probabilities after each context sum to 1, and a customer-by-customer sampler gives nearly the same."""
+    rows = _corpus()
+    vocab, pairs, grid = _all_pairs(spark, rows)
+    got = {(r["u0"], r["w0"]): 10 ** r["score"] for r in lm_score._learnt(vocab, pairs, 6, 7).join(grid, ["u", "w"]).collect()}
+    contexts = {u for u, _ in got}
+    for u in contexts:
+        assert abs(sum(p for (x, _), p in got.items() if x == u) - 1) < 1e-6
+
+    counts = Counter()
+    for _, t in rows:
+        seq = ["", *t.split(), ""]
+        counts.update(zip(seq, seq[1:]))
+    words = sorted({w for _, w in counts})
+
+    def share(values):
+        once, twice = sum(v == 1 for v in values), sum(v == 2 for v in values)
+        return min(0.95, max(0.05, once / max(1, once + 2 * twice)))
+
+    d1, d0 = share(list(counts.values())), share(list(Counter(w for _, w in counts).values()))
+    r, g0 = np.random.default_rng(1), 1 / (len(words) + 1)
+    tables = {k: [] for k in counts}
+    top = {w: [] for w in words}
+
+    def add(seats, free, p_new, d, theta, total):
+        weights = [max(0.0, n - d) for n in seats] + [(theta + d * total) * p_new]
+        i = r.choice(len(weights), p=np.array(weights) / sum(weights))
+        if i == len(seats):
+            seats.append(0)
+        seats[i] += 1
+        return i == len(seats) - 1 and seats[i] == 1
+
+    def parent(w):
+        n, t = sum(map(sum, top.values())), sum(map(len, top.values()))
+        return (sum(top[w]) - d0 * len(top[w]) + (1 + d0 * t) * g0) / (1 + n)
+
+    def drop(seats):
+        i = r.choice(len(seats), p=np.array(seats) / sum(seats))
+        seats[i] -= 1
+        if not seats[i]:
+            seats.pop(i)
+            return True
+        return False
+
+    mean = Counter()
+    for sweep in range(30):
+        for (u, w), c in counts.items():
+            for _ in range(c):
+                if sweep and drop(tables[u, w]):
+                    drop(top[w])
+                all_u = sum(len(t) for (x, _), t in tables.items() if x == u)
+                if add(tables[u, w], None, parent(w), d1, 1.0, all_u):
+                    add(top[w], None, g0, d0, 1.0, sum(map(len, top.values())))
+        if sweep >= 10:
+            for u in contexts:
+                n = sum(c for (x, _), c in counts.items() if x == u)
+                t = sum(len(x) for (y, _), x in tables.items() if y == u)
+                for w in words:
+                    own = tables.get((u, w), [])
+                    mean[u, w] += (sum(own) - d1 * len(own) + (1 + d1 * t) * parent(w)) / (1 + n) / 20
+    off = [abs(math.log10(got[k]) - math.log10(mean[k])) for k in counts]
+    assert np.average(off, weights=list(counts.values())) < 0.03 and max(off) < 0.4
 
 
 def test_model_prefers_its_language(spark):
