@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 from .common import let, stored
 
+#: A line that takes over 1 / SHARED of all lines is looked up by broadcast: SHARED rows at most.
+SHARED = 1 << 12
 #: White space that stands for a blank.
 BLANKS = "\t\x0b\f\r"
 
@@ -78,6 +80,7 @@ def duplicate_lines(docs: DataFrame, min_words: int = 1, edit_words: int = 8) ->
     long = n >= edit_words
     even = long & (half != less)
     ends = [end(0, half, long).alias("e0"), end(1, half, long).alias("e1"), end(0, less, even).alias("e2"), end(1, less, even).alias("e3")]
+    # equal lines are within the edit bound too
     lines = stored(lines.select("doc_id", "text_hash", "pos", "n", F.xxhash64(line).alias("h1"), F.xxhash64(F.lit(1), line).alias("h2"), *ends), "lines").where(F.col("n") >= max(1, min(min_words, edit_words)))
     place = F.struct("doc_id", "text_hash", "pos")
     halves = ["e0", "e1", "e2", "e3"]
@@ -102,10 +105,17 @@ def duplicate_lines(docs: DataFrame, min_words: int = 1, edit_words: int = 8) ->
     partner = F.when(F.col("i") < 0, F.col("cut")).otherwise(F.least("whole", "swap"))
     near = met.join(both, ["v", "len"]).join(swapped, ["v", "len", "i"], "left").withColumn("partner", partner).where("partner < first").groupBy("h1").agg(F.min("partner").alias("partner"))
     near = near.join(likely.select("h1", "h2", "line"), "h1").join(likely.select(F.col("first").alias("partner"), F.col("line").alias("earlier")), "partner")
-    near = near.where(_one_edit(F.split("line", " "), F.split("earlier", " "))).select("h1", "h2", F.lit(True).alias("near")).distinct()
-
-    judged = first.select("h1", "h2", "n", "first", "many").join(near, ["h1", "h2"], "left").where((F.col("many") > 1) & (F.col("n") >= min_words) | F.col("near"))
-    dropped = lines.select("doc_id", "text_hash", "pos", "h1", "h2").join(judged.select("h1", "h2", "first", "near"), ["h1", "h2"]).where(~place.eqNullSafe(F.col("first")) | F.coalesce("near", F.lit(False)))
+    near = near.where(_one_edit(F.split("line", " "), F.split("earlier", " "))).select("h1", "h2").distinct()
+
+    # of a near line its first occurrence goes; the others repeat it. Lines that take over 1 / SHARED of all meet theirs by broadcast
+    near = near.join(first.select("h1", "h2", "first"), ["h1", "h2"]).select("first.doc_id", "first.text_hash", "first.pos")
+    total = first.agg(F.sum("many")).first()[0] or 0
+    repeated = first.where("many > 1").select("h1", "h2", "first", (F.col("many") * SHARED > total).alias("hot"))
+    hot = stored(repeated.where("hot").drop("hot"), "hot")  # SHARED rows at most
+    later = lines.select("doc_id", "text_hash", "pos", "h1", "h2")
+    often = later.join(F.broadcast(hot), ["h1", "h2"])
+    seldom = later.join(F.broadcast(hot.select("h1", "h2")), ["h1", "h2"], "left_anti").join(repeated.where("not hot").drop("hot"), ["h1", "h2"])
+    dropped = often.unionByName(seldom).where(~place.eqNullSafe(F.col("first"))).select("doc_id", "text_hash", "pos").union(near)
     return dropped.groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_set("pos")).alias("drops"))
 
 
