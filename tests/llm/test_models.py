@@ -6,6 +6,8 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.llm import lang_id, lm_score, quality
@@ -76,7 +78,7 @@ def test_lm_base(docs, texts, empty):
     got = lm_score.scored(docs).collect()
     rows = [(i, t) for i, t in [*texts, texts[0], (None, texts[1][1])]]
     out = {i: zlib.crc32((str(i) if i is not None else "").encode()) % 5 == 1 for i, _ in rows}
-    toks = [(i, lm_score.tokens(t) + [b""]) for i, t in rows]
+    toks = [(i, (t or "").encode().lower().split() + [b""]) for i, t in rows]
     c = Counter(w for i, t in toks if not out[i] for w in t)
     n, v = sum(c.values()), len(c)
     want = {i: (out[i], len(t), sum(w in c for w in t), n, sum(math.log10((c[w] + 0.5) / (n + 0.5 * (v + 1))) for w in t)) for i, t in toks}
@@ -88,6 +90,17 @@ def test_lm_base(docs, texts, empty):
     assert lm_score.scored(empty).count() == 0
 
 
+def test_scores_stay_where_they_are_looked_up_and_how_rows_lie(spark, docs):
+    """No pair by broadcast, or all; other partitions; repeated rows alike."""
+
+    def scores(rows, **more):
+        return sorted((str(r["doc_id"]), r["n_known"], round(r["base_score"], 6), round(r["score"], 6)) for r in lm_score.scored(rows, contexts=50, **more).collect())
+
+    want = scores(docs)
+    assert scores(docs, hot=1) == want == scores(docs.repartition(5))
+    assert len(want) - len(set(want)) == 1  # the repeated row, scored like its twin
+
+
 def test_seats():
     keys = np.arange(3, dtype=np.uint64)
     t, _ = lm_score.seat(np.array([1.0, 10, 5000]), np.full(3, 100.0), np.full(3, 0.1), 0.5, keys, 1)
@@ -110,31 +123,43 @@ def _corpus():
     return rows
 
 
-def _all_pairs(spark, rows):
-    """Vocabulary, and every pair of known words and an unknown one with its training count."""
+def _hash(word):
+    """A word's hash; "" is the end of a text."""
+    _, w, _ = next(lm_score.tokens(pa.array([word])))
+    return w[0]
+
+
+def _probabilities(spark, rows, contexts):
+    """Probability of every word and an unknown one in every context; contexts are words, or None for the shared one."""
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("train", F.lit(True))
-    vocab = lm_score.vocabulary(docs)
-    seen = lm_score._tokens(docs.withColumn("of", F.col("doc_id")).withColumn("train", F.lit(1).cast("bigint"))).groupBy("u", "w").agg(F.sum("train").alias("c"))
-    words = [r["word"] for r in vocab.collect()] + ["?"]
-    grid = spark.createDataFrame([(u, w) for u in words[:-1] for w in words], "u0 string, w0 string").select(F.xxhash64("u0").alias("u"), F.xxhash64("w0").alias("w"), "u0", "w0")
-    pairs = grid.join(seen, ["u", "w"], "left").select("u", "w", F.coalesce("c", F.lit(0).cast("bigint")).alias("c"), F.lit(1).cast("bigint").alias("n"))
-    vocab = vocab.union(spark.createDataFrame([("?", 0, 1)], "word string, c bigint, n bigint"))
-    return vocab, pairs, grid
+    before = lm_score.frequent(lm_score.counted(docs, np.zeros(0, np.uint64)).groupBy("w").agg(F.sum("c").alias("c")), contexts)
+    words = [*sorted({x for _, t in rows for x in t.split()}), "", "?"]
+    names = {int(_hash(w)): w for w in words}
+    none = spark.createDataFrame([(int(np.int64(_hash(w).view(np.int64))), u, 0, 1) for w in words for u in range(len(before) + 1)], "w bigint, u int, c bigint, n bigint")
+    state, model = lm_score.sampled(lm_score.dishes(lm_score.counted(docs, before).union(none)), before, 6, 7)
+    known = [names[int(x)] for x in before] + [None]
+    return {(known[r["u"]], names[r["w"] % 2**64]): 10 ** r["score"] for r in lm_score.learnt(state, model).collect()}
+
 
+@pytest.mark.parametrize("share", [1024, 12])
+def test_scores_are_a_distribution_near_exact_gibbs(spark, share):
+    """Probabilities after each context sum to 1, and a customer-by-customer sampler gives nearly the same.
 
-def test_scores_are_a_distribution_near_exact_gibbs(spark):
-    """Probabilities after each context sum to 1, and a customer-by-customer sampler gives nearly the same."""
+    With a share of 1 / 1024 every word is a context by itself, with 1 / 12 some words have the shared one.
+    """
     rows = _corpus()
-    vocab, pairs, grid = _all_pairs(spark, rows)
-    got = {(r["u0"], r["w0"]): 10 ** r["score"] for r in lm_score._learnt(vocab, pairs, 6, 7).join(grid, ["u", "w"]).collect()}
-    contexts = {u for u, _ in got}
+    got = _probabilities(spark, rows, share)
+    each = Counter(w for _, t in rows for w in [*t.split(), ""])
+    alone = {w for w, c in each.items() if c * share > each.total()}
+    assert {u for u, _ in got} == alone | {None} and (share == 1024) == (alone == set(each))
+    contexts = alone | ({None} if share < 1024 else set())
     for u in contexts:
         assert abs(sum(p for (x, _), p in got.items() if x == u) - 1) < 1e-6
 
     counts = Counter()
     for _, t in rows:
         seq = ["", *t.split(), ""]
-        counts.update(zip(seq, seq[1:]))
+        counts.update((u if u in alone else None, w) for u, w in zip(seq, seq[1:]))
     words = sorted({w for _, w in counts})
 
     def share(values):

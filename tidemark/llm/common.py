@@ -41,6 +41,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def released(df: DataFrame) -> None:
+    """Delete the files of a table that `stored` wrote, when whatever was computed from it is stored itself."""
+    spark = df.sparkSession
+    for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def small_batches(spark: SparkSession, rows: int = 2000) -> None:
     """Hand Python workers at most so many rows at a time, so that the texts of a batch fit beside the executor's heap.
 
