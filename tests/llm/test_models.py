@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.llm import lang_id, lm_score, quality
+from tidemark.llm.common import mix64
 
 SF = "/root/testdata/sf0.01"
 
@@ -37,6 +38,50 @@ def test_language_of_one_text_stands_alone():
     assert np.array_equal(a[2], b[0]) and not a[1].any() and has[0]
 
 
+def _bundled(text, dims=1024):
+    """The plain definition: each three letters' rotated vectors multiplied, all products added up."""
+
+    def letter(c):
+        with np.errstate(over="ignore"):
+            bits = mix64(np.uint64(ord(c)) * np.uint64(0x9E3779B97F4A7C15) + np.arange(dims // 64, dtype=np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
+        return np.unpackbits(bits.view(np.uint8)).astype(int) * 2 - 1
+
+    words = "".join(c if c.isalpha() else " " for c in (text or "").lower()).split()
+    line, out = " " + " ".join(words) + " ", np.zeros(dims)
+    for gram, n in Counter(zip(line, line[1:], line[2:])).items():
+        out += n * np.prod([np.roll(letter(c), j) for j, c in enumerate(gram)], axis=0)
+    return out
+
+
+def test_language_by_brute_force(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("length(text) < 1500").orderBy("doc_id").limit(60).select("doc_id", "text", "lang")
+    docs = docs.union(spark.createDataFrame([(10**7, None, None), (10**7 + 1, "12 !", None), (10**7 + 2, "É1à", None), (10**7 + 3, "x", None)], docs.schema))
+    unit, rows = (lambda v: v / max(np.linalg.norm(v), 1e-9)), docs.collect()
+    learnt = {}
+    for r in rows:
+        if r["lang"] is not None and r["text"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 3 != 1:
+            learnt[r["lang"]] = learnt.get(r["lang"], 0) + unit(_bundled(r["text"]))
+    langs = sorted(learnt)
+    got = {r["doc_id"]: r for r in lang_id.predicted(docs).collect()}
+    assert len(langs) > 1 and len(got) == len(rows)
+    for r in rows:
+        said, score = got[r["doc_id"]]["lang_pred"], got[r["doc_id"]]["score"]
+        if not any(c.isalpha() for c in r["text"] or ""):
+            assert (said, score) == ("und", 0.0)
+            continue
+        own = unit(_bundled(r["text"]))
+        cosines = {x: max(0.0, float(own @ unit(learnt[x]))) for x in langs}
+        assert abs(score - max(cosines.values())) < 2e-4 and cosines[said] > max(cosines.values()) - 2e-4
+
+
+def test_language_ties_and_repeated_rows(spark):
+    """Equal prototypes: the first language in alphabetical order; repeated rows are judged alike."""
+    rows = [(i, t, lang) for i, (t, lang) in enumerate([("one two three", "zz"), ("one two three", "aa"), ("vier fünf", "mm")])]
+    docs = spark.createDataFrame(rows + rows, "doc_id bigint, text string, lang string")
+    got = lang_id.identify(docs, *lang_id.learn(docs)).collect()
+    assert sorted((r["doc_id"], r["lang_pred"]) for r in got) == [(0, "aa"), (0, "aa"), (1, "aa"), (1, "aa"), (2, "mm"), (2, "mm")]
+
+
 def base(text):
     text = text or ""
     w = re.findall(r"[^\x20\x09-\x0D]+", text)

@@ -170,6 +170,11 @@ def held_out(folds: int) -> Column:
 
 
 def predicted(docs: DataFrame) -> DataFrame:
+    """docs(doc_id, text, lang) with lang_pred and score, learnt from the rows that aren't held out.
+
+    Repeated rows are judged alike and learnt as often as they occur; null doc_ids count as empty; texts of any
+    length are read whole; other columns stay as they are, but for own ones named lang_pred or score.
+    """
     langs, prototypes = learn(docs.select("doc_id", "text", "lang").where(~held_out(3)))
     return identify(docs, langs, prototypes)
 
