@@ -11,8 +11,8 @@ from .common import mix64
 
 #: Bytes of text that are worked on at a time; a longer text is a block of its own.
 BLOCK = 1 << 19
-_SPACE = np.zeros(256, bool)
-_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+IS_SPACE = np.zeros(256, bool)
+IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 0x20
 _P = 0x9E3779B97F4A7C15  # odd, so powers have inverses modulo 2**64
@@ -47,7 +47,7 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
         return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
     # a text longer than a block has its own powers, which go with it
     power, inverse = (_pow, _inv) if len(data) <= BLOCK else (_powers(_P, len(data)), _powers(_PINV, len(data)))
-    inside = ~_SPACE[data]
+    inside = ~IS_SPACE[data]
     before = np.empty_like(inside)
     before[0], before[1:] = False, inside[:-1]
     cut = offsets[1:-1]
