@@ -40,6 +40,11 @@ def require_unique(df: DataFrame, keys: list[str], message: str) -> None:
         raise ValueError(message)
 
 
+def column_or(df: DataFrame, name: str, default) -> Column:
+    """A column of df with `default` for its nulls, or the default alone where df has no such column."""
+    return F.coalesce(F.col(name), F.lit(default)) if name in df.columns else F.lit(default)
+
+
 # -- numbers ---------------------------------------------------------------------------------------
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.contracts import first_reason, is_code
+from ..functions.contracts import failure_class, first_reason, is_code
 
 
 def identity_evidence(documents: DataFrame, locators: DataFrame, events: DataFrame, types: list[str]) -> DataFrame:
@@ -13,9 +13,12 @@ def identity_evidence(documents: DataFrame, locators: DataFrame, events: DataFra
 
     documents: doc_id, entity_id, code, doc_type. locators: doc_id, file, seq, day, sha256. events: file, seq, day, sha256, doc_id, entity_id,
     code, doc_type, fund_code, subject_id, issuer_id. Each locator must meet one row of those bytes and that day; the first
-    locator (by file and seq) that fails gives the reason.
+    locator (by file and seq) that fails gives the reason. Where both tables have `fields`, the row as it was copied and as it is read again, these
+    must be equal too.
     """
-    e = events.groupBy("file", "seq").agg(F.count("*").alias("n"), *[F.min(c).alias(f"e_{c}") for c in ("day", "sha256", "doc_id", "entity_id", "code", "doc_type", "fund_code", "subject_id", "issuer_id")])
+    copied = "fields" in locators.columns and "fields" in events.columns
+    own = ["fields"] if copied else []
+    e = events.groupBy("file", "seq").agg(F.count("*").alias("n"), *[F.min(c).alias(f"e_{c}") for c in ("day", "sha256", "doc_id", "entity_id", "code", "doc_type", "fund_code", "subject_id", "issuer_id", *own)])
     files = events.select("file", F.col("sha256").alias("bytes")).distinct()
     d = documents.select("doc_id", "entity_id", "code", "doc_type")
     met = locators.join(files, "file", "left").join(e, ["file", "seq"], "left").join(d, "doc_id")
@@ -27,6 +30,7 @@ def identity_evidence(documents: DataFrame, locators: DataFrame, events: DataFra
         (~F.col("sha256").eqNullSafe(F.col("bytes")), "edinet_metadata_integrity_failed"),
         (~F.col("n").eqNullSafe(F.lit(1).cast("bigint")) | ~F.col("day").eqNullSafe(F.col("e_day")), "edinet_identity_locator_mismatch"),
         (~same, "edinet_identity_mismatch"),
+        (~F.col("fields").eqNullSafe(F.col("e_fields")) if copied else F.lit(False), "edinet_identity_source_row_mismatch"),
         (other_role, "filer_security_role_unsupported"),
     )
     told = met.withColumn("reason", reason).groupBy("doc_id").agg(F.count("*").alias("sources"), F.min(F.when(F.col("reason").isNotNull(), F.struct("file", "seq", "reason"))).alias("f"))
@@ -41,22 +45,30 @@ def identity_evidence(documents: DataFrame, locators: DataFrame, events: DataFra
     return out.select("doc_id", F.coalesce("sources", F.lit(0)).alias("sources"), F.when(why.isNull(), "PASS").otherwise("BLOCKED").alias("status"), why.alias("missing_reason"))
 
 
-def gap_resolution(gaps: DataFrame, events: DataFrame, originals: DataFrame) -> DataFrame:
+def gap_resolution(gaps: DataFrame, events: DataFrame, files: DataFrame, lists: DataFrame | None = None) -> DataFrame:
     """(doc_id, history, resolution, missing_reason) of gaps(doc_id): documents without metadata against lists read again.
 
     events: doc_id, day, entity_id, code, submitted, doc_type, period_start, period_end, warned (the list was rejected for a parent id's
-    case). originals: doc_id, parse_status, codes (array). Claims that conflict are never chosen among.
+    case). files: doc_id, file_reason (why a local file can't be read, or null), changed (its size or time isn't the recorded one), parse_status, codes
+    (array, empty ones left out); a row for each local file. lists: list_reason of the daily lists read again, null where one could be. What is wrong
+    with the local file goes before all that the lists say: none, several, a failure by its class, a change. Claims that conflict are never chosen among.
     """
     claim = F.struct("entity_id", "code", "submitted", "doc_type", "period_start", "period_end")
     per = events.groupBy("doc_id").agg(F.count_distinct(F.to_json(claim, {"ignoreNullFields": "false"})).alias("claims"), F.min("entity_id").alias("entity_id"), F.bool_or(F.coalesce(F.substring("submitted", 1, 10) == F.col("day"), F.lit(False))).alias("same_day"), F.bool_or("warned").alias("warned"))
-    met = gaps.select("doc_id").distinct().join(per, "doc_id", "left").join(originals, "doc_id", "left")
+    own = files.groupBy("doc_id").agg(F.count("*").alias("files"), *[F.min(F.struct("file_reason", "changed", "parse_status", "codes"))[c].alias(c) for c in ("file_reason", "changed", "parse_status", "codes")])
+    met = gaps.select("doc_id").distinct().join(per, "doc_id", "left").join(own, "doc_id", "left")
+    no_list = lists is not None and bool(lists.agg(F.bool_and(F.col("list_reason").eqNullSafe(F.lit("daily_metadata_not_available")))).first()[0])
     reason = first_reason(
+        (F.col("files").isNull(), failure_class(F.lit("local_file_not_available"))),
+        (F.col("files") > 1, failure_class(F.lit("ambiguous_local_document_versions"))),
+        (F.col("file_reason").isNotNull(), failure_class(F.col("file_reason"))),
+        (F.col("changed"), failure_class(F.lit("local_file_changed"))),
+        (F.col("claims").isNull() & F.lit(no_list), "daily_metadata_not_available"),
         (F.col("claims").isNull(), "unresolved"),
         (F.col("claims") > 1, "metadata_identity_ambiguous"),
         (~F.col("same_day"), "daily_date_submit_date_mismatch"),
-        (F.col("parse_status").isNull(), "local_file_not_available"),
-        (F.col("parse_status") != "PASS", "original_xml_unverified"),
-        (F.size("codes") != 1, "original_identifier_ambiguous_or_missing"),
+        (~F.col("parse_status").eqNullSafe(F.lit("PASS")), "original_xml_unverified"),
+        (F.coalesce(F.size("codes"), F.lit(0)) != 1, "original_identifier_ambiguous_or_missing"),
         (~F.get("codes", F.lit(0)).eqNullSafe(F.col("entity_id")), "original_metadata_identifier_mismatch"),
     )
     history = F.when(F.col("warned"), "daily_file_rejected_by_parent_case_guard").otherwise("unresolved")

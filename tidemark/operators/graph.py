@@ -46,36 +46,67 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         now = new.select("node", "label")
 
 
+def ascents(nodes: DataFrame, parents: DataFrame) -> DataFrame:
+    """(node, top, depth) of nodes(node) and parents(child, parent), one parent a child at most: the upper end of each node's way up, itself if it has
+    no parent, and how far it is. top is null on or behind a cycle.
+
+    Each round lengthens every way by its upper end's way, so a way of n takes log n rounds. Nodes whose way has ended are set aside.
+    """
+    start = nodes.select("node").distinct().join(parents.select(F.col("child").alias("node"), F.col("parent").alias("up")), "node", "left")
+    now = cut(start.select("node", F.coalesce("up", "node").alias("up"), F.col("up").isNotNull().cast("int").alias("depth"), F.col("up").isNull().alias("ended")))
+    ended = now.where("ended").select("node", "up", "depth")
+    for _ in range(now.count().bit_length() + 1):  # longer ways close a cycle
+        top = now.select(F.col("node").alias("at"), F.col("up").alias("further"), F.col("depth").alias("more"), F.col("ended").alias("last"))
+        open_ = now.where("not ended")
+        if open_.isEmpty():
+            break
+        new = cut(open_.join(top, F.col("up") == F.col("at"), "left").select("node", F.coalesce("further", "up").alias("up"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"), F.coalesce("last", F.lit(True)).alias("ended")))
+        ended = ended.union(new.where("ended").select("node", "up", "depth"))
+        now = new.union(now.where("ended")) if not new.where("not ended").isEmpty() else new
+    done = ended.select("node", F.col("up").alias("top"), "depth")
+    return nodes.select("node").distinct().join(done, "node", "left")
+
+
 def levels(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(node, depth): the longest way from a node without parents along edges(parent, child); null on or behind a cycle.
 
-    Where every node has one parent at most, ways are doubled, so a chain of n takes log n rounds; else levels are peeled.
+    A node with one parent left has depth max(base, parent's + add); such steps compose, so chains of them are doubled and take log n rounds. A node
+    with several parents gathers, in base, those whose depth is known, until one or none is left. Rounds grow with how often ways with several open
+    parents follow each other, not with their length.
     """
     left = cut(edges.select("parent", "child").distinct())
-    if not left.groupBy("child").count().where("count > 1").limit(1).count():
-        return _doubled(nodes, left)
-    done = cut(nodes.select("node").distinct().join(left.select(F.col("child").alias("node")), "node", "left_anti").select("node", F.lit(0).alias("depth")))
-    fresh, depth = done, 0
+    many = left.groupBy("child").agg(F.count("*").alias("m"))
+    several = many.where("m > 1").select("child")
+    if several.isEmpty():
+        return ascents(nodes.select("node").union(left.select("parent")), left).join(nodes.select("node").distinct(), "node", "left_semi").select("node", F.when(F.col("top").isNotNull(), F.col("depth")).alias("depth"))
+    every = nodes.select("node").union(left.select("parent")).distinct()
+    done = cut(every.join(left.select(F.col("child").alias("node")), "node", "left_anti").select("node", F.lit(0).alias("depth")))
+    open_ = cut(left.join(several, "child", "left_semi"))
+    base = open_.select(F.col("child").alias("node")).distinct().select("node", F.lit(0).alias("base"))
+    way = cut(left.join(several, "child", "left_anti").select(F.col("child").alias("node"), F.col("parent").alias("up"), F.lit(0).alias("base"), F.lit(1).alias("add")))
     while True:
-        rest = cut(left.join(fresh.select(F.col("node").alias("parent")), "parent", "left_anti"))
-        touched = left.join(fresh.select(F.col("node").alias("parent")), "parent").select(F.col("child").alias("node")).distinct()
-        depth += 1
-        fresh = cut(touched.join(rest.select(F.col("child").alias("node")), "node", "left_anti").select("node", F.lit(depth).alias("depth")))
-        if not fresh.limit(1).count():
+        for _ in range(way.count().bit_length() + 1):
+            on = way.select(F.col("node").alias("at"), F.col("up").alias("further"), F.col("base").alias("b"), F.col("add").alias("a"))
+            met = way.join(on, F.col("up") == F.col("at"), "left")
+            if met.where("further is not null").isEmpty():
+                break
+            way = cut(met.select("node", F.coalesce("further", "up").alias("up"), F.greatest("base", F.coalesce(F.col("b") + F.col("add"), F.lit(0))).alias("base"), (F.col("add") + F.coalesce("a", F.lit(0))).alias("add")))
+        known = done.select(F.col("node").alias("up"), F.col("depth").alias("d"))
+        hit = cut(way.join(known, "up").select("node", F.greatest("base", F.col("d") + F.col("add")).alias("depth")))
+        way = way.join(hit.select("node"), "node", "left_anti")
+        done = cut(done.union(hit))
+        told = cut(open_.join(done.select(F.col("node").alias("parent"), "depth"), "parent"))
+        if told.isEmpty() and hit.isEmpty():
             return nodes.select("node").distinct().join(done, "node", "left")
-        done, left = done.union(fresh), rest
-
-
-def _doubled(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """levels of a forest: each node's way up is lengthened by its upper end's way, until it ends."""
-    now = nodes.select("node").distinct().join(edges.withColumnsRenamed({"child": "node", "parent": "up"}), "node", "left")
-    now = cut(now.select("node", "up", F.col("up").isNotNull().cast("int").alias("depth")))
-    for _ in range(now.count().bit_length() + 1):  # longer ways close a cycle
-        if not now.where("up is not null").limit(1).count():
-            break
-        top = now.select(F.col("node").alias("at"), F.col("up").alias("further"), F.col("depth").alias("more"))
-        now = cut(now.join(top, now.up == top["at"], "left").select("node", F.col("further").alias("up"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth")))
-    return now.select("node", F.when(F.col("up").isNull(), F.col("depth")).alias("depth"))
+        best = told.groupBy(F.col("child").alias("node")).agg(F.max(F.col("depth") + 1).alias("b"))
+        base = cut(base.join(best, "node", "left").select("node", F.greatest("base", F.coalesce("b", F.lit(0))).alias("base")))
+        open_ = cut(open_.join(told.select("parent", "child"), ["parent", "child"], "left_anti"))
+        rest = base.join(open_.groupBy(F.col("child").alias("node")).agg(F.count("*").alias("m"), F.min("parent").alias("up")), "node", "left")
+        rest = cut(rest)
+        done = cut(done.union(rest.where("m is null").select("node", F.col("base").alias("depth"))))
+        way = cut(way.union(rest.where("m = 1").select("node", "up", "base", F.lit(1).alias("add"))))
+        base = rest.where("m > 1").select("node", "base")
+        open_ = open_.join(base.select(F.col("node").alias("child")), "child", "left_semi")
 
 
 def reachable(starts: DataFrame, edges: DataFrame, limit: int | None = None) -> DataFrame:

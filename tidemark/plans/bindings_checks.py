@@ -127,17 +127,24 @@ SELECT k AS o_orderkey, coalesce(n, 0) AS evidence, 'BLOCKED' AS status, CASE WH
 
 
 def gap_resolution(spark, sf_dir):
-    """Orders without metadata against their lines as lists read again."""
+    """Orders without metadata against their lines as lists read again, and their parts' suppliers as local files."""
     o, li = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
     k = F.col("l_orderkey")
     events = li.where(k % 5 != 0).select(k.alias("doc_id"), F.when(k % 3 == 0, "1999-01-01").otherwise("2000-01-01").alias("day"), F.when((k % 7 == 0) & (F.col("l_linenumber") == 2), "b").otherwise("a").alias("entity_id"), F.lit("1").alias("code"), F.lit("2000-01-01 10:00").alias("submitted"), F.lit("120").alias("doc_type"), F.lit("").alias("period_start"), F.lit("").alias("period_end"), (k % 2 == 0).alias("warned"))
-    originals = o.where(F.col(KEY) % 11 != 0).select(F.col(KEY).alias("doc_id"), F.when(F.col(KEY) % 13 == 0, "FAILED").otherwise("PASS").alias("parse_status"), F.when(F.col(KEY) % 17 == 0, F.array(F.lit("a"), F.lit("b"))).when(F.col(KEY) % 19 == 0, F.array(F.lit("b"))).otherwise(F.array(F.lit("a"))).alias("codes"))
-    return evidence.gap_resolution(o.select(F.col(KEY).alias("doc_id")), events, originals)
-
-
-_GAP_SQL = """WITH e AS (SELECT l_orderkey AS k, count(DISTINCT CASE WHEN l_orderkey % 7 = 0 AND l_linenumber = 2 THEN 'b' ELSE 'a' END) AS c, min(CASE WHEN l_orderkey % 7 = 0 AND l_linenumber = 2 THEN 'b' ELSE 'a' END) AS e FROM lineitem WHERE l_orderkey % 5 <> 0 GROUP BY 1),
-x AS (SELECT o_orderkey AS doc_id, c, CASE WHEN c IS NULL THEN 'unresolved' WHEN c > 1 THEN 'metadata_identity_ambiguous' WHEN o_orderkey % 3 = 0 THEN 'daily_date_submit_date_mismatch' WHEN o_orderkey % 11 = 0 THEN 'local_file_not_available' WHEN o_orderkey % 13 = 0 THEN 'original_xml_unverified' WHEN o_orderkey % 17 = 0 THEN 'original_identifier_ambiguous_or_missing' WHEN CASE WHEN o_orderkey % 19 = 0 THEN 'b' ELSE 'a' END <> e THEN 'original_metadata_identifier_mismatch' END AS r FROM orders LEFT JOIN e ON k = o_orderkey)
-SELECT doc_id, CASE WHEN c IS NOT NULL AND doc_id % 2 = 0 THEN 'daily_file_rejected_by_parent_case_guard' ELSE 'unresolved' END AS history, CASE WHEN r IS NULL THEN 'PASS' ELSE 'BLOCKED' END AS resolution, r AS missing_reason FROM x"""
+    said = F.when(F.col(KEY) % 23 == 0, "file integrity broken").when(F.col(KEY) % 29 == 0, "member size_limit exceeded")
+    codes = F.when(F.col(KEY) % 17 == 0, F.array(F.lit("a"), F.lit("b"))).when(F.col(KEY) % 19 == 0, F.array(F.lit("b"))).otherwise(F.array(F.lit("a")))
+    files = o.where(F.col(KEY) % 11 != 0).select(F.col(KEY).alias("doc_id"), said.alias("file_reason"), (F.col(KEY) % 31 == 0).alias("changed"), F.when(F.col(KEY) % 13 == 0, "FAILED").otherwise("PASS").alias("parse_status"), codes.alias("codes"))
+    lists = li.select(F.to_date("l_shipdate").alias("day")).distinct().select(F.lit("daily_metadata_not_available").alias("list_reason"))
+    return evidence.gap_resolution(o.select(F.col(KEY).alias("doc_id")), events, files.union(files.where("doc_id % 37 = 0")), lists)
+
+
+_GAP_SQL = """WITH e AS (SELECT l_orderkey AS doc_id, CASE WHEN l_orderkey % 7 = 0 AND l_linenumber = 2 THEN 'b' ELSE 'a' END AS ent, CASE WHEN l_orderkey % 3 = 0 THEN DATE '1999-01-01' ELSE DATE '2000-01-01' END AS day, DATE '2000-01-01' AS submitted, l_orderkey % 2 = 0 AS warned FROM lineitem WHERE l_orderkey % 5 <> 0),
+c AS (SELECT doc_id, count(DISTINCT ent) AS claims, min(ent) AS ent, bool_or(day = submitted) AS same_day, bool_or(warned) AS warned FROM e GROUP BY 1),
+f0 AS (SELECT o_orderkey AS doc_id, CASE WHEN o_orderkey % 23 = 0 THEN 'byte_integrity_failed' WHEN o_orderkey % 29 = 0 THEN 'raw_size_limit' WHEN o_orderkey % 31 = 0 THEN 'byte_integrity_failed' END AS broken, o_orderkey % 13 = 0 AS unparsed, CASE WHEN o_orderkey % 17 = 0 THEN ['a', 'b'] WHEN o_orderkey % 19 = 0 THEN ['b'] ELSE ['a'] END AS codes FROM orders WHERE o_orderkey % 11 <> 0),
+f AS (SELECT doc_id, count(*) AS files, any_value(broken) AS broken, bool_or(unparsed) AS unparsed, any_value(codes) AS codes FROM (SELECT * FROM f0 UNION ALL SELECT * FROM f0 WHERE doc_id % 37 = 0) GROUP BY 1),
+x AS (SELECT o_orderkey AS doc_id, warned, CASE WHEN files IS NULL THEN 'raw_missing' WHEN files > 1 THEN 'identifier_ambiguous' WHEN broken IS NOT NULL THEN broken WHEN claims IS NULL THEN 'daily_metadata_not_available' WHEN claims > 1 THEN 'metadata_identity_ambiguous' WHEN NOT same_day THEN 'daily_date_submit_date_mismatch'
+  WHEN unparsed THEN 'original_xml_unverified' WHEN len(codes) <> 1 THEN 'original_identifier_ambiguous_or_missing' WHEN codes[1] <> c.ent THEN 'original_metadata_identifier_mismatch' END AS r FROM orders LEFT JOIN c ON c.doc_id = o_orderkey LEFT JOIN f ON f.doc_id = o_orderkey)
+SELECT doc_id, CASE WHEN warned THEN 'daily_file_rejected_by_parent_case_guard' ELSE 'unresolved' END AS history, CASE WHEN r IS NULL THEN 'PASS' ELSE 'BLOCKED' END AS resolution, r AS missing_reason FROM x"""
 
 
 def overlap_sample(spark, sf_dir):

@@ -111,6 +111,34 @@ view AS (SELECT doc_id, fact_id, key, CAST(v AS VARCHAR) AS value, CASE WHEN rea
 {tail}"""
 
 
+def view_boundary(spark, sf_dir):
+    """The view of every amendment's series at the amendment's public time and a microsecond after, as slices of one log."""
+    docs = documents(spark, sf_dir)
+    return revisions.boundary_audit(revisions.view_log(facts(spark, sf_dir), docs, "2030-01-01"), docs, "2030-01-01")
+
+
+_BOUNDARY_SQL = f"""{DOCS_SQL}, {FACTS_SQL}, lk AS (SELECT c.doc_id AS a, p.doc_id AS b FROM docs c JOIN docs p ON c.parent_id = p.doc_id), lb AS (SELECT * FROM lk UNION ALL SELECT b, a FROM lk),
+fr AS (SELECT doc_id, doc_id AS seen FROM docs UNION SELECT fr.doc_id, lb.b FROM fr JOIN lb ON lb.a = fr.seen), fam AS (SELECT doc_id, min(seen) AS series FROM fr GROUP BY 1),
+bd AS (SELECT doc_id || '/' || boundary AS id, doc_id AS rev, boundary, series, available_at + CASE WHEN boundary = 'after_boundary' THEN INTERVAL 1 MICROSECOND ELSE INTERVAL 0 MICROSECOND END AS t FROM docs JOIN fam USING (doc_id), (VALUES ('after_boundary'), ('at_exclusive_boundary')) v(boundary) WHERE parent_id IS NOT NULL AND available_at IS NOT NULL),
+el AS (SELECT bd.id || '|' || docs.doc_id AS doc_id, bd.id || '|' || parent_id AS parent_id, entity_id, available_at, doc_type, incomplete, k, docs.doc_id AS own, bd.id, rev, boundary, t FROM bd JOIN fam USING (series) JOIN docs ON docs.doc_id = fam.doc_id AND (available_at IS NULL OR available_at < t)), {{graph}},
+v0 AS (SELECT el.*, root, reasons FROM el JOIN g USING (doc_id)),
+spoilt AS (SELECT DISTINCT root FROM v0 WHERE root IS NOT NULL AND available_at IS NULL),
+visible AS (SELECT * FROM v0 WHERE root IS NOT NULL AND available_at IS NOT NULL),
+clean AS (SELECT * FROM visible WHERE root NOT IN (SELECT root FROM spoilt)),
+leaf AS (SELECT * FROM clean WHERE doc_id NOT IN (SELECT parent_id FROM visible WHERE parent_id IS NOT NULL)),
+win AS (SELECT *, CASE WHEN k % 61 = 0 THEN 'withdrawn' WHEN k % 67 = 0 THEN 'artifact_hash_mismatch' END AS gate FROM leaf),
+good AS (SELECT * FROM win WHERE gate IS NULL),
+ow AS (SELECT good.rev, boundary, t, own, f.fact_id, f.key, f.v, f.unverified, f.fact_at FROM good JOIN facts f ON f.doc_id = good.own),
+jd AS (SELECT rev, boundary, own, key, CASE WHEN bool_or(fact_at >= t) THEN 'fact_not_yet_available' WHEN bool_or(v IS NULL) THEN '-' WHEN bool_or(unverified) THEN 'unverified_facts' WHEN min(v) <> max(v) THEN 'conflicting_facts' END AS reason FROM ow GROUP BY ALL),
+older AS (SELECT DISTINCT good.rev, good.boundary, good.own, f.key FROM good JOIN visible o ON o.root = good.root AND o.doc_id <> good.doc_id JOIN facts f ON f.doc_id = o.own)
+SELECT rev AS revision_doc_id, boundary, own AS doc_id, fact_id, key, CAST(v AS VARCHAR) AS value, CASE WHEN reason = '-' THEN 'parse_failed' END AS missing_reason FROM ow JOIN jd USING (rev, boundary, own, key) WHERE reason IS NULL OR (reason = '-' AND v IS NULL)
+  UNION ALL SELECT rev, boundary, own, NULL, key, NULL, reason FROM jd WHERE reason <> '-'
+  UNION ALL SELECT rev, boundary, own, NULL, key, NULL, 'metric_absent_in_latest_revision' FROM older ANTI JOIN ow USING (rev, boundary, own, key)
+  UNION ALL SELECT rev, boundary, own, NULL, NULL, NULL, gate FROM win WHERE gate IS NOT NULL
+  UNION ALL SELECT rev, boundary, own, NULL, NULL, NULL, 'unknown_availability' FROM v0 WHERE root IS NOT NULL AND available_at IS NULL
+  UNION ALL SELECT rev, boundary, own, NULL, NULL, NULL, unnest(string_split(reasons, ',')) FROM v0 WHERE root IS NULL""".replace("{graph}", _GRAPH.format(x="", d="el"))
+
+
 def pit_join(spark, sf_dir):
     """Usable facts joined to the price before the decision, with the first reason that stops a row."""
     from ..operators.calendar import price_asof
@@ -233,7 +261,7 @@ _VALIDATE_SQL = f"""WITH {_EDGES_SQL}, n AS (SELECT 'region:' || r_regionkey AS
 c AS (SELECT DISTINCT o_custkey FROM orders WHERE o_orderkey % 500 = 1), q AS (SELECT o_orderkey FROM orders WHERE o_custkey IN (SELECT o_custkey FROM c))
 SELECT 'orphan_' || rel AS "check", count(*) AS n FROM e WHERE src NOT IN (SELECT node FROM n) OR dst NOT IN (SELECT node FROM n) GROUP BY 1 UNION ALL SELECT 'cycle', (SELECT count(*) FROM c) + (SELECT count(*) FROM q) + (SELECT count(DISTINCT l_partkey) FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM q))"""
 
-QUERIES = {f.__name__: f for f in (revision_components, revision_summary, revision_roots, revision_closure, fact_view_asof, fact_view_latest, pit_join, fact_pairs_reconcile, cross_source_reconcile, quarter_from_ytd, training_split, lineage_reach, lineage_validate)}
+QUERIES = {f.__name__: f for f in (revision_components, revision_summary, revision_roots, revision_closure, fact_view_asof, fact_view_latest, view_boundary, pit_join, fact_pairs_reconcile, cross_source_reconcile, quarter_from_ytd, training_split, lineage_reach, lineage_validate)}
 ORACLES = {
     "revision_components": _COMPONENTS_SQL,
     "revision_summary": _SUMMARY_SQL,
@@ -241,6 +269,7 @@ ORACLES = {
     "revision_closure": _CLOSURE_SQL,
     "fact_view_asof": _view_sql(DECISION, "SELECT * FROM view"),
     "fact_view_latest": _view_sql("2030-01-01", "SELECT missing_reason, count(*) AS n FROM view GROUP BY 1"),
+    "view_boundary": _BOUNDARY_SQL,
     "pit_join": _view_sql(DECISION, _PIT_TAIL),
     "fact_pairs_reconcile": _PAIRS_SQL,
     "cross_source_reconcile": _CROSS_SQL,

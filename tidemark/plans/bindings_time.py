@@ -106,18 +106,18 @@ SELECT o_orderkey, CASE WHEN kind = 'hit' AND NOT ({early}) THEN CAST(day AS VAR
 
 
 def price_asof(spark, sf_dir):
-    """The last price before each order's decision for each part in it."""
+    """The last price before the local day of each order's decision, at every hour of it, for each part in it."""
     li, o = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
-    prices = li.select(F.col("l_partkey").alias("code"), F.to_date("l_shipdate").alias("day"), F.when(F.col("l_suppkey") % 7 != 0, F.round(F.col("l_extendedprice") * 100).cast("bigint")).alias("close"), F.when(F.col("l_suppkey") % 11 == 0, 0).otherwise(1).alias("factor"), F.when(F.col("l_suppkey") % 13 == 0, "adjusted").otherwise("reported_unadjusted").alias("basis"), F.date_add(F.to_date("l_shipdate"), (F.col("l_suppkey") % 40).cast("int")).cast("timestamp").alias("available_at"), (F.col("l_suppkey") % 17 != 0).alias("projected"))
-    asked = li.join(o, F.col("l_orderkey") == F.col("o_orderkey")).select("o_orderkey", F.col("l_partkey").alias("code"), F.date_add(F.to_date("o_orderdate"), 60).cast("timestamp").alias("decision_at")).distinct()
+    prices = li.select(F.col("l_partkey").alias("code"), F.to_date("l_shipdate").alias("day"), F.when(F.col("l_suppkey") % 7 != 0, F.round(F.col("l_extendedprice") * 100).cast("bigint")).alias("close"), F.when(F.col("l_suppkey") % 11 == 0, 0).otherwise(1).alias("factor"), F.when(F.col("l_suppkey") % 13 == 0, "adjusted").otherwise("reported_unadjusted").alias("basis"), F.date_add(F.to_date("l_shipdate"), (F.col("l_suppkey") % 40).cast("int")).cast("timestamp").alias("available_at"), (F.col("l_suppkey") % 17 != 0).alias("projected"), F.when(F.col("l_suppkey") % 3 != 0, F.date_add(F.to_date("l_shipdate"), (F.col("l_suppkey") % 5 * 20).cast("int")).cast("timestamp")).alias("basis_at"))
+    asked = li.join(o, F.col("l_orderkey") == F.col("o_orderkey")).select("o_orderkey", F.col("l_partkey").alias("code"), (F.date_add(F.to_date("o_orderdate"), 60).cast("timestamp") + F.make_dt_interval(F.lit(0), (F.col("o_orderkey") % 24).cast("int"))).alias("decision_at")).distinct()
     return _dated(calendar.price_asof(asked.withColumn("part", F.col("code")), prices, ["o_orderkey", "part"]), "price_day")
 
 
 _PRICE_SQL = """WITH p AS (SELECT l_partkey AS code, CAST(l_shipdate AS DATE) AS day, count(*) AS n, min(l_suppkey) AS s, min(l_extendedprice) AS x FROM lineitem GROUP BY ALL),
-a AS (SELECT DISTINCT o_orderkey, l_partkey AS part, CAST(o_orderdate AS DATE) + 60 AS d FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
-m AS (SELECT a.*, p.day, p.n, p.s, p.x FROM a ASOF LEFT JOIN p ON a.part = p.code AND a.d > p.day),
-r AS (SELECT *, CASE WHEN day IS NULL THEN 'price_missing' WHEN n <> 1 THEN 'price_observation_ambiguous' WHEN s % 7 = 0 THEN 'price_missing' WHEN day + CAST(s % 40 AS INTEGER) >= d THEN 'price_not_yet_available'
-  WHEN s % 13 = 0 THEN 'adjusted_price_out_of_scope' WHEN s % 11 = 0 THEN 'corporate_action_basis_unknown' WHEN s % 17 = 0 THEN 'price_projection_source_mismatch' END AS price_reason FROM m)
+a AS (SELECT DISTINCT o_orderkey, l_partkey AS part, CAST(CAST(o_orderdate AS DATE) + 60 AS TIMESTAMP) + to_hours(CAST(o_orderkey % 24 AS INTEGER)) AS t FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+m AS (SELECT a.*, p.day, p.n, p.s, p.x FROM (SELECT *, CAST(t + INTERVAL 9 HOUR AS DATE) AS d FROM a) a ASOF LEFT JOIN p ON a.part = p.code AND a.d > p.day),
+r AS (SELECT *, CASE WHEN day IS NULL THEN 'price_missing' WHEN n <> 1 THEN 'price_observation_ambiguous' WHEN s % 7 = 0 THEN 'price_missing' WHEN CAST(day + CAST(s % 40 AS INTEGER) AS TIMESTAMP) >= t THEN 'price_not_yet_available'
+  WHEN s % 13 = 0 THEN CASE WHEN s % 3 = 0 THEN 'adjusted_price_vintage_unknown' WHEN CAST(day + CAST(s % 5 * 20 AS INTEGER) AS TIMESTAMP) >= t THEN 'future_corporate_action_adjustment' ELSE 'adjusted_price_out_of_scope' END WHEN s % 11 = 0 THEN 'corporate_action_basis_unknown' WHEN s % 17 = 0 THEN 'price_projection_source_mismatch' END AS price_reason FROM m)
 SELECT o_orderkey, part, CASE WHEN price_reason IS NULL THEN CAST(day AS VARCHAR) END AS price_day, CASE WHEN price_reason IS NULL THEN CAST(round(x * 100) AS BIGINT) END AS close, price_reason FROM r"""
 
 
@@ -185,12 +185,12 @@ def trading_status(spark, sf_dir):
     nxt = F.lead(d).over(Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey"))
     statuses = o.select(F.col("o_custkey").alias("security_id"), d.alias("valid_from"), F.when(k % 7 == 0, F.date_add(nxt, 90)).otherwise(nxt).alias("valid_to"), F.col("o_orderstatus").alias("status"), F.when(k % 47 != 0, F.date_add(d, (k % 4).cast("int"))).alias("available_at"))
     asked = o.select("o_orderkey", F.col("o_custkey").alias("security_id"), F.date_add(d, 5).alias("entry_day"), F.date_add(d, 2).alias("decision_at"))
-    return identity.trading_status(asked, statuses, ["o_orderkey"])
+    return identity.trading_status(asked, statuses, ["o_orderkey"]).drop("synthetic")
 
 
 _STATUS_SQL = """WITH s AS (SELECT o_custkey AS c, CAST(o_orderdate AS DATE) AS a, lead(CAST(o_orderdate AS DATE)) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) + CASE WHEN o_orderkey % 7 = 0 THEN 90 ELSE 0 END AS b, o_orderstatus AS st, CASE WHEN o_orderkey % 47 <> 0 THEN CAST(o_orderdate AS DATE) + CAST(o_orderkey % 4 AS INTEGER) END AS av FROM orders),
 g AS (SELECT o_orderkey, CAST(any_value(o_orderdate) AS DATE) + 2 AS d, count(s.c) AS n, any_value(s.st) AS st, any_value(av) AS av, count(av) AS k FROM orders LEFT JOIN s ON s.c = o_custkey AND a <= CAST(o_orderdate AS DATE) + 5 AND (b IS NULL OR CAST(o_orderdate AS DATE) + 5 < b) GROUP BY 1),
-r AS (SELECT *, CASE WHEN n = 0 THEN 'trading_status_missing' WHEN n > 1 THEN 'trading_status_ambiguous' WHEN k = 0 OR av >= d THEN 'trading_status_not_yet_available' END AS missing_reason FROM g)
+r AS (SELECT *, CASE WHEN n = 0 THEN 'trading_status_missing' WHEN n > 1 THEN 'trading_status_ambiguous' WHEN k = 0 THEN 'time_precision_unknown' WHEN av >= d THEN 'trading_status_not_yet_available' END AS missing_reason FROM g)
 SELECT o_orderkey, CASE WHEN missing_reason IS NULL THEN st END AS trading, missing_reason FROM r"""
 
 
@@ -198,7 +198,7 @@ def dated_mapping(spark, sf_dir):
     masters = table(spark, sf_dir, "lineitem").select(F.to_date("l_shipdate").alias("day"), (F.col("l_partkey") % 20).alias("code"), F.col("l_returnflag").alias("product"), F.col("l_linestatus").alias("market"), (F.col("l_suppkey") % 10 != 0).alias("verified"))
     d = F.to_date("o_orderdate")
     asked = table(spark, sf_dir, "orders").select("o_orderkey", (F.col("o_custkey") % 20).alias("code"), F.array(d, F.date_add(d, 3)).alias("required"), F.date_add(d, 1).alias("decision_day"))
-    return identity.dated_mapping(asked, masters, ["o_orderkey"], ["N", "R"], ["O", "F"])
+    return identity.dated_mapping(asked, masters, ["o_orderkey"], ["N", "R"], ["O", "F"]).drop("synthetic")
 
 
 _DATED_SQL = """WITH m AS (SELECT CAST(l_shipdate AS DATE) AS day, l_partkey % 20 AS code, count(*) AS n, min(l_returnflag) AS p, min(l_suppkey % 10 <> 0) AS v FROM lineitem GROUP BY ALL),
