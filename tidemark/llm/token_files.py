@@ -139,11 +139,11 @@ class WordEncoder:
     def _learn(self, words: list[str]) -> None:
         """Put the ids of words that aren't kept among the kept ones."""
         kept = self.kept
-        # a letter's run ends before a full stop or comma, so these ids can be joined
-        ends = [w for w in words if w[-1] in ".," and w[:-1].isalpha() and w[-2] < "ɐ"]
+        # a letter's run ends before a full stop or comma, so these ids can be joined; not if lower case puts a mark after the letter
+        ends = [w for w in words if w[-1] in ".," and w[:-1].isalpha() and w[-2] < "ɐ" and w[:-1].lower().isalpha()]
         stems = {w[:-1] for w in ends}
         whole = (set(words).difference(ends) | stems).difference(kept)
-        plain = [w for w in whole if w.isalpha() and max(w) < "ɐ"]
+        plain = [w for w in whole if w.isalpha() and max(w) < "ɐ" and w.lower().isalpha()]
         kept.update(zip(plain, self._letters(plain)))
         odd = list(whole.difference(plain))
         kept.update(zip(odd, self._ids(odd)))
@@ -190,7 +190,8 @@ def write_tokens(docs: DataFrame, tokenizer: str, end: int, path: str) -> None:
     """Encode docs(doc_id, text), append `end` to each, and write segments in ascending doc_id order to `path`.
 
     Rows of one doc_id follow each other in the order of their texts; a null doc_id comes first; a null text
-    has only the end. Other columns are not written.
+    has only the end. A text of any length is encoded whole, in a segment of its own beyond SEGMENT ids. Other columns are not written; an empty table
+    gives a folder without segments.
     """
 
     @relieved
