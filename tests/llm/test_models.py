@@ -279,3 +279,16 @@ def test_model_tells_prose_from_its_shuffle(spark):
     rows += [(j, " ".join(r.permutation(t.split()))) for j, (_, t) in zip(held[10:], rows[50:])]
     got = {x["doc_id"]: x["score"] / x["n_tokens"] for x in lm_score.scored(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
     assert np.mean([got[i] for i in held[:10]]) > np.mean([got[i] for i in held[10:20]]) + 0.3
+
+
+def test_close_languages_are_told_apart_before_rounding(spark):
+    import numpy as np
+
+    from tidemark.llm import lang_id
+
+    vector = lang_id._units(lang_id.Encoder().bundle(["some words of a text"])[0].astype(float))[0]
+    noise = np.zeros_like(vector)
+    noise[0] = 0.003
+    prototypes = lang_id._units(np.stack([vector + noise, vector]))
+    got = lang_id.identify(spark.createDataFrame([(1, "some words of a text")], "doc_id bigint, text string"), ["aa", "bb"], prototypes).first()
+    assert got["lang_pred"] == "bb" and got["score"] == 1.0

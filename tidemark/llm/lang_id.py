@@ -135,7 +135,7 @@ def learn(labelled: DataFrame, train_rows: int = 40_000) -> tuple[list[str], np.
 
 
 def identify(docs: DataFrame, langs: list[str], prototypes: np.ndarray) -> DataFrame:
-    """docs with lang_pred and score (the largest cosine, 0 to 1) after its columns.
+    """docs with lang_pred and score (the largest cosine, 0 to 1, rounded to four places) after its columns.
 
     A text that is null or has no letter, and any text if no language was learnt, gets `und` and 0.
     Equal cosines: the first language in alphabetical order.
@@ -153,9 +153,9 @@ def identify(docs: DataFrame, langs: list[str], prototypes: np.ndarray) -> DataF
             for i, j in _blocks(texts):
                 vectors, has = encoder.bundle(texts[i:j])
                 if langs:
-                    cosines = np.round(np.clip(_units(vectors) @ prototypes.T, 0, 1), 4)
+                    cosines = _units(vectors) @ prototypes.T
                     best = cosines.argmax(axis=1)
-                    score = np.where(has, cosines[np.arange(j - i), best], 0.0)
+                    score = np.where(has, np.round(np.clip(cosines[np.arange(j - i), best], 0, 1), 4), 0.0)
                     said = [langs[b] if h else "und" for b, h in zip(best, has)]
                 else:
                     score, said = np.zeros(j - i), ["und"] * (j - i)
