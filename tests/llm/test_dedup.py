@@ -198,3 +198,11 @@ def test_block_links():
     left = [row(1, 1, 10, {5}), row(2, 2, 10, {5, 6, 7, 8, 9})]
     right = [row(1, 1, 10, {5}), row(3, 3, 9, set()), row(4, 4, 9, {5, 6})]
     assert sorted(near_dup.block_links(left, right, 80)) == [(1, 3), (1, 4)]
+
+
+def test_texts_of_one_id_keep_their_own_partners(spark, monkeypatch):
+    a, b = ([f"{x}{i}" for i in range(60)] for x in "ab")
+    rows = [(5, " ".join(a)), (5, " ".join(b)), (6, " ".join([*a[:59], "other"])), (7, " ".join([*b[:59], "other"])), (5, " ".join(a)), (8, "alone here"), (4, " ".join(b[:30]))]
+    monkeypatch.setattr(near_dup, "MEET", 1)
+    got = {r["doc_id"]: r["component_id"] for r in near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), 2, 80).collect()}
+    assert got == {4: 4, 5: 5, 6: 5, 7: 5, 8: 8}

@@ -10,11 +10,12 @@ Two documents of similarity 0.8 share none of the 32 bands with a chance of (1 -
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import components, mix64, relieved, small_batches, stored
@@ -24,6 +25,8 @@ BANDS, ROWS, MANTISSA = 32, 4, 10
 REGISTERS = BANDS * ROWS
 #: Documents and bytes in a block; members of the bands whose members far from the hub make pairs.
 BLOCK, BLOCK_BYTES, PAIRED = 512, 1 << 23, 32
+#: Pairs of a hub that meet one copy of its set.
+MEET = 256
 _XOR = mix64(np.arange(1, REGISTERS + 1, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03))
 _MUL = mix64(np.arange(1, REGISTERS + 1, dtype=np.uint64) * np.uint64(0xABC98388FB8FAC03)) | np.uint64(1)
 
@@ -61,29 +64,44 @@ def _fixed(flat: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(np.arange(len(flat) + 1, dtype=np.int32) * BANDS, flat.reshape(-1))
 
 
+def _digests(hashes: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """128 bits of a cryptographic digest over each ascending set, so equal ones are equal sets; 0 for an empty set."""
+    made = b"".join(hashlib.blake2b(hashes[i:j], digest_size=16).digest() if j > i else bytes(16) for i, j in zip(ends, ends[1:]))
+    both = np.frombuffer(made, np.int64).reshape(-1, 2)
+    return both[:, 0], both[:, 1]
+
+
 def signatures(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, n (set size), the set's fingerprint f1 and f2, and its bands; null for an empty set."""
+    """doc_id, n (set size), the set's digest f1 and f2, and its bands; null for an empty set."""
 
     @relieved
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, hashes, ends in shingle_sets(batch.column(1), size):
                 n = np.diff(ends)
-                f1, f2, bands = np.zeros(len(n), np.uint64), np.zeros(len(n), np.uint64), np.zeros((len(n), BANDS), np.int64)
+                f1, f2 = _digests(hashes, ends)
+                bands = np.zeros((len(n), BANDS), np.int64)
                 full = np.flatnonzero(n > 0)
                 if len(full):
-                    at = ends[:-1][full]
-                    f1[full], f2[full] = np.add.reduceat(mix64(hashes), at), np.bitwise_xor.reduceat(mix64(hashes ^ np.uint64(0xA5A5A5A5)), at)
-                    bands[full] = sketch(hashes, np.append(at, len(hashes)))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(n)), pa.array(n, pa.int64()), pa.array(f1.view(np.int64)), pa.array(f2.view(np.int64)), _fixed(bands)], ["doc_id", "n", "f1", "f2", "bands"])
+                    bands[full] = sketch(hashes, np.append(ends[:-1][full], len(hashes)))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(n)), pa.array(n, pa.int64()), pa.array(f1), pa.array(f2), _fixed(bands)], ["doc_id", "n", "f1", "f2", "bands"])
 
     return docs.select("doc_id", "text").mapInArrow(of, "doc_id bigint, n bigint, f1 bigint, f2 bigint, bands array<bigint>")
 
 
+def _spread(pairs: DataFrame, sides: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """pairs(a, b, many) with a salt, and sides(key, ...) as many times as its hub has salts: about MEET pairs meet one copy of a hub's side."""
+    salts = F.ceil(F.col("many") / MEET).cast("int")
+    hubs = pairs.groupBy("a").agg(F.max(salts).alias("salts"))
+    copies = sides.join(hubs, sides.key == hubs.a).drop("a").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts")
+    return pairs.select("a", "b", "many", F.pmod(F.xxhash64("b"), salts).cast("int").alias("salt")), copies
+
+
 def _likely(pairs: DataFrame, reps: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (a, b) whose estimate is not far (five deviations) below the threshold."""
+    """The pairs (a, b, many) whose estimate is not far (five deviations) below the threshold."""
     floor = threshold - 5 * (threshold * (1 - threshold) / REGISTERS) ** 0.5
-    both = pairs.join(reps.selectExpr("doc_id a", "n na", "bands ba"), "a").join(reps.selectExpr("doc_id b", "n nb", "bands bb"), "b")
+    salted, hubs = _spread(pairs, reps.select("key", "n", "bands"))
+    both = salted.join(hubs.selectExpr("key a", "salt", "n na", "bands ba"), ["a", "salt"]).join(reps.selectExpr("key b", "n nb", "bands bb"), "b")
 
     @relieved
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -94,25 +112,30 @@ def _likely(pairs: DataFrame, reps: DataFrame, threshold: float) -> DataFrame:
             left, right = (np.ascontiguousarray(x.column(c).flatten().to_numpy()).reshape(-1, BANDS) for c in ("ba", "bb"))
             # sizes that far apart cannot reach the threshold
             keep = (estimate(left, right, n, m) >= floor) & (np.minimum(n, m) >= threshold * np.maximum(n, m) - 1e-9)
-            yield x.select(["a", "b"]).filter(pa.array(keep))
+            yield x.select(["a", "b", "many"]).filter(pa.array(keep))
 
-    return both.select("a", "b", "na", "nb", "ba", "bb").mapInArrow(of, "a bigint, b bigint")
+    return both.select("a", "b", "many", "na", "nb", "ba", "bb").mapInArrow(of, "a bigint, b bigint, many bigint")
 
 
-def _sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
-    """(doc_id, shingles) of the documents in ids(doc_id): ascending 64-bit hashes."""
+def _sets(docs: DataFrame, reps: DataFrame, size: int) -> DataFrame:
+    """(key, shingles) of reps(key, doc_id, f1, f2): ascending 64-bit hashes of the text of the doc_id whose set has the digest."""
 
     @relieved
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, hashes, ends in shingle_sets(batch.column(1), size):
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(ends) - 1), pa.array([hashes[i:j].tobytes() for i, j in zip(ends, ends[1:])], pa.binary())], ["doc_id", "shingles"])
+            for first, hashes, ends in shingle_sets(batch.column(0), size):
+                rows = batch.slice(first, len(ends) - 1)
+                f1, f2 = _digests(hashes, ends)
+                own = np.flatnonzero((rows.column(2).to_numpy() == f1) & (rows.column(3).to_numpy() == f2))
+                yield pa.RecordBatch.from_arrays([rows.column(1).take(pa.array(own)), pa.array([hashes[ends[i] : ends[i + 1]].tobytes() for i in own], pa.binary())], ["key", "shingles"])
 
-    return docs.select("doc_id", "text").join(ids, "doc_id").mapInArrow(of, "doc_id bigint, shingles binary")
+    found = docs.select("doc_id", "text").join(reps, "doc_id").select("text", "key", "f1", "f2").mapInArrow(of, "key bigint, shingles binary")
+    # rows that repeat a doc_id and text
+    return found.dropDuplicates(["key"]) if docs.select("doc_id").count() > docs.select("doc_id").distinct().count() else found
 
 
 def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b, na, nb, linked, apart): whether 100 * |intersection| >= percent * |union| on full sets, and what only one has."""
+    """(a, b, na, nb, linked, apart) of pairs(a, b, many): whether 100 * |intersection| >= percent * |union| on full sets, and what only one has."""
 
     @relieved
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -128,7 +151,8 @@ def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 sizes[1].append(len(q))
             yield pa.RecordBatch.from_arrays([x.column("a"), x.column("b"), pa.array(sizes[0], pa.int64()), pa.array(sizes[1], pa.int64()), pa.array(linked, pa.bool_()), pa.array(apart, pa.binary())], ["a", "b", "na", "nb", "linked", "apart"])
 
-    both = pairs.join(sets.selectExpr("doc_id a", "shingles sa"), "a").join(sets.selectExpr("doc_id b", "shingles sb"), "b")
+    salted, hubs = _spread(pairs, sets)
+    both = salted.join(hubs.selectExpr("key a", "salt", "shingles sa"), ["a", "salt"]).join(sets.selectExpr("key b", "shingles sb"), "b")
     return both.select("a", "b", "sa", "sb").mapInArrow(of, "a bigint, b bigint, na bigint, nb bigint, linked boolean, apart binary")
 
 
@@ -205,33 +229,34 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     count as one document: equal texts give one row, and different texts lie in one component. Extra columns
     are ignored; an empty table gives none. Texts of any length are taken whole.
 
-    Equal sets, by their size and 128 bits over all their shingles, are one class before any pair is made. A band's members are compared with their least one
-    (a star, never all pairs). Members that no star links with their hub's main component are then compared with
+    Equal sets, by their size and a 128-bit digest of the whole set, are one class, which has a key of its own, before any pair is made. A band's members are
+    compared with their least one (a star, never all pairs). Members that no star links with their hub's main component are then compared with
     the hub's other members in blocks, by what each has and the hub has not, or the other way round.
     """
     small_batches(docs.sparkSession)
     threshold = percent / 100
     sig = stored(signatures(docs, size), "signatures")
     ids = sig.where("n > 0 and doc_id is not null")
-    classes = ids.groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("rep"))
-    member = ids.select("doc_id", "n", "f1", "f2").distinct().join(classes, ["n", "f1", "f2"]).select("doc_id", "n", "rep")
-    firsts = ids.join(classes.select("n", "f1", "f2", F.col("rep").alias("doc_id")), ["n", "f1", "f2", "doc_id"]).select("doc_id", "n", "bands")
-    reps = firsts.groupBy("doc_id", "n").agg(F.first("bands").alias("bands"))
-    rows = reps.select("doc_id", F.posexplode("bands").alias("band", "key"))
-    shared = rows.groupBy("band", "key").agg(F.min("doc_id").alias("least"), F.count("*").alias("many")).where("many > 1")
-    near = stored(rows.join(shared, ["band", "key"]), "bands")
-
-    sets = stored(_sets(docs, near.select("doc_id").distinct(), size), "shingles")
+    classes = ids.groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"))  # equal sets have equal bands
+    reps = stored(classes.withColumn("key", F.monotonically_increasing_id()), "classes")
+    member = ids.select("doc_id", "n", "f1", "f2").distinct().join(reps.select("n", "f1", "f2", "key"), ["n", "f1", "f2"]).select("doc_id", "key")
+    rows = reps.select("key", F.posexplode("bands").alias("band", "value"))
+    shared = rows.groupBy("band", "value").agg(F.min("key").alias("least"), F.count("*").alias("many")).where("many > 1")
+    near = stored(rows.join(shared, ["band", "value"]), "bands")
+    sets = stored(_sets(docs, reps.join(near.select("key").distinct(), "key").select("key", "doc_id", "f1", "f2"), size), "shingles")
 
     def compared(pairs: DataFrame) -> DataFrame:
         return stored(_compared(stored(_likely(pairs, reps, threshold), "likely"), sets, percent), "compared")
 
-    stars = near.where("doc_id <> least").select(F.col("least").alias("a"), F.col("doc_id").alias("b")).distinct()
+    def pairs(rows: DataFrame, a: Column, b: Column) -> DataFrame:
+        return rows.groupBy(a.alias("a"), b.alias("b")).agg(F.max("many").alias("many"))
+
+    stars = pairs(near.where("key <> least"), F.col("least"), F.col("key"))
     first = compared(stars)
     # members far from their hub: in large bands they join the blocks, in others they make pairs
-    far = near.where("doc_id <> least").join(first.select(F.col("a").alias("least"), F.col("b").alias("doc_id")), ["least", "doc_id"], "left_anti")
+    far = near.where("key <> least").join(first.select(F.col("a").alias("least"), F.col("b").alias("key")), ["least", "key"], "left_anti")
     far = stored(far, "far")
-    first = first.union(stored(_compared(far.where(F.col("many") > PAIRED).select(F.col("least").alias("a"), F.col("doc_id").alias("b")).distinct(), sets, percent), "compared"))
+    first = first.union(stored(_compared(pairs(far.where(F.col("many") > PAIRED), F.col("least"), F.col("key")), sets, percent), "compared"))
     linked = first.where("linked").select("a", "b")
     roots = stored(components(linked), "roots")
 
@@ -241,15 +266,18 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     hubs = first.groupBy("a").agg(F.max("na").alias("n")).select(F.col("a").alias("hub"), F.col("a").alias("doc"), "n", F.lit(b"").alias("apart"))
     members = first.select(F.col("a").alias("hub"), F.col("b").alias("doc"), F.col("nb").alias("n"), "apart").union(hubs)
     across = stored(_across(rooted(members, "doc", "root"), percent), "across")
-    far = far.where(F.col("many") <= PAIRED).select("band", "key", F.col("doc_id").alias("x"))
-    rest = rooted(rooted(far, "x", "rx").join(near.select("band", "key", F.col("doc_id").alias("y")), ["band", "key"]), "y", "ry").where("rx <> ry")
-    rest = rest.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct().join(stars, ["a", "b"], "left_anti")
+    far = far.where(F.col("many") <= PAIRED).select("band", "value", "many", F.col("key").alias("x"))
+    rest = rooted(rooted(far, "x", "rx").join(near.select("band", "value", F.col("key").alias("y")), ["band", "value"]), "y", "ry").where("rx <> ry")
+    rest = pairs(rest, F.least("x", "y"), F.greatest("x", "y")).join(stars.select("a", "b"), ["a", "b"], "left_anti")
     linked = linked.union(across).union(compared(rest).where("linked").select("a", "b"))
-    lowest = member.groupBy("doc_id").agg(F.min("rep").alias("low"))
-    same_id = member.join(lowest, "doc_id").where("rep <> low").select(F.col("low").alias("a"), F.col("rep").alias("b"))
-    edges = linked.union(same_id)
-    roots = components(edges)
-    rooted = lowest.join(roots, F.col("low") == F.col("node"), "left").select("doc_id", F.coalesce("root", "low").alias("root"))
+    # classes as their least doc_ids; the texts of one doc_id belong together
+    named = reps.select("key", "doc_id")
+    edges = linked.join(named.withColumnsRenamed({"key": "a", "doc_id": "x"}), "a").join(named.withColumnsRenamed({"key": "b", "doc_id": "y"}), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    own = member.join(named.withColumnRenamed("doc_id", "rep"), "key").groupBy("doc_id").agg(F.min("rep").alias("low"), F.max("rep").alias("high"), F.count("*").alias("texts"))
+    several = own.where("texts > 1").select("doc_id")
+    same = member.join(several, "doc_id").join(named.withColumnRenamed("doc_id", "rep"), "key").join(own.select("doc_id", "low"), "doc_id").where("rep <> low").select(F.col("low").alias("a"), F.col("rep").alias("b"))
+    roots = components(edges.union(same))
+    rooted = own.join(roots, F.col("low") == F.col("node"), "left").select("doc_id", F.coalesce("root", "low").alias("root"))
     out = sig.where("doc_id is not null").select("doc_id", "n").distinct().join(rooted, "doc_id", "left")
     out = out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("root", "doc_id").alias("component_id")).withColumn("kept", F.col("doc_id") == F.col("component_id"))
     lost = sig.where("doc_id is null").select("doc_id", F.col("n").alias("n_shingles"), F.lit(None).cast("bigint").alias("component_id"), F.lit(True).alias("kept"))
