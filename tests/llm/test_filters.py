@@ -34,7 +34,7 @@ def brute_licenses(files):
         return [w for w in re.findall(r"[0-9A-Za-z\x80-\U0010ffff]+", t) if w not in licenses.STOP]
 
     templates = [(name, words(text)) for name, text in licenses.TEMPLATES]
-    known = {w for _, t in templates for w in t}
+    known = {w for _, t in templates for w in t} | {w for needs, against in licenses.RULES.values() for some in (*needs, against) for w in some}
     units, n = {}, 0
     for key, path, text in files:
         own = [x for x in (text or "").split("\n") if x.strip(" ")]
@@ -57,13 +57,22 @@ def brute_licenses(files):
     for k, us in units.items():
         best = None
         for u in us:
+            found = []
             x = {w: u.count(w) * idf(w) for w in set(u) & known}
             norm = math.sqrt(sum(v * v for v in x.values()) + len(set(u) - known) * idf("") ** 2)
             for i, (name, t) in enumerate(templates):
                 y = {w: t.count(w) * idf(w) for w in set(t)}
                 score = round(sum(v * y.get(w, 0) for w, v in x.items()) / (norm or 1) / math.sqrt(sum(v * v for v in y.values())), 6)
-                if score >= licenses.THRESHOLD and (best is None or (-score, i) < best[0]):
-                    best = ((-score, i), name, score)
+                if score >= licenses.THRESHOLD:
+                    found.append((-score, i, name))
+            if not found:
+                continue
+            good = sorted(f for f in found if all(set(some) & set(u) for some in licenses.RULES.get(f[2], ((), ()))[0]) and not set(licenses.RULES.get(f[2], ((), ()))[1]) & set(u))
+            others = [f for f in good if f[2] != good[0][2]]
+            top = min(good or found)
+            name = top[2] if good and (not others or others[0][0] - top[0] >= licenses.MARGIN) else "ambiguous"
+            if best is None or top[:2] < best[0]:
+                best = (top[:2], name, -top[0])
         own[k] = best and best[1:]
     out = {}
     for k, got in own.items():
@@ -95,6 +104,34 @@ def test_licenses(spark):
     assert licenses.scan(files.limit(0)).count() == 0
 
 
+LOOK_ALIKES = {
+    "This program is free software; you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation; either version 2 of the License, or\n(at your option) any later version.": "GPL-2.0",
+    "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation, either version 3 of the License, or\n(at your option) any later version.": "GPL-3.0",
+    "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU Affero General Public License as\npublished by the Free Software Foundation, either version 3 of the\nLicense, or (at your option) any later version.": "AGPL-3.0",
+    "This library is free software; you can redistribute it and/or\nmodify it under the terms of the GNU Lesser General Public\nLicense as published by the Free Software Foundation; either\nversion 2.1 of the License, or (at your option) any later version.": "LGPL-2.1",
+    "This library is free software: you can redistribute it and/or modify\nit under the terms of the GNU Lesser General Public License, version 3 of the License\nas published by the Free Software Foundation": "LGPL-3.0",
+    "GNU GENERAL PUBLIC LICENSE\nVersion 2, June 1991": "GPL-2.0",
+    "GNU GENERAL PUBLIC LICENSE\nVersion 7, May 2031": "ambiguous",
+    "GNU General Public License, version 2 or version 3.\nThis work is licensed under the": "ambiguous",
+    "This work is licensed under a Creative Commons Attribution 4.0 International License.": "CC-BY-4.0",
+    "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.": "CC-BY-SA-4.0",
+    "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.": "CC-BY-NC-ND-4.0",
+    "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.": "CC-BY-NC-SA-4.0",
+    "Licensed under CC BY-ND 4.0.": "CC-BY-ND-4.0",
+    "This work is licensed under a Creative Commons Attribution 3.0 International License.": "ambiguous",
+    "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work under CC0.": "CC0-1.0",
+    "Distributed under the Boost Software License, Version 1.0.": "BSL-1.0",
+    "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0": "EPL-2.0",
+    "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:\n1. Redistributions of source code must retain the above copyright notice, this\n   list of conditions and the following disclaimer.\n2. Redistributions in binary form must reproduce the above copyright notice,\n   this list of conditions and the following disclaimer in the documentation\n   and/or other materials provided with the distribution.": "BSD-2-Clause",
+}
+
+
+def test_licences_that_look_alike(spark):
+    rows = [(i, f"d{i}/x.py", f"code\n\n{text}\n\nmore") for i, text in enumerate(LOOK_ALIKES)]
+    got = {r["key"]: (r["license"], r["how"]) for r in licenses.scan(spark.createDataFrame(rows, "key bigint, path string, text string")).collect()}
+    assert got == {i: (name, "own") for i, name in enumerate(LOOK_ALIKES.values())}
+
+
 def test_every_licence_line_of_documents_is_found(spark):
     from tidemark.llm.licenses import op1_license_scan
 
