@@ -135,12 +135,21 @@ def scan(files: DataFrame, threshold: float = THRESHOLD, margin: float = MARGIN)
     lines = F.filter(F.split("text", "\n", -1), lambda x: F.length(F.trim(x)) > 0)
     blocks = F.filter(F.split("text", BLANK_LINES, -1), lambda x: F.contains(F.btrim(x, F.lit("\n")), F.lit("\n")))
     units = F.concat(lines, blocks, F.when(F.col("is_file"), F.array("text")).otherwise(F.array().cast("array<string>")))
-    held = let(units, lambda u: F.struct(F.size(u).alias("n"), F.filter(F.transform(u, lambda x, i: F.struct(i.alias("i"), _unit(x, known).alias("u"))), lambda s: F.size(s["u"]["terms"]) > 0).alias("units")))
-    rows = stored(rows.select("key", "path", "id", "is_file", held.alias("h")).select("key", "path", "id", "is_file", "h.n", "h.units"), "units")
+    # a cosine is at most the known words' share of a norm in which all of them are as rare as can be: what stays below the threshold even so is only counted
+    def likely(x: Column) -> Column:
+        known = F.aggregate(x["u"]["terms"], F.lit(0), lambda n, t: n + t["tf"] * t["tf"])
+        return known >= (threshold - 1e-6) ** 2 * (known + x["u"]["others"])
+
+    def parted(all_units: Column) -> Column:
+        return F.struct(F.filter(all_units, likely).alias("units"), F.flatten(F.transform(F.filter(all_units, lambda x: ~likely(x)), lambda x: x["u"]["terms"]["term"])).alias("heard"))
+
+    held = let(units, lambda u: F.struct(F.size(u).alias("n"), let(F.filter(F.transform(u, lambda x, i: F.struct(i.alias("i"), _unit(x, known).alias("u"))), lambda s: F.size(s["u"]["terms"]) > 0), parted).alias("p")))
+    rows = stored(rows.select("key", "path", "id", "is_file", held.alias("h")).select("key", "path", "id", "is_file", "h.n", "h.p.units", "h.p.heard"), "units")
     n_units = rows.agg(F.sum("n")).first()[0] or 0
     unit = rows.select("id", F.explode("units").alias("s")).distinct().select("id", "s.i", "s.u.others", "s.u.terms")
     term = unit.select("id", "i", "others", F.explode("terms").alias("t")).select("id", "i", "others", "t.term", "t.tf")
-    counted = rows.select(F.explode("units").alias("s")).select(F.explode("s.u.terms.term").alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+    terms = F.concat("heard", F.flatten(F.transform("units", lambda x: x["u"]["terms"]["term"])))
+    counted = rows.select(F.explode(terms).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
     df = dict(counted.collect())  # a row for each word of the templates at most
 
     def idf(w: str) -> float:
@@ -164,7 +173,7 @@ def scan(files: DataFrame, threshold: float = THRESHOLD, margin: float = MARGIN)
     clear = F.col("top").isNotNull() & (F.col("next").isNull() | (F.col("top") - F.col("next") >= margin))
     best = one.join(second, ["id", "i"], "left").select("id", F.when(clear, F.col("w.license")).otherwise("ambiguous").alias("license"), F.when(F.col("top").isNull(), F.col("most")).otherwise(F.col("top")).alias("score"), F.coalesce("w.no", "first").alias("no"))
     best = best.groupBy("id").agg(F.min_by(F.struct("license", "score"), F.struct(-F.col("score"), "no", "license")).alias("b")).select("id", "b.license", "b.score")
-    own = stored(rows.drop("n", "units").join(best, "id", "left"), "licensed")
+    own = stored(rows.drop("n", "units", "heard").join(best, "id", "left"), "licensed")
 
     folder = F.regexp_extract("path", r"^(.*/)?[^/]*$", 1)
     given = own.where("is_file and license is not null").select(folder.alias("dir"), "license", "score", "path").groupBy("dir").agg(F.min_by(F.struct("license", "score", "path"), F.struct(-F.col("score"), "path")).alias("g"))
