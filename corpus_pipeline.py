@@ -27,11 +27,11 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays, the one of the lowest doc_id.
+    """One document of each group stays, the one of the lowest doc_id; pairs share 80 per cent of their two-word shingles, as the operator's query asks.
 
     Rows that repeat a doc_id are one document and stay or go together; those without a doc_id stay, and so do empty texts.
     """
-    found = near_dup.near_duplicates(docs, size=5, percent=80)
+    found = near_dup.near_duplicates(docs, size=2, percent=80)
     lost = found.where("not kept").select("doc_id").distinct()
     return docs.join(lost, "doc_id", "left_anti").select(docs.columns)
 
