@@ -94,7 +94,7 @@ def number_key(text: Column) -> Column:
     return once(F.trim(text), of)
 
 
-def _not_finite(text: Column) -> Column:
+def not_finite(text: Column) -> Column:
     return F.coalesce(F.trim(text).rlike(r"^(?i)[+-]?(inf(inity)?|s?nan\d*)$"), F.lit(False))
 
 
@@ -118,7 +118,12 @@ def scalar_equal(a: Column, b: Column) -> Column:
     def same(x: Column) -> Column:
         return once(number_key(b), lambda y: F.when(x.isNotNull() & y.isNotNull(), x == y).otherwise(a == b))
 
-    return F.when(a.isNull() | b.isNull(), a.isNull() & b.isNull()).when(_not_finite(a) | _not_finite(b), F.lit(False)).otherwise(once(number_key(a), same))
+    return F.when(a.isNull() | b.isNull(), a.isNull() & b.isNull()).when(not_finite(a) | not_finite(b), F.lit(False)).otherwise(once(number_key(a), same))
+
+
+def value_class(value: Column) -> Column:
+    """A text that is equal for values that scalar_equal takes for equal, but for those that aren't finite, which equal nothing."""
+    return F.coalesce(F.concat(F.lit("#"), number_key(value)), F.concat(F.lit("="), value))
 
 
 def exact_difference(a: Column, b: Column, scale: int = 9) -> Column:

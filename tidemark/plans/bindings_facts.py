@@ -160,10 +160,15 @@ _PIT_TAIL = f"""SELECT DISTINCT fact_id, CASE WHEN r IS NULL THEN value END AS v
   ON x.p = CAST(string_split(fact_id, '-')[3] AS BIGINT) WHERE fact_id IS NOT NULL)"""
 
 
-def fact_pairs_reconcile(spark, sf_dir):
-    """All pairs of rows that share an order line, classified."""
+def _pair_facts(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
     rows = li.select(F.concat_ws("-", F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string"), F.col("l_quantity").cast("int").cast("string"), F.date_format("l_shipdate", "yyyyMMdd")).alias("fact_id"), "l_orderkey", "l_linenumber", F.when(F.col("l_suppkey") % 5 == 0, "second").otherwise("first").alias("doc_id"), F.when(F.col("l_partkey") % 3 == 0, "r").alias("root"), F.when(F.col("l_suppkey") % 13 != 0, F.col("l_returnflag")).alias("scope"), F.lit("JP GAAP").alias("standard"), F.col("l_linestatus").alias("unit"), F.lit("k").alias("key"), F.col("l_quantity").cast("int").cast("string").alias("value"))
+    return rows
+
+
+def fact_pairs_reconcile(spark, sf_dir):
+    """All pairs of rows that share an order line, classified."""
+    rows = _pair_facts(spark, sf_dir)
     return reconcile.within_source(rows, ["l_orderkey", "l_linenumber"]).select("a", "b", F.array_join("classes", ",").alias("classes"))
 
 
@@ -174,6 +179,19 @@ p AS (SELECT x.id AS a, y.id AS b, list_filter([CASE WHEN x.s IS NULL OR y.s IS
 SELECT a, b, CASE WHEN len(c) > 0 THEN array_to_string(c, ',') WHEN same THEN 'exact_match' ELSE 'conflicting_facts' END AS classes FROM p"""
 
 
+def fact_pair_counts(spark, sf_dir):
+    """How often each outcome occurs among all pairs of an order's lines, from counts alone."""
+    rows = _pair_facts(spark, sf_dir).withColumn("key", F.col("l_linenumber").cast("string"))
+    return reconcile.pair_counts(rows, ["l_orderkey"]).select("l_orderkey", F.array_join("classes", ",").alias("classes"), "pairs")
+
+
+_PAIR_COUNT_SQL = """WITH f AS (SELECT concat_ws('-', l_partkey, l_suppkey, CAST(l_quantity AS INTEGER), strftime(CAST(l_shipdate AS TIMESTAMP), '%Y%m%d')) AS id, l_orderkey AS o, l_linenumber AS l, CASE WHEN l_suppkey % 5 = 0 THEN 's' ELSE 'f' END AS d, l_partkey % 3 = 0 AS r,
+  CASE WHEN l_suppkey % 13 <> 0 THEN l_returnflag END AS s, l_linestatus AS u, CAST(l_quantity AS INTEGER) AS v FROM lineitem),
+p AS (SELECT x.o, list_filter([CASE WHEN x.s IS NULL OR y.s IS NULL THEN 'unresolved' WHEN x.s <> y.s THEN 'scope_difference' END, CASE WHEN x.u <> y.u THEN 'unit_difference' END,
+  CASE WHEN x.d <> y.d THEN CASE WHEN x.r AND y.r THEN 'restatement_difference' ELSE 'unresolved' END END], lambda c: c IS NOT NULL) AS c, x.v = y.v AS same, x.l = y.l AS keyed FROM f x JOIN f y ON x.o = y.o AND x.id < y.id)
+SELECT o AS l_orderkey, CASE WHEN len(c) > 0 THEN array_to_string(c, ',') WHEN NOT keyed THEN 'unresolved' WHEN same THEN 'exact_match' ELSE 'conflicting_facts' END AS classes, count(*) AS pairs FROM p GROUP BY ALL"""
+
+
 def cross_source_reconcile(spark, sf_dir):
     """An order's own total against the sum of its lines as another source."""
     o, k = table(spark, sf_dir, "orders"), F.col("o_orderkey")
@@ -261,7 +279,7 @@ _VALIDATE_SQL = f"""WITH {_EDGES_SQL}, n AS (SELECT 'region:' || r_regionkey AS
 c AS (SELECT DISTINCT o_custkey FROM orders WHERE o_orderkey % 500 = 1), q AS (SELECT o_orderkey FROM orders WHERE o_custkey IN (SELECT o_custkey FROM c))
 SELECT 'orphan_' || rel AS "check", count(*) AS n FROM e WHERE src NOT IN (SELECT node FROM n) OR dst NOT IN (SELECT node FROM n) GROUP BY 1 UNION ALL SELECT 'cycle', (SELECT count(*) FROM c) + (SELECT count(*) FROM q) + (SELECT count(DISTINCT l_partkey) FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM q))"""
 
-QUERIES = {f.__name__: f for f in (revision_components, revision_summary, revision_roots, revision_closure, fact_view_asof, fact_view_latest, view_boundary, pit_join, fact_pairs_reconcile, cross_source_reconcile, quarter_from_ytd, training_split, lineage_reach, lineage_validate)}
+QUERIES = {f.__name__: f for f in (revision_components, revision_summary, revision_roots, revision_closure, fact_view_asof, fact_view_latest, view_boundary, pit_join, fact_pairs_reconcile, fact_pair_counts, cross_source_reconcile, quarter_from_ytd, training_split, lineage_reach, lineage_validate)}
 ORACLES = {
     "revision_components": _COMPONENTS_SQL,
     "revision_summary": _SUMMARY_SQL,
@@ -272,6 +290,7 @@ ORACLES = {
     "view_boundary": _BOUNDARY_SQL,
     "pit_join": _view_sql(DECISION, _PIT_TAIL),
     "fact_pairs_reconcile": _PAIRS_SQL,
+    "fact_pair_counts": _PAIR_COUNT_SQL,
     "cross_source_reconcile": _CROSS_SQL,
     "quarter_from_ytd": _QUARTER_SQL,
     "training_split": _SPLIT_SQL,

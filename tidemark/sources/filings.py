@@ -11,7 +11,7 @@ from html.entities import name2codepoint
 from itertools import islice
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -70,9 +70,16 @@ def json_lines(spark: SparkSession, path: str, schema: str, required: list[str])
 
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(file, line, value): each line with its number in its file, from 1; a file is read by one task."""
-    whole = spark.read.text(path, wholetext=True).withColumn("file", F.col("_metadata.file_path"))
-    return whole.select("file", F.posexplode(F.split(F.regexp_replace("value", "\n$", ""), "\n", -1)).alias("line", "value")).withColumn("line", F.col("line") + 1)
+    """(file, line, value): each line with its number in its file, from 1; lines end at line feeds. Splits of a file are read in parallel.
+
+    Rows of a split follow each other, so a line's place in its split is its running id less the split's first. The splits' lines are counted and
+    added up along the file, one row a split, and give each split the number that it begins with.
+    """
+    text = spark.read.option("lineSep", "\n").text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id"), "value")
+    splits = text.groupBy("file", "block").agg(F.min("id").alias("first"), F.count("*").alias("n"))
+    upto = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, 0)
+    splits = splits.select("file", "block", "first", (F.sum("n").over(upto) - F.col("n")).alias("before"))
+    return text.join(splits, ["file", "block"]).select("file", (F.col("before") + F.col("id") - F.col("first") + 1).alias("line"), "value")
 
 
 def market_csv(spark: SparkSession, dataset: str, path: str, columns: list[str]) -> DataFrame:
@@ -132,6 +139,28 @@ def snapshot_diff(before: DataFrame, after: DataFrame, key: list[str], columns:
     return met.select(*key, change.alias("change"), F.when(change == "absent", F.array().cast("array<string>")).otherwise(fields).alias("fields"), F.when(change == "absent", "not_inferred_withdrawn").alias("reason"), F.lit(0 if revision is None else revision + 1).alias("revision")).where("change is not null")
 
 
+def snapshot_series(rows: DataFrame, key: list[str], columns: list[str], snapshot: str = "snapshot") -> DataFrame:
+    """(key, snapshot, change, fields, revision, last_seen): what happens to each key over a series of snapshots, rows(snapshot, key, columns).
+
+    added at a key's first snapshot, changed where a column differs from the snapshot before, absent at the first snapshot without the key, returned
+    at the next with it. fields are those that differ from when the key was last seen, sorted (none if absent; those with a value if added). revision counts
+    the contents so far, from 0. last_seen is the snapshot of the last row before. Snapshots follow each other in the order of their column; those
+    that hold no row at all don't exist. A key has one row a snapshot at most. A series that is continued gives the old events again and the new ones.
+    """
+    listed = rows.select(snapshot).distinct()
+    numbers = F.broadcast(listed.withColumn("_i", F.row_number().over(Window.orderBy(snapshot))).withColumn("_next", F.lead(snapshot).over(Window.orderBy(snapshot))))  # a row for each snapshot
+    along = Window.partitionBy(*key).orderBy("_i")
+    said = rows.select(*key, snapshot, F.struct(*columns).alias("_c")).join(numbers, snapshot)
+    said = said.withColumn("_was", F.lag("_c").over(along)).withColumn("_at", F.lag("_i").over(along)).withColumn("_seen", F.lag(snapshot).over(along)).withColumn("_then", F.lead("_i").over(along))
+    fields = F.array_compact(F.array(*[F.when(~F.col(f"_c.{c}").eqNullSafe(F.col(f"_was.{c}")), F.lit(c)) for c in sorted(columns)]))
+    said = said.withColumn("_f", fields).withColumn("revision", F.sum(F.when(F.col("_at").isNotNull() & (F.size("_f") > 0), 1).otherwise(0)).over(along.rowsBetween(Window.unboundedPreceding, 0)))
+    change = F.when(F.col("_at").isNull(), "added").when(F.col("_at") < F.col("_i") - 1, "returned").when(F.size("_f") > 0, "changed")
+    here = F.struct(F.col(snapshot).alias("s"), change.alias("change"), F.col("_f").alias("fields"), F.col("_seen").alias("last"))
+    gone = F.when(F.col("_next").isNotNull() & ~F.col("_then").eqNullSafe(F.col("_i") + 1), F.struct(F.col("_next").alias("s"), F.lit("absent").alias("change"), F.array().cast("array<string>").alias("fields"), F.col(snapshot).alias("last")))
+    out = said.withColumn("_e", F.explode(F.array_compact(F.array(here, gone)))).where("_e.change is not null")
+    return out.select(*key, F.col("_e.s").alias(snapshot), F.col("_e.change").alias("change"), F.col("_e.fields").alias("fields"), "revision", F.col("_e.last").alias("last_seen"))
+
+
 # -- filings ---------------------------------------------------------------------------------------
 
 _I = "{http://www.xbrl.org/2003/instance}"
