@@ -274,23 +274,31 @@ def test_package_and_api(spark, tmp_path):
     tables = {
         "documents": docs,
         "facts": spark.createDataFrame([fact("f1", "a"), fact("f2", "b", at=T0 + DAY)], FACT),
-        "entities": spark.createDataFrame([("e", ["Alpha Co", "Beta"], ["1234"])], "entity_id string, names array<string>, codes array<string>"),
+        "entities": spark.createDataFrame([("e", "name", "Alpha Co"), ("e", "name", "Beta"), ("e", "code", "1234"), ("f", "name", "Gam")], "entity_id string, kind string, value string"),
         "joins": spark.createDataFrame([("j", "e", "PASS")], "row_id string, entity_id string, status string"),
         "comparisons": spark.createDataFrame([("c", "a")], "comparison_id string, doc_id string"),
         "failures": spark.createDataFrame([("a", "why")], "doc_id string, missing_reason string"),
         "lineage": spark.createDataFrame([("fact:f1", "document:a", "of")], "src string, dst string, relation string"),
     }
+    tables["name_grams"] = package.name_grams(tables["entities"])
     path = str(tmp_path / "p")
     package.publish(tables, path, "one")
     with pytest.raises(Exception):
         package.publish(tables, path, "one")
     e = Evidence(spark, path)
-    assert e.company(name="ALPHA").count() == 1 and e.company(code="1234").count() == 1 and e.company(name="gamma").count() == 0
+    assert e.company(name="ALPHA").count() == 3 and e.company(code="1234").count() == 3 and e.company(name="gamma").count() == 0 and e.company(name="").count() == 0
+    assert {r["value"] for r in e.company(name="a").collect()} == {"Alpha Co", "Beta", "1234", "Gam"} and e.company(entity="f").count() == 1
+    assert package.version(spark, path) == 1 and package.commit(spark, path, "two", 1) == 2 and package.current(spark, path) == "two"
+    with pytest.raises(ValueError, match="snapshot_commit_conflict"):
+        package.commit(spark, path, "three", 1)
+    package.commit(spark, path, "one", 2)
     assert [r["fact_id"] for r in e.facts("e").where("missing_reason is null").collect()] == ["f2"]
     assert [r["fact_id"] for r in e.facts("e", T0 + DAY, snapshot=T0 + 9 * DAY).where("missing_reason is null").collect()] == ["f1"]
     assert e.filings("e").count() == 2 and e.joins("e").count() == 1 and e.compare("a").count() == 1 and e.failures(reason="why").count() == 1
     assert e.lineage("fact:f1")[0].count() == 2
     assert {r["check"]: r["violations"] for r in e.validate({"documents": ["doc_id"], "facts": ["doc_id"]}).collect()} == {"primary_key:documents": 0, "primary_key:facts": 0, "manifest": 0}
+    more = e.validate({}, (("facts", "doc_id", "documents", "doc_id"), ("failures", "doc_id", "joins", "row_id")), required=(("facts", "fact", "fact_id", "document", "doc_id", "of"),))
+    assert {r["check"]: r["violations"] for r in more.collect()} == {"orphan_doc_id:facts": 0, "orphan_doc_id:failures": 1, "required_edge:of": 1, "manifest": 0}
     package.write_views({"v": spark.createDataFrame([("=1",)], "a string")}, str(tmp_path / "views"))
     assert "'=1" in "".join(p.read_text() for p in (tmp_path / "views/v").glob("*.csv"))
 
@@ -310,7 +318,7 @@ def test_stream_appends_once(spark, tmp_path):
 
 def test_coverage(spark):
     assert coverage.duplicate_candidates(spark.createDataFrame([(1,), (1,), (2,)], "a int"), ["a"]).first()[0] == 1
-    ents = spark.createDataFrame([("e", ["Ä"], ["1"])], "entity_id string, names array<string>, codes array<string>")
+    ents = spark.createDataFrame([("e", "name", "Ä")], "entity_id string, kind string, value string")
     assert company(ents, entity="e").count() == 1
 
 
@@ -361,9 +369,37 @@ def test_extraction_of_nested_facts_and_odd_members(spark):
     df = spark.createDataFrame([("n", packed(a__xbrl=body, a_cal__xml=arcs), None), ("d", packed(a__xbrl='<!DOCTYPE x [<!ENTITY e "v">]>' + body), None)], "path string, content binary, sha256 string")
     rows = filings.filing_elements(df).collect()
     facts = [(r["qname"], r["element_index"], r["precision"], r["has_children"], r["has_transform"]) for r in rows if r["kind"] == "fact"]
-    assert facts == [("{urn:p}A", 7, "3", True, True), ("{urn:p}B", 8, None, False, False)]
+    assert sorted(facts) == [("{urn:p}A", 7, "3", True, True), ("{urn:p}B", 8, None, False, False)]
     assert [(r["parent"], r["child"]) for r in rows if r["kind"] == "arc"] == [("#A", "#D")]
     assert [(r["path"], r["reason"]) for r in rows if r["reason"]] == [("d", "xml_rejected")]
+    many = body.replace("</xbrl>", "".join(f'<p:A contextRef="c" unitRef="u">{i}</p:A>' for i in range(20_000)))
+    late = spark.createDataFrame([("ok", packed(a__xbrl=many + "</xbrl>"), None), ("late", packed(a__xbrl=many), None)], "path string, content binary, sha256 string")
+    got = filings.filing_elements(late)
+    assert got.where("path = 'ok' and kind = 'fact'").count() == 20_002 and got.where("path = 'ok'").agg(F.max("element_index")).first()[0] == 20_008
+    assert [(r["path"], r["reason"], r["kind"]) for r in got.where("path = 'late'").collect()] == [("late", "archive_unreadable", None)]
+
+
+def test_pairs_are_counted_as_they_are_made(spark):
+    import random
+
+    r = random.Random(3)
+    rows = [(f"f{i}", f"g{i % 4}", f"d{i % 3}" if i % 5 else "e", r.choice([None, "r", "s"]), r.choice([None, "c", "n"]), r.choice(["J", "I"]), r.choice(["Y", "S", None]), r.choice(["k", "l"]), r.choice(["1", "1.0", "2", None, "NaN", "x"])) for i in range(160)]
+    roots = {d: r.choice([None, "r", "s"]) for d in {x[2] for x in rows}}
+    df = spark.createDataFrame([(*x[:3], roots[x[2]], *x[4:]) for x in rows], "fact_id string, g string, doc_id string, root string, scope string, standard string, unit string, key string, value string")
+    group = df.select("fact_id", "g").withColumnRenamed("fact_id", "a")
+    want = {(x["g"], tuple(x["classes"])): x["count"] for x in reconcile.within_source(df, ["g"]).join(group, "a").groupBy("g", "classes").count().collect()}
+    assert {(x["g"], tuple(x["classes"])): x["pairs"] for x in reconcile.pair_counts(df, ["g"]).collect()} == want
+
+
+def test_lines_are_numbered_over_splits(spark, tmp_path):
+    for name, n in (("a.txt", 5000), ("b.txt", 3), ("c.txt", 0)):
+        (tmp_path / name).write_text("".join(f"line {i} " + "x" * (i % 50) + "\n" for i in range(n)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "10000")
+    try:
+        got = filings.numbered_lines(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len(got) == 5003 and all(r["value"].startswith(f"line {r['line'] - 1} ") for r in got)
 
 
 def test_as_reported_and_budget(spark):

@@ -114,9 +114,9 @@ def test_view_log_is_every_view(spark):
                      {"doc_id": "p"}, {"doc_id": "q", "parent_id": "p", "available_at": T0 + DAY, "retrieved_at": T0 + 4 * DAY}, {"doc_id": "u", "available_at": None}, {"doc_id": "v", "parent_id": "w", "available_at": T0 + 2 * DAY}, {"doc_id": "w", "available_at": T0 + 7 * DAY}, {"doc_id": "x", "failure": "lost"}, {"doc_id": "late", "recorded_at": T0 + 400 * DAY})
     rows = [fact("f1", "a"), fact("f2", "a", "gone"), fact("f3", "b", value="2", at=T0 + 7 * DAY), fact("f4", "b", "j", at=None), fact("f5", "c", at=T0 + 13 * DAY), fact("f6", "c", value="3", at=T0 + 14 * DAY), fact("g1", "p"), fact("g2", "q", value=None, at=T0 + DAY), fact("g3", "q", "y", at=T0 + 3 * DAY, verification="no"), fact("u1", "u"), fact("v1", "v"), fact("x1", "x")]
     facts = spark.createDataFrame(rows, FACT)
-    times = [T0 + k * DAY + x * dt.timedelta(microseconds=1) for k in (-1, 0, 1, 2, 3, 5, 6, 7, 8, 12, 13, 14, 15, 20) for x in (0, 1)]
+    times = [T0 + k * DAY + x * dt.timedelta(microseconds=1) for k in (0, 2, 5, 7, 12, 14, 15) for x in (0, 1)]
     decisions = spark.createDataFrame([(str(t), t, T0 + 90 * DAY) for t in times], "decision_id string, cutoff timestamp, snapshot timestamp")
-    for how in ({}, {"replay": "system_replay"}, {"latest": False}):
+    for how in ({}, {"replay": "system_replay", "latest": False}):
         log = revisions.view_log(facts, docs, T0 + 90 * DAY, **how)
         name = ["decision_id", "doc_id", "fact_id", "key", "value", "missing_reason"]
         want = sorted(map(str, revisions.fact_view(facts, docs, decisions, **how).select(name).collect()))
@@ -136,7 +136,7 @@ def depths(n, edges):
         out |= new
 
 
-@pytest.mark.parametrize("seed", range(4))
+@pytest.mark.parametrize("seed", range(2))
 def test_depths_with_several_parents(spark, seed):
     r = random.Random(seed)
     n = 60

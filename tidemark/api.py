@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from .operators import lineage as graph
 from .operators.revisions import fact_view
-from .operators.validate import manifest_matches, primary_key, report
+from .operators.validate import manifest_matches, no_future, primary_key, report
+from .operators.validate import projected as projected_columns
+from .operators.validate import references as orphans
 from .sources import package
 
 
@@ -22,7 +24,7 @@ class Evidence:
 
     def company(self, code: str | None = None, name: str | None = None, entity: str | None = None) -> DataFrame:
         """Companies by code, entity, or part of a name in any case (all that fit: names aren't keys)."""
-        return company(self.table("entities"), code, name, entity)
+        return company(self.table("entities"), self.table("name_grams"), code, name, entity)
 
     def facts(self, entity: str, as_of=None, replay: str = "public_reconstruction", snapshot=None) -> DataFrame:
         docs = self.table("documents").where(F.col("entity_id") == entity)
@@ -48,17 +50,33 @@ class Evidence:
         rows = rows if doc_id is None else rows.where(F.col("doc_id") == doc_id)
         return rows if reason is None else rows.where(F.col("missing_reason") == reason)
 
-    def validate(self, keys: dict[str, list[str]]) -> DataFrame:
-        """(check, violations): primary keys of the named tables and the manifest."""
+    def validate(self, keys: dict[str, list[str]], references: tuple = (), projected: dict[str, list[str]] | None = None, required: tuple = (), joins: str | None = None) -> DataFrame:
+        """(check, violations): primary keys, columns against payloads, references (table, column, table, key) to known rows, required edges (table, kind, column,
+        kind, column, relation) in the lineage, PASS rows of a table of joins, and the manifest."""
         manifest = self.spark.read.parquet(f"{self.path}/snapshot_id={package.current(self.spark, self.path)}/_manifest")
-        checks = [primary_key(self.table(t), k).withColumn("check", F.concat(F.col("check"), F.lit(f":{t}"))) for t, k in keys.items()]
+
+        def named(rows: DataFrame, table: str) -> DataFrame:
+            return rows.withColumn("check", F.concat(F.col("check"), F.lit(f":{table}")))
+
+        checks = [named(primary_key(self.table(t), k), t) for t, k in keys.items()]
+        checks += [named(projected_columns(self.table(t), c), t) for t, c in (projected or {}).items()]
+        checks += [named(orphans(self.table(t), c, self.table(other), k), t) for t, c, other, k in references]
+        for t, kind, column, other, target, relation in required:
+            lost = graph.missing_edges(graph.edge(self.table(t), kind, column, other, target, relation), self.table("lineage"))
+            checks.append(lost.agg(F.count("*").alias("violations")).select(F.lit(f"required_edge:{relation}").alias("check"), "violations"))
+        if joins:
+            checks.append(named(no_future(self.table(joins)), joins))
         return report([*checks, manifest_matches(manifest, package.actual(self.spark, self.path))])
 
 
-def company(entities: DataFrame, code: str | None = None, name: str | None = None, entity: str | None = None) -> DataFrame:
-    """entities(entity_id, names, codes) by code, entity or part of a name."""
+def company(members: DataFrame, grams: DataFrame | None = None, code: str | None = None, name: str | None = None, entity: str | None = None) -> DataFrame:
+    """The rows of members(entity_id, kind, value) of the companies with a code, an entity id or a part of a name; grams are the names' posting lists."""
     if code is not None:
-        return entities.where(F.array_contains("codes", code))
-    if entity is not None:
-        return entities.where(F.col("entity_id") == entity)
-    return entities.where(F.exists("names", lambda n: F.contains(F.lower(n), F.lit((name or "").lower()))))
+        hits = members.where((F.col("kind") == "code") & (F.col("value") == code)).select("entity_id")
+    elif entity is not None:
+        hits = members.where(F.col("entity_id") == entity).select("entity_id")
+    else:
+        asked = members.sparkSession.createDataFrame([(name or "",)], "query string")
+        found = package.find_names(package.name_grams(members) if grams is None else grams, asked).select(F.col("name").alias("value"))
+        hits = members.where("kind = 'name'").join(found, "value", "left_semi").select("entity_id")
+    return members.join(hits.distinct(), "entity_id", "left_semi")

@@ -209,13 +209,27 @@ _FORMULA_SQL = r"""WITH c AS (SELECT o_orderkey, ['=', '+', '-', '@', '', '+a',
 SELECT o_orderkey, CASE WHEN regexp_matches(cell, '^[=+@\-]') AND NOT regexp_matches(cell, '^[+-]?\d+(\.\d+)?$') THEN '''' || cell ELSE cell END AS cell FROM c"""
 
 
+def _members(spark, sf_dir):
+    c = table(spark, sf_dir, "customer")
+    return package.entity_members(c.select(F.col("c_nationkey").cast("string").alias("entity_id"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("code"), F.col("c_custkey").cast("string").alias("doc_id")))
+
+
 def company_search(spark, sf_dir):
     """Companies whose name holds a text in any case."""
-    c = table(spark, sf_dir, "customer")
-    index = package.entity_index(c.select(F.col("c_nationkey").cast("string").alias("entity_id"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("code"), F.col("c_custkey").cast("string").alias("doc_id")))
-    return api.company(index, name="CUSTOMER#00000001").select("entity_id", F.array_join("codes", ",").alias("codes"), F.size("doc_ids").cast("bigint").alias("documents"))
+    found = api.company(_members(spark, sf_dir), name="CUSTOMER#00000001")
+    codes = F.array_join(F.array_sort(F.collect_set(F.when(F.col("kind") == "code", F.col("value")))), ",")
+    return found.groupBy("entity_id").agg(codes.alias("codes"), F.count_if(F.col("kind") == "document").alias("documents"))
+
+
+def company_names(spark, sf_dir):
+    """Many searches at once: the names that hold each nation's number as three, two or one digits, or its name."""
+    n = table(spark, sf_dir, "nation")
+    asked = n.select(F.explode(F.array(F.format_string("%03d", "n_nationkey"), F.format_string("R#%d", "n_nationkey"), F.format_string("%d", "n_nationkey"), F.col("n_name"))).alias("query"))
+    return package.find_names(package.name_grams(_members(spark, sf_dir)), asked).groupBy("query").agg(F.count("*").alias("names"), F.min("name").alias("first"))
 
 
+_NAMES_SQL = """WITH a AS (SELECT DISTINCT unnest([printf('%03d', n_nationkey), 'R#' || n_nationkey, CAST(n_nationkey AS VARCHAR), n_name]) AS query FROM nation), n AS (SELECT DISTINCT c_name FROM customer)
+SELECT query, count(*) AS names, min(c_name) AS first FROM a JOIN n ON contains(lower(c_name), lower(query)) GROUP BY 1"""
 _COMPANY_SQL = "SELECT CAST(c_nationkey AS VARCHAR) AS entity_id, string_agg(DISTINCT c_mktsegment, ',' ORDER BY c_mktsegment) AS codes, count(*) AS documents FROM customer GROUP BY 1 HAVING bool_or(contains(lower(c_name), 'customer#00000001'))"
 
 
@@ -273,7 +287,7 @@ def inventory(spark, sf_dir):
 _INVENTORY_SQL = """WITH k AS (SELECT DISTINCT l_orderkey AS k FROM lineitem WHERE l_quantity > 20)
 SELECT count(o_orderkey) AS listed, count(k) AS archived, count(*) FILTER (k IS NULL) AS listing_only, CAST(0 AS BIGINT) AS repeated, count(*) FILTER (o_orderkey % 5 <> 0) AS with_code, CAST(min(CAST(o_orderdate AS DATE)) AS VARCHAR) AS first_day, CAST(max(CAST(o_orderdate AS DATE)) AS VARCHAR) AS last_day FROM orders FULL JOIN k ON k = o_orderkey"""
 
-QUERIES = {f.__name__: f for f in (hash_sample, challenge_sample, canonical_events, snapshot_diff, coverage_grid, bias_summary, provider_compare, reason_counts, shared_views, text_tie, page_text, pk_violations, required_edges, column_profile, duplicate_candidates, pack_roundtrip, formula_guard, company_search, omitted_texts, financial_unpivot, retention_gate, exact_numbers, fingerprints, inventory)}
+QUERIES = {f.__name__: f for f in (hash_sample, challenge_sample, canonical_events, snapshot_diff, coverage_grid, bias_summary, provider_compare, reason_counts, shared_views, text_tie, page_text, pk_violations, required_edges, column_profile, duplicate_candidates, pack_roundtrip, formula_guard, company_search, company_names, omitted_texts, financial_unpivot, retention_gate, exact_numbers, fingerprints, inventory)}
 ORACLES = {
     "hash_sample": _HASH_SQL,
     "canonical_events": _CANONICAL_SQL,
@@ -292,6 +306,7 @@ ORACLES = {
     "pack_roundtrip": _PACK_SQL,
     "formula_guard": _FORMULA_SQL,
     "company_search": _COMPANY_SQL,
+    "company_names": _NAMES_SQL,
     "omitted_texts": _OMIT_SQL,
     "financial_unpivot": _UNPIVOT_SQL,
     "retention_gate": _RETENTION_SQL,

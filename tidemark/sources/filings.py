@@ -6,6 +6,7 @@ import hashlib
 import io
 import xml.etree.ElementTree as ET
 import zipfile
+import zlib
 from collections.abc import Iterator
 from html.entities import name2codepoint
 from itertools import islice
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.contracts import first_reason, is_document_id, squeezed
+from ..operators.graph import cut
 
 LIST_SCHEMA = (
     "metadata struct<status:string,parameter:struct<date:string>,resultset:struct<count:bigint>>, results array<struct<"
@@ -172,92 +174,138 @@ RAW = "kind string, member string, element_index bigint, qname string, ref strin
 _ARCS = (f"{_L}calculationArc", f"{_L}definitionArc")
 
 
-def _parsed(data: bytes) -> tuple[ET.Element, dict[str, str]]:
-    """The root and the prefixes of a member; documents that declare types or entities are rejected."""
-    upper = data.replace(b"\0", b"").upper()
-    if b"<!DOCTYPE" in upper or b"<!ENTITY" in upper:
-        raise ValueError("xml_rejected")
-    prefixes, root = {}, None
-    for event, found in ET.iterparse(io.BytesIO(data), ("start-ns", "start")):
-        if event == "start-ns":
-            prefixes[found[0]] = found[1]
-        elif root is None:
-            root = found
-    return root, prefixes
-
-
-def _arc_rows(root: ET.Element) -> Iterator[dict]:
-    """Calculation and definition arcs both of whose labels stand for one locator."""
-    for link in root:
-        hrefs: dict[str, list] = {}
-        for e in link.findall(f"{_L}loc"):
-            hrefs.setdefault(e.get(f"{_X}label"), []).append(e.get(f"{_X}href"))
-        for i, arc in enumerate(link):
-            left, right = (hrefs.get(arc.get(f"{_X}{end}"), []) for end in ("from", "to"))
-            if arc.tag in _ARCS and len(left) == 1 and len(right) == 1:
-                yield {"kind": "arc", "element_index": i, "qname": arc.get(f"{_X}arcrole"), "role": link.get(f"{_X}role"), "parent": left[0], "child": right[0], "weight": arc.get("weight"), "ord": arc.get("order")}
-
-
-def _instance_rows(root: ET.Element, prefixes: dict[str, str]) -> Iterator[dict]:
-    """Contexts, units and facts at any depth; an element's index counts all elements before it."""
+#: Bytes of a member that are parsed at a time.
+CHUNK = 1 << 16
+
+
+def _events(member) -> Iterator[tuple[str, object]]:
+    """Parse events of a member while it is read; documents that declare types or entities are rejected."""
+    parser, tail = ET.XMLPullParser(("start-ns", "end-ns", "start", "end")), b""
+    while chunk := member.read(CHUNK):
+        tail = (tail + chunk.replace(b"\0", b"")).upper()
+        if b"<!DOCTYPE" in tail or b"<!ENTITY" in tail:
+            raise ValueError("xml_rejected")
+        tail = tail[-16:]
+        parser.feed(chunk)
+        yield from parser.read_events()
+    parser.close()
+    yield from parser.read_events()
+
+
+def _arc_rows(link: ET.Element) -> Iterator[dict]:
+    """Calculation and definition arcs of an extended link both of whose labels stand for one locator."""
+    hrefs: dict[str, list] = {}
+    for e in link.findall(f"{_L}loc"):
+        hrefs.setdefault(e.get(f"{_X}label"), []).append(e.get(f"{_X}href"))
+    for i, arc in enumerate(link):
+        left, right = (hrefs.get(arc.get(f"{_X}{end}"), []) for end in ("from", "to"))
+        if arc.tag in _ARCS and len(left) == 1 and len(right) == 1:
+            yield {"kind": "arc", "element_index": i, "qname": arc.get(f"{_X}arcrole"), "role": link.get(f"{_X}role"), "parent": left[0], "child": right[0], "weight": arc.get("weight"), "ord": arc.get("order")}
+
+
+def _row(e: ET.Element, i: int, children: bool, name) -> dict | None:
+    """The row of a context, unit or fact that has ended; `name` writes a prefixed name out."""
+    if e.tag == f"{_I}context":
+        said = {x.tag: x.text for x in e.iter()}
+        dimensions = [{"axis": name(d.get("dimension")), "member": name(d.text)} for d in e.iter(f"{_D}explicitMember")]
+        return {"kind": "context", "element_index": i, "ref": e.get("id"), "start": said.get(f"{_I}startDate"), "end": said.get(f"{_I}endDate"), "instant": said.get(f"{_I}instant"), "entity": said.get(f"{_I}identifier"), "dimensions": dimensions}
+    if e.tag == f"{_I}unit":
+        ratio = e.find(f"{_I}divide")
+        top = e.findall(f"{_I}measure") if ratio is None else ratio.findall(f"{_I}unitNumerator/{_I}measure")
+        low = [] if ratio is None else ratio.findall(f"{_I}unitDenominator/{_I}measure")
+        return {"kind": "unit", "element_index": i, "ref": e.get("id"), "numerator": [name(m.text) for m in top], "denominator": [name(m.text) for m in low]}
+    if e.get("contextRef") is not None:
+        return {"kind": "fact", "element_index": i, "qname": e.tag, "ref": e.get("contextRef"), "unit": e.get("unitRef"), "decimals": e.get("decimals"), "precision": e.get("precision"), "nil": e.get(_NIL), "has_children": children, "has_transform": any(k in e.attrib for k in ("scale", "sign", "format")), "text": e.text}
+    return None
+
+
+def _member_rows(member) -> Iterator[dict]:
+    """Rows of one member as its elements end; an element's index counts all elements that begin before it.
+
+    Only what is open is held: a context or unit, an extended link, or the way down to a fact.
+    """
+    prefixes: dict[str, list[str]] = {}
+    opened: list[str] = []
+    way: list[list] = []  # element, index, whether it has children
+    kept = linkbase = None
+    index = -1
 
     def name(text: str | None) -> str | None:
         prefix, _, local = (text or "").strip().partition(":")
-        return f"{{{prefixes[prefix]}}}{local}" if local and prefix in prefixes else text
-
-    for i, e in enumerate(root.iter()):
-        if e.tag == f"{_I}context":
-            said = {x.tag: x.text for x in e.iter()}
-            dimensions = [{"axis": name(d.get("dimension")), "member": name(d.text)} for d in e.iter(f"{_D}explicitMember")]
-            yield {"kind": "context", "element_index": i, "ref": e.get("id"), "start": said.get(f"{_I}startDate"), "end": said.get(f"{_I}endDate"), "instant": said.get(f"{_I}instant"), "entity": said.get(f"{_I}identifier"), "dimensions": dimensions}
-        elif e.tag == f"{_I}unit":
-            ratio = e.find(f"{_I}divide")
-            top = e.findall(f"{_I}measure") if ratio is None else ratio.findall(f"{_I}unitNumerator/{_I}measure")
-            low = [] if ratio is None else ratio.findall(f"{_I}unitDenominator/{_I}measure")
-            yield {"kind": "unit", "element_index": i, "ref": e.get("id"), "numerator": [name(m.text) for m in top], "denominator": [name(m.text) for m in low]}
-        elif e.get("contextRef") is not None:
-            yield {"kind": "fact", "element_index": i, "qname": e.tag, "ref": e.get("contextRef"), "unit": e.get("unitRef"), "decimals": e.get("decimals"), "precision": e.get("precision"), "nil": e.get(_NIL), "has_children": len(e) > 0, "has_transform": any(k in e.attrib for k in ("scale", "sign", "format")), "text": e.text}
+        return f"{{{prefixes[prefix][-1]}}}{local}" if local and prefixes.get(prefix) else text
+
+    for event, found in _events(member):
+        if event == "start-ns":
+            prefixes.setdefault(found[0], []).append(found[1])
+            opened.append(found[0])
+        elif event == "end-ns":
+            prefixes[opened.pop()].pop()
+        elif event == "start":
+            index += 1
+            if linkbase is None:
+                linkbase = found.tag == f"{_L}linkbase"
+            if way:
+                way[-1][2] = True
+            way.append([found, index, False])
+            if kept is None and (len(way) == 2 if linkbase else found.tag in (f"{_I}context", f"{_I}unit")):
+                kept = found
+        else:
+            e, i, children = way.pop()
+            if kept is not None and e is not kept:
+                continue
+            if linkbase:
+                yield from _arc_rows(e) if e is kept else ()
+            elif (row := _row(e, i, children, name)) is not None:
+                yield row
+            kept = None
+            if way:
+                way[-1][0].remove(e)
 
 
 def _elements(data: bytes) -> Iterator[dict]:
     """Raw rows of one archive: facts, contexts, units and arcs, as they stand; no rule is applied here."""
     with zipfile.ZipFile(io.BytesIO(data)) as z:
-        for member in sorted(z.namelist()):
-            if member.endswith((".xbrl", ".xml")):
-                root, prefixes = _parsed(z.read(member))
-                for row in _arc_rows(root) if root.tag == f"{_L}linkbase" else _instance_rows(root, prefixes):
-                    yield {"member": member, **row}
+        for name in sorted(z.namelist()):
+            if name.endswith((".xbrl", ".xml")):
+                with z.open(name) as member:
+                    for row in _member_rows(member):
+                        row["member"] = name
+                        yield row
 
 
 def filing_elements(archives: DataFrame) -> DataFrame:
-    """Raw rows of archives(path, content, sha256): path, reason, then RAW; the byte hash is checked first.
+    """Raw rows of archives(path, content, sha256): path, reason, then RAW; the byte hash is checked first. Stored when called.
 
     An archive whose bytes don't have the hash (null: not checked), that can't be read, or that declares entities gives
-    one row with a reason and no others. Rows leave in batches of some thousand.
+    one row with a reason and no others. Members are parsed once, while they are read; rows leave in batches of some thousand. What goes wrong
+    late in an archive ends it with a row that cancels those before.
     """
     fields = T._parse_datatype_string(RAW)
+    names = [f.name for f in fields]
     arrow = pa.schema([("path", pa.string()), ("reason", pa.string())] + [(f.name, _arrow(f.dataType)) for f in fields])
 
+    def told(data: bytes, sha: str | None) -> Iterator[dict]:
+        if sha is not None and hashlib.sha256(data).hexdigest() != sha:
+            yield {"reason": "artifact_hash_mismatch"}
+            return
+        try:
+            yield from _elements(data)
+        except (zipfile.BadZipFile, zlib.error, EOFError, ET.ParseError):
+            yield {"reason": "archive_unreadable"}
+        except ValueError as why:
+            yield {"reason": str(why)}
+
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, content, sha in zip(*(batch.column(i) for i in range(3))):
-                data = content.as_py()
-                if sha.is_valid and hashlib.sha256(data).hexdigest() != sha.as_py():
-                    reason = "artifact_hash_mismatch"
-                else:
-                    reason = None
-                    try:
-                        for _ in _elements(data):  # an archive is whole or gives nothing
-                            pass
-                    except (zipfile.BadZipFile, ET.ParseError):
-                        reason = "archive_unreadable"
-                    except ValueError as why:
-                        reason = str(why)
-                found = iter([{"reason": reason}]) if reason else _elements(data)
-                while rows := [{"path": path.as_py(), **r} for r in islice(found, 5000)]:
-                    yield pa.RecordBatch.from_pylist(rows, schema=arrow)
-
-    return archives.select("path", "content", "sha256").mapInArrow(of, "path string, reason string, " + RAW)
+                found = told(content.as_py(), sha.as_py())
+                while rows := list(islice(found, 5000)):
+                    columns = [[path.as_py()] * len(rows), [r.get("reason") for r in rows], *[[r.get(n) for r in rows] for n in names]]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow)
+
+    rows = cut(archives.select("path", "content", "sha256").mapInArrow(of, "path string, reason string, " + RAW))
+    cancelled = rows.where("reason is not null").select("path")
+    return rows.join(cancelled, "path", "left_anti").unionByName(rows.where("reason is not null"))
 
 
 def _arrow(kind: T.DataType) -> pa.DataType:
