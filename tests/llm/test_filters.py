@@ -267,7 +267,7 @@ def test_pipeline(spark, tmp_path):
                 want = "\n".join(x for p, x in enumerate(before[r["doc_id"]].split("\n")) if p not in drops.get(r["doc_id"], ()))
                 assert r["text"] == want and r["n_chars"] == len(want)
         if name == "near_duplicates":
-            kept = {r["doc_id"] for r in near_dup.near_duplicates(docs, 5, 80).collect() if r["kept"]}
+            kept = {r["doc_id"] for r in near_dup.near_duplicates(docs, 2, 80).collect() if r["kept"]}
             assert {r["doc_id"] for r in out.collect()} == kept
         if name == "decontaminated":
             bad = {r["doc_id"] for r in decontaminate.contamination(docs, spark.read.parquet(f"{SF}/benchmark.parquet")).collect() if r["contaminated"]}
