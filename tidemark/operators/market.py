@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.contracts import JST, at_zone, market_number
+from ..functions.contracts import JST, at_zone, first_reason, market_number
 
 
 #: The data set whose files are read whatever the windows.
@@ -35,15 +35,40 @@ def project_prices(rows: DataFrame) -> DataFrame:
     )
 
 
+# The channel and the endpoint of daily rows whose schedule is published, and the evidence that it gives.
+BULK, DAILY, SCHEDULE = "bulk_csv", "/equities/bars/daily", "official_provider_schedule_reconstruction"
+
+
 def price_availability(prices: DataFrame, channels: DataFrame) -> DataFrame:
-    """prices(day, file, ...) with availability: the next local midnight for files of a verified bulk channel only.
+    """prices(day, file, sha256, ...) with available_at, evidence and missing_reason: the next local midnight for files of a verified bulk channel only.
 
-    channels: file, status, channel.
+    channels: file, status, channel, endpoint, file_sha256, as bulk_channels gives them; a file's bytes must be those that its channel was verified with.
     """
-    bulk = channels.where("status = 'PASS' and channel = 'bulk'").select("file").distinct().withColumn("bulk", F.lit(True))
-    out = prices.drop("available_at", "missing_reason").join(bulk, "file", "left")
+    fits = (F.col("status") == "PASS") & (F.col("channel") == BULK) & (F.col("endpoint") == DAILY)
+    bulk = channels.where(fits).select("file", F.col("file_sha256").alias("sha256")).distinct().withColumn("bulk", F.lit(True))
+    out = prices.drop("available_at", "missing_reason", "evidence").join(bulk, ["file", "sha256"], "left")
     at = at_zone(F.date_add("day", 1).cast("timestamp"), JST)
-    return out.withColumn("available_at", F.when(F.col("bulk"), at)).withColumn("missing_reason", F.when(F.col("bulk").isNull(), "acquisition_channel_unknown")).drop("bulk")
+    return out.withColumn("available_at", F.when(F.col("bulk"), at)).withColumn("evidence", F.when(F.col("bulk"), SCHEDULE).otherwise("unknown")).withColumn("missing_reason", F.when(F.col("bulk").isNull(), "acquisition_channel_unknown")).drop("bulk")
+
+
+def bulk_channels(manifests: DataFrame, files: DataFrame, listing: DataFrame) -> DataFrame:
+    """(file, status, channel, endpoint, file_sha256, missing_reason) of files whose data set has a manifest: whether they came by the bulk channel.
+
+    manifests: dataset, mode, endpoint, list_sha256 (of the list that it was made from), listed_sha256 (of the list's bytes now). files: dataset, file, source_key,
+    bytes, sha256. listing: dataset, key, size. Each file's key must stand once on the list, with its size. One check that fails
+    blocks all files of the data set.
+    """
+    once = listing.groupBy("dataset", F.col("key").alias("source_key")).agg(F.count("*").alias("n"), F.min("size").alias("size"))
+    tied = F.col("n").eqNullSafe(F.lit(1).cast("bigint")) & F.col("size").eqNullSafe(F.col("bytes"))
+    whole = files.join(once, ["dataset", "source_key"], "left").groupBy("dataset").agg(F.bool_and(tied).alias("tied"))
+    endpoint = F.concat(F.lit("/"), F.replace("dataset", F.lit("_"), F.lit("/")))
+    judged = manifests.join(whole, "dataset", "left").select("dataset", endpoint.alias("to"), first_reason(
+        (~F.col("mode").eqNullSafe(F.lit("bulk")) | ~F.col("endpoint").eqNullSafe(endpoint), "acquisition_channel_unknown"),
+        (~F.col("list_sha256").eqNullSafe(F.col("listed_sha256")), "bulk_list_integrity_failed"),
+        (~F.col("tied"), "bulk_channel_file_mismatch"),
+    ).alias("missing_reason"))
+    good = F.col("missing_reason").isNull()
+    return files.join(judged, "dataset").select("file", F.when(good, "PASS").otherwise("BLOCKED").alias("status"), F.when(good, BULK).alias("channel"), F.when(good, F.col("to")).alias("endpoint"), F.when(good, F.col("sha256")).alias("file_sha256"), "missing_reason")
 
 
 def unpivot_financials(rows: DataFrame, keys: list[str], fields: dict[str, tuple[str, str, str]]) -> DataFrame:

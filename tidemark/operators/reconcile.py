@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.contracts import canonical_number, first_reason, not_finite, reasons, scalar_equal, squeezed, value_class
+from ..functions.contracts import first_reason, not_finite, reasons, scalar_equal, squeezed, value_class
 
 
 def within_source(facts: DataFrame, group: list[str]) -> DataFrame:
@@ -272,7 +272,3 @@ def reverse_lookup(stored: DataFrame, reread: DataFrame, at: list[str], value: s
     """(mismatches, missing): stored rows against a second reading by locator."""
     r = reread.select(*at, F.col(value).alias("again"), F.lit(True).alias("there"))
     return stored.join(r, at, "left").agg(F.count_if(F.col("there") & ~F.col(value).eqNullSafe(F.col("again"))).alias("mismatches"), F.count_if(F.col("there").isNull()).alias("missing"))
-
-
-def same_number(a: Column, b: Column) -> Column:
-    return canonical_number(a).eqNullSafe(canonical_number(b))

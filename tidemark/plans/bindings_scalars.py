@@ -149,9 +149,11 @@ def price_projection(spark, sf_dir):
     day = F.date_format("l_shipdate", "yyyy-MM-dd")
     close = F.when(s % 11 == 0, "").when(s % 13 == 0, "n/a").otherwise(F.col("l_quantity").cast("int").cast("string"))
     o = F.when(s % 22 == 0, "").otherwise("1")
-    rows = li.select(day.alias("Date"), F.col("l_partkey").cast("string").alias("Code"), *[o.alias(c) for c in ("O", "H", "L", "Vo", "Va")], close.alias("C"), F.lit("1.0").alias("AdjFactor"), F.lit("0").alias("ExRT"), F.col("l_linestatus").alias("file"))
+    rows = li.select(s, day.alias("Date"), F.col("l_partkey").cast("string").alias("Code"), *[o.alias(c) for c in ("O", "H", "L", "Vo", "Va")], close.alias("C"), F.lit("1.0").alias("AdjFactor"), F.lit("0").alias("ExRT"), F.col("l_linestatus").alias("file"))
     prices = market.project_prices(rows)
-    known = market.price_availability(rows.select(F.to_date("Date").alias("day"), "Code", "file", F.lit(None).alias("available_at"), F.lit(None).alias("missing_reason")), spark.createDataFrame([("F", "PASS", "bulk"), ("O", "PASS", "api")], "file string, status string, channel string"))
+    channels = [("F", "PASS", "bulk_csv", "/equities/bars/daily", "1"), ("O", "PASS", "bulk_csv", "/fins/summary", "1"), ("O", "BLOCKED", None, None, None)]
+    mine = rows.select(F.to_date("Date").alias("day"), "Code", "file", F.when(s % 5 == 0, "0").otherwise("1").alias("sha256"), F.lit(None).alias("available_at"), F.lit(None).alias("missing_reason"))
+    known = market.price_availability(mine, spark.createDataFrame(channels, "file string, status string, channel string, endpoint string, file_sha256 string"))
     a = prices.groupBy("day", "missing_reason", "trading_status").agg(F.count("*").alias("n"), F.sum("close").cast("bigint").alias("closes"))
     b = known.groupBy("day", "missing_reason").agg(F.count("*").alias("n"), F.max((F.unix_timestamp("available_at") / 3600).cast("bigint")).alias("closes")).select("day", "missing_reason", F.lit("availability").alias("trading_status"), "n", "closes")
     return a.union(b).withColumn("day", F.col("day").cast("string"))
@@ -159,7 +161,26 @@ def price_projection(spark, sf_dir):
 
 _PRICE_SQL = """WITH a AS (SELECT CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS day, CASE WHEN l_suppkey % 11 <> 0 AND l_suppkey % 13 = 0 THEN 'invalid_market_number' ELSE 'daily_row_publication_time_not_recorded' END AS missing_reason, CASE WHEN l_suppkey % 22 = 0 THEN 'no_trade_reason_unknown' ELSE 'intraday_status_not_provided' END AS trading_status, CASE WHEN l_suppkey % 11 <> 0 AND l_suppkey % 13 <> 0 THEN CAST(l_quantity AS INTEGER) END AS c FROM lineitem)
 SELECT day, missing_reason, trading_status, count(*) AS n, CAST(sum(c) AS BIGINT) AS closes FROM a GROUP BY ALL
-UNION ALL SELECT day, r, 'availability', count(*), max(CASE WHEN r IS NULL THEN date_diff('day', DATE '1970-01-01', CAST(day AS DATE)) * 24 + 24 - 9 END) FROM (SELECT CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS day, CASE WHEN l_linestatus <> 'F' THEN 'acquisition_channel_unknown' END AS r FROM lineitem) GROUP BY day, r"""
+UNION ALL SELECT day, r, 'availability', count(*), max(CASE WHEN r IS NULL THEN date_diff('day', DATE '1970-01-01', CAST(day AS DATE)) * 24 + 24 - 9 END) FROM (SELECT CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS day, CASE WHEN l_linestatus <> 'F' OR l_suppkey % 5 = 0 THEN 'acquisition_channel_unknown' END AS r FROM lineitem) GROUP BY day, r"""
+
+def bulk_channels(spark, sf_dir):
+    """Orders as files, a data set for each customer: which came by the bulk channel, by reason."""
+    o, c, k = table(spark, sf_dir, "orders"), F.col("o_custkey"), F.col("o_orderkey")
+    name = F.concat(F.lit("set_"), c)
+    files = o.select(name.alias("dataset"), k.cast("string").alias("file"), k.alias("source_key"), (k % 1000).alias("bytes"), F.sha2(k.cast("string"), 256).alias("sha256"))
+    listing = o.where((c % 7 != 0) | (k % 3 != 0)).select(name.alias("dataset"), k.alias("key"), F.when((c % 11 == 0) & (k % 2 == 0), -1).otherwise(k % 1000).alias("size"))
+    listing = listing.union(listing.where("key % 97 = 0"))
+    sets = o.select(c, name.alias("dataset")).distinct()
+    manifests = sets.select("dataset", F.when(c % 13 == 0, "api").otherwise("bulk").alias("mode"), F.when(c % 17 == 0, "/set").otherwise(F.concat(F.lit("/set/"), c)).alias("endpoint"), F.lit("a").alias("list_sha256"), F.when(c % 19 == 0, "b").otherwise("a").alias("listed_sha256"))
+    out = market.bulk_channels(manifests.where("mode is not null and dataset not like '%9'"), files, listing)
+    return out.groupBy("status", "missing_reason").agg(F.count("*").alias("n"), F.count("file_sha256").alias("hashes"), F.min("endpoint").alias("endpoint"))
+
+
+_CHANNEL_SQL = """WITH f AS (SELECT o_custkey AS c, o_orderkey AS k, o_orderkey % 1000 AS b FROM orders), l0 AS (SELECT c, k, CASE WHEN c % 11 = 0 AND k % 2 = 0 THEN -1 ELSE b END AS s FROM f WHERE c % 7 <> 0 OR k % 3 <> 0),
+l AS (SELECT c, k, count(*) AS n, min(s) AS s FROM (SELECT * FROM l0 UNION ALL SELECT * FROM l0 WHERE k % 97 = 0) GROUP BY 1, 2),
+t AS (SELECT c, bool_and(coalesce(n = 1 AND s = b, false)) AS tied FROM f LEFT JOIN l USING (c, k) GROUP BY 1),
+m AS (SELECT DISTINCT c, CASE WHEN c % 13 = 0 OR c % 17 = 0 THEN 'acquisition_channel_unknown' WHEN c % 19 = 0 THEN 'bulk_list_integrity_failed' WHEN NOT tied THEN 'bulk_channel_file_mismatch' END AS r FROM t WHERE c % 10 <> 9)
+SELECT CASE WHEN r IS NULL THEN 'PASS' ELSE 'BLOCKED' END AS status, r AS missing_reason, count(*) AS n, count(*) FILTER (r IS NULL) AS hashes, min(CASE WHEN r IS NULL THEN '/set/' || c END) AS endpoint FROM f JOIN m USING (c) GROUP BY r"""
 
 PATHS = ["a/b.csv", "/a", "../a", "a/../b", "c:\\a", "", "a\\..\\b", "a..b/c"]
 
@@ -280,7 +301,7 @@ _CONTRACT_SQL = """WITH e AS (SELECT event_id AS k FROM events), x AS (SELECT un
 SELECT violation, count(*) AS n FROM x GROUP BY 1"""
 
 _PARTS = {
-    strict_numbers: _NUMBERS_SQL, scalar_equality: _EQUAL_SQL, strict_instants: _INSTANT_SQL, content_ids: _IDS_SQL, semantic_keys: _SEMANTIC_SQL, periods: _PERIOD_SQL, scopes: _SCOPE_SQL, units: _UNIT_SQL, price_projection: _PRICE_SQL,
+    strict_numbers: _NUMBERS_SQL, scalar_equality: _EQUAL_SQL, strict_instants: _INSTANT_SQL, content_ids: _IDS_SQL, semantic_keys: _SEMANTIC_SQL, periods: _PERIOD_SQL, scopes: _SCOPE_SQL, units: _UNIT_SQL, price_projection: _PRICE_SQL, bulk_channels: _CHANNEL_SQL,
     locators_valid: _LOCATOR_SQL, metadata_availability: _METADATA_SQL, status_events: _STATUS_SQL, failure_classes: _FAILURE_SQL, sample_categories: _CATEGORY_SQL, dimension_compare: _DIMENSION_SQL, json_safe: _SAFE_SQL, standard_errors: _ERROR_SQL, observation_contract: _CONTRACT_SQL,
 }
 QUERIES = {f.__name__: f for f in _PARTS}
