@@ -10,7 +10,7 @@ from .operators.revisions import fact_view
 from .operators.validate import manifest_matches, no_future, primary_key, report
 from .operators.validate import projected as projected_columns
 from .operators.validate import references as orphans
-from .sources import package
+from .sources import dataset, package
 
 
 class Evidence:
@@ -69,6 +69,50 @@ class Evidence:
         return report([*checks, manifest_matches(manifest, package.actual(self.spark, self.path))])
 
 
+class Dataset(Evidence):
+    """A package that `publish_dataset` wrote; rows come from its payloads, nodes of the lineage are `table:id`."""
+
+    NAMES = {"facts": "canonical_facts", "joins": "pit_join_rows", "comparisons": "derived_source_links"}
+    #: Where the lineage of each kind of id begins.
+    STARTS = {"fact_id": "canonical_facts", "row_id": "pit_join_rows", "source_row_id": "derived_source_rows", "comparison_id": "derived_source_links"}
+
+    def table(self, name: str) -> DataFrame:
+        rows = package.read_table(self.spark, self.path, self.NAMES.get(name, name))
+        return dataset.edges_of(rows) if name == "lineage" else dataset.unpacked(rows)
+
+    def about(self, part: str) -> DataFrame:
+        """The current snapshot's `_about`, `_checks`, `_manifest` or `_inputs`."""
+        return self.spark.read.parquet(f"{self.path}/snapshot_id={package.current(self.spark, self.path)}/{part}")
+
+    def company(self, code: str | None = None, name: str | None = None, entity: str | None = None) -> DataFrame:
+        return company(package.entity_members(self.table("documents")), None, code, name, entity)
+
+    def facts(self, entity: str, as_of=None, replay: str = "public_reconstruction", snapshot=None) -> DataFrame:
+        """Within the package's own cutoff unless another is named; an entity that the package doesn't have gives one row that says so."""
+        last = self.about("_about").first()["cutoff"] if snapshot is None else snapshot
+        if self.filings(entity).limit(1).count():
+            return super().facts(entity, as_of, replay, last)
+        return super().facts(entity, as_of, replay, last).unionByName(self.spark.range(1).select(F.lit("asked").alias("decision_id"), F.lit("entity_not_in_snapshot").alias("missing_reason")), allowMissingColumns=True)
+
+    def failures(self, doc_id: str | None = None, reason: str | None = None) -> DataFrame:
+        rows = self.table("failures")
+        rows = rows if doc_id is None else rows.where(F.col("doc_id") == doc_id)
+        return rows if reason is None else rows.where(F.col("reason") == reason)
+
+    def lineage_of(self, kind: str, value: str) -> tuple[DataFrame, DataFrame]:
+        """(nodes with hops, edges) from a fact_id, row_id, comparison_id or source_row_id; a source row begins at itself and at all its comparisons."""
+        starts = self.table(self.STARTS[kind]).where(F.col(kind) == value).select(F.concat(F.lit(f"{self.STARTS[kind]}:"), kind).alias("node"))
+        if kind == "source_row_id":
+            own = self.table("comparisons").where(F.col(kind) == value)
+            starts = starts.union(own.select(F.concat(F.lit("derived_source_links:"), "comparison_id")))
+        return graph.walk(starts.distinct(), self.table("lineage"))
+
+    def validate(self) -> DataFrame:
+        """(check, violations) of all the package's checks, made anew over what stands there."""
+        tables = {n: package.read_table(self.spark, self.path, n) for n in dataset.TABLES}
+        return dataset.checks(tables).union(manifest_matches(self.about("_manifest"), package.actual(self.spark, self.path)))
+
+
 def company(members: DataFrame, grams: DataFrame | None = None, code: str | None = None, name: str | None = None, entity: str | None = None) -> DataFrame:
     """The rows of members(entity_id, kind, value) of the companies with a code, an entity id or a part of a name; grams are the names' posting lists."""
     if code is not None:
