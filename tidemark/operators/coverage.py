@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .sampling import canonical_event
+
 
 def reason_counts(ledger: DataFrame, reasons: str, by: list[str] = ()) -> DataFrame:
     """(by, reason, n) of an array column of reasons."""
@@ -65,11 +67,25 @@ def observed_ranges(rows: DataFrame, day: str, key: str) -> DataFrame:
     return rows.groupBy("source").agg(F.min(day).alias("first"), F.max(day).alias("last"), F.count_distinct(key).alias("identifiers"))
 
 
-def inventory(events: DataFrame, archive: DataFrame) -> DataFrame:
-    """One row: listed and archived documents, those only listed, duplicates, code coverage, day range."""
-    per = events.groupBy("doc_id").agg(F.count("*").alias("n"), F.max(F.col("code").isNotNull()).alias("coded"), F.min("day").alias("first"), F.max("day").alias("last"))
-    joined = per.join(archive.select("doc_id").distinct().withColumn("kept", F.lit(True)), "doc_id", "full")
-    return joined.agg(F.count_if(F.col("n").isNotNull()).alias("listed"), F.count_if("kept").alias("archived"), F.count_if(F.col("kept").isNull()).alias("listing_only"), F.count_if(F.col("n") > 1).alias("repeated"), F.count_if("coded").alias("with_code"), F.min("first").alias("first_day"), F.max("last").alias("last_day"))
+def inventory(events: DataFrame, files: DataFrame) -> DataFrame:
+    """One row about documents with files and what the daily lists say of them.
+
+    events: doc_id, day, seq, submit_day, code, entity, doc_type (a row for each listing); files: doc_id, a row for each file. Counts of documents, files,
+    documents of several files, with and without events, only listed; codes and types by the canonical event (an empty or null type is `unknown`), entities with an upper
+    bound of nothing but their number; first and last submit and listing day. types: sorted (type, n) pairs.
+    """
+    kept = files.groupBy("doc_id").agg(F.count("*").alias("files"))
+    own = canonical_event(events.select("doc_id", "day", "seq", "submit_day", "code", "entity", "doc_type")).drop("day", "seq")
+    met = kept.join(own.withColumn("listed", F.lit(True)), "doc_id", "full")
+    there = F.col("files").isNotNull()
+    kind = F.when(there, F.coalesce(F.when(F.col("doc_type") != "", F.col("doc_type")), F.lit("unknown")))
+    coded = there & F.coalesce(F.col("code") != "", F.lit(False))
+    per = met.groupBy(kind.alias("kind")).agg(F.count_if(there).alias("documents"), F.sum("files").alias("files"), F.count_if(F.col("files") > 1).alias("repeated"), F.count_if(there & F.col("listed")).alias("with_events"), F.count_if(~there).alias("listing_only"), F.count_if(coded).alias("with_code"), F.min(F.when(there, F.col("submit_day"))).alias("first"), F.max(F.when(there, F.col("submit_day"))).alias("last"))
+    total = per.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("documents", "files", "repeated", "with_events", "listing_only", "with_code")], F.min("first").alias("first_submitted"), F.max("last").alias("last_submitted"), F.array_sort(F.collect_list(F.when(F.col("kind").isNotNull(), F.struct(F.col("kind").alias("type"), F.col("documents").alias("n"))))).alias("types"))
+    entities = met.where(there & (F.col("entity") != "")).agg(F.count_distinct("entity").alias("entities"))
+    days = events.agg(F.count_distinct("day").alias("list_days"), F.min("day").alias("first_day"), F.max("day").alias("last_day"))
+    one = F.broadcast(entities.crossJoin(F.broadcast(days)))  # three tables of one row
+    return total.withColumn("without_code", F.col("documents") - F.col("with_code")).crossJoin(one)
 
 
 def join_summary(joins: DataFrame) -> DataFrame:

@@ -88,32 +88,46 @@ def pair_counts(facts: DataFrame, group: list[str]) -> DataFrame:
     return out.union(rest).where("pairs > 0").groupBy(*group, "classes").agg(F.sum("pairs").alias("pairs"))
 
 
+#: Units whose values count shares or are stated for one, so that they compare only on one share basis.
+SHARE_UNITS = ("shares", "JPY/share")
+#: Fixed value: the state of another source's row that isn't known to be revised.
+FIRST_STATE = "reported_initial_or_unknown"
+
+
 def across_sources(left: DataFrame, right: DataFrame, keys: list[str], fields: dict[str, str]) -> DataFrame:
     """(keys, fact_id, other_id, classes, numeric): every left fact against the right's facts of its keys.
 
-    fields: column -> class if it differs. Both sides: fact_id, value, available_at, those columns; left: is_revision, identity_verified,
-    decision_at; right: restated. Unmatched facts are unresolved. Values are compared only for verified identities, nothing
-    future, and no difference but timing or revision.
+    fields: column -> class if it differs. Both sides: fact_id, value, available_at, unit, share_basis, those columns; left: is_revision, identity_verified,
+    decision_at, n_dimensions; right: restated, revision_state. A left fact of dimensions has another scope than any whole; values of SHARE_UNITS need one share basis;
+    a right fact of another state than FIRST_STATE (null too) is a revision. Unmatched facts are unresolved. A time that is null is unresolved and
+    counts as future. Values are compared only for verified identities, nothing future, and no difference but timing or revision. Null flags count as false,
+    but an identity must be known to be verified.
     """
-    r = right.select(*keys, F.col("fact_id").alias("other_id"), F.col("value").alias("other_value"), F.col("available_at").alias("other_at"), "restated", *[F.col(c).alias(f"o_{c}") for c in fields])
+    taken = ("value", "available_at", "unit", "share_basis", *fields)
+    r = right.select(*keys, F.col("fact_id").alias("other_id"), F.coalesce("restated", F.lit(False)).alias("restated"), "revision_state", *[F.col(c).alias(f"o_{c}") for c in dict.fromkeys(taken)])
     met = left.join(r, keys, "left")
-    there = F.col("other_id").isNotNull()
-    future = F.coalesce(F.greatest("available_at", "other_at") >= F.col("decision_at"), F.lit(True)) | F.col("available_at").isNull() | F.col("other_at").isNull()
-    checks = [(~F.col("identity_verified"), "unresolved")]
-    checks += [(~F.col(c).eqNullSafe(F.col(f"o_{c}")), name) for c, name in fields.items()]
+
+    def unlike(c: str) -> Column:
+        return ~F.col(c).eqNullSafe(F.col(f"o_{c}"))
+
+    there, verified = F.col("other_id").isNotNull(), F.coalesce("identity_verified", F.lit(False))
+    untimed = F.col("available_at").isNull() | F.col("o_available_at").isNull() | F.col("decision_at").isNull()
+    future = untimed | (F.greatest("available_at", "o_available_at") >= F.col("decision_at"))
+    checks = [(~verified, "unresolved"), *[(unlike(c), name) for c, name in fields.items()]]
     checks += [
-        (F.col("is_revision") | F.col("restated"), "revision_difference"),
-        (F.col("available_at").isNull() | F.col("other_at").isNull(), "unresolved"),
-        (F.col("available_at").isNotNull() & F.col("other_at").isNotNull() & (future | (F.col("available_at") != F.col("other_at"))), "timing_difference"),
-        (F.col("value").isNull() | F.col("other_value").isNull(), "unresolved"),
+        (F.coalesce("n_dimensions", F.lit(0)) > 0, "scope_difference"),
+        (F.col("unit").isin(*SHARE_UNITS) & unlike("share_basis"), "definition_difference"),
+        (F.coalesce("is_revision", F.lit(False)) | F.col("restated") | ~F.col("revision_state").eqNullSafe(F.lit(FIRST_STATE)), "revision_difference"),
+        (untimed, "unresolved"),
+        (~untimed & (future | (F.col("available_at") != F.col("o_available_at"))), "timing_difference"),
+        (F.col("value").isNull() | F.col("o_value").isNull(), "unresolved"),
     ]
-    so_far = F.array_distinct(reasons(*checks))
-    open_ = F.col("identity_verified") & ~future & (F.size(F.array_except(so_far, F.array(F.lit("timing_difference"), F.lit("revision_difference")))) == 0)
-    numeric = F.when(there & open_, F.when(scalar_equal(F.col("value"), F.col("other_value")), "equal").otherwise("different"))
-    out = met.withColumn("so_far", so_far).withColumn("numeric", numeric)
-    added = F.when(F.col("numeric") == "equal", F.array(F.lit("exact_match"))).when(F.col("numeric") == "different", F.array(F.lit("value_conflict"))).otherwise(F.array().cast("array<string>"))
-    classes = F.when(there, F.array_sort(F.array_distinct(F.concat("so_far", added)))).otherwise(F.array(F.lit("unresolved")))
-    return out.select(*keys, "fact_id", "other_id", F.when(F.size(classes) == 0, F.array(F.lit("unresolved"))).otherwise(classes).alias("classes"), "numeric")
+    met = met.withColumn("so_far", F.array_distinct(reasons(*checks)))
+    open_ = verified & ~future & (F.size(F.array_except("so_far", F.array(F.lit("timing_difference"), F.lit("revision_difference")))) == 0)
+    met = met.withColumn("numeric", F.when(there & open_, F.when(scalar_equal(F.col("value"), F.col("o_value")), "equal").otherwise("different")))
+    told = F.when(F.col("numeric") == "equal", "exact_match").when(F.col("numeric") == "different", "value_conflict")
+    classes = F.when(there, F.array_sort(F.array_compact(F.array_append("so_far", told)))).otherwise(F.array().cast("array<string>"))
+    return met.select(*keys, "fact_id", "other_id", F.when(F.size(classes) == 0, F.array(F.lit("unresolved"))).otherwise(classes).alias("classes"), "numeric")
 
 
 def compare_facts(rows: DataFrame, originals: DataFrame, stages: list[tuple[str, str, str]], text: Column | None = None, keys: list[str] = ()) -> DataFrame:

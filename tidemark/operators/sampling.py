@@ -108,16 +108,59 @@ def challenge_sample(docs: DataFrame, categories: list[str], seed: str, probabil
     return first, list(chosen.items()), status
 
 
-def metadata_categories(docs: DataFrame, big: int) -> DataFrame:
-    """docs(doc_id, entity, parent_id, code, status_odd, name, size) with `cats` from metadata alone."""
-    own = Window.partitionBy("entity")
-    several = F.col("entity").isNotNull() & (F.size(F.collect_set("code").over(own)) > 1)
-    renamed = F.col("entity").isNotNull() & (F.size(F.collect_set("name").over(own)) > 1)
-    cats = F.array_compact(F.array(F.when(F.col("parent_id").isNotNull(), "has_parent"), F.when(F.col("status_odd"), "unusual_status"), F.when(F.col("code").isNull(), "null_code"), F.when(F.col("code").rlike("[A-Z]"), "alphabetic_code"), F.when(several, "several_codes"), F.when(renamed, "name_history"), F.when(F.col("size") >= big, "large_file")))
-    return docs.withColumn("cats", cats)
+# The document type of an amended report, industries that are financial or property trusts, and what a year's end less its start may be in days.
+AMENDED, FINANCIAL, PROPERTY, YEAR = "130", ("BNK", "INS", "SEC", "銀行業", "保険業", "証券業"), ("REIT", "投資法人"), (363, 366)
+
+
+def metadata_categories(events: DataFrame, files: DataFrame, big: int = 2 << 20) -> DataFrame:
+    """(doc_id, cats) of every document with a file: its categories from metadata alone, in the order of their names here.
+
+    events: doc_id, day, seq, submit_day, entity, name, code, doc_type, parent_id, statuses (array), any number a document; files: doc_id, bytes, a row for each
+    file. Type, parent and statuses are taken over all of a document's events, the code from its canonical event; an entity's names and codes
+    over all events of all documents with files, and neither needs more than their least and greatest. A document without events has none of these.
+    """
+    def filled(c: str) -> Column:
+        return F.when(F.col(c) != "", F.col(c))
+
+    kept = files.groupBy("doc_id").agg(F.max("bytes").alias("most"))
+    rows = events.join(kept.select("doc_id"), "doc_id", "left_semi").withColumns({c: filled(c) for c in ("entity", "name", "parent_id")})
+    seen = rows.where("entity is not null").groupBy("entity").agg(*[(F.max(filled(c)) > F.min(filled(c))).alias(f"{c}s") for c in ("code", "name")])
+    odd = F.exists("statuses", lambda x: x.isNotNull() & (x != "0"))
+    per = rows.groupBy("doc_id").agg(F.max(F.coalesce(F.col("doc_type") == AMENDED, F.lit(False))).alias("amended"), F.max(F.col("parent_id").isNotNull()).alias("parent"), F.max(F.coalesce(odd, F.lit(False))).alias("odd"))
+    own = canonical_event(rows.select("doc_id", "day", "seq", "submit_day", "code", "entity")).select("doc_id", "code", "entity", F.lit(True).alias("listed"))
+    met = kept.join(per, "doc_id", "left").join(own, "doc_id", "left").join(seen, "entity", "left")
+    cats = F.array_compact(F.array(
+        F.when(F.col("amended"), "amended_report"), F.when(F.col("parent"), "parent_document"), F.when(F.col("odd"), "unusual_status"), F.when(F.col("listed") & F.col("code").isNull(), "security_code_null"),
+        F.when(F.col("code").rlike("[A-Z]"), "alpha_security_code"), F.when(F.col("codes"), "multiple_security_codes"), F.when(F.col("names"), "name_history"), F.when(F.col("most") >= big, "large_zip"),
+    ))
+    return met.select("doc_id", cats.alias("cats"))
 
 
 def structure_categories(profile: DataFrame) -> DataFrame:
-    """Profiles (doc_id, standards, n_dimensions, losses, members, failures) with `cats` from structure."""
-    cats = F.array_compact(F.array(F.when(F.array_contains("standards", "IFRS"), "ifrs"), F.when(F.array_contains("standards", "US GAAP"), "us_gaap"), F.when(F.col("n_dimensions") > 0, "dimensional"), F.when(F.col("losses") > 0, "loss"), F.when(F.col("members") > 1, "multi_member"), F.when(F.size("failures") > 0, "screening_failure")))
+    """Profiles with `cats` from structure, in the order of their names here.
+
+    profile: doc_id, dei (map of an element's name to the array of its values), dimensions (array of axis, member), loss_fact, shared_tag (one tag in
+    several contexts), members, failures (array). A period counts where its start and its end have one value each and both are days.
+    Industries count only as the elements say them; null parts say nothing.
+    """
+    none = F.array().cast("array<string>")
+
+    def said(name: str) -> Column:
+        return F.coalesce(F.try_element_at("dei", F.lit(name)), none)
+
+    def only(name: str) -> Column:
+        return F.when(F.size(said(name)) == 1, said(name)[0].try_cast("date"))
+
+    dims = F.coalesce("dimensions", F.array().cast(profile.schema["dimensions"].dataType))
+    solo = F.exists(dims, lambda d: F.contains(d["member"], F.lit("NonConsolidatedMember")))
+    industries = F.flatten(F.map_values(F.map_filter(F.coalesce("dei", F.create_map().cast("map<string,array<string>>")), lambda k, v: F.startswith(k, F.lit("IndustryCode")) & v.isNotNull())))
+    segments = F.array_distinct(F.transform(F.filter(dims, lambda d: F.contains(d["axis"], F.lit("Segment")) & F.contains(d["member"], F.lit("Member"))), lambda d: d["member"]))
+    whole = "WhetherConsolidatedFinancialStatementsArePreparedDEI"
+    cats = F.array_compact(F.array(
+        F.when(F.array_contains(said("AccountingStandardsDEI"), "Japan GAAP"), "jp_gaap"), F.when(F.array_contains(said("AccountingStandardsDEI"), "IFRS"), "ifrs"),
+        F.when(F.array_contains(said(whole), "true"), "consolidated"), F.when(F.coalesce(F.array_contains(said(whole), "false"), F.lit(False)) | F.coalesce(solo, F.lit(False)), "non_consolidated"),
+        F.when(F.col("loss_fact"), "loss_fact"), F.when(~F.datediff(only("CurrentFiscalYearEndDateDEI"), only("CurrentFiscalYearStartDateDEI")).between(*YEAR), "fiscal_period_change_cue"),
+        F.when(F.arrays_overlap(industries, F.array(*map(F.lit, FINANCIAL))), "financial"), F.when(F.arrays_overlap(industries, F.array(*map(F.lit, PROPERTY))), "reit"),
+        F.when(F.size(segments) >= 2, "multiple_segments"), F.when(F.col("members") > 1, "multiple_xbrl_members"), F.when(F.col("shared_tag"), "same_tag_multiple_contexts"), F.when(F.size("failures") > 0, "screening_failure"),
+    ))
     return profile.withColumn("cats", cats)

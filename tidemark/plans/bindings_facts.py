@@ -193,22 +193,28 @@ SELECT o AS l_orderkey, CASE WHEN len(c) > 0 THEN array_to_string(c, ',') WHEN N
 
 
 def cross_source_reconcile(spark, sf_dir):
-    """An order's own total against the sum of its lines as another source."""
+    """Customers' order sums against their suppliers' view of the same lines: a fact is an order and a unit, its revisions are the lines' ship days."""
     o, k = table(spark, sf_dir, "orders"), F.col("o_orderkey")
-    li = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.sum(F.col("l_quantity").cast("int")).alias("q"), F.max("l_shipdate").alias("last"))
-    at = F.col("o_orderdate").cast("timestamp")
-    left = o.select(k, k.alias("fact_id"), (k % 7 != 0).alias("identity_verified"), (k % 11 == 0).alias("is_revision"), F.when(k % 2 == 0, "cons").otherwise("solo").alias("scope"), F.date_add(F.to_date("o_orderdate"), 1).cast("timestamp").alias("available_at"), F.date_add(F.to_date("o_orderdate"), 60).cast("timestamp").alias("decision_at")).join(li.select(F.col("l_orderkey").alias("o_orderkey"), F.col("q").cast("string").alias("value")), "o_orderkey", "left")
-    right = li.join(o, F.col("l_orderkey") == k).where(k % 5 != 0).select(k, k.alias("fact_id"), F.when(k % 3 == 0, F.col("q") + 1).otherwise(F.col("q")).cast("string").alias("value"), F.when(k % 13 == 0, F.to_date("last")).otherwise(F.date_add(F.to_date(at), 1)).cast("timestamp").alias("available_at"), F.when(k % 4 == 0, "cons").when(k % 4 == 2, "solo").otherwise("solo").alias("scope"), (k % 17 == 0).alias("restated"))
+    li = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.sum(F.col("l_quantity").cast("int")).alias("q"), F.max(F.to_date("l_shipdate")).alias("last"), F.count_distinct("l_returnflag").alias("flags"), F.min("l_linestatus").alias("status"), F.count("*").alias("n"))
+    day = F.to_date("o_orderdate")
+    unit = F.element_at(F.array(*[F.lit(u) for u in ("JPY", "shares", "JPY/share")]), (k % 3 + 1).cast("int"))
+    left = o.select(k, k.alias("fact_id"), F.when(k % 97 != 0, k % 7 != 0).alias("identity_verified"), (k % 11 == 0).alias("is_revision"), F.when(k % 2 == 0, "cons").otherwise("solo").alias("scope"), unit.alias("unit"), F.substring("o_orderpriority", 1, 1).alias("share_basis"), F.when(F.col("o_orderstatus") == "P", 1).alias("n_dimensions"),
+        F.when(k % 89 != 0, F.date_add(day, 1).cast("timestamp")).alias("available_at"), F.when(k % 83 != 0, F.date_add(day, 60).cast("timestamp")).alias("decision_at")).join(li.select("o_orderkey", F.col("q").cast("string").alias("value")), "o_orderkey", "left")
+    right = li.join(o, "o_orderkey").where(k % 5 != 0).select(k, k.alias("fact_id"), F.when(k % 3 == 0, F.col("q") + 1).otherwise(F.col("q")).cast("string").alias("value"), F.when(k % 13 == 0, F.col("last")).otherwise(F.date_add(day, 1)).cast("timestamp").alias("available_at"), F.when(k % 4 == 0, "cons").otherwise("solo").alias("scope"), unit.alias("unit"),
+        F.when(F.col("flags") == 1, "1").otherwise(F.substring("o_orderpriority", 1, 1)).alias("share_basis"), (k % 17 == 0).alias("restated"), F.when(F.col("status") == "F", reconcile.FIRST_STATE).when(F.col("n") > 3, "revised").alias("revision_state"))
     out = reconcile.across_sources(left, right, ["o_orderkey"], {"scope": "scope_difference"})
     return out.select("o_orderkey", "other_id", F.array_join("classes", ",").alias("classes"), "numeric")
 
 
-_CROSS_SQL = """WITH l AS (SELECT l_orderkey AS k, sum(CAST(l_quantity AS INTEGER)) AS q, CAST(max(l_shipdate) AS DATE) AS last FROM lineitem GROUP BY 1),
-r AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 3 = 0 THEN q + 1 ELSE q END AS v, CASE WHEN o_orderkey % 13 = 0 THEN last ELSE CAST(o_orderdate AS DATE) + 1 END AS t, CASE WHEN o_orderkey % 4 = 0 THEN 'cons' ELSE 'solo' END AS s, o_orderkey % 17 = 0 AS re FROM l JOIN orders ON l.k = o_orderkey WHERE o_orderkey % 5 <> 0),
-m AS (SELECT o_orderkey, r.k AS other_id, l.q, r.v, o_orderkey % 7 = 0 AS bad, CASE WHEN o_orderkey % 2 = 0 THEN 'cons' ELSE 'solo' END <> r.s AS sd, o_orderkey % 11 = 0 OR re AS rev, r.t >= CAST(o_orderdate AS DATE) + 60 AS fut, r.t <> CAST(o_orderdate AS DATE) + 1 AS td FROM orders LEFT JOIN l ON l.k = o_orderkey LEFT JOIN r ON r.k = o_orderkey),
-n AS (SELECT *, CASE WHEN NOT bad AND NOT sd AND NOT fut AND v IS NOT NULL AND q IS NOT NULL THEN CASE WHEN v = q THEN 'equal' ELSE 'different' END END AS num FROM m)
-SELECT o_orderkey, other_id, CASE WHEN other_id IS NULL THEN 'unresolved' ELSE array_to_string(list_sort(list_filter([CASE WHEN bad OR v IS NULL OR q IS NULL THEN 'unresolved' END, CASE WHEN sd THEN 'scope_difference' END, CASE WHEN rev THEN 'revision_difference' END,
-  CASE WHEN fut OR td THEN 'timing_difference' END, CASE num WHEN 'equal' THEN 'exact_match' WHEN 'different' THEN 'value_conflict' END], lambda c: c IS NOT NULL)), ',') END AS classes, CASE WHEN other_id IS NOT NULL THEN num END AS numeric FROM n"""
+_CROSS_SQL = """WITH li AS (SELECT l_orderkey AS k, sum(CAST(l_quantity AS INTEGER)) AS q, CAST(max(l_shipdate) AS DATE) AS last, count(DISTINCT l_returnflag) AS flags, min(l_linestatus) AS st, count(*) AS n FROM lineitem GROUP BY 1),
+o AS (SELECT o_orderkey AS k, CAST(o_orderdate AS DATE) AS day, (['JPY', 'shares', 'JPY/share'])[o_orderkey % 3 + 1] AS unit, substr(o_orderpriority, 1, 1) AS basis, o_orderstatus AS st FROM orders),
+l AS (SELECT o.k, q AS v, o.k % 97 <> 0 AND o.k % 7 <> 0 AS ok, o.k % 11 = 0 AS rev, CASE WHEN o.k % 2 = 0 THEN 'cons' ELSE 'solo' END AS s, unit, basis, o.st = 'P' AS dims, CASE WHEN o.k % 89 <> 0 THEN day + 1 END AS t, CASE WHEN o.k % 83 <> 0 THEN day + 60 END AS dec FROM o LEFT JOIN li ON li.k = o.k),
+r AS (SELECT o.k, CASE WHEN o.k % 3 = 0 THEN q + 1 ELSE q END AS v, CASE WHEN o.k % 13 = 0 THEN last ELSE day + 1 END AS t, CASE WHEN o.k % 4 = 0 THEN 'cons' ELSE 'solo' END AS s, CASE WHEN flags = 1 THEN '1' ELSE basis END AS basis,
+  o.k % 17 = 0 AS re, CASE WHEN li.st = 'F' THEN 'reported_initial_or_unknown' WHEN n > 3 THEN 'revised' END AS state FROM li JOIN o ON o.k = li.k WHERE o.k % 5 <> 0),
+m AS (SELECT l.k, r.k AS other_id, l.v AS a, r.v AS b, NOT ok AS bad, l.s <> r.s OR dims AS sd, unit <> 'JPY' AND l.basis <> r.basis AS dd, rev OR re OR state IS NULL OR state <> 'reported_initial_or_unknown' AS vd, l.t IS NULL OR r.t IS NULL OR dec IS NULL AS untimed, greatest(l.t, r.t) >= dec AS late, l.t <> r.t AS td FROM l LEFT JOIN r ON r.k = l.k),
+n AS (SELECT *, CASE WHEN other_id IS NOT NULL AND NOT bad AND NOT sd AND NOT dd AND NOT untimed AND NOT late AND a IS NOT NULL AND b IS NOT NULL THEN CASE WHEN a = b THEN 'equal' ELSE 'different' END END AS num FROM m)
+SELECT k AS o_orderkey, other_id, CASE WHEN other_id IS NULL THEN 'unresolved' ELSE array_to_string(list_sort(list_filter([CASE WHEN bad OR untimed OR a IS NULL OR b IS NULL THEN 'unresolved' END, CASE WHEN sd THEN 'scope_difference' END, CASE WHEN dd THEN 'definition_difference' END, CASE WHEN vd THEN 'revision_difference' END,
+  CASE WHEN NOT untimed AND (late OR td) THEN 'timing_difference' END, CASE num WHEN 'equal' THEN 'exact_match' WHEN 'different' THEN 'value_conflict' END], lambda c: c IS NOT NULL)), ',') END AS classes, num AS numeric FROM n"""
 
 
 def quarter_from_ytd(spark, sf_dir):

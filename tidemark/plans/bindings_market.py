@@ -279,13 +279,21 @@ def fingerprints(spark, sf_dir):
 
 
 def inventory(spark, sf_dir):
-    """Orders listed, and those that lines were kept of."""
-    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("doc_id"), F.when(F.col("o_orderkey") % 5 != 0, F.col("o_orderstatus")).alias("code"), F.to_date("o_orderdate").cast("string").alias("day"))
-    return coverage.inventory(o, table(spark, sf_dir, "lineitem").where("l_quantity > 20").select(F.col("l_orderkey").alias("doc_id")))
-
-
-_INVENTORY_SQL = """WITH k AS (SELECT DISTINCT l_orderkey AS k FROM lineitem WHERE l_quantity > 20)
-SELECT count(o_orderkey) AS listed, count(k) AS archived, count(*) FILTER (k IS NULL) AS listing_only, CAST(0 AS BIGINT) AS repeated, count(*) FILTER (o_orderkey % 5 <> 0) AS with_code, CAST(min(CAST(o_orderdate AS DATE)) AS VARCHAR) AS first_day, CAST(max(CAST(o_orderdate AS DATE)) AS VARCHAR) AS last_day FROM orders FULL JOIN k ON k = o_orderkey"""
+    """Orders as documents, lines over 20 as their files, lines of an even supplier as their listings."""
+    li = table(spark, sf_dir, "lineitem").withColumnRenamed("l_orderkey", "doc_id")
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("doc_id"), F.date_add(F.to_date("o_orderdate"), 30).alias("submit_day"), "o_custkey")
+    events = li.where("l_suppkey % 2 = 0").join(o, "doc_id").select("doc_id", F.to_date("l_shipdate").alias("day"), F.col("l_linenumber").alias("seq"), "submit_day", F.when(F.col("l_partkey") % 5 != 0, F.when(F.col("l_partkey") % 7 == 0, "").otherwise("c")).alias("code"), F.when(F.col("o_custkey") % 9 != 0, F.col("o_custkey").cast("string")).otherwise("").alias("entity"), F.when(F.col("l_returnflag") != "R", F.col("l_returnflag")).alias("doc_type"))
+    out = coverage.inventory(events, li.where("l_quantity > 20").select("doc_id"))
+    told = F.array_join(F.transform("types", lambda t: F.concat_ws(":", t["type"], t["n"].cast("string"))), ",")
+    return out.withColumns({c: F.col(c).cast("string") for c in ("first_submitted", "last_submitted", "first_day", "last_day")}).withColumn("types", told)
+
+
+_INVENTORY_SQL = """WITH e AS (SELECT l_orderkey AS k, CAST(l_shipdate AS DATE) AS day, l_linenumber AS seq, CAST(o_orderdate AS DATE) + 30 AS sub, l_partkey % 5 <> 0 AND l_partkey % 7 <> 0 AS coded, CASE WHEN o_custkey % 9 <> 0 THEN o_custkey END AS e, CASE WHEN l_returnflag <> 'R' THEN l_returnflag ELSE 'unknown' END AS t FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE l_suppkey % 2 = 0),
+c AS (SELECT * FROM e QUALIFY row_number() OVER (PARTITION BY k ORDER BY CASE WHEN day = sub THEN 0 ELSE 1 END, day, seq) = 1),
+f AS (SELECT l_orderkey AS fk, count(*) AS n FROM lineitem WHERE l_quantity > 20 GROUP BY 1),
+m AS (SELECT * FROM f LEFT JOIN c ON k = fk), y AS (SELECT coalesce(t, 'unknown') AS t, count(*) AS n FROM m GROUP BY 1)
+SELECT count(*) AS documents, CAST(sum(n) AS BIGINT) AS files, count(*) FILTER (n > 1) AS repeated, count(k) AS with_events, (SELECT count(DISTINCT k) FROM e WHERE k NOT IN (SELECT fk FROM f)) AS listing_only, count(*) FILTER (coded) AS with_code, count(*) FILTER (coded IS NOT TRUE) AS without_code, CAST(min(sub) AS VARCHAR) AS first_submitted, CAST(max(sub) AS VARCHAR) AS last_submitted,
+  count(DISTINCT e) AS entities, (SELECT string_agg(t || ':' || n, ',' ORDER BY t) FROM y) AS types, (SELECT count(DISTINCT day) FROM e) AS list_days, (SELECT CAST(min(day) AS VARCHAR) FROM e) AS first_day, (SELECT CAST(max(day) AS VARCHAR) FROM e) AS last_day FROM m"""
 
 QUERIES = {f.__name__: f for f in (hash_sample, challenge_sample, canonical_events, snapshot_diff, coverage_grid, bias_summary, provider_compare, reason_counts, shared_views, text_tie, page_text, pk_violations, required_edges, column_profile, duplicate_candidates, pack_roundtrip, formula_guard, company_search, company_names, omitted_texts, financial_unpivot, retention_gate, exact_numbers, fingerprints, inventory)}
 ORACLES = {

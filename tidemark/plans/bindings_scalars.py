@@ -230,20 +230,39 @@ _FAILURE_SQL = f"SELECT {picked(['byte_integrity_failed', 'byte_integrity_failed
 
 
 def sample_categories(spark, sf_dir):
-    """Orders' challenge categories from metadata, counted."""
-    o = table(spark, sf_dir, "orders")
-    rows = o.select(F.col(KEY).alias("doc_id"), F.when(F.col(KEY) % 9 != 0, F.col("o_custkey").cast("string")).alias("entity"), F.when(F.col(KEY) % 4 == 0, "p").alias("parent_id"), pick(["1301", None, "130A", "7203"], F.col(KEY)).alias("code"), (F.col(KEY) % 8 == 0).alias("status_odd"), F.col("o_orderstatus").alias("name"), F.floor("o_totalprice").cast("bigint").alias("size"))
-    meta = sampling.metadata_categories(rows, 200_000).select(F.explode("cats").alias("category"))
-    profile = o.select(F.col(KEY).alias("doc_id"), F.array(pick(["IFRS", "US GAAP", "JP GAAP"], F.col(KEY))).alias("standards"), (F.col(KEY) % 2).alias("n_dimensions"), (F.col(KEY) % 3).alias("losses"), (F.col(KEY) % 4).alias("members"), F.when(F.col(KEY) % 5 == 0, F.array(F.lit("x"))).otherwise(F.array().cast("array<string>")).alias("failures"))
-    structure = sampling.structure_categories(profile).select(F.explode("cats").alias("category"))
+    """Challenge categories of orders, counted: from metadata, with lines as their listing events and customers as entities, and from structure."""
+    o, li, k = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem"), F.col("l_orderkey")
+    rows = li.join(o.withColumnRenamed(KEY, "l_orderkey"), "l_orderkey")
+    code = F.when(k % 19 != 0, F.when(F.col("l_suppkey") % 3 == 0, "130A").when(F.col("l_suppkey") % 3 == 1, "7203"))
+    events = rows.select(k.alias("doc_id"), F.to_date("l_shipdate").alias("day"), F.col("l_linenumber").alias("seq"), F.date_add(F.to_date("o_orderdate"), 30).alias("submit_day"), F.when(F.col("o_custkey") % 9 != 0, F.col("o_custkey").cast("string")).otherwise("").alias("entity"),
+        F.when(F.col("o_custkey") % 2 == 0, F.col("l_returnflag")).otherwise("x").alias("name"), code.alias("code"), F.when(F.col("l_linenumber") == 4, "130").otherwise("120").alias("doc_type"), F.when(F.col("l_quantity") > 45, "p").otherwise("").alias("parent_id"), F.array(F.lit("0"), F.when(F.col("l_tax") > 0.06, "1")).alias("statuses"))
+    files = li.where(k % 23 != 0).select(k.alias("doc_id"), F.floor(F.col("l_extendedprice") * 30).cast("bigint").alias("bytes"))
+    files = files.union(o.where(F.col(KEY) % 29 == 0).select(F.col(KEY), F.lit(1).cast("bigint")))
+    meta = sampling.metadata_categories(events, files).select(F.explode("cats").alias("category"))
+    profile = rows.groupBy(k.alias("doc_id"), "o_orderdate").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct(F.when(F.col("l_partkey") % 2 == 0, "OperatingSegmentsAxis").otherwise("ScopeAxis"), F.when(F.col("l_suppkey") % 5 == 0, "NonConsolidatedMember").otherwise(F.concat(F.col("l_returnflag"), F.lit("Member")))))), lambda d: F.struct(d["col1"].alias("axis"), d["col2"].alias("member"))).alias("dimensions"),
+        F.max(F.col("l_discount") > 0.09).alias("loss_fact"), F.max(F.col("l_linenumber") == 3).alias("shared_tag"), F.count_distinct("l_linestatus").alias("members"), F.array_compact(F.array(F.max(F.when(F.col("l_tax") > 0.07, "raw_missing")))).alias("failures"), F.max(F.to_date("l_shipdate")).alias("last"))
+    kind = F.col("doc_id") % 5
+    dei = F.create_map(F.lit("AccountingStandardsDEI"), F.array(F.when(kind < 2, "Japan GAAP").when(kind == 2, "IFRS").otherwise("US GAAP")), F.lit("WhetherConsolidatedFinancialStatementsArePreparedDEI"), F.array(F.when(kind == 0, "false").when(kind < 4, "true")), F.lit("CurrentFiscalYearStartDateDEI"), F.array(F.date_sub(F.to_date("o_orderdate"), 300).cast("string")),
+        F.lit("CurrentFiscalYearEndDateDEI"), F.when(F.col("doc_id") % 31 == 0, F.array(F.lit("soon"))).when(F.col("doc_id") % 37 == 0, F.array(F.lit("2000-01-01"), F.lit("2001-01-01"))).otherwise(F.array(F.col("last").cast("string"))), F.lit("IndustryCodeDEI"), F.array(F.when(F.col("doc_id") % 41 == 0, "BNK").when(F.col("doc_id") % 43 == 0, "REIT")))
+    structure = sampling.structure_categories(profile.withColumn("dei", dei)).select(F.explode("cats").alias("category"))
     return meta.union(structure).groupBy("category").agg(F.count("*").alias("n"))
 
 
-_CATEGORY_SQL = """WITH r AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 9 <> 0 THEN o_custkey END AS e, (['1301', NULL, '130A', '7203'])[o_orderkey % 4 + 1] AS code, o_orderstatus AS name, floor(o_totalprice) AS size FROM orders),
-g AS (SELECT e, count(DISTINCT code) AS codes, count(DISTINCT name) AS names FROM r WHERE e IS NOT NULL GROUP BY 1),
-x AS (SELECT unnest(list_filter([CASE WHEN k % 4 = 0 THEN 'has_parent' END, CASE WHEN k % 8 = 0 THEN 'unusual_status' END, CASE WHEN code IS NULL THEN 'null_code' END, CASE WHEN code = '130A' THEN 'alphabetic_code' END, CASE WHEN codes > 1 THEN 'several_codes' END, CASE WHEN names > 1 THEN 'name_history' END, CASE WHEN size >= 200000 THEN 'large_file' END,
-  CASE WHEN k % 3 = 0 THEN 'ifrs' END, CASE WHEN k % 3 = 1 THEN 'us_gaap' END, CASE WHEN k % 2 > 0 THEN 'dimensional' END, CASE WHEN k % 3 > 0 THEN 'loss' END, CASE WHEN k % 4 > 1 THEN 'multi_member' END, CASE WHEN k % 5 = 0 THEN 'screening_failure' END], lambda c: c IS NOT NULL)) AS category FROM r LEFT JOIN g USING (e))
-SELECT category, count(*) AS n FROM x GROUP BY 1"""
+_CATEGORY_SQL = """WITH e AS (SELECT l_orderkey AS k, CAST(l_shipdate AS DATE) AS day, l_linenumber AS seq, CAST(o_orderdate AS DATE) + 30 AS sub, CASE WHEN o_custkey % 9 <> 0 THEN o_custkey END AS e, CASE WHEN o_custkey % 2 = 0 THEN l_returnflag ELSE 'x' END AS name,
+  CASE WHEN l_orderkey % 19 <> 0 THEN CASE l_suppkey % 3 WHEN 0 THEN '130A' WHEN 1 THEN '7203' END END AS code, l_linenumber = 4 AS amended, l_quantity > 45 AS parent, l_tax > 0.06 AS odd FROM lineitem JOIN orders ON o_orderkey = l_orderkey),
+f AS (SELECT k, max(b) AS b FROM (SELECT l_orderkey AS k, floor(l_extendedprice * 30) AS b FROM lineitem WHERE l_orderkey % 23 <> 0 UNION ALL SELECT o_orderkey, 1 FROM orders WHERE o_orderkey % 29 = 0) GROUP BY 1),
+x AS (SELECT e.* FROM e WHERE k IN (SELECT k FROM f)),
+h AS (SELECT e, count(DISTINCT code) AS codes, count(DISTINCT name) AS names FROM x WHERE e IS NOT NULL GROUP BY 1),
+p AS (SELECT k, bool_or(amended) AS amended, bool_or(parent) AS parent, bool_or(odd) AS odd FROM x GROUP BY 1),
+c AS (SELECT k, code, e FROM x QUALIFY row_number() OVER (PARTITION BY k ORDER BY CASE WHEN day = sub THEN 0 ELSE 1 END, day, seq) = 1),
+m AS (SELECT unnest([CASE WHEN amended THEN 'amended_report' END, CASE WHEN parent THEN 'parent_document' END, CASE WHEN odd THEN 'unusual_status' END, CASE WHEN c.k IS NOT NULL AND code IS NULL THEN 'security_code_null' END, CASE WHEN code = '130A' THEN 'alpha_security_code' END, CASE WHEN codes > 1 THEN 'multiple_security_codes' END,
+  CASE WHEN names > 1 THEN 'name_history' END, CASE WHEN b >= 2097152 THEN 'large_zip' END]) AS category FROM f LEFT JOIN p ON p.k = f.k LEFT JOIN c ON c.k = f.k LEFT JOIN h ON h.e = c.e),
+d AS (SELECT l_orderkey AS k, CASE WHEN l_partkey % 2 = 0 THEN 'OperatingSegmentsAxis' ELSE 'ScopeAxis' END AS axis, CASE WHEN l_suppkey % 5 = 0 THEN 'NonConsolidatedMember' ELSE l_returnflag || 'Member' END AS member, * FROM lineitem),
+s AS (SELECT k, CAST(o_orderdate AS DATE) - 300 AS a, CAST(max(l_shipdate) AS DATE) AS b, bool_or(member LIKE '%NonConsolidatedMember%') AS solo, count(DISTINCT CASE WHEN axis LIKE '%Segment%' THEN member END) AS segments, bool_or(l_discount > 0.09) AS loss, bool_or(l_linenumber = 3) AS shared, count(DISTINCT l_linestatus) AS members, bool_or(l_tax > 0.07) AS failed FROM d JOIN orders ON o_orderkey = k GROUP BY k, o_orderdate),
+t AS (SELECT unnest([CASE WHEN k % 5 < 2 THEN 'jp_gaap' WHEN k % 5 = 2 THEN 'ifrs' END, CASE WHEN k % 5 BETWEEN 1 AND 3 THEN 'consolidated' END, CASE WHEN k % 5 = 0 OR solo THEN 'non_consolidated' END, CASE WHEN loss THEN 'loss_fact' END, CASE WHEN k % 31 <> 0 AND k % 37 <> 0 AND b - a NOT BETWEEN 363 AND 366 THEN 'fiscal_period_change_cue' END,
+  CASE WHEN k % 41 = 0 THEN 'financial' WHEN k % 43 = 0 THEN 'reit' END, CASE WHEN segments > 1 THEN 'multiple_segments' END, CASE WHEN members > 1 THEN 'multiple_xbrl_members' END, CASE WHEN shared THEN 'same_tag_multiple_contexts' END, CASE WHEN failed THEN 'screening_failure' END]) AS category FROM s)
+SELECT category, count(*) AS n FROM (SELECT * FROM m UNION ALL SELECT * FROM t) WHERE category IS NOT NULL GROUP BY 1"""
 
 
 def dimension_compare(spark, sf_dir):
