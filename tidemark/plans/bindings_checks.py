@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..operators import coverage, evidence, identity, lineage, market, reconcile, revisions, sampling, validate
-from ..sources import filings, package
+from ..operators.graph import shared_dir
+from ..sources import filings, package, store
 from .bindings_scalars import KEY, pick
 from .tables import DOCS_SQL, documents, table
 
@@ -448,6 +451,26 @@ SELECT CAST(m.a AS VARCHAR) AS file, CAST(0 AS BIGINT) AS rows FROM m WHERE EXIS
 UNION ALL SELECT CAST(p AS VARCHAR), count(*) FROM lineitem JOIN q ON p = l_partkey AND CAST(l_shipdate AS DATE) BETWEEN a AND a + 200 GROUP BY p"""
 
 
+def market_store(spark, sf_dir):
+    """Lines as daily market rows, written to a store by day and read by windows of orders of a status, for parts of some kinds, with the calendar's days."""
+    li, o, path = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders"), f"{shared_dir(spark)}/store-{uuid.uuid4().hex}"
+    rows = li.select(F.to_date("l_shipdate").alias("day"), F.col("l_partkey").alias("code"), F.col("l_quantity").cast("bigint").alias("volume"), "l_linestatus")
+    store.write_revision(rows.where("code % 2 = 0"), path, "equities_bars_daily", "r1")
+    store.write_revision(rows, path, "equities_bars_daily", "r2")
+    store.write_revision(o.select(F.to_date("o_orderdate").alias("day"), F.lit(None).cast("bigint").alias("code")).distinct(), path, market.CALENDAR, "r1")
+    windows = o.where("o_orderstatus = 'P'").select(F.date_add(F.to_date("o_orderdate"), 5).alias("first_day"), F.date_add(F.to_date("o_orderdate"), 9 - (F.col(KEY) % 8).cast("int")).alias("last_day"))
+    codes = table(spark, sf_dir, "part").where("p_size <= 25").select(F.col("p_partkey").alias("code"))
+    kept = store.read_days(spark, path, "equities_bars_daily", windows, codes)
+    out = kept.groupBy("day").agg(F.count("*").alias("rows"), F.sum("volume").alias("volume"), F.count_distinct("code").alias("codes"))
+    calendar = store.read_days(spark, path, market.CALENDAR, windows).groupBy("day").agg(F.count("*").alias("rows"), F.lit(None).cast("bigint").alias("volume"), F.lit(0).cast("bigint").alias("codes"))
+    return out.union(calendar).withColumn("day", F.col("day").cast("string"))
+
+
+_STORE_SQL = """WITH w AS (SELECT CAST(o_orderdate AS DATE) + 5 AS a, CAST(o_orderdate AS DATE) + CAST(9 - o_orderkey % 8 AS INTEGER) AS b FROM orders WHERE o_orderstatus = 'P'), d AS (SELECT DISTINCT CAST(unnest(generate_series(a, b, INTERVAL 1 DAY)) AS DATE) AS day FROM w WHERE a <= b)
+SELECT CAST(day AS VARCHAR) AS day, count(*) AS rows, CAST(sum(l_quantity) AS BIGINT) AS volume, count(DISTINCT l_partkey) AS codes FROM lineitem JOIN d ON d.day = CAST(l_shipdate AS DATE) WHERE l_partkey IN (SELECT p_partkey FROM part WHERE p_size <= 25) GROUP BY 1
+UNION ALL SELECT DISTINCT CAST(CAST(o_orderdate AS DATE) AS VARCHAR), 1, NULL, 0 FROM orders"""
+
+
 def parquet_by_ids(spark, sf_dir):
     """Orders of scattered ids, with the places that Parquet gives them."""
     ids = table(spark, sf_dir, "customer").where("c_custkey % 10 = 3").select(F.col("c_custkey").cast("bigint").alias("id"))
@@ -470,7 +493,7 @@ _LEDGER_SQL = "SELECT 'p2' AS stage, 'raw_missing' AS reason, count(*) AS n, cou
 _PARTS = {
     document_links: _LINK_SQL, link_grid: _LINKS_SQL, context_compare: _CONTEXT_SQL, arc_compare: _ARC_SQL, coalesced_components: _COALESCE_SQL, reverse_rows: _REVERSE_SQL, identity_evidence: _EVIDENCE_SQL, identity_candidates: _CANDIDATE_SQL, gap_resolution: _GAP_SQL, overlap_sample: _OVERLAP_SQL,
     list_tie: _LIST_SQL, master_checks: _MASTER_SQL, source_counts: _COUNTS_SQL, source_matrix: _MATRIX_SQL, first_rows: _FIRST_SQL, screening_list: _SCREEN_SQL, page: _PAGE_SQL, parent_closure: _PARENT_SQL, decision_schedule: _SCHEDULE_SQL, package_edges: _EDGE_SQL, integrity_checks: _INTEGRITY_SQL,
-    summary_components: _SUMMARY_SQL, financial_observations: _FINANCIAL_SQL, text_index: _TEXT_SQL, archive_frame: _ARCHIVE_SQL, screening: _SCREENING_SQL, bulk_tie: _BULK_SQL, file_selection: _SELECTION_SQL, parquet_by_ids: _BY_IDS_SQL, ledgers: _LEDGER_SQL,
+    summary_components: _SUMMARY_SQL, financial_observations: _FINANCIAL_SQL, text_index: _TEXT_SQL, archive_frame: _ARCHIVE_SQL, screening: _SCREENING_SQL, bulk_tie: _BULK_SQL, file_selection: _SELECTION_SQL, market_store: _STORE_SQL, parquet_by_ids: _BY_IDS_SQL, ledgers: _LEDGER_SQL,
 }
 QUERIES = {f.__name__: f for f in _PARTS}
 ORACLES = {f.__name__: sql for f, sql in _PARTS.items()}
