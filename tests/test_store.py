@@ -35,14 +35,14 @@ def kept(spark, tmp_path):
     # a third of all rows on one day
     rows = [(day(n % 100), f"{n % 40:04d}", n) for n in range(2000)] + [(day(7), f"{n % 40:04d}", n) for n in range(1000)] + [(None, "0001", 1)]
     path = str(tmp_path / "store")
-    told = store.write_revision(spark.createDataFrame(rows, PRICES), path, "bars", "r1", rows_per_file=300)
+    told = store.write_revision(spark.createDataFrame(rows, PRICES), path, "bars", "r1", span="day", rows_per_file=300)
     return path, rows, told
 
 
 def test_store_counts_its_rows_and_splits_a_hot_day(spark, kept):
     path, rows, told = kept
     assert told == len(rows)
-    files = spark.read.parquet(f"{path}/bars/revision=r1/rows/day={day(7)}").inputFiles()
+    files = spark.read.parquet(f"{path}/bars/revision=r1/rows/day_start={day(7)}").inputFiles()
     assert len(files) >= 4
 
 
@@ -58,6 +58,17 @@ def test_store_reads_files_of_the_windows_alone(spark, kept):
     assert 0 < read < total / 4
 
 
+def test_store_by_month_gives_the_same_days(spark, kept, tmp_path):
+    _, rows, _ = kept
+    path = str(tmp_path / "months")
+    store.write_revision(spark.createDataFrame(rows, PRICES), path, "bars", "r1")
+    windows = spark.createDataFrame([(day(33), day(35)), (day(34), day(34))], WINDOWS)
+    got = store.read_days(spark, path, "bars", windows)
+    assert sorted(map(tuple, got.collect())) == sorted(r for r in rows if r[0] and day(33) <= r[0] <= day(35))
+    assert "dynamicpruning" in got._jdf.queryExecution().executedPlan().toString()
+    assert max(files_read(got)) < len(spark.read.parquet(f"{path}/bars/revision=r1/rows").inputFiles())
+
+
 @pytest.mark.parametrize("limits", [{}, {"most_codes": 1}, {"most_days": 1}, {"most_days": 1, "most_codes": 1}])
 def test_store_by_codes_is_the_same_by_list_and_by_join(spark, kept, limits):
     path, rows, _ = kept
