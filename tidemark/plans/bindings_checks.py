@@ -28,13 +28,13 @@ _LINK_SQL = """SELECT o_orderkey AS row_id, CASE WHEN o_orderkey % 7 = 0 THEN 'd
 
 
 def link_grid(spark, sf_dir):
-    """Every tenth order and each ship mode as provider: linked by none, one or many lines."""
+    """Every order and each supplier group as provider: linked by none, one or many lines."""
     li = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("doc_id"), F.concat(F.lit("p"), (F.col("l_suppkey") % 3).cast("string")).alias("provider"))
-    docs = table(spark, sf_dir, "orders").where(F.col(KEY) % 10 == 0).select(F.col(KEY).alias("doc_id"))
+    docs = table(spark, sf_dir, "orders").select(F.col(KEY).alias("doc_id"))
     return reconcile.link_grid(docs, li.select("provider").distinct(), li)
 
 
-_LINKS_SQL = """WITH g AS (SELECT o_orderkey AS doc_id, p AS provider FROM orders, (SELECT DISTINCT 'p' || (l_suppkey % 3) AS p FROM lineitem) WHERE o_orderkey % 10 = 0), c AS (SELECT l_orderkey AS doc_id, 'p' || (l_suppkey % 3) AS provider, count(*) AS n FROM lineitem GROUP BY ALL)
+_LINKS_SQL = """WITH g AS (SELECT o_orderkey AS doc_id, p AS provider FROM orders, (SELECT DISTINCT 'p' || (l_suppkey % 3) AS p FROM lineitem)), c AS (SELECT l_orderkey AS doc_id, 'p' || (l_suppkey % 3) AS provider, count(*) AS n FROM lineitem GROUP BY ALL)
 SELECT doc_id, provider, coalesce(n, 0) AS n, CASE WHEN n IS NULL THEN 'missing' WHEN n = 1 THEN 'linked' ELSE 'ambiguous' END AS state FROM g LEFT JOIN c USING (doc_id, provider)"""
 
 
