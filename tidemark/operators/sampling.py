@@ -24,10 +24,11 @@ def first_by(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 
 
 def canonical_event(events: DataFrame) -> DataFrame:
-    """Each document's event of its submit day, else the first by (day, seq): events(doc_id, day, seq, submit_day, ...)."""
+    """Each document's event of its submit day, else the first by (day, seq): events(doc_id, day, seq, submit_day, ...). Events of one day and
+    number are told apart by the other columns in their order, nulls first."""
     rest = [c for c in events.columns if c != "doc_id"]
     other = ~F.coalesce(F.col("day") == F.col("submit_day"), F.lit(False))
-    return events.groupBy("doc_id").agg(F.min_by(F.struct(*rest), F.struct(other, "day", "seq")).alias("r")).select("doc_id", *[F.col(f"r.{c}").alias(c) for c in rest])
+    return events.groupBy("doc_id").agg(F.min_by(F.struct(*rest), F.struct(other.alias("other"), "day", "seq", *[c for c in rest if c not in ("day", "seq")])).alias("r")).select("doc_id", *[F.col(f"r.{c}").alias(c) for c in rest])
 
 
 def screening_list(frames: list[DataFrame], key: str, limit: int) -> DataFrame:

@@ -288,8 +288,8 @@ def inventory(spark, sf_dir):
     return out.withColumns({c: F.col(c).cast("string") for c in ("first_submitted", "last_submitted", "first_day", "last_day")}).withColumn("types", told)
 
 
-_INVENTORY_SQL = """WITH e AS (SELECT l_orderkey AS k, CAST(l_shipdate AS DATE) AS day, l_linenumber AS seq, CAST(o_orderdate AS DATE) + 30 AS sub, l_partkey % 5 <> 0 AND l_partkey % 7 <> 0 AS coded, CASE WHEN o_custkey % 9 <> 0 THEN o_custkey END AS e, CASE WHEN l_returnflag <> 'R' THEN l_returnflag ELSE 'unknown' END AS t FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE l_suppkey % 2 = 0),
-c AS (SELECT * FROM e QUALIFY row_number() OVER (PARTITION BY k ORDER BY CASE WHEN day = sub THEN 0 ELSE 1 END, day, seq) = 1),
+_INVENTORY_SQL = """WITH e AS (SELECT l_orderkey AS k, CAST(l_shipdate AS DATE) AS day, l_linenumber AS seq, CAST(o_orderdate AS DATE) + 30 AS sub, l_partkey % 5 <> 0 AND l_partkey % 7 <> 0 AS coded, CASE WHEN o_custkey % 9 <> 0 THEN o_custkey END AS e, CASE WHEN l_returnflag <> 'R' THEN l_returnflag ELSE 'unknown' END AS t, CASE WHEN l_partkey % 5 <> 0 THEN CASE WHEN l_partkey % 7 = 0 THEN '' ELSE 'c' END END AS code, CASE WHEN l_returnflag <> 'R' THEN l_returnflag END AS doc_type FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE l_suppkey % 2 = 0),
+c AS (SELECT * FROM e QUALIFY row_number() OVER (PARTITION BY k ORDER BY CASE WHEN day = sub THEN 0 ELSE 1 END, day, seq, code NULLS FIRST, doc_type NULLS FIRST) = 1),
 f AS (SELECT l_orderkey AS fk, count(*) AS n FROM lineitem WHERE l_quantity > 20 GROUP BY 1),
 m AS (SELECT * FROM f LEFT JOIN c ON k = fk), y AS (SELECT coalesce(t, 'unknown') AS t, count(*) AS n FROM m GROUP BY 1)
 SELECT count(*) AS documents, CAST(sum(n) AS BIGINT) AS files, count(*) FILTER (n > 1) AS repeated, count(k) AS with_events, (SELECT count(DISTINCT k) FROM e WHERE k NOT IN (SELECT fk FROM f)) AS listing_only, count(*) FILTER (coded) AS with_code, count(*) FILTER (coded IS NOT TRUE) AS without_code, CAST(min(sub) AS VARCHAR) AS first_submitted, CAST(max(sub) AS VARCHAR) AS last_submitted,
