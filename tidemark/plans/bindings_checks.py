@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..operators import coverage, evidence, identity, lineage, market, reconcile, revisions, sampling, validate
-from ..operators.graph import shared_dir
+from ..operators.graph import cut, shared_dir
 from ..sources import filings, package, store
 from .bindings_scalars import KEY, pick
 from .tables import DOCS_SQL, documents, table
@@ -357,7 +357,7 @@ def package_edges(spark, sf_dir):
     joins = o.select(F.col(KEY).alias("row_id"), F.col(KEY).alias("fact_id"), F.when(F.col(KEY) % 2 == 0, F.col(KEY)).alias("mapping_id"), F.col(KEY).alias("observation_id"), F.col(KEY).alias("evidence_id"), F.array(F.col(KEY), F.col(KEY) + 1).alias("calendar_ids"))
     links = li.select(line.alias("comparison_id"), F.col("l_partkey").alias("source_row_id"), F.array("l_orderkey").alias("origin_ids"), F.array("l_suppkey").alias("fact_ids"), F.array().cast("array<string>").alias("component_ids"))
     observations = o.select(F.col(KEY).alias("observation_id"))
-    edges = lineage.package_edges({"documents": docs, "canonical_facts": facts, "securities": securities, "pit_join_rows": joins, "derived_source_links": links, "market_observations": observations, "trading_calendar": observations})
+    edges = cut(lineage.package_edges({"documents": docs, "canonical_facts": facts, "securities": securities, "pit_join_rows": joins, "derived_source_links": links, "market_observations": observations, "trading_calendar": observations}))
     counted = edges.groupBy("relation").agg(F.count("*").alias("n"))
     lost = lineage.missing_edges(edges.where("relation in ('reported_in', 'financial')"), edges.where(~F.col("src").endswith("7")))
     return counted.union(lost.groupBy(F.concat(F.lit("missing_"), "relation")).agg(F.count("*")))
