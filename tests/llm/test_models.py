@@ -281,6 +281,45 @@ def test_model_tells_prose_from_its_shuffle(spark):
     assert np.mean([got[i] for i in held[:10]]) > np.mean([got[i] for i in held[10:20]]) + 0.3
 
 
+def test_rare_words_are_contexts_too(spark):
+    """Where every word's share is below the bound, so that none has a restaurant right below that of all words, order still tells."""
+    r = np.random.default_rng(3)
+    after, rows = {i: r.permutation(40)[:2] for i in range(40)}, []
+    held = [i for i in range(10**4, 10**5) if zlib.crc32(str(i).encode()) % 5 == 1]
+    learnt = [i for i in range(1000) if zlib.crc32(str(i).encode()) % 5 != 1]
+    for i in learnt[:50] + held[:10]:
+        at, out = int(r.integers(40)), []
+        for _ in range(120):
+            out.append(f"w{at}")
+            at = int(r.choice(after[at]))
+        rows.append((i, " ".join(out)))
+    rows += [(j, " ".join(r.permutation(t.split()))) for j, (_, t) in zip(held[10:], rows[50:])]
+    got = {x["doc_id"]: x["score"] / x["n_tokens"] for x in lm_score.scored(spark.createDataFrame(rows, "doc_id bigint, text string"), contexts=1).collect()}
+    assert np.mean([got[i] for i in held[:10]]) > np.mean([got[i] for i in held[10:20]]) + 0.3
+
+
+def test_rare_contexts_have_restaurants_of_their_own(spark):
+    """Probabilities after each sum to 1, differ with their dishes, and are exact where a dish has one customer."""
+    words, counts = range(20), {1: {0: 1, 1: 1, 2: 1}, 2: {3: 30, 4: 2}, 3: {}}
+    pairs = spark.createDataFrame([(v, w, c.get(w, 0), 1) for v, c in counts.items() for w in words], "v bigint, w bigint, c bigint, n bigint")
+    base = spark.createDataFrame([(w, 7, 0.05) for w in words], "w bigint, known bigint, p double")
+    key = {int((np.array([w], np.uint64) ^ lm_score.mix64(np.array([v], np.uint64))).view(np.int64)[0]): (v, w) for v in counts for w in words}
+    got = {key[r["key"]]: 10 ** r["score"] for r in lm_score.below(pairs, base, 3, 7).collect()}
+    for v in counts:
+        assert abs(sum(got[v, w] for w in words) - 1) < 1e-9
+    d = 3 / (3 + 2 * 1)  # three dishes of one customer, one of two
+    assert abs(got[1, 0] - (1 - d + (1 + 3 * d) * 0.05) / 4) < 1e-12 and abs(got[1, 9] - (1 + 3 * d) * 0.05 / 4) < 1e-12
+    assert got[2, 3] > 0.8 and all(abs(got[3, w] - 0.05) < 1e-12 for w in words)
+
+
+def test_contexts_are_not_cut_between_batches():
+    values = [1, 1, 1, 2, 2, 2, 2, 2, 3, 4, 4, 5]
+    for size in (1, 2, 3, 5, 12):
+        batches = [pa.RecordBatch.from_arrays([pa.array(values[i : i + size])], ["v"]) for i in range(0, 12, size)]
+        got = [b.column(0).to_pylist() for b in lm_score.whole(batches, 2)]
+        assert sum(got, []) == values and all(a[-1] != b[0] for a, b in zip(got, got[1:])) and len(got) > (size < 12)
+
+
 def test_close_languages_are_told_apart_before_rounding(spark):
     import numpy as np
 

@@ -1,14 +1,16 @@
 """Language-model scores by a hierarchical Pitman-Yor model.
 
-A token's context is the word before it (the end of the text before its first word). Each word that takes over 1 / CONTEXTS of the
-training tokens has a restaurant of its own; all words below that share, and so say little by themselves, share one. These at most CONTEXTS
-restaurants have one parent, the restaurant of all words: a context's tables are the parent's customers. The parent's base measure is
-uniform over the training tokens and one unknown. Words are kept by 64-bit hashes.
+A token's context is the word before it (the end of the text before its first word), and every word has a restaurant of its own as a
+context. Those of words that take over 1 / CONTEXTS of the training tokens, at most CONTEXTS, have one parent, the restaurant of all words.
+Those of all other words have the shared restaurant between, which is one more child of the restaurant of all words. A restaurant's tables are its parent's
+customers; to the shared one each dish of a context below sends its first table. The base measure of all words is uniform over the training tokens and
+one unknown. Words are kept by 64-bit hashes.
 
 Seating is sampled by Gibbs: a sweep reseats each dish's customers given all others', by sequential
 proposals with an acceptance step. A dish's row needs only its count, its restaurant's number of tables and its base probability. So
 a word with its dishes in every context is one row of bounded width, a sweep is one pass without a shuffle, and only the restaurants'
-totals go through the driver. Draws are hashes of dish, context and sweep, so neither files nor partitions change a score. Predictive
+totals go through the driver. The restaurants below the shared one are independent of each other given its probabilities, so each is seated and reseated
+where its dishes are put together, whatever their number. Draws are hashes of dish, context and sweep, so neither files nor partitions change a score. Predictive
 probabilities are averaged over the sweeps after the first.
 """
 
@@ -27,7 +29,7 @@ from .common import mix64, released, relieved, small_batches, stored
 from .lang_id import held_out
 from .textblocks import blocks, word_hashes
 
-#: A word that takes over 1 / CONTEXTS of the training tokens is a context by itself.
+#: The context of a word that takes over 1 / CONTEXTS of the training tokens is a child of all words, any other of the shared restaurant.
 CONTEXTS = 1 << 10
 #: A pair that takes over 1 / HOT of all tokens is looked up where texts are read: HOT rows of 24 bytes at most.
 HOT = 1 << 21
@@ -38,7 +40,7 @@ PARTY = 64
 SWEEPS, STRENGTH = 3, 1.0
 #: The end of a text, a token and the context of the first word.
 END = np.uint64(0x5EED)
-STATE = "w bigint, u array<int>, c array<bigint>, n array<bigint>, tables array<double>, weight array<double>, mass array<double>, own double, own_weight double, kept array<double>"
+STATE = "w bigint, u array<int>, c array<bigint>, n array<bigint>, known bigint, tables array<double>, weight array<double>, mass array<double>, own double, own_weight double, kept array<double>"
 
 
 def draw(keys: np.ndarray, *salts: int) -> np.ndarray:
@@ -86,13 +88,22 @@ def tokens(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         yield first, np.insert(words, at[1:], END), at + np.arange(last - first + 1)
 
 
-def context(w: np.ndarray, contexts: np.ndarray) -> np.ndarray:
-    """The context's number of each token, that of the word before; len(contexts) is the shared one."""
-    before = np.append(END, w[:-1])  # every text ends with the end
+def preceding(w: np.ndarray) -> np.ndarray:
+    """The word before each token; every text ends with the end."""
+    return np.append(END, w[:-1])
+
+
+def numbered(words: np.ndarray, contexts: np.ndarray) -> np.ndarray:
+    """The number of each word among the contexts; len(contexts) is the shared one."""
     if not len(contexts):
-        return np.zeros(len(w), np.int32)
-    at = np.minimum(np.searchsorted(contexts, before), len(contexts) - 1)
-    return np.where(contexts[at] == before, at, len(contexts)).astype(np.int32)
+        return np.zeros(len(words), np.int32)
+    at = np.minimum(np.searchsorted(contexts, words), len(contexts) - 1)
+    return np.where(contexts[at] == words, at, len(contexts)).astype(np.int32)
+
+
+def context(w: np.ndarray, contexts: np.ndarray) -> np.ndarray:
+    """The context's number of each token, that of the word before."""
+    return numbered(preceding(w), contexts)
 
 
 def pair_keys(w: np.ndarray, u: np.ndarray, contexts: np.ndarray) -> np.ndarray:
@@ -100,8 +111,11 @@ def pair_keys(w: np.ndarray, u: np.ndarray, contexts: np.ndarray) -> np.ndarray:
     return w ^ mix64(np.append(contexts, np.uint64(1)))[u]
 
 
-def counted(docs: DataFrame, contexts: np.ndarray) -> DataFrame:
-    """(w, u, c, n): tokens of docs(text, train) by word and context, in training rows and in all; several rows a pair."""
+def counted(docs: DataFrame, contexts: np.ndarray, apart: bool = False) -> DataFrame:
+    """(w, u, c, n): tokens of docs(text, train) by word and context, in training rows and in all; several rows a pair.
+
+    With `apart` there is v, the hash of the word before for pairs of the shared context, which it keeps apart; 0 for others.
+    """
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
@@ -110,21 +124,28 @@ def counted(docs: DataFrame, contexts: np.ndarray) -> DataFrame:
             w, u, train = (np.concatenate(x) for x in zip(*held))
             held.clear()
             words, code = np.unique(w, return_inverse=True)
-            pair, code = np.unique(code * (len(contexts) + 1) + u, return_inverse=True)
-            word, u = np.divmod(pair, len(contexts) + 1)
+            wide = len(words) if apart else len(contexts) + 1
+            pair, code = np.unique(code * wide + (np.append(code[-1], code[:-1]) if apart else u), return_inverse=True)
+            word, u = np.divmod(pair, wide)
+            more = []
+            if apart:
+                v = words[u]
+                u = numbered(words, contexts)[u]
+                more = [pa.array(np.where(u < len(contexts), np.uint64(0), v).view(np.int64))]
             c = np.bincount(code, train, len(pair)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(words[word].view(np.int64)), pa.array(u, pa.int32()), pa.array(c), pa.array(np.bincount(code, minlength=len(pair)))], ["w", "u", "c", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(words[word].view(np.int64)), pa.array(u, pa.int32()), pa.array(c), pa.array(np.bincount(code, minlength=len(pair))), *more], names)
 
         for batch in batches:
             train = batch.column(1).to_numpy(zero_copy_only=False)
             for first, w, at in tokens(batch.column(0)):
-                held.append((w, context(w, contexts), np.repeat(train[first : first + len(at) - 1], np.diff(at)).astype(float)))
+                held.append((w, w if apart else context(w, contexts), np.repeat(train[first : first + len(at) - 1], np.diff(at)).astype(float)))
                 if sum(len(x[0]) for x in held) >= COUNTED:
                     yield from flush()
         if held:
             yield from flush()
 
-    return docs.select("text", "train").mapInArrow(relieved(of), "w bigint, u int, c bigint, n bigint")
+    names = ["w", "u", "c", "n", "v"][: 4 + apart]
+    return docs.select("text", "train").mapInArrow(relieved(of), "w bigint, u int, c bigint, n bigint" + ", v bigint" * apart)
 
 
 def frequent(vocab: DataFrame, contexts: int) -> np.ndarray:
@@ -135,8 +156,13 @@ def frequent(vocab: DataFrame, contexts: int) -> np.ndarray:
 
 def dishes(pairs: DataFrame) -> DataFrame:
     """One row a word with its counts in every context, from the rows of `counted`."""
-    pairs = pairs.groupBy("w", "u").agg(F.sum("c").alias("c"), F.sum("n").alias("n"))
-    return pairs.groupBy("w").agg(F.array_sort(F.collect_list(F.struct("u", "c", "n"))).alias("x")).select("w", "x.u", "x.c", "x.n")
+    return gathered_by_word(pairs.groupBy("w", "u").agg(F.sum("c").alias("c"), F.sum("n").alias("n")).withColumn("known", F.col("c")))
+
+
+def gathered_by_word(pairs: DataFrame) -> DataFrame:
+    """One row a word from one row a pair(w, u, c, n, known); known adds up to the word's training tokens."""
+    rows = pairs.groupBy("w").agg(F.array_sort(F.collect_list(F.struct("u", "c", "n"))).alias("x"), F.sum("known").alias("known"))
+    return rows.select("w", "x.u", "x.c", "x.n", "known")
 
 
 def gathered(batches: Iterator[pa.RecordBatch], cells: int = 1 << 18) -> Iterator[pa.RecordBatch]:
@@ -169,7 +195,7 @@ class Model(NamedTuple):
 
 
 def sampled(words: DataFrame, contexts: np.ndarray, sweeps: int, seed: int) -> tuple[DataFrame, Model]:
-    """Seat the dishes of words(w, u, c, n) and reseat them `sweeps` times."""
+    """Seat the dishes of words(w, u, c, n, known) and reseat them `sweeps` times."""
     some = lambda x: F.size(F.filter("c", x))
     arrivals = some(lambda x: x > 0)
     n_words, w1, w2, p1, p2 = (x or 0 for x in words.agg(F.count_if(arrivals > 0), F.count_if(arrivals == 1), F.count_if(arrivals == 2), F.sum(some(lambda x: x == 1)), F.sum(some(lambda x: x == 2))).first())
@@ -212,7 +238,7 @@ def sampled(words: DataFrame, contexts: np.ndarray, sweeps: int, seed: int) -> t
                 ends = pa.array(np.append(0, np.cumsum(long)).astype(np.int32))
                 listed = [pa.ListArray.from_arrays(ends, pa.array(x)) for x in (tables, weight, mass)]
                 kept = pa.ListArray.from_arrays(pa.array((np.arange(len(w) + 1) * kept.shape[1]).astype(np.int32)), pa.array(kept.ravel()))
-                yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names[:4]), *listed, pa.array(own), pa.array(own_weight), kept], names)
+                yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names[:5]), *listed, pa.array(own), pa.array(own_weight), kept], names)
 
         old, state = state, stored(state.mapInArrow(relieved(sweep), STATE), "seats")
         released(old)
@@ -232,14 +258,61 @@ def learnt(state: DataFrame, model: Model) -> DataFrame:
         samples = len(model.rest)
         for batch in batches:
             w = batch.column(0).to_numpy().view(np.uint64)
-            long, (u, c, n, mass) = _lists(batch, "u", "c", "n", "mass")
+            long, (u, n, mass) = _lists(batch, "u", "n", "mass")
             row = np.repeat(np.arange(len(w)), long)
-            p = (batch.column(4).flatten().to_numpy().reshape(len(w), samples) + model.rest) / model.total
+            p = (batch.column("kept").flatten().to_numpy().reshape(len(w), samples) + model.rest) / model.total
             p = (mass / (STRENGTH + model.customers[u]) + (model.back.T[u] * p[row]).sum(1)) / samples
-            known = np.bincount(row, c, len(w)).astype(np.int64)
+            known = batch.column("known").to_numpy()
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in (pair_keys(w[row], u, model.contexts).view(np.int64), w[row].view(np.int64), u, known[row], n, np.log10(np.maximum(p, 1e-300)))], ["key", "w", "u", "c", "n", "score"])
 
-    return state.select("w", "u", "c", "n", "kept", "mass").mapInArrow(relieved(of), "key bigint, w bigint, u int, c bigint, n bigint, score double")
+    return state.select("w", "u", "n", "known", "kept", "mass").mapInArrow(relieved(of), "key bigint, w bigint, u int, c bigint, n bigint, score double")
+
+
+def whole(batches: Iterator[pa.RecordBatch], cells: int = 1 << 18) -> Iterator[pa.RecordBatch]:
+    """Batches of rows in the order of their first column, put together to at least so many rows, or all, without cutting one of its values."""
+    held, size = [], 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        size += batch.num_rows
+        first = batch.column(0).to_numpy()
+        at = int(np.searchsorted(first, first[-1]))  # its last value may go on
+        if size >= cells and (at or held[:-1] and held[-2].column(0)[-1] != batch.column(0)[0]):
+            yield pa.Table.from_batches([*held[:-1], batch.slice(0, at)]).combine_chunks().to_batches()[0]
+            held, size = [batch.slice(at)], batch.num_rows - at
+    if size:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
+def below(pairs: DataFrame, base: DataFrame, sweeps: int, seed: int) -> DataFrame:
+    """(key, c, n, score) of pairs(v, w, c, n) of the contexts v below the shared one, whose probabilities of words are base(w, known, p).
+
+    c is the word's training count, n the pair's of all, score log10 of its predictive probability.
+    """
+    once, twice = (x or 0 for x in pairs.agg(F.count_if(F.col("c") == 1), F.count_if(F.col("c") == 2)).first())
+    discount = min(0.95, max(0.05, once / max(1, once + 2 * twice)))
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in whole(batches):
+            v, w = (batch.column(i).to_numpy().view(np.uint64) for i in (0, 1))
+            c, p = batch.column(2).to_numpy(), batch.column(5).to_numpy()
+            u = np.cumsum(np.append(0, v[1:] != v[:-1]))
+            keys = w ^ mix64(v)
+            customers = STRENGTH + np.bincount(u, c)
+            tables, weight, mass, back = np.minimum(c, 1).astype(float), np.zeros(len(c)), np.zeros(len(c)), np.zeros(len(customers))
+            some = np.flatnonzero(c > 1)  # others have one way to sit
+            for k in range(1, sweeps + 1):
+                seats = np.bincount(u, tables)[u[some]]
+                tables[some], weight[some] = resit(c[some], tables[some], weight[some], seats, p[some], discount, keys[some], seed + k, k == 1)
+                if k > 1:
+                    mass += c - discount * tables
+                    back += STRENGTH + discount * np.bincount(u, tables)
+            score = np.log10(np.maximum((mass + back[u] * p) / customers[u] / (sweeps - 1), 1e-300))
+            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), batch.column(4), batch.column(3), pa.array(score)], ["key", "c", "n", "score"])
+
+    rows = pairs.join(base, "w").select("v", "w", "c", "n", "known", "p").repartition("v").sortWithinPartitions("v", "w")
+    return rows.mapInArrow(relieved(of), "key bigint, c bigint, n bigint, score double")
 
 
 def scored(docs: DataFrame, sweeps: int = SWEEPS, seed: int = 7, contexts: int = CONTEXTS, hot: int = HOT) -> DataFrame:
@@ -259,8 +332,16 @@ def scored(docs: DataFrame, sweeps: int = SWEEPS, seed: int = 7, contexts: int =
     n_train, n_words, n_all = (x or 0 for x in vocab.agg(F.sum("c"), F.count_if(F.col("c") > 0), F.sum("n")).first())
     before = frequent(vocab, contexts)
     released(vocab)
-    state, model = sampled(stored(dishes(counted(learn, before)), "dishes"), before, sweeps, seed)
+    pairs = stored(counted(learn, before, True).groupBy("w", "u", "v").agg(F.sum("c").alias("c"), F.sum("n").alias("n")), "pairs")
+    own, apart = pairs.where(F.col("u") < len(before)), pairs.where(F.col("u") == len(before))
+    shared = apart.groupBy("w", "u").agg(F.count_if(F.col("c") > 0).alias("c"), F.sum("n").alias("n"), F.sum("c").alias("known"))
+    words = stored(gathered_by_word(own.select("w", "u", "c", "n", F.col("c").alias("known")).union(shared)), "dishes")
+    state, model = sampled(words, before, sweeps, seed)
     scores = learnt(state, model)
+    base = scores.where(F.col("u") == len(before)).select("w", F.col("c").alias("known"), F.pow(F.lit(10.0), "score").alias("p"))
+    rest = stored(below(apart, base, sweeps, seed), "below")
+    released(pairs)
+    scores = scores.where(F.col("u") < len(before)).select("key", "c", "n", "score").union(rest)
     smooth = n_train + 0.5 * (n_words + 1)
     often = scores.where(F.col("n") * hot > n_all).select("key", "c", "score").orderBy("key").toPandas()  # under `hot` rows
     looked = spark.sparkContext.broadcast((often["key"].to_numpy(np.int64), np.append(often["c"].to_numpy(np.int64), 0), np.append(often["score"].to_numpy(float), 0.0)))
@@ -272,7 +353,7 @@ def scored(docs: DataFrame, sweeps: int = SWEEPS, seed: int = 7, contexts: int =
         row = TaskContext.get().partitionId() << 33
         for batch in batches:
             for first, w, at in tokens(batch.column(1)):
-                own = pair_keys(w, context(w, before), before).view(np.int64)
+                own = (w ^ mix64(preceding(w))).view(np.int64)
                 found = np.searchsorted(keys, own)
                 found[found < len(keys)] = np.where(keys[found[found < len(keys)]] == own[found < len(keys)], found[found < len(keys)], len(keys))
                 missing = found == len(keys)
