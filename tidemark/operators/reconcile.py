@@ -50,29 +50,29 @@ def pair_counts(facts: DataFrame, group: list[str]) -> DataFrame:
     """
     kind = F.struct("scope", "standard", "unit")
     rows = facts.select(*group, "doc_id", "root", "key", kind.alias("kind"), value_class(F.col("value")).alias("v"), F.col("value").isNull().alias("empty"), not_finite(F.col("value")).alias("odd"))
-    whole = rows.groupBy(*group, "kind").agg(F.count("*").alias("n"))
-    by_doc = rows.groupBy(*group, "doc_id", "kind").agg(F.count("*").alias("n"))
-    by_root = rows.where("root is not null").groupBy(*group, "root", "kind").agg(F.count("*").alias("n"))
-    own_doc = rows.where("root is not null").groupBy(*group, "root", "doc_id", "kind").agg(F.count("*").alias("n"))
+    fine = rows.groupBy(*group, "root", "doc_id", "kind").agg(F.count("*").alias("n"))
+    rooted = fine.where("root is not null")
 
     def crossed(counts: DataFrame, on: list[str], name: str) -> DataFrame:
-        """Pairs of rows of two kinds that agree on `on`, summed over it."""
-        kinds = counts.groupBy(*on).agg(F.collect_list(F.struct("kind", "n")).alias("ks"))  # a group has few kinds
-        pair = F.flatten(F.transform("ks", lambda x: F.transform(F.filter("ks", lambda y: y["kind"] >= x["kind"]), lambda y: F.struct(x["kind"].alias("x"), y["kind"].alias("y"), F.when(x["kind"] == y["kind"], (x["n"] * (x["n"] - 1) / 2).cast("bigint")).otherwise(x["n"] * y["n"]).alias("m")))))
-        return kinds.select(*group, F.explode(pair).alias("p")).groupBy(*group, F.col("p.x").alias("x"), F.col("p.y").alias("y")).agg(F.sum("p.m").alias(name))
-
-    met = crossed(whole, group, "every").join(crossed(by_doc, [*group, "doc_id"], "doc"), [*group, "x", "y"], "left")
-    met = met.join(crossed(by_root, [*group, "root"], "root"), [*group, "x", "y"], "left").join(crossed(own_doc, [*group, "root", "doc_id"], "both"), [*group, "x", "y"], "left").fillna(0, ["doc", "root", "both"])
+        """Pairs of rows of two kinds that agree on `on`; those that there are none of are left out."""
+        kinds = counts.groupBy(*on, "kind").agg(F.sum("n").alias("n")).groupBy(*on).agg(F.collect_list(F.struct("kind", "n")).alias("ks"))  # a group has few kinds
+        kinds = kinds.where((F.size("ks") > 1) | (F.col("ks")[0]["n"] > 1))
+        x = kinds.select(*group, "ks", F.explode("ks").alias("x")).select(*group, "x", F.explode("ks").alias("y")).where("y.kind >= x.kind")
+        m = F.when(F.col("x.kind") == F.col("y.kind"), (F.col("x.n") * (F.col("x.n") - 1) / 2).cast("bigint")).otherwise(F.col("x.n") * F.col("y.n"))
+        return x.select(*group, F.col("x.kind").alias("x"), F.col("y.kind").alias("y"), F.lit(name).alias("what"), m.alias("m")).where("m > 0")
+
+    counts = crossed(fine, group, "every").union(crossed(fine, [*group, "doc_id"], "doc")).union(crossed(rooted, [*group, "root"], "root")).union(crossed(rooted, [*group, "root", "doc_id"], "both"))
+    met = counts.groupBy(*group, "x", "y").agg(*[F.sum(F.when(F.col("what") == name, F.col("m")).otherwise(0)).alias(name) for name in ("every", "doc", "root", "both")])
     parts, before = [], F.lit(False)
     for c in ("scope", "standard", "unit"):
         null = F.col(f"x.{c}").isNull() | F.col(f"y.{c}").isNull()
         name = f"{'accounting_standard' if c == 'standard' else c}_difference"
         parts.append(F.when(null & ~before, "unresolved").when(F.coalesce(F.col(f"x.{c}") != F.col(f"y.{c}"), F.lit(False)), name))
         before = before | null
-    base = F.array_compact(F.array(*parts))
+    met, base = met.withColumn("base", F.array_compact(F.array(*parts))), F.col("base")
     restated, apart = F.col("root") - F.col("both"), F.col("every") - F.col("doc") - (F.col("root") - F.col("both"))
     told = F.array(F.struct(F.array_append(base, F.lit("restatement_difference")).alias("c"), restated.alias("n")), F.struct(F.array_append(base, F.lit("unresolved")).alias("c"), apart.alias("n")), F.struct(base.alias("c"), F.when(F.size(base) > 0, F.col("doc")).otherwise(0).alias("n")))
-    out = met.select(*group, F.explode(told).alias("t")).select(*group, F.col("t.c").alias("classes"), F.col("t.n").alias("pairs"))
+    out = met.select(*group, F.explode(F.filter(told, lambda t: t["n"] > 0)).alias("t")).select(*group, F.col("t.c").alias("classes"), F.col("t.n").alias("pairs"))
 
     # within one document and kind that lacks nothing: other keys, then values
     full = rows.where("kind.scope is not null and kind.standard is not null and kind.unit is not null")
@@ -84,7 +84,7 @@ def pair_counts(facts: DataFrame, group: list[str]) -> DataFrame:
     keyed = alike.groupBy(*group, "doc_id", "kind", "key").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("empty"), F.col("n")).otherwise(0)).alias("none"), F.sum(F.when(F.col("empty") | F.col("odd"), F.lit(0)).otherwise(two(F.col("n")))).alias("equal"))
     mine = keyed.groupBy(*group, "doc_id", "kind").agg(F.sum("n").alias("n"), F.sum(two(F.col("n")) - two(F.col("n") - F.col("none"))).alias("unknown"), F.sum("equal").alias("equal"), F.sum(two(F.col("n"))).alias("judged"))
     told = F.array(F.struct(F.array(F.lit("unresolved")).alias("c"), (two(F.col("n")) - F.col("judged") + F.col("unknown")).alias("n")), F.struct(F.array(F.lit("exact_match")).alias("c"), F.col("equal").alias("n")), F.struct(F.array(F.lit("conflicting_facts")).alias("c"), (F.col("judged") - F.col("unknown") - F.col("equal")).alias("n")))
-    rest = mine.select(*group, F.explode(told).alias("t")).select(*group, F.col("t.c").alias("classes"), F.col("t.n").alias("pairs"))
+    rest = mine.where("n > 1").select(*group, F.explode(F.filter(told, lambda t: t["n"] > 0)).alias("t")).select(*group, F.col("t.c").alias("classes"), F.col("t.n").alias("pairs"))
     return out.union(rest).where("pairs > 0").groupBy(*group, "classes").agg(F.sum("pairs").alias("pairs"))
 
 
