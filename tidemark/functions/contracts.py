@@ -119,7 +119,14 @@ def scalar_equal(a: Column, b: Column) -> Column:
     def same(x: Column) -> Column:
         return once(number_key(b), lambda y: F.when(x.isNotNull() & y.isNotNull(), x == y).otherwise(a == b))
 
-    return F.when(a.isNull() | b.isNull(), a.isNull() & b.isNull()).when(not_finite(a) | not_finite(b), F.lit(False)).otherwise(once(number_key(a), same))
+    def plain(x: Column) -> Column:
+        return x.rlike(r"^[0-9]{1,18}(\.0*)?\z")
+
+    def whole(x: Column) -> Column:
+        return F.substring_index(x, ".", 1).try_cast("bigint")
+
+    empty = F.when(a.isNull() | b.isNull(), a.isNull() & b.isNull())
+    return empty.when(plain(a) & plain(b), whole(a) == whole(b)).when(not_finite(a) | not_finite(b), F.lit(False)).otherwise(once(number_key(a), same))
 
 
 def value_class(value: Column) -> Column:

@@ -168,8 +168,11 @@ def compare_facts(rows: DataFrame, originals: DataFrame, stages: list[tuple[str,
         (~F.col("f.is_nil") & ~F.coalesce(same, F.lit(False)) & is_text, "text_difference", "provider_value_differs"),
         (~F.col("f.is_nil") & ~F.coalesce(same, F.lit(False)), "extraction_difference", "provider_value_differs"),
     ]
-    verdict = F.coalesce(first_reason(*[(c, k) for c, k, _ in ladder]), F.lit("exact_match"))
-    return grouped.select("row_id", verdict.alias("verdict"), first_reason(*[(c, w) for c, _, w in ladder]).alias("reason"), "origins")
+    step = F.when(ladder[0][0], 0)
+    for i, (holds, _, _) in enumerate(ladder[1:], 1):
+        step = step.when(holds, i)
+    kinds, whys = (F.get(F.array(*[F.lit(rung[i]) for rung in ladder]), F.col("step")) for i in (1, 2))
+    return grouped.withColumn("step", step).select("row_id", F.coalesce(kinds, F.lit("exact_match")).alias("verdict"), whys.alias("reason"), "origins")
 
 
 def document_link(rows: DataFrame, documents: DataFrame, fields: dict[str, str]) -> DataFrame:
