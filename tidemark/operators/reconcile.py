@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.contracts import first_reason, not_finite, reasons, scalar_equal, squeezed, value_class
+from ..functions.contracts import NOT_SPACE, first_reason, not_finite, reasons, scalar_equal, squeezed, value_class
 
 
 def within_source(facts: DataFrame, group: list[str]) -> DataFrame:
@@ -274,7 +274,7 @@ def text_tie(rows: DataFrame, elements: DataFrame, keys: list[str], many: int =
     of texts that `many` elements or more have are dealt over `salts` parts.
     """
     def hashed(df: DataFrame, name: str) -> DataFrame:
-        return df.withColumn("squeezed", squeezed(F.col("text"))).where("squeezed <> ''").withColumn("h", F.sha2("squeezed", 256)).select(*keys, "h", name)
+        return df.where(F.col("text").rlike(NOT_SPACE)).select(*keys, F.sha2(squeezed(F.col("text")), 256).alias("h"), name)
 
     ties = hashed(elements, "origin_id").distinct().groupBy(*keys, "h").agg(F.count("*").alias("n"), F.min("origin_id").alias("first"))
     dealt = hashed(rows, "row_id").withColumn("salt", F.pmod(F.xxhash64("row_id"), F.lit(salts)).cast("int"))
