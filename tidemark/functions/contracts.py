@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 JST = "Asia/Tokyo"
 #: Unicode white space, which Java's \s leaves out.
 UNICODE_SPACE = r"[\s\x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
-
-
 NOT_SPACE = UNICODE_SPACE[:-1].replace("[", "[^", 1)
 #: The same characters, each by itself.
 SPACES = "".join(map(chr, (*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
+
+
 # -- reasons ---------------------------------------------------------------------------------------
 
 
@@ -113,7 +115,10 @@ def market_number(text: Column, precision: str = "decimal(38,9)") -> tuple[Colum
         reason = F.when(~clean.rlike(_DECIMAL), "invalid_market_number").when(~F.coalesce(exact, F.lit(False)), "market_number_not_exact")
         return once(reason, lambda r: F.struct(F.when(r.isNull(), value).alias("value"), r.alias("reason")))
 
-    told = F.when(text != "", once(F.regexp_replace(text, r"^\s+|\s+$", ""), judged))
+    digits, scale = map(int, re.findall(r"\d+", precision))
+    plain = text.rlike(rf"^[+-]?[0-9]{{1,{digits - scale}}}(\.[0-9]{{1,{scale}}})?\z") if digits > scale > 0 else F.lit(False)  # fits as it stands
+    told = F.when(plain, F.struct(text.try_cast(precision).alias("value"), F.lit(None).cast("string").alias("reason")))
+    told = told.when(text != "", once(F.regexp_replace(text, r"^\s+|\s+$", ""), judged))
     return told["value"], told["reason"]
 
 
