@@ -146,7 +146,7 @@ def pit_join(spark, sf_dir):
 
     view = revisions.fact_view(facts(spark, sf_dir), documents(spark, sf_dir), _decision(spark, DECISION)).where("fact_id is not null")
     parts = F.split("fact_id", "-")
-    rows = view.select("fact_id", "value", "missing_reason", parts[2].cast("bigint").alias("code"), F.lit(DECISION).cast("timestamp").alias("decision_at")).distinct()
+    rows = cut(view.select("fact_id", "value", "missing_reason", parts[2].cast("bigint").alias("code"), F.lit(DECISION).cast("timestamp").alias("decision_at")).distinct())
     li = table(spark, sf_dir, "lineitem")
     prices = li.select(F.col("l_partkey").alias("code"), F.to_date("l_shipdate").alias("day"), F.col("l_quantity").cast("int").alias("close"), F.lit(1).alias("factor"), F.lit("reported_unadjusted").alias("basis"), F.date_add(F.to_date("l_shipdate"), 1).cast("timestamp").alias("available_at"), F.lit(True).alias("projected"))
     asked = rows.select("code", "decision_at").distinct().withColumn("part", F.col("code"))
